@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import read_table
+from . import language_id
+from .bpe import bpe_round_trip
+from .chat_format import format_preferences, neighbour_pairs
+from .common import id_remainder, read_table
 from .exact_dedup import exact_dedup
 from .mixing import mix_report
+from .quality_rules import quality_rules
+from .token_file import new_folder, read_tokens, write_tokens
 from .url_filter import url_filter
 
 #: Rules of the url query: host, path, action.
@@ -18,10 +23,38 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = exact_dedup(_documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.col("text")))
+    rows = exact_dedup(_documents(spark, sf_dir, "doc_id", "text"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules(_documents(spark, sf_dir, "doc_id", "text"), read_table(spark, sf_dir, "labels"))
+    return rows.drop("text")
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+    import public_tokenizers
+
+    return bpe_round_trip(_documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path(vocabulary), public_tokenizers.PATTERN)
+
+
+def op4_token_file(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    import public_tokenizers
+
+    folder = new_folder(spark)
+    write_tokens(_documents(spark, sf_dir, "doc_id", "text"), folder, public_tokenizers.path(vocabulary), public_tokenizers.PATTERN)
+    return read_tokens(spark, folder)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str, vocabulary: str = "piece_bpe_32k.model") -> DataFrame:
+    import public_tokenizers
+
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    training = _documents(spark, sf_dir, "doc_id", "text", "lang").filter(~held_out)
+    rows = language_id.identify(_documents(spark, sf_dir, "doc_id", "text"), training, public_tokenizers.path(vocabulary))
+    return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(_documents(spark, sf_dir, "doc_id", "text", "source"))
 
@@ -31,10 +64,23 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
 
 
+def op10_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = format_preferences(conversations, neighbour_pairs(conversations))
+    spans = {f"{c}_spans": F.array_join(F.transform(f"{c}_spans", lambda s: F.concat(s["begin"].cast("string"), F.lit("-"), s["end"].cast("string"))), ",")
+             for c in ("chosen", "rejected")}
+    return rows.withColumns(spans)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_token_file": op4_token_file,
+    "op5_language_id": op5_language_id,
     "op6_mix_sources": op6_mix_sources,
     "op8_url_filter": op8_url_filter,
+    "op10_chat_preferences": op10_chat_preferences,
 }
 
 ORACLE_SQL = {
@@ -92,5 +138,36 @@ judged as (
                where (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path)) as best
   from parts p)
 select page_id, host, path, best.rule as rule, coalesce(best.action, 'allow') as verdict from judged
+""",
+    "op10_chat_preferences": r"""
+with t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, conv_id // 2 as pair_id,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
+  from conversations where conv_id is not null),
+pairs as (
+  select conv_id // 2 as pair_id, max(case when conv_id % 2 = 0 then conv_id end) as chosen_id, max(case when conv_id % 2 = 1 then conv_id end) as rejected_id
+  from t group by 1),
+lengths as (select p.pair_id, coalesce(min(n), 0) as least_n from pairs p left join (select conv_id, pair_id, count(*) as n from t group by all) c using (pair_id)
+            group by 1 having count(c.conv_id) = 2),
+differing as (
+  select a.pair_id, min(a.pos) as pos from t a join t b on a.pair_id = b.pair_id and a.pos = b.pos and a.conv_id % 2 = 0 and b.conv_id % 2 = 1
+  where a.role <> b.role or a.text <> b.text group by 1),
+cut as (
+  select p.*, coalesce(d.pos - 1, l.least_n, 0)::int as common
+  from pairs p left join lengths l using (pair_id) left join differing d using (pair_id)),
+rendered as (
+  select t.conv_id, t.pair_id, t.pos, t.role, '<|' || t.role || '|>' || chr(10) as head, t.text || '<|end|>' || chr(10) as body, c.common
+  from t join cut c using (pair_id)),
+placed as (
+  select *, sum(length(head) + length(body)) over (partition by conv_id order by pos) as stop from rendered where pos > common),
+completions as (
+  select conv_id, string_agg(head || body, '' order by pos) as completion,
+         coalesce(string_agg((stop - length(body))::varchar || '-' || stop::varchar, ',' order by pos) filter (role = 'assistant'), '') as spans
+  from placed group by 1),
+prompts as (select pair_id, string_agg(head || body, '' order by pos) as prompt from rendered where pos <= common and conv_id % 2 = 0 group by 1)
+select c.pair_id, c.chosen_id, c.rejected_id, c.common, coalesce(pr.prompt, '') as prompt,
+       case when c.chosen_id is not null then coalesce(a.completion, '') end as chosen, case when c.rejected_id is not null then coalesce(b.completion, '') end as rejected,
+       case when c.chosen_id is not null then coalesce(a.spans, '') end as chosen_spans, case when c.rejected_id is not null then coalesce(b.spans, '') end as rejected_spans
+from cut c left join prompts pr using (pair_id) left join completions a on a.conv_id = c.chosen_id left join completions b on b.conv_id = c.rejected_id
 """,
 }
