@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The bytes that part words, as a Java regular-expression class.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+#: Hashes of words that a worker remembers.
+CACHE_WORDS = 1 << 18
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,11 +45,6 @@ def id_remainder(id_col: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
-def words_of(data: bytes | None) -> list[bytes]:
-    """Words [^\\x20\\x09-\\x0D]+ of a UTF-8 text: bytes.split() parts at exactly these bytes."""
-    return data.split() if data else []
-
-
 def text_bytes(batch, name: str = "text") -> list:
     """A string column of an Arrow batch as Python bytes, None for null."""
     import pyarrow as pa
@@ -55,3 +52,40 @@ def text_bytes(batch, name: str = "text") -> list:
     column = batch.column(name)
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return column.cast(kind).to_pylist()
+
+
+class WordHashes(dict):
+    """Word to 64-bit hash, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = value
+        return value
+
+
+_HASHES = WordHashes()
+
+
+def word_hashes(words: list[bytes]):
+    import numpy as np
+
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+
+
+def windows(hashes, n: int):
+    """A 64-bit hash of each n neighbours."""
+    import numpy as np
+
+    mixed = hashes[: len(hashes) - n + 1].copy()
+    for i in range(1, n):
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+        mixed += hashes[i : len(hashes) - n + 1 + i]
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return mixed

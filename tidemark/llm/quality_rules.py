@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import text_bytes
+from .common import text_bytes, windows, word_hashes
 
 #: Buckets of the hashed features and the n-gram orders that go into them.
 FEATURE_BITS = 17
@@ -22,45 +22,6 @@ KEEP_AT = 0.5
 LEAST_WORDS, MOST_REPEATED, WINDOW_WORDS = 10, 20, 5
 #: Characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
-#: Hashes of words that a worker remembers.
-CACHE_WORDS = 1 << 18
-
-
-class _WordHashes(dict):
-    """Word to 64-bit hash, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = value
-        return value
-
-
-_HASHES = _WordHashes()
-
-
-def _word_hashes(words: list[bytes]):
-    import numpy as np
-
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-
-
-def _windows(hashes, n: int):
-    """A 64-bit hash of each n neighbours."""
-    import numpy as np
-
-    mixed = hashes[: len(hashes) - n + 1].copy()
-    for i in range(1, n):
-        mixed *= np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-        mixed += hashes[i : len(hashes) - n + 1 + i]
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= np.uint64(0xD6E8FEB86659FD93)
-    return mixed
 
 
 def repeated_words(words: list[bytes], hashes=None) -> int:
@@ -73,7 +34,7 @@ def repeated_words(words: list[bytes], hashes=None) -> int:
     n = len(words) - WINDOW_WORDS + 1
     if n < 2:
         return 0
-    keys = _windows(_word_hashes(words) if hashes is None else hashes, WINDOW_WORDS)
+    keys = windows(word_hashes(words) if hashes is None else hashes, WINDOW_WORDS)
     ordered = np.sort(keys)
     again = ordered[1:][ordered[1:] == ordered[:-1]]
     if not len(again):
@@ -112,7 +73,7 @@ def hashed_features(data: bytes, hashes) -> list:
         if len(units) < n:
             out.append(np.zeros(0, np.int64))
             continue
-        mixed = _windows(units, n) + np.uint64(salt * 0xA24BAED4963EE407 & (1 << 64) - 1)
+        mixed = windows(units, n) + np.uint64(salt * 0xA24BAED4963EE407 & (1 << 64) - 1)
         mixed *= np.uint64(0x9FB21C651E98DF25)
         out.append((mixed >> shift).astype(np.int64))
     return out
@@ -203,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
         for batch in batches:
             out = ([], [], [])
             for label, data in zip(batch.column(0).to_pylist(), text_bytes(batch, "text")):
-                grams = hashed_features(data, _word_hashes(data.split()))
+                grams = hashed_features(data, word_hashes(data.split()))
                 parts = [np.unique(g, return_counts=True) + (len(g),) for g in grams if len(g)]
                 out[0].append(label)
                 out[1].append(np.concatenate([p[0] for p in parts] or [np.zeros(0)]).astype(np.int32))
@@ -249,7 +210,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
             counts, failed, chances, kept = [], [], [], []
             for data in text_bytes(batch, text_col):
                 words = data.split() if data else []
-                hashes = _word_hashes(words)
+                hashes = word_hashes(words)
                 counts.append(base_counts(data, words, hashes))
                 failed.append(base_fails(counts[-1][0], counts[-1][4]))
                 if failed[-1]:

@@ -9,7 +9,9 @@ from .bpe import bpe_round_trip
 from .chat_format import format_preferences, neighbour_pairs
 from .common import id_remainder, read_table
 from .exact_dedup import exact_dedup
+from .lm_scoring import lm_scores
 from .mixing import mix_report
+from .ngram_join import ngram_join
 from .quality_rules import quality_rules
 from .token_file import new_folder, read_tokens, write_tokens
 from .url_filter import url_filter
@@ -59,11 +61,20 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(_documents(spark, sf_dir, "doc_id", "text", "source"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, action string")
     return url_filter(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lm_scores(_documents(spark, sf_dir, "doc_id", "text"), id_remainder(F.col("doc_id"), 10) != 0)
+    return rows.withColumn("held_out", ~F.col("learn")).drop("learn")
+
+
 def op10_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = format_preferences(conversations, neighbour_pairs(conversations))
@@ -79,7 +90,9 @@ QUERIES = {
     "op4_token_file": op4_token_file,
     "op5_language_id": op5_language_id,
     "op6_mix_sources": op6_mix_sources,
+    "op7_ngram_join": op7_ngram_join,
     "op8_url_filter": op8_url_filter,
+    "op9_lm_scores": op9_lm_scores,
     "op10_chat_preferences": op10_chat_preferences,
 }
 
