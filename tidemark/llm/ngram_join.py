@@ -3,25 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import materialise, text_bytes, windows, word_hashes
 from .components import connected_components
 
-#: Words of a shingle and the similarity that links, as a fraction of integers.
-SHINGLE_WORDS, LINK_OVER, LINK_UNDER = 3, 90, 100
 #: A shingle is frequent if it is met in so many documents' lowest quarters by hash.
 FREQUENT = 32
 #: Bits of the map of frequent shingles; at most a sixteenth of them is set, for the most frequent ones.
 MAP_BITS = 24
-#: Sets of at most COMBINED shingles index pairs of frequent ones, larger sets single ones.
-COMBINED = 240
+#: Sets with prefixes of at most so many places index pairs of frequent shingles, larger sets single ones.
+COMBINED_PLACES = 25
 #: Bits of the map of documents whose sets are compared.
 NEEDED_BITS = 20
 
 
-def shingles(data: bytes | None, n: int = SHINGLE_WORDS):
+@dataclass(frozen=True)
+class Link:
+    """What links two texts: words of a shingle, and the Jaccard similarity over / under of their sets."""
+
+    words: int = 5
+    over: int = 80
+    under: int = 100
+
+    @property
+    def combined(self) -> int:
+        """The largest set that indexes combinations only."""
+        return COMBINED_PLACES * self.under // (self.under - self.over)
+
+
+def shingles(data: bytes | None, n: int):
     """Sorted distinct 64-bit hashes of the word n-grams of a UTF-8 text with A-Z lower-cased.
 
     A text of fewer words has its whole sequence as one shingle; one without words has none.
@@ -35,15 +48,14 @@ def shingles(data: bytes | None, n: int = SHINGLE_WORDS):
     return np.unique(windows(hashes, min(n, len(words))) + np.uint64(0 if len(words) >= n else len(words)))
 
 
-def least_overlap(a: Column, b: Column) -> Column:
+def least_overlap(a: Column, b: Column, link: Link) -> Column:
     """Fewest common shingles of linked sets of these sizes."""
-    total = (a + b) * LINK_OVER
-    return F.ceil(total / (LINK_OVER + LINK_UNDER))
+    return F.ceil((a + b) * link.over / (link.over + link.under))
 
 
-def prefix_length(n: int) -> int:
+def prefix_length(n: int, link: Link) -> int:
     """Places in which a set must meet every set that it links with."""
-    return n - -(-n * LINK_OVER // LINK_UNDER) + 1
+    return n - -(-n * link.over // link.under) + 1
 
 
 def _mix(tokens):
@@ -60,7 +72,7 @@ def _map_place(tokens):
     return (_mix(tokens) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
 
 
-def _frequent_map(docs: DataFrame):
+def _frequent_map(docs: DataFrame, link: Link):
     """Bits of frequent shingles, as bytes: they come last in the order of all shingles.
 
     Counts are over all documents, of the shingles that an order by hash could put into a prefix. The map
@@ -81,8 +93,8 @@ def _frequent_map(docs: DataFrame):
 
         for batch in batches:
             for data in text_bytes(batch):
-                tokens = shingles(data)
-                held.append(tokens[: len(tokens) // 4 + 4])
+                tokens = shingles(data, link.words)
+                held.append(tokens[: 5 * prefix_length(len(tokens), link) // 2 + 2])
                 size += len(held[-1])
                 if size > 4_000_000:
                     size = 0
@@ -98,7 +110,7 @@ def _frequent_map(docs: DataFrame):
     return np.packbits(bits).tobytes()
 
 
-def index_keys(tokens, frequent):
+def index_keys(tokens, frequent, link: Link):
     """(keys, first places, second places, 0 for a single token) that a set is indexed under.
 
     Shingles are ordered by (frequent, hash). Linked sets have a common shingle among their first
@@ -108,7 +120,7 @@ def index_keys(tokens, frequent):
     """
     import numpy as np
 
-    n, plain = len(tokens), prefix_length(len(tokens))
+    n, plain = len(tokens), prefix_length(len(tokens), link)
     often = frequent[_map_place(tokens)]
     ordered = np.concatenate([tokens[~often], tokens[often]])[: plain + 1]
     n_rare = int((~often).sum())
@@ -117,20 +129,20 @@ def index_keys(tokens, frequent):
     keys, first, second = [ordered[:single]], [places[:single]], [np.zeros(single, np.int64)]
     if n_rare < len(ordered):
         hot, at = ordered[n_rare:], places[n_rare:]
-        # a set of at most COMBINED links with none larger than this
-        if n <= COMBINED * LINK_UNDER // LINK_OVER:
+        # a set of at most link.combined shingles links with none larger than this
+        if n <= link.combined * link.under // link.over:
             i, j = np.triu_indices(len(hot), 1)
             keys.append(_mix(hot[i]) * np.uint64(3) + hot[j])
             first.append(at[i])
             second.append(at[j])
-        if n >= COMBINED * LINK_OVER // LINK_UNDER or len(ordered) < plain + 1 or n == 1:
+        if n >= link.combined * link.over // link.under or len(ordered) < plain + 1 or n == 1:
             keys.append(hot[at <= plain])
             first.append(at[at <= plain])
             second.append(np.zeros(int((at <= plain).sum()), np.int64))
     return np.concatenate(keys), np.concatenate(first), np.concatenate(second)
 
 
-def _indexed(docs: DataFrame, frequent: bytes) -> DataFrame:
+def _indexed(docs: DataFrame, frequent: bytes, link: Link) -> DataFrame:
     """(id, n, node, keys) of each document: number of shingles, hash of the set, index keys with places."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)  # 2**MAP_BITS bits
     id_type = docs.schema["id"].dataType.simpleString()
@@ -144,10 +156,10 @@ def _indexed(docs: DataFrame, frequent: bytes) -> DataFrame:
         for batch in batches:
             sizes, nodes, offsets, parts = [], [], [0], ([], [], [])
             for data in text_bytes(batch):
-                tokens = shingles(data)
+                tokens = shingles(data, link.words)
                 sizes.append(len(tokens))
                 nodes.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63) if len(tokens) else None)
-                got = index_keys(tokens, bits) if len(tokens) else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+                got = index_keys(tokens, bits, link) if len(tokens) else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
                 for column, values in zip(parts, got):
                     column.append(values)
                 offsets.append(offsets[-1] + len(got[0]))
@@ -197,7 +209,7 @@ def _live(batches: Iterator) -> Iterator:
             yield out([c[shared] for c in columns], [p[shared] for p in pivots])
 
 
-def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, nodes: DataFrame, link: Link) -> DataFrame:
     """(node, tokens) of nodes (node, id): their documents are shingled again, picked by a map of ids."""
     import numpy as np
 
@@ -214,7 +226,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         bits = np.unpackbits(np.frombuffer(sent.value, np.uint8)).astype(bool)
         for batch in batches:
             batch = batch.filter(pa.array(bits[batch.column(1).to_numpy(zero_copy_only=False)]))
-            found = [shingles(data) for data in text_bytes(batch)]
+            found = [shingles(data, link.words) for data in text_bytes(batch)]
             found = [t for t in found if len(t)]
             ids = [xxhash.xxh3_64_intdigest(t.tobytes()) - (1 << 63) for t in found]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))], names=["node", "tokens"])
@@ -223,20 +235,20 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
     """Pairs (a, b) of nodes whose sets link."""
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     common = F.size(F.array_intersect("ta", "tb"))
     met = pairs.join(a, "a").join(b, "b").select("a", "b", common.alias("common"), (F.size("ta") + F.size("tb")).alias("both"))
-    return met.filter(LINK_UNDER * F.col("common") >= LINK_OVER * (F.col("both") - F.col("common"))).select("a", "b")
+    return met.filter(link.under * F.col("common") >= link.over * (F.col("both") - F.col("common"))).select("a", "b")
 
 
-def _can_link(x: str, y: str) -> Column:
+def _can_link(x: str, y: str, link: Link) -> Column:
     """Whether sets with these sizes that first meet in these places can have enough in common."""
     n, m = F.col(f"{x}n"), F.col(f"{y}n")
-    least = least_overlap(n, m)
-    fits = (LINK_UNDER * n >= LINK_OVER * m) & (LINK_UNDER * m >= LINK_OVER * n)
+    least = least_overlap(n, m, link)
+    fits = (link.under * n >= link.over * m) & (link.under * m >= link.over * n)
     for side, size in ((x, n), (y, m)):
         fits &= (F.col(f"{side}first") <= size - least + 1) & (F.col(f"{side}second") <= size - least + 2)
     return fits
@@ -246,7 +258,7 @@ def _pairs(x: str, y: str) -> list[Column]:
     return [F.least(f"{x}node", f"{y}node").alias("a"), F.greatest(f"{x}node", f"{y}node").alias("b")]
 
 
-def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ngram_join(docs: DataFrame, link: Link = Link(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Components of documents whose shingle sets link, without comparing all pairs of a group.
 
     Documents with the same set are one node. Nodes are indexed by index_keys(). In each key's entries the
@@ -264,18 +276,18 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    indexed = materialise(_indexed(rows, _frequent_map(rows)), "join-index")
+    indexed = materialise(_indexed(rows, _frequent_map(rows, link), link), "join-index")
     nodes = indexed.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("id"), F.first("keys").alias("keys"))
     entries = nodes.select("node", "n", F.explode("keys").alias("e")).select("e.key", "e.first", "e.second", "n", "node")
     sorted_entries = entries.repartition("key").sortWithinPartitions("key", "first", "second", "n", "node")
     kinds = "key long, first int, second int, n int, node long"
     live = materialise(sorted_entries.mapInArrow(_live, f"{kinds}, p_first int, p_second int, p_n int, p_node long"), "join-entries")
     wanted = live.select("node").distinct().join(indexed.filter("n > 0").groupBy("node").agg(F.min("id").alias("id")), "node")
-    sets = materialise(_sets(rows, wanted), "join-sets")
+    sets = materialise(_sets(rows, wanted, link), "join-sets")
     mine = live.select("key", *[F.col(c).alias(f"x_{c}") for c in ("first", "second", "n", "node")], *[F.col(f"p_{c}") for c in ("first", "second", "n", "node")])
-    starred = mine.filter((F.col("x_node") != F.col("p_node")) & _can_link("x_", "p_")).select(*_pairs("x_", "p_")).distinct()
+    starred = mine.filter((F.col("x_node") != F.col("p_node")) & _can_link("x_", "p_", link)).select(*_pairs("x_", "p_")).distinct()
     starred = materialise(starred, "join-pairs")
-    links = materialise(_verified(starred, sets), "join-links")
+    links = materialise(_verified(starred, sets, link), "join-links")
     labels = connected_components(links)
     placed = live.select("key", "first", "second", "n", "node").join(labels, "node", "left")
     placed = materialise(placed.withColumn("label", F.coalesce("label", "node")), "join-placed")
@@ -285,11 +297,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = open_entries.select(*kinds_of).distinct()
     x = classes.select("key", *[F.col(c).alias(f"x_{c}") for c in kinds_of[1:]])
     y = classes.select("key", *[F.col(c).alias(f"y_{c}") for c in kinds_of[1:]])
-    meet = x.join(y, "key").filter((F.col("x_label") < F.col("y_label")) & _can_link("x_", "y_"))
+    meet = x.join(y, "key").filter((F.col("x_label") < F.col("y_label")) & _can_link("x_", "y_", link))
     members = {s: open_entries.select("key", *[F.col(c).alias(f"{s}{c}") for c in [*kinds_of[1:], "node"]]) for s in ("x_", "y_")}
     left = meet.join(members["x_"], ["key", *[f"x_{c}" for c in kinds_of[1:]]]).join(members["y_"], ["key", *[f"y_{c}" for c in kinds_of[1:]]])
     rest = left.select(*_pairs("x_", "y_")).distinct().join(starred, ["a", "b"], "left_anti")
-    more = materialise(_verified(rest, sets), "join-links")
+    more = materialise(_verified(rest, sets, link), "join-links")
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more))
     named = indexed.filter("n > 0").groupBy("node").agg(F.min("id").alias("id")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -300,11 +312,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return joined.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
 
 
-def one_of_each_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each_component(docs: DataFrame, link: Link = Link(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose id is the smallest of their component; rows that link with nothing stay.
 
     A row with a null id stays only where its component has no other id.
     """
-    components = ngram_join(docs, id_col, text_col)
+    components = ngram_join(docs, link, id_col, text_col)
     keep = components.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
     return docs.join(keep, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")

@@ -11,7 +11,7 @@ from .common import id_remainder, read_table
 from .exact_dedup import exact_dedup
 from .lm_scoring import lm_scores
 from .mixing import mix_report
-from .ngram_join import ngram_join
+from .ngram_join import Link, ngram_join
 from .quality_rules import quality_rules
 from .token_file import new_folder, read_tokens, write_tokens
 from .url_filter import url_filter
@@ -62,7 +62,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(_documents(spark, sf_dir, "doc_id", "text"))
+    return ngram_join(_documents(spark, sf_dir, "doc_id", "text"), Link(words=3, over=90))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
