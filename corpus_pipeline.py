@@ -28,7 +28,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.9 in three-word shingles the one with the smallest doc_id."""
+    """Of documents linked by a Jaccard similarity of 0.8 in five-word shingles the one with the smallest doc_id."""
     return one_of_each_component(docs)
 
 
