@@ -1 +1 @@
-"""functions"""
+"""Column functions: exact decimals, time arithmetic, text."""
