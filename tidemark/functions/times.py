@@ -11,7 +11,7 @@ def epoch_ms(stamp: Column) -> Column:
     """Milliseconds of a timestamp without time zone, read as UTC."""
     day = F.unix_date(stamp.cast("date")).cast("long") * DAY
     clock = (F.hour(stamp) * 3600 + F.minute(stamp) * 60).cast("long") * 1000
-    return day + clock + F.floor(F.extract(F.lit("SECOND"), stamp) * 1000)
+    return day + clock + F.floor(F.extract(F.lit("SECOND"), stamp) * 1000).cast("long")
 
 
 def utc_date(ms: Column) -> Column:
