@@ -1,0 +1,347 @@
+"""Small cases for every operator: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import collections
+import hashlib
+import math
+import zlib
+
+import public_tokenizers as P
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import language_id, lm_scoring
+from tidemark.llm.chat_format import format_preferences, render
+from tidemark.llm.components import connected_components
+from tidemark.llm.exact_dedup import exact_dedup, exact_dedup_rows
+from tidemark.llm.mixing import mix_report, mix_rows
+from tidemark.llm.ngram_join import Link, ngram_join, one_of_each_component
+from tidemark.llm.quality_rules import base_counts, quality_rules, repeated_words
+from tidemark.llm.token_file import Segment, build_index, fetch, new_folder, read_tokens, write_tokens
+from tidemark.llm.url_filter import url_filter
+
+LONG = "word " * 30_000
+
+
+def docs_of(spark, rows):
+    """(doc_id, text, source, lang) with columns whose names clash with results."""
+    full = [(i, t, s, "en") for i, t, s in rows]
+    return spark.createDataFrame(full, "doc_id long, text string, source string, lang string").selectExpr(
+        "*", "'x' as kept", "7 as size", "'y' as keep_id", "1 as n", "2 as node", "'z' as score", "3 as key", "4 as label")
+
+
+# exact dedup
+
+
+def dedup_by_hand(rows):
+    import re
+
+    groups = collections.defaultdict(list)
+    for i, t, _ in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", t or "")].append(i)
+    return {(i, re.sub(r"[\x20\x09-\x0D]+", " ", t or "")): groups[re.sub(r"[\x20\x09-\x0D]+", " ", t or "")] for i, t, _ in rows}
+
+
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_exact_dedup_against_grouping(spark, partitions):
+    rows = [(i, t, "s") for i, t in enumerate(["a b", "a  b", "a\tb", None, "", "c", "A b", " a b", LONG, LONG + "x", "é", "a\u00a0b"])]
+    rows += [(100 + i, "hot copy of one text", "s") for i in range(400)] + [(900 + i, f"hot copy of one text {i % 50}", "s") for i in range(100)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = exact_dedup(docs_of(spark, rows)).collect()
+        kept = sorted(r.doc_id for r in exact_dedup_rows(docs_of(spark, rows)).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = dedup_by_hand(rows)
+    assert len(got) == len(rows)
+    for (i, text), group in want.items():
+        row = next(r for r in got if r.doc_id == i)
+        assert (row.keep_id, row.group_size, row.kept) == (min(group), len(group), i == min(group)), (i, text)
+        assert row.text_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert kept == sorted(r.doc_id for r in got if r.kept)
+
+
+def test_exact_dedup_repeats_nulls_and_empty_tables(spark):
+    rows = [(5, "x", "s"), (5, "x", "s"), (None, "x", "s"), (None, "alone", "s")]
+    got = exact_dedup(docs_of(spark, rows)).collect()
+    assert sum(r.kept for r in got) == 2 and {r.keep_id for r in got if r.group_size == 3} == {5}
+    assert [r.keep_id for r in got if r.group_size == 1] == [None]
+    assert exact_dedup(docs_of(spark, [])).count() == 0 and exact_dedup_rows(docs_of(spark, [])).count() == 0
+
+
+# quality rules
+
+
+def test_base_counts_by_hand():
+    text = "one two three four five\n\none two three four five\n#x $y\none two three four five \né"
+    data = text.encode()
+    assert base_counts(data, data.split()) == (18, sum(len(w) for w in text.split()), 2, 1, 15)
+    assert base_counts(None, []) == (0, 0, 0, 0, 0)
+    assert repeated_words(b"a a a a a a".split()) == 6 and repeated_words(b"a b c d e".split()) == 0
+
+
+def test_quality_rules_learns_and_keeps_rows(spark):
+    good = "the river ran past quiet fields and the people walked slowly home before night {}"
+    bad = "buy### now$$$ cheap%%% deal&&& click### here$$$ win%%% cash&&& free### money$$$ {}"
+    rows = [(i, (good if i % 2 else bad).format(i), "s") for i in range(120)] + [(500, None, "s"), (501, "", "s"), (502, "same words again " * 40, "s"), (503, LONG, "s")]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)] + [(None, 1, 0), (3, None, 0), (600, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality_rules(docs_of(spark, rows), labels).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i].kept == bool(i % 2) for i in range(120))
+    assert all(got[i].base_failed and not got[i].kept and got[i].probability is None for i in (500, 501, 502, 503))
+    no_labels = quality_rules(docs_of(spark, rows), labels.limit(0)).collect()
+    assert all(r.kept != r.base_failed for r in no_labels)
+    assert quality_rules(docs_of(spark, []), labels).count() == 0
+
+
+# token files
+
+
+def test_hash_index_is_minimal_and_perfect():
+    for n in (0, 1, 2, 3, 17, 900):
+        keys = [i * i * 7919 - 50 for i in range(n)]
+        segment = Segment(build_index(keys, list(range(n)), [k % 5 for k in range(n)]), b"")
+        assert [segment.find(k) for k in keys] == [(i, i % 5) for i in range(n)]
+        assert len(segment.slots) == n
+
+
+def test_token_file_round_trip(spark):
+    path, pattern = P.path("byte_bpe_50k.json"), P.PATTERN
+    rows = [(9, "some text", "s"), (2, None, "s"), (4, "", "s"), (7, LONG, "s"), (7, "again", "s"), (None, "no key", "s"), (-3, "first", "s")]
+    folder = new_folder(spark)
+    write_tokens(docs_of(spark, rows), folder, path, pattern)
+    got = read_tokens(spark, folder).collect()
+    from tokenizers import Tokenizer
+
+    encode = lambda t: Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids + [0]
+    ordered = sorted(got, key=lambda r: r.start)
+    assert [r.doc_id for r in ordered] == [-3, 2, 4, 7, 7, 9, None]
+    assert sum(r.n_tokens for r in got) == sum(len(encode(t)) for _, t, _ in rows)
+    start = 0
+    for r in ordered:
+        assert r.start == start
+        start += r.n_tokens
+    two = next(r for r in got if r.doc_id == 9)
+    assert two.ids_crc32 == zlib.crc32(b"".join(x.to_bytes(4, "little") for x in encode("some text")))
+    assert {r.key: list(r.ids) for r in fetch(spark, folder, [9, 2, 12345]).collect()} == {9: encode("some text"), 2: [0]}
+    empty = new_folder(spark)
+    write_tokens(docs_of(spark, []), empty, path, pattern)
+    assert read_tokens(spark, empty).count() == 0
+
+
+# language
+
+
+def test_forward_sums_all_segmentations():
+    import numpy as np
+
+    path = P.path("piece_bpe_32k.model")
+    vocabulary, _ = language_id._vocabulary(path)
+    chances = np.random.default_rng(5).dirichlet(np.ones(len(vocabulary) + 2), 2).T
+    chances[-1] = 0
+
+    def by_hand(text, column):
+        if not text:
+            return 1.0
+        total = 0.0
+        for k in range(1, len(text) + 1):
+            piece = vocabulary.get(text[:k])
+            if piece is None and k == 1:
+                piece = len(vocabulary)
+            if piece is not None:
+                total += chances[piece, column] * by_hand(text[k:], column)
+        return total
+
+    words = ["reading", "lettre\u2603"[:7], "straßen"]
+    got = language_id.Words(words, path).forward(chances)[-1]
+    for word, row in zip(words, got):
+        for column in (0, 1):
+            assert math.isclose(row[column], by_hand(language_id.MARK + word, column), rel_tol=1e-9)
+            assert math.isclose(math.log(row[column]), language_id.long_word_logs(word, chances, path)[column], rel_tol=1e-9)
+    counts = language_id.Words(["ab", "of"], path).expected(chances[:, :1], np.array([[1.0, 2.0], [0.0, 1.0]]))
+    assert counts.sum(axis=0)[1] > 2 * counts.sum(axis=0)[0] - 1e-9
+
+
+def test_language_id_on_held_out_rows(spark):
+    path = P.path("piece_bpe_32k.model")
+    en = ["the people of the town were happy with this", "there is nothing that they could have done"]
+    de = ["die Leute der Stadt waren damit nicht sehr glücklich", "es gibt nichts das sie hätten tun können"]
+    train = spark.createDataFrame([(i, t, lang) for i in range(40) for lang, ts in (("en", en), ("de", de)) for t in ts] + [(99, None, "en"), (98, "x", None)], "doc_id long, text string, lang string")
+    rows = [(1, "the happy people", "s"), (2, "nicht glücklich damit", "s"), (3, None, "s"), (4, "123 !!", "s"), (5, "", "s"), (6, "the " + "people" * 4000, "s")]
+    got = {r.doc_id: r for r in language_id.identify(docs_of(spark, rows), train, path).collect()}
+    assert [got[i].lang_pred for i in range(1, 7)] == ["en", "de", "und", "und", "und", "en"]
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert {r.lang_pred for r in language_id.identify(docs_of(spark, rows), train.limit(0), path).collect()} == {"und"}
+    assert language_id.identify(docs_of(spark, []), train, path).count() == 0
+
+
+# mixing
+
+
+def test_mix_meets_targets(spark):
+    rows = [(i, "w " * (i % 40 + 1), ["a", "b", "c", None][0 if i < 900 else i % 4]) for i in range(1500)] + [(2000, LONG, "b"), (2001, None, "a"), (None, "w w", "c")]
+    got = mix_report(docs_of(spark, rows)).collect()
+    assert len(got) == len(rows)
+    longest = max(r["size"] for r in got)
+    total = sum(r["size"] for r in got)
+    targets = {r.source_size: r.target for r in got}
+    assert math.isclose(sum(targets.values()), total) and all(t <= 3 * s + 1e-9 for s, t in targets.items())
+    for size, target in targets.items():
+        assert abs(sum(r.taken for r in got if r.source_size == size) - target) <= longest / 2 + 1
+    assert all(0 <= r.taken <= 3 * r["size"] for r in got)
+    again = mix_report(docs_of(spark, rows).repartition(5)).collect()
+    assert sorted(got, key=str) == sorted(again, key=str)
+    mixed = mix_rows(docs_of(spark, rows))
+    assert mixed.columns == docs_of(spark, []).columns
+    counts = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert all(counts.get(r.doc_id, 0) * r["size"] == r.taken for r in got)
+    assert mix_report(docs_of(spark, [])).count() == 0 and mix_rows(docs_of(spark, [])).count() == 0
+
+
+# n-gram join
+
+
+def components_by_hand(rows, link):
+    sets = []
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        n = min(link.words, len(w))
+        sets.append((i, frozenset(tuple(w[j : j + n]) for j in range(len(w) - n + 1)) if w else frozenset()))
+    label = list(range(len(sets)))
+
+    def find(a):
+        while label[a] != a:
+            a = label[a]
+        return a
+
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a][1], sets[b][1]
+            if x and y and link.under * len(x & y) >= link.over * len(x | y):
+                label[find(a)] = find(b)
+    groups = collections.defaultdict(list)
+    for a in range(len(sets)):
+        groups[find(a)].append(sets[a][0])
+    return sorted((i, len(s), min(groups[find(a)])) for a, (i, s) in enumerate(sets))
+
+
+@pytest.mark.parametrize("link", [Link(words=3, over=90), Link(words=5, over=80), Link(words=2, over=60)])
+@pytest.mark.parametrize("frequent", [32, 4])
+def test_ngram_join_against_all_pairs(spark, link, frequent, monkeypatch):
+    import random
+
+    from tidemark.llm import ngram_join as module
+
+    monkeypatch.setattr(module, "FREQUENT", frequent)
+    pick = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    base = {n: [pick.choice(words) for _ in range(n)] for n in (12, 40, 160, 420)}
+    rows = [(0, None), (1, ""), (2, "one"), (3, "ONE"), (4, "one two"), (5, " one\ttwo "), (6, "a b a b a b a b")]
+    for n, text in base.items():
+        for _ in range(60):
+            other = list(text)
+            for _ in range(pick.randrange(0, max(2, n // 12))):
+                other[pick.randrange(n)] = pick.choice(words)
+            if pick.random() < 0.3:
+                del other[: pick.randrange(1, 3)]
+            rows.append((len(rows), " ".join(other)))
+    for _ in range(60):
+        rows.append((len(rows), " ".join(base[12] + [pick.choice(words) for _ in range(pick.randrange(3, 60))])))
+    docs = docs_of(spark, [(i, t, "s") for i, t in rows])
+    got = ngram_join(docs, link)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == components_by_hand(rows, link)
+
+
+def test_ngram_join_repeats_and_empty_tables(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "s"), (1, text, "s"), (2, text, "s"), (None, text, "s"), (9, "other words here now", "s")]
+    got = ngram_join(docs_of(spark, rows)).collect()
+    assert sorted(r.component_id for r in got) == [1, 1, 1, 1, 9]
+    assert sorted(r.doc_id for r in one_of_each_component(docs_of(spark, rows)).collect()) == [1, 1, 9]
+    assert ngram_join(docs_of(spark, [])).count() == 0
+
+
+def test_components_on_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 50)] + [(7, 7)]
+    got = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(201)) and all(got[i] == 1000 for i in range(1000, 1050))
+
+
+# urls
+
+
+def test_url_filter_cases(spark):
+    rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow"), ("bad.org", "/x", "block"), ("bad.org", "/x", "allow"), (None, "/", "block"), ("", "/", "block")], "rule_host string, rule_path string, action string")
+    cases = {
+        "http://a.net/": ("net/", "block"), "http://a.net": (None, "allow"), "HTTP://EXAMPLE.NET/en/1?q": ("example.net/en/", "allow"),
+        "http://www.example.net/de/": ("net/", "block"), "http://notexample.net/en/": ("net/", "block"), "x://bad.org/xyz#f": ("bad.org/x", "allow"),
+        "http://bad.org?/x": (None, "allow"), "no scheme": (None, "allow"), None: (None, "allow"), "": (None, "allow"), "http://" + "a." * 5000 + "net/en/": ("net/", "block"), "http:///net/": (None, "allow"),
+    }
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(cases)] + [(0, "http://a.net/", "h")], "page_id long, url string, html string").selectExpr("*", "1 as host", "2 as rule", "3 as prefix")
+    got = url_filter(pages, rules).collect()
+    assert len(got) == len(cases) + 1
+    for i, (url, (rule, verdict)) in enumerate(cases.items()):
+        row = next(r for r in got if r.page_id == i)
+        assert (row.rule, row.verdict) == (rule, verdict), url
+    assert url_filter(pages.limit(0), rules).count() == 0
+    assert {r.verdict for r in url_filter(pages, rules.limit(0)).collect()} == {"allow"}
+
+
+# language model
+
+
+def test_lm_scores_base_and_proper_distribution(spark):
+    texts = ["the cat sat", "The dog sat on the mat", None, "", "cat " * 2000] + [f"the {a} ran to the {b}" for a in ("dog", "cat", "fox") for b in ("mat", "hill")]
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    learn = F.col("doc_id") % 3 != 0
+    got = {r.doc_id: r for r in lm_scoring.lm_scores(docs_of(spark, rows), learn).collect()}
+    counts = collections.Counter()
+    tokens = {i: (t or "").encode().lower().split() + [b""] for i, t, _ in rows}
+    for i, t in tokens.items():
+        if i % 3:
+            counts.update(t)
+    n, v = sum(counts.values()), len(counts)
+    for i, t in tokens.items():
+        base = sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
+        row = got[i]
+        assert (row.n_tokens, row.n_known, row.train_tokens) == (len(t), sum(counts[w] > 0 for w in t), n)
+        assert math.isclose(row.base_score, base, rel_tol=1e-9) and row.score < 0 and math.isfinite(row.score)
+    assert lm_scoring.lm_scores(docs_of(spark, []), learn).count() == 0
+    none = lm_scoring.lm_scores(docs_of(spark, rows), F.lit(False)).collect()
+    assert len(none) == len(rows) and all(r.train_tokens == 0 and r.n_known == 0 for r in none)
+
+
+def test_lm_unit_probabilities_sum_to_one():
+    import numpy as np
+
+    pick = np.random.default_rng(1)
+    model = lm_scoring.Model(classes=pick.normal(size=(lm_scoring.CLASS_ROWS, lm_scoring.CLASSES)).astype(np.float32), words=pick.normal(size=(lm_scoring.WORD_ROWS, lm_scoring.CLASS_WORDS)).astype(np.float32))
+    units = np.arange(lm_scoring.UNITS - 1)
+    for two, one in ((5, 9), (lm_scoring.BEGIN, lm_scoring.BEGIN), (260, 3)):
+        logs = model.unit_logs((two * lm_scoring.UNITS + one) * lm_scoring.UNITS + units)
+        assert math.isclose((10**logs).sum(), 1, rel_tol=1e-4)
+
+
+# chat formatting
+
+
+def test_preferences_by_hand(spark):
+    turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (2, 1, "assistant", "no"), (2, 2, "user", "why"), (3, 0, "user", "hi"), (4, 0, None, None), (None, 0, "user", "x"), (5, 0, "user", "hi"), (5, 1, "assistant", "yes")]
+    conversations = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as prompt", "2 as a", "3 as b")
+    pairs = spark.createDataFrame([(10, 1, 2), (11, 1, 3), (12, 1, 5), (13, 4, 1), (14, 1, 77), (14, 1, 77), (15, None, None)], "pair_id long, chosen_id long, rejected_id long")
+    got = {r.pair_id: r for r in format_preferences(conversations, pairs).collect()}
+    turn = lambda role, text: f"<|{role}|>\n{text}<|end|>\n"
+    one = got[10]
+    assert (one.common, one.prompt, one.chosen) == (1, turn("user", "hi"), turn("assistant", "yes"))
+    assert one.rejected == turn("assistant", "no") + turn("user", "why")
+    assert [one.rejected[s.begin : s.end] for s in one.rejected_spans] == ["no<|end|>\n"]
+    assert (got[11].common, got[11].rejected, got[11].rejected_spans) == (1, "", [])
+    assert (got[12].common, got[12].chosen, got[12].rejected) == (2, "", "")
+    assert (got[13].common, got[13].prompt, got[13].chosen) == (0, "", turn("", ""))
+    assert (got[14].common, got[14].rejected, got[14].rejected_spans) == (0, None, None)
+    assert (got[15].chosen, got[15].rejected) == (None, None)
+    assert format_preferences(conversations, pairs).count() == 7
+    assert format_preferences(conversations.limit(0), pairs.limit(0)).count() == 0
+    assert render is not None
