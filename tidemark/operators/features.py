@@ -20,42 +20,42 @@ def true_range(previous: str = "prev_close") -> Column:
     return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col(previous)), F.abs(F.col("low") - F.col(previous)))
 
 
-def _rolling_sum(column: str, rows: int) -> Column:
-    """Sum of the last `rows` rows as a difference of running sums; null before there are as many. Exact on integers."""
-    line = Window.partitionBy("k").orderBy("t")
-    running = F.col(f"__run_{column}")
-    return F.when(F.col("__n") >= rows, running - F.coalesce(F.lag(running, rows).over(line), F.lit(0)))
-
+def _extremes(df: DataFrame, rows: int) -> DataFrame:
+    """rolling_high and rolling_low over the last `rows` rows; null before there are as many.
 
-def _with_extremes(df: DataFrame, column: str, rows: int, biggest: bool, name: str) -> DataFrame:
-    """Rolling maximum or minimum by blocks: the running extreme inside this block and the suffix extreme of the
-    block before, `rows` - 1 rows back; both frames only grow."""
-    line = Window.partitionBy("k").orderBy("t")
-    pick, two = (F.max, F.greatest) if biggest else (F.min, F.least)
+    Long windows are cut into blocks of `rows` rows: the extreme is that of the running one inside this block
+    and of the suffix of the block before, `rows` - 1 rows back. Both frames only grow, both columns share
+    each window, and block order is time order, so there are three sorts whatever the length.
+    """
+    full = F.col("__n") >= rows
     if rows <= SLIDING:
-        return df.withColumn(name, F.when(F.col("__n") >= rows, pick(column).over(line.rowsBetween(1 - rows, 0))))
+        frame = Window.partitionBy("k").orderBy("t").rowsBetween(1 - rows, 0)
+        return df.withColumns({"rolling_high": F.when(full, F.max("high").over(frame)), "rolling_low": F.when(full, F.min("low").over(frame))})
     block = Window.partitionBy("k", "__block")
-    df = df.withColumn("__prefix", pick(column).over(block.orderBy("t"))).withColumn("__suffix", pick(column).over(block.orderBy(F.col("t").desc())))
-    value = two("__prefix", F.lag("__suffix", rows - 1).over(line))
-    return df.withColumn(name, F.when(F.col("__n") >= rows, value)).drop("__prefix", "__suffix")
+    for name, order in (("prefix", F.col("t")), ("suffix", F.col("t").desc())):
+        df = df.withColumns({f"__{name}_high": F.max("high").over(block.orderBy(order)), f"__{name}_low": F.min("low").over(block.orderBy(order))})
+    line = Window.partitionBy("k").orderBy("__block", "t")
+    df = df.withColumns({f"__{c}_before": F.lag(f"__suffix_{c}", rows - 1).over(line) for c in ("high", "low")})
+    return df.withColumns({"rolling_high": F.when(full, F.greatest("__prefix_high", "__high_before")), "rolling_low": F.when(full, F.least("__prefix_low", "__low_before"))})
 
 
 def features(bars: DataFrame, rows: int) -> DataFrame:
     """bars (k, t, open, high, low, close, volume) with FEATURES over the last `rows` rows (rows, not minutes).
 
-    Means are null until there are `rows` rows; prior_* are the rolling values one row back; touches and
-    crossings are false where a prior value is missing. Integer prices keep every sum exact.
+    Means are null until there are `rows` rows; they are differences of running sums, exact on integer prices.
+    prior_* are the rolling values one row back; touches and crossings are false where a prior value is missing.
     """
     line = Window.partitionBy("k").orderBy("t")
-    df = bars.withColumn("prev_close", previous_close()).withColumn("__n", F.row_number().over(line))
-    df = df.withColumn("__block", F.floor((F.col("__n") - 1) / rows)).withColumn("true_range", true_range())
-    for column in ("close", "true_range", "volume"):
-        df = df.withColumn(f"__run_{column}", F.sum(column).over(line))
-    df = _with_extremes(df, "high", rows, True, "rolling_high")
-    df = _with_extremes(df, "low", rows, False, "rolling_low")
-    df = df.withColumns({"rolling_mid": _rolling_sum("close", rows) / rows, "rolling_atr": _rolling_sum("true_range", rows) / rows,
-                         "rolling_volume_mean": _rolling_sum("volume", rows) / rows})
-    df = df.withColumns({f"prior_{x}": F.lag(f"rolling_{x}").over(line) for x in ("mid", "high", "low")})
+    df = bars.withColumns({"prev_close": previous_close(), "__n": F.row_number().over(line)})
+    df = df.withColumns({"__block": F.floor((F.col("__n") - 1) / rows), "true_range": true_range()})
+    summed = ("close", "true_range", "volume")
+    df = df.withColumns({f"__run_{c}": F.sum(c).over(line) for c in summed})
+    df = df.withColumns({f"__old_{c}": F.coalesce(F.lag(f"__run_{c}", rows).over(line), F.lit(0)) for c in summed})
+    mean = {c: F.when(F.col("__n") >= rows, F.col(f"__run_{c}") - F.col(f"__old_{c}")) / rows for c in summed}
+    df = df.withColumns({"rolling_mid": mean["close"], "rolling_atr": mean["true_range"], "rolling_volume_mean": mean["volume"]})
+    df = _extremes(df, rows)
+    last = line if rows <= SLIDING else Window.partitionBy("k").orderBy("__block", "t")
+    df = df.withColumns({f"prior_{x}": F.lag(f"rolling_{x}").over(last) for x in ("mid", "high", "low")})
     width = F.col("rolling_high") - F.col("rolling_low")
     crossing = ((F.col("prev_close") <= F.col("prior_mid")) & (F.col("close") > F.col("prior_mid"))) | (
         (F.col("prev_close") >= F.col("prior_mid")) & (F.col("close") < F.col("prior_mid")))
@@ -64,7 +64,7 @@ def features(bars: DataFrame, rows: int) -> DataFrame:
         "lower_touch": F.coalesce(F.col("low") <= F.col("prior_low"), F.lit(False)),
         "upper_touch": F.coalesce(F.col("high") >= F.col("prior_high"), F.lit(False)),
         "mid_crossing": F.coalesce(crossing, F.lit(False))})
-    return df.drop("__n", "__block", *[f"__run_{c}" for c in ("close", "true_range", "volume")])
+    return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
 def core_with_halo(bars: DataFrame, rows: int, core_start: int, core_end: int, halo_ms: int) -> DataFrame:
