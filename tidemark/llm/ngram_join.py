@@ -111,39 +111,35 @@ def _frequent_map(docs: DataFrame, link: Link):
 
 
 def index_keys(tokens, frequent, link: Link):
-    """(keys, first places, second places, 0 for a single token) that a set is indexed under.
+    """(prefix, singles, combined keys, their first places, their second places) that a set is indexed under.
 
     Shingles are ordered by (frequent, hash). Linked sets have a common shingle among their first
-    prefix_length places and two among one place more. If a rare one is among those, the first is rare and a
-    single key; else two frequent ones are, and the sets meet in that combination. Sets too large for
-    combinations index single frequent shingles, and sets in reach of both kinds do both.
+    prefix_length places and two among one place more; `prefix` holds those. If a rare one is among the
+    common, the first is rare and a single key; else two frequent ones are, and the sets meet in that
+    combination. Sets too large for combinations index single frequent shingles, and sets in reach of both
+    kinds do both. The first `singles` shingles of the prefix are single keys.
     """
     import numpy as np
 
     n, plain = len(tokens), prefix_length(len(tokens), link)
     often = frequent[_map_place(tokens)]
-    ordered = np.concatenate([tokens[~often], tokens[often]])[: plain + 1]
+    prefix = np.concatenate([tokens[~often], tokens[often]])[: plain + 1]
     n_rare = int((~often).sum())
-    places = np.arange(1, len(ordered) + 1)
-    single = min(n_rare, plain)
-    keys, first, second = [ordered[:single]], [places[:single]], [np.zeros(single, np.int64)]
-    if n_rare < len(ordered):
-        hot, at = ordered[n_rare:], places[n_rare:]
+    singles, none = min(n_rare, plain), np.zeros(0, np.int64)
+    keys, first, second = none.astype(np.uint64), none, none
+    if n_rare < len(prefix):
         # a set of at most link.combined shingles links with none larger than this
         if n <= link.combined * link.under // link.over:
+            hot, places = prefix[n_rare:], np.arange(n_rare + 1, len(prefix) + 1)
             i, j = np.triu_indices(len(hot), 1)
-            keys.append(_mix(hot[i]) * np.uint64(3) + hot[j])
-            first.append(at[i])
-            second.append(at[j])
-        if n >= link.combined * link.over // link.under or len(ordered) < plain + 1 or n == 1:
-            keys.append(hot[at <= plain])
-            first.append(at[at <= plain])
-            second.append(np.zeros(int((at <= plain).sum()), np.int64))
-    return np.concatenate(keys), np.concatenate(first), np.concatenate(second)
+            keys, first, second = _mix(hot[i]) * np.uint64(3) + hot[j], places[i], places[j]
+        if n >= link.combined * link.over // link.under or len(prefix) < plain + 1 or n == 1:
+            singles = min(len(prefix), plain)
+    return prefix, singles, keys, first, second
 
 
 def _indexed(docs: DataFrame, frequent: bytes, link: Link) -> DataFrame:
-    """(id, n, node, keys) of each document: number of shingles, hash of the set, index keys with places."""
+    """(id, n, node, prefix, singles, combined) of each document: size and hash of its set, and its index keys."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)  # 2**MAP_BITS bits
     id_type = docs.schema["id"].dataType.simpleString()
 
@@ -153,32 +149,40 @@ def _indexed(docs: DataFrame, frequent: bytes, link: Link) -> DataFrame:
         import xxhash
 
         bits = np.unpackbits(np.frombuffer(sent.value, np.uint8)).astype(bool)
+
+        def lists(arrays, values):
+            offsets = np.zeros(len(arrays) + 1, np.int32)
+            np.cumsum([len(a) for a in arrays], out=offsets[1:])
+            return pa.ListArray.from_arrays(pa.array(offsets), values)
+
         for batch in batches:
-            sizes, nodes, offsets, parts = [], [], [0], ([], [], [])
+            sizes, nodes, singles, parts = [], [], [], ([], [], [], [])
             for data in text_bytes(batch):
                 tokens = shingles(data, link.words)
                 sizes.append(len(tokens))
                 nodes.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63) if len(tokens) else None)
-                got = index_keys(tokens, bits, link) if len(tokens) else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-                for column, values in zip(parts, got):
-                    column.append(values)
-                offsets.append(offsets[-1] + len(got[0]))
-            keys, first, second = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts)
-            entries = pa.StructArray.from_arrays([pa.array(keys.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32))], names=["key", "first", "second"])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()), lists], names=["id", "n", "node", "keys"])
+                prefix, single, *combined = index_keys(tokens, bits, link) if len(tokens) else (tokens, 0, tokens, sizes[:0], sizes[:0])
+                singles.append(single)
+                for column, values in zip(parts, (prefix, *combined)):
+                    column.append(np.asarray(values))
+            prefixes, keys, first, second = (np.concatenate(p) if p else np.zeros(0) for p in parts)
+            combined = pa.StructArray.from_arrays([pa.array(keys.astype(np.uint64).view(np.int64)), pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32))], names=["key", "first", "second"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()), lists(parts[0], pa.array(prefixes.astype(np.uint64).view(np.int64))), pa.array(singles, pa.int32()), lists(parts[1], combined)],
+                names=["id", "n", "node", "prefix", "singles", "combined"])
 
-    return docs.mapInArrow(index, f"id {id_type}, n int, node long, keys array<struct<key:long,first:int,second:int>>")
+    return docs.mapInArrow(index, f"id {id_type}, n int, node long, prefix array<long>, singles int, combined array<struct<key:long,first:int,second:int>>")
 
 
 def _live(batches: Iterator) -> Iterator:
     """Entries of keys that two sets or more share, each with its key's pivot, from entries sorted by
-    (key, first, second, n, node): the pivot is a key's first entry, the set with the fewest rarer shingles."""
+    (key, first, second, n, node): the pivot is a key's first entry, the set with the fewest rarer shingles.
+    An entry that repeats the one before it is left out."""
     import numpy as np
     import pyarrow as pa
 
     names = ["key", "first", "second", "n", "node"]
-    pivot, alone = None, None  # of the key that the last batch ended in; its entry, if it has been the only one
+    last, pivot, alone = None, None, None  # the last entry; of the key that the last batch ended in; its entry, if it has been the only one
 
     def out(rows, pivots):
         return pa.RecordBatch.from_arrays([pa.array(c) for c in rows] + [pa.array(c) for c in pivots], names=names + ["p_first", "p_second", "p_n", "p_node"])
@@ -187,7 +191,12 @@ def _live(batches: Iterator) -> Iterator:
         if not batch.num_rows:
             continue
         columns = [batch.column(i).to_numpy() for i in range(5)]
-        key, n = columns[0], batch.num_rows
+        again = np.r_[last == (columns[0][0], columns[4][0]), (columns[0][1:] == columns[0][:-1]) & (columns[4][1:] == columns[4][:-1])]
+        last = (columns[0][-1], columns[4][-1])
+        columns = [c[~again] for c in columns]
+        key, n = columns[0], len(columns[0])
+        if not n:
+            continue
         new = np.r_[True, key[1:] != key[:-1]]
         if pivot is not None and key[0] == pivot[0]:
             new[0] = False
@@ -231,17 +240,33 @@ def _sets(docs: DataFrame, nodes: DataFrame, link: Link) -> DataFrame:
             ids = [xxhash.xxh3_64_intdigest(t.tobytes()) - (1 << 63) for t in found]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))], names=["node", "tokens"])
 
-    rows = docs.select("text", place.cast("int").alias("place")).mapInArrow(again, "node long, tokens array<long>")
-    return rows.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    found = docs.select("text", place.cast("int").alias("place")).mapInArrow(again, "node long, tokens array<long>")
+    return found.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+
+
+def _sides(pairs: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
+    """pairs (a, b) with columns of both nodes, named a_* and b_*."""
+    for side in "ab":
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
+    return pairs
+
+
+def _close(pairs: DataFrame, nodes: DataFrame, link: Link) -> DataFrame:
+    """Pairs whose prefixes leave room for a link: every common shingle is in both prefixes or behind the one
+    that ends first, so there are at most as many as the prefixes share and the longer rest holds."""
+    met = _sides(pairs, nodes, "prefix", "n")
+    rest = F.greatest(*[F.col(f"{s}_n") - F.size(f"{s}_prefix") for s in "ab"])
+    return met.filter(F.size(F.array_intersect("a_prefix", "b_prefix")) + rest >= least_overlap(F.col("a_n"), F.col("b_n"), link)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
-    """Pairs (a, b) of nodes whose sets link."""
-    a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-    common = F.size(F.array_intersect("ta", "tb"))
-    met = pairs.join(a, "a").join(b, "b").select("a", "b", common.alias("common"), (F.size("ta") + F.size("tb")).alias("both"))
-    return met.filter(link.under * F.col("common") >= link.over * (F.col("both") - F.col("common"))).select("a", "b")
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, link: Link) -> DataFrame:
+    """Pairs (a, b) of nodes whose sets link: whole sets are made for those that remain after _close()."""
+    close = materialise(_close(pairs, nodes, link), "join-close")
+    wanted = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
+    sets = materialise(_sets(docs, nodes.select("node", "id").join(wanted, "node", "left_semi"), link), "join-sets")
+    met = _sides(close, sets, "tokens")
+    common, both = F.size(F.array_intersect("a_tokens", "b_tokens")), F.size("a_tokens") + F.size("b_tokens")
+    return materialise(met.filter(link.under * common >= link.over * (both - common)).select("a", "b"), "join-links")
 
 
 def _can_link(x: str, y: str, link: Link) -> Column:
@@ -277,17 +302,18 @@ def ngram_join(docs: DataFrame, link: Link = Link(), id_col: str = "doc_id", tex
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     indexed = materialise(_indexed(rows, _frequent_map(rows, link), link), "join-index")
-    nodes = indexed.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("id"), F.first("keys").alias("keys"))
-    entries = nodes.select("node", "n", F.explode("keys").alias("e")).select("e.key", "e.first", "e.second", "n", "node")
+    with_words = indexed.filter("n > 0")
+    one = with_words.groupBy("node").agg(F.min("id").alias("id"))
+    nodes = materialise(with_words.join(one, (with_words["node"] == one["node"]) & with_words["id"].eqNullSafe(one["id"]), "left_semi").dropDuplicates(["node"]), "join-nodes")
+    single = F.transform(F.slice("prefix", 1, F.col("singles")), lambda key, at: F.struct(key.alias("key"), (at + 1).alias("first"), F.lit(0).alias("second")))
+    entries = nodes.select("node", "n", F.explode(F.concat(single, "combined")).alias("e")).select("e.key", "e.first", "e.second", "n", "node")
     sorted_entries = entries.repartition("key").sortWithinPartitions("key", "first", "second", "n", "node")
     kinds = "key long, first int, second int, n int, node long"
     live = materialise(sorted_entries.mapInArrow(_live, f"{kinds}, p_first int, p_second int, p_n int, p_node long"), "join-entries")
-    wanted = live.select("node").distinct().join(indexed.filter("n > 0").groupBy("node").agg(F.min("id").alias("id")), "node")
-    sets = materialise(_sets(rows, wanted, link), "join-sets")
     mine = live.select("key", *[F.col(c).alias(f"x_{c}") for c in ("first", "second", "n", "node")], *[F.col(f"p_{c}") for c in ("first", "second", "n", "node")])
     starred = mine.filter((F.col("x_node") != F.col("p_node")) & _can_link("x_", "p_", link)).select(*_pairs("x_", "p_")).distinct()
     starred = materialise(starred, "join-pairs")
-    links = materialise(_verified(starred, sets, link), "join-links")
+    links = _verified(starred, rows, nodes, link)
     labels = connected_components(links)
     placed = live.select("key", "first", "second", "n", "node").join(labels, "node", "left")
     placed = materialise(placed.withColumn("label", F.coalesce("label", "node")), "join-placed")
@@ -301,10 +327,10 @@ def ngram_join(docs: DataFrame, link: Link = Link(), id_col: str = "doc_id", tex
     members = {s: open_entries.select("key", *[F.col(c).alias(f"{s}{c}") for c in [*kinds_of[1:], "node"]]) for s in ("x_", "y_")}
     left = meet.join(members["x_"], ["key", *[f"x_{c}" for c in kinds_of[1:]]]).join(members["y_"], ["key", *[f"y_{c}" for c in kinds_of[1:]]])
     rest = left.select(*_pairs("x_", "y_")).distinct().join(starred, ["a", "b"], "left_anti")
-    more = materialise(_verified(rest, sets, link), "join-links")
+    more = _verified(rest, rows, nodes, link)
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more))
-    named = indexed.filter("n > 0").groupBy("node").agg(F.min("id").alias("id")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = nodes.select("node", "id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("id").alias("component_id"))
     of_node = named.join(smallest, "label").select("node", "component_id")
     joined = indexed.select("id", "n", "node").join(of_node, "node", "left")
