@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import materialise, text_bytes, windows, word_hashes
 from .components import connected_components
 
-#: A shingle is frequent if it is met in so many documents' lowest quarters by hash.
-FREQUENT = 32
+#: A shingle is frequent if so many documents have it, as far as a task's documents repeat it.
+FREQUENT = 8
 #: Bits of the map of frequent shingles; at most a sixteenth of them is set, for the most frequent ones.
-MAP_BITS = 24
+MAP_BITS = 25
 #: Sets with prefixes of at most so many places index pairs of frequent shingles, larger sets single ones.
 COMBINED_PLACES = 25
 #: Bits of the map of documents whose sets are compared.
@@ -75,8 +75,8 @@ def _map_place(tokens):
 def _frequent_map(docs: DataFrame, link: Link):
     """Bits of frequent shingles, as bytes: they come last in the order of all shingles.
 
-    Counts are over all documents, of the shingles that an order by hash could put into a prefix. The map
-    has a fixed size; a bit set for another shingle, or not set, changes the order for all sets alike.
+    Counts are over all documents; a task sends those of shingles that it has met twice. The map has a fixed
+    size; a bit set for another shingle, or not set, changes the order for all sets alike.
     """
     import numpy as np
 
@@ -93,8 +93,7 @@ def _frequent_map(docs: DataFrame, link: Link):
 
         for batch in batches:
             for data in text_bytes(batch):
-                tokens = shingles(data, link.words)
-                held.append(tokens[: 5 * prefix_length(len(tokens), link) // 2 + 2])
+                held.append(shingles(data, link.words))
                 size += len(held[-1])
                 if size > 4_000_000:
                     size = 0
@@ -122,7 +121,8 @@ def index_keys(tokens, frequent, link: Link):
     import numpy as np
 
     n, plain = len(tokens), prefix_length(len(tokens), link)
-    often = frequent[_map_place(tokens)]
+    places = _map_place(tokens)
+    often = (frequent[places >> 3] >> (7 - (places & 7)).astype(np.uint8) & 1).astype(bool)
     prefix = np.concatenate([tokens[~often], tokens[often]])[: plain + 1]
     n_rare = int((~often).sum())
     singles, none = min(n_rare, plain), np.zeros(0, np.int64)
@@ -130,9 +130,9 @@ def index_keys(tokens, frequent, link: Link):
     if n_rare < len(prefix):
         # a set of at most link.combined shingles links with none larger than this
         if n <= link.combined * link.under // link.over:
-            hot, places = prefix[n_rare:], np.arange(n_rare + 1, len(prefix) + 1)
+            hot, at = prefix[n_rare:], np.arange(n_rare + 1, len(prefix) + 1)
             i, j = np.triu_indices(len(hot), 1)
-            keys, first, second = _mix(hot[i]) * np.uint64(3) + hot[j], places[i], places[j]
+            keys, first, second = _mix(hot[i]) * np.uint64(3) + hot[j], at[i], at[j]
         if n >= link.combined * link.over // link.under or len(prefix) < plain + 1 or n == 1:
             singles = min(len(prefix), plain)
     return prefix, singles, keys, first, second
@@ -148,7 +148,7 @@ def _indexed(docs: DataFrame, frequent: bytes, link: Link) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
-        bits = np.unpackbits(np.frombuffer(sent.value, np.uint8)).astype(bool)
+        bits = np.frombuffer(sent.value, np.uint8)
 
         def lists(arrays, values):
             offsets = np.zeros(len(arrays) + 1, np.int32)
