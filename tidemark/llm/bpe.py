@@ -6,15 +6,18 @@ import base64
 import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 from pyspark.sql import DataFrame, functions as F
 
 #: Entries that a worker's caches of encoded chunks and pieces hold before they start anew.
-CACHE_ENTRIES = 1 << 19
-#: Longer chunks and pieces are encoded each time.
+CACHE_ENTRIES = 1 << 20
+#: Longer chunks are encoded each time.
 CACHE_CHARS = 64
+#: Characters that often end a word.
+PUNCTUATION = (".", ",", ";", ":", "!", "?")
 #: Characters of the texts that a worker encodes together.
-GROUP_CHARS = 1 << 21
+GROUP_CHARS = 1 << 20
 
 
 class RankQueue:
@@ -167,11 +170,11 @@ class Merger:
 class TextEncoder:
     """Whole texts to ids as little-endian unsigned 32-bit integers.
 
-    A text is what its pattern's matches encode to, one after the other. Between two characters that
-    aren't white space no match goes across a single space except from that space on, so texts without
-    double spaces are cut there first: the chunks repeat far more than they differ, and a chunk that a
-    worker has met is one look-up. Other texts are cut by the pattern alone. encode_pieces gets the pieces
-    that are new in a group of texts together.
+    A text is what its pattern's matches encode to, one after the other. Where no white space comes in runs,
+    no match goes across a single space or line feed except from there on, so such texts are cut there
+    first: the chunks repeat far more than they differ, and a chunk that a worker has met is one look-up.
+    Other texts are cut by the pattern alone. encode_pieces gets the pieces that are new in a group of texts
+    together.
     """
 
     def __init__(self, encode_pieces: Callable[[list[str]], list[list[int]]], pattern: str):
@@ -179,28 +182,39 @@ class TextEncoder:
 
         # regex counts \x1c-\x1f as white space, Unicode's property (which the reference libraries use) doesn't
         self.find = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")).findall
+        # a run of letters is one match with the space before it, and punctuation after it another
+        self.letters_whole = r" ?\p{L}+" in pattern and r" ?[^\s\p{L}\p{N}]+" in pattern
         self.encode_pieces = encode_pieces
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-
-    def _learn(self, chunks: dict[str, list[str]]) -> None:
-        """Encode the pieces that are new and put the chunks together."""
+        self.after_space: dict[str, bytes] = {}  # chunks, and pieces without their first space
+        self.bare: dict[str, bytes] = {}  # other pieces
+
+    def _cut(self, chunk: str) -> list[str]:
+        """The pattern's matches in a chunk, which a space comes before unless it begins with a line feed."""
+        if chunk[:1] == "\n":
+            return self.find(chunk)
+        if self.letters_whole:
+            if chunk.isalpha():
+                return [" " + chunk]
+            if chunk[-1:] in PUNCTUATION and chunk[:-1].isalpha():
+                return [" " + chunk[:-1], chunk[-1]]
+        return self.find(" " + chunk)
+
+    def _pieces(self, cut: list[list[str]]) -> list[bytes]:
+        """Each list of pieces encoded; pieces that are new are encoded together and remembered."""
         import numpy as np
 
-        if len(self.chunks) + len(chunks) > CACHE_ENTRIES:
-            self.chunks.clear()
-        new = set().union(*chunks.values()).difference(self.pieces)
-        if len(self.pieces) + len(new) > CACHE_ENTRIES:
-            self.pieces.clear()
-            new = set().union(*chunks.values())
-        ordered = list(new)
-        self.pieces.update(zip(ordered, (np.array(ids, "<u4").tobytes() for ids in self.encode_pieces(ordered))))
-        get = self.pieces.__getitem__
-        for chunk, pieces in chunks.items():
-            self.chunks[chunk] = get(pieces[0]) if len(pieces) == 1 else b"".join(map(get, pieces))
-        for piece in ordered:
-            if len(piece) > CACHE_CHARS:
-                del self.pieces[piece]
+        spaced, bare = self.after_space, self.bare
+        new = [*{p for pieces in cut for p in pieces if (p[1:] not in spaced if p[0] == " " and p[:2] != " \n" else p not in bare)}]
+        coded = self.encode_pieces(new)
+        flat, at = np.fromiter(chain.from_iterable(coded), "<u4").tobytes(), 0
+        for piece, ids in zip(new, coded):
+            value = flat[at : at + 4 * len(ids)]
+            at += 4 * len(ids)
+            if piece[0] == " " and piece[:2] != " \n":
+                spaced[piece[1:]] = value
+            else:
+                bare[piece] = value
+        return [b"".join([spaced[p[1:]] if p[0] == " " and p[:2] != " \n" else bare[p] for p in pieces]) for pieces in cut]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
@@ -214,23 +228,32 @@ class TextEncoder:
         return out + self._encode(group)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        split = []
+        for cache in (self.after_space, self.bare):
+            if len(cache) > CACHE_ENTRIES:
+                cache.clear()
+        heads, rests = [], []  # what no space or line feed comes before; the chunks that follow
         for text in texts:
-            if "  " in text or text[-1:] == " ":
-                split.append(self.find(text))  # whole pieces, which are chunks of their own
+            marked = text.replace("\n", " \n")
+            if "  " in marked or "\n\n" in text or text[-1:].isspace():
+                heads.append(self.find(text))
+                rests.append([])
             else:
-                chunks = text.split(" ")
-                split.append([chunks[0], *(" " + c for c in chunks[1:])] if text else [])
-        new = set().union(*split).difference(self.chunks)
-        if len(self.chunks) + len(new) > CACHE_ENTRIES:
-            self.chunks.clear()
-            new = set().union(*split)
-        if new:
-            self._learn({chunk: self.find(chunk) for chunk in new})
-        coded = [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in split]
-        for chunk in new:
-            if len(chunk) > CACHE_CHARS:
-                del self.chunks[chunk]
+                first, *rest = marked.split(" ")
+                heads.append(self.find(first))
+                rests.append(rest)
+        get = self.after_space.get
+        found = [list(map(get, rest)) for rest in rests]
+        new = [*{chunk for rest, values in zip(rests, found) for chunk, value in zip(rest, values) if value is None}]
+        learned = dict(zip(new, self._pieces([self._cut(chunk) for chunk in new])))
+        for rest, values in zip(rests, found):
+            if None in values:
+                for i, value in enumerate(values):
+                    if value is None:
+                        values[i] = learned[rest[i]]
+        self.after_space.update(learned)
+        coded = [head + b"".join(values) for head, values in zip(self._pieces(heads), found)]
+        for chunk in [c for c in new if len(c) > CACHE_CHARS]:
+            del self.after_space[chunk]
         return coded
 
 

@@ -71,8 +71,8 @@ class Segment:
 
         words = np.frombuffer(index, "<u4")
         self.n, self.n_buckets = int(words[0]), int(words[1])
-        self.displacements = words[2 : 2 + self.n_buckets]
-        self.slots = words[2 + self.n_buckets :].reshape(3, self.n)
+        self.displacements = words[2 : 2 + self.n_buckets].tolist()
+        self.slots = list(zip(*words[2 + self.n_buckets :].reshape(3, self.n).tolist()))
         self.payload = payload
 
     def find(self, key: int) -> tuple[int, int] | None:
@@ -80,8 +80,8 @@ class Segment:
         if not self.n:
             return None
         hashed = _mix(key & _MASK)
-        slot = _place(hashed, int(self.displacements[(hashed >> 32) % self.n_buckets]), self.n)
-        fingerprint, offset, length = (int(x) for x in self.slots[:, slot])
+        slot = _place(hashed, self.displacements[(hashed >> 32) % self.n_buckets], self.n)
+        fingerprint, offset, length = self.slots[slot]
         return (offset, length) if fingerprint == hashed & 0xFFFFFFFF else None
 
     def ids(self, key: int) -> bytes | None:
@@ -98,7 +98,22 @@ def _library_encoder(path: str, pattern: str) -> TextEncoder:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return TextEncoder(lambda pieces: [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)], pattern)
+    # byte-level models spell bytes as characters; the library's own pre-tokenizer tells which
+    spelled = {bytes([b]).decode("latin-1"): _spelling(b) for b in range(256)}
+    table, model = str.maketrans(spelled), tokenizer.model.tokenize
+
+    def pieces(texts: list[str]) -> list[list[int]]:
+        return [[token.id for token in model(text.encode().decode("latin-1").translate(table))] for text in texts]
+
+    return TextEncoder(pieces, pattern)
+
+
+def _spelling(byte: int) -> str:
+    """The character that a byte-level model writes for a byte: itself where printable, else the next from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    if byte in printable:
+        return chr(byte)
+    return chr(256 + sum(b not in printable for b in range(byte)))
 
 
 SEGMENT_SCHEMA = ("part int, segment int, before long, n_docs int, n_ids long, first_key long, last_key long, "
