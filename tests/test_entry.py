@@ -2,8 +2,6 @@ import importlib
 import importlib.util
 import sys
 
-import duckdb  # noqa: F401
-
 
 def test_entry_and_names(spark):
     import __spark_entry__ as entry

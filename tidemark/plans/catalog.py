@@ -91,12 +91,12 @@ def table_equal(spark, sf_dir):
     return table_difference(bars, bars.filter(F.pmod("close", F.lit(10)) != 0))
 
 
-@query("G5_partition_gap", with_views("bars", sql="""with need as (select d, b from (select distinct t // 86400000 as d from bars) cross join (select distinct k % 8 as b from bars)), have as (select distinct t // 86400000 as d, k % 8 as b from bars where k < 20)
-  select need.d, need.b from need anti join have on need.d = have.d and need.b = have.b"""))
+@query("G5_partition_gap", with_views("bars", sql="""with need as (select d, k from (select distinct t // 86400000 as d from bars) cross join (select distinct k from bars)), have as (select distinct t // 86400000 as d, k from bars)
+  select need.d, need.k from need anti join have on need.d = have.d and need.k = have.k"""))
 def partition_gap(spark, sf_dir):
-    bars = views.minute_bars(spark, sf_dir).select(F.floor(F.col("t") / DAY).alias("d"), F.pmod("k", F.lit(8)).alias("b"), "k")
-    need = bars.select("d").distinct().crossJoin(bars.select("b").distinct())  # days by buckets: what is required
-    return ops.partition_gap(need, bars.filter("k < 20"), "d", "b")
+    bars = views.minute_bars(spark, sf_dir).select(F.floor(F.col("t") / DAY).alias("d"), "k").distinct()
+    need = bars.select("k").distinct().crossJoin(bars.select("d").distinct())  # what is required: each instrument on each day
+    return ops.partition_gap(need, bars, "d", "k")
 
 
 MONTHLY = "monthly as (select distinct kind, (t // 259200000) as month, k from ticks)"
@@ -117,12 +117,12 @@ def topology(spark, sf_dir):
     return found.select("kind", "month", F.size("instruments").cast("long").alias("n"), F.array_join(F.transform("instruments", lambda x: x.cast("string")), ",").alias("instruments"))
 
 
-@query("E21_topology_segments", with_views("ticks", sql="""with m as (select kind, t // 259200000 as month, array_agg(distinct k % 3 order by k % 3) as s from ticks where k < 4 group by 1, 2),
+@query("E21_topology_segments", with_views("ticks", sql="""with m as (select kind, t // 259200000 as month, array_agg(distinct k % 40 order by k % 40) as s from ticks group by 1, 2),
   l as (select *, coalesce(month = lag(month) over w + 1 and s = lag(s) over w, false) as same from m window w as (partition by kind order by month)),
   n as (select *, sum(case when same then 0 else 1 end) over (partition by kind order by month) as segment from l)
   select kind, segment::bigint as segment, min(month) as first_month, max(month) as last_month, count(*) as months, first(len(s)) as instruments from n group by kind, segment"""))
 def segments(spark, sf_dir):
-    rows = _monthly(spark, sf_dir).filter("k < 4").withColumn("k", F.pmod("k", F.lit(3)))
+    rows = _monthly(spark, sf_dir).withColumn("k", F.pmod("k", F.lit(40)))  # groups of instruments, so that sets repeat
     return ops.topology_segments(ops.topology(rows)).withColumn("instruments", F.col("instruments").cast("long"))
 
 

@@ -63,13 +63,13 @@ def build_registry(spark, sf_dir):
     return pages.build_registry(pages.inventory_rows(inventory_pages(spark, sf_dir))).drop("tick", "min_quantity")
 
 
-@query("A7_archive_date_coverage", with_views("ticks", sql="""with f as (select distinct 'S' || k as symbol, date '1970-01-01' + (t // 86400000)::int as day from ticks where k % 2 = 0)
+@query("A7_archive_date_coverage", with_views("ticks", sql="""with f as (select distinct 'S' || k as symbol, date '1970-01-01' + (t // 86400000)::int as day from ticks)
   select symbol, min(day) as first_day, max(day) as last_day, count(*) as files, (max(day) - min(day) + 1) - count(*) as missing from f group by symbol"""))
 def archive_dates(spark, sf_dir):
     from tidemark.functions.times import utc_date
 
     link = F.concat(F.lit('<a href="S'), F.col("k").cast("string"), utc_date(F.col("t")).cast("string"), F.lit('.csv.gz">x</a>'))
-    listing = views.ticks(spark, sf_dir).filter(F.pmod("k", F.lit(2)) == 0).select("k", link.alias("a")).groupBy("k").agg(F.array_join(F.collect_set("a"), "\n").alias("html"))
+    listing = views.ticks(spark, sf_dir).select("k", link.alias("a")).groupBy("k").agg(F.array_join(F.collect_set("a"), "\n").alias("html"))
     return pages.archive_dates(listing)
 
 
