@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import language_id, lm_scoring
-from tidemark.llm.chat_format import format_preferences, render
+from tidemark.llm.chat_format import format_preferences
 from tidemark.llm.components import connected_components
 from tidemark.llm.exact_dedup import exact_dedup, exact_dedup_rows
 from tidemark.llm.mixing import mix_report, mix_rows
@@ -344,4 +344,3 @@ def test_preferences_by_hand(spark):
     assert (got[15].chosen, got[15].rejected) == (None, None)
     assert format_preferences(conversations, pairs).count() == 7
     assert format_preferences(conversations.limit(0), pairs.limit(0)).count() == 0
-    assert render is not None

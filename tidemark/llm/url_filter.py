@@ -62,11 +62,13 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     """
     named = pages.select(F.col(id_col), F.col(url_col).alias("__url"))
     ready = prepare_rules(rules)
-    shapes = ready.agg(F.collect_set(F.struct("labels", "path_length")).alias("shapes"))
+    shapes = [F.struct(F.lit(s["labels"]).alias("labels"), F.lit(s["path_length"]).alias("path_length"))
+              for s in ready.select("labels", "path_length").distinct().orderBy("labels", "path_length").collect()]  # a row for each shape
+    if not shapes:
+        shapes = [F.struct(F.lit(-1).alias("labels"), F.lit(-1).alias("path_length"))]  # no rules: a shape that no rule has
     parts = named.select("__url").filter(F.col("__url").isNotNull()).distinct()
     parts = parts.select("__url", url_host(F.col("__url")).alias("host"), url_path(F.col("__url")).alias("path"))
-    shaped = parts.filter(F.length("host") > 0).crossJoin(shapes)  # one row
-    shaped = shaped.withColumn("host_labels", F.split("host", r"\.", -1)).withColumn("shape", F.explode("shapes"))
+    shaped = parts.filter(F.length("host") > 0).withColumn("host_labels", F.split("host", r"\.", -1)).withColumn("shape", F.explode(F.array(*shapes)))
     fits = (F.col("shape.labels") <= F.size("host_labels")) & (F.col("shape.path_length") <= F.length("path"))
     suffix = F.expr("substring_index(host, '.', -shape.labels)")
     expressions = shaped.filter(fits).select(
