@@ -11,13 +11,15 @@ from itertools import chain
 from pyspark.sql import DataFrame, functions as F
 
 #: Entries that a worker's caches of encoded chunks and pieces hold before they start anew.
-CACHE_ENTRIES = 1 << 20
+CACHE_ENTRIES = 1 << 19
 #: Longer chunks are encoded each time.
 CACHE_CHARS = 64
 #: Characters that often end a word.
-PUNCTUATION = (".", ",", ";", ":", "!", "?")
-#: Characters of the texts that a worker encodes together.
-GROUP_CHARS = 1 << 20
+PUNCTUATION = ".,;:!?#$%&*|"
+#: Bytes of the texts that a worker encodes together, about; a longer text is a group of its own.
+GROUP_BYTES = 1 << 23
+#: Pieces that one queue merges.
+MERGED_PIECES = 1 << 14
 
 
 class RankQueue:
@@ -186,17 +188,21 @@ class TextEncoder:
         self.letters_whole = r" ?\p{L}+" in pattern and r" ?[^\s\p{L}\p{N}]+" in pattern
         self.encode_pieces = encode_pieces
         self.after_space: dict[str, bytes] = {}  # chunks, and pieces without their first space
+        self.older: dict[str, bytes] = {}  # the generation before
         self.bare: dict[str, bytes] = {}  # other pieces
 
     def _cut(self, chunk: str) -> list[str]:
         """The pattern's matches in a chunk, which a space comes before unless it begins with a line feed."""
         if chunk[:1] == "\n":
+            if self.letters_whole and chunk[1:].isalpha():
+                return ["\n", chunk[1:]]
             return self.find(chunk)
         if self.letters_whole:
             if chunk.isalpha():
                 return [" " + chunk]
-            if chunk[-1:] in PUNCTUATION and chunk[:-1].isalpha():
-                return [" " + chunk[:-1], chunk[-1]]
+            letters = chunk.rstrip(PUNCTUATION)
+            if letters.isalpha():
+                return [" " + letters, chunk[len(letters) :]]
         return self.find(" " + chunk)
 
     def _pieces(self, cut: list[list[str]]) -> list[bytes]:
@@ -204,57 +210,82 @@ class TextEncoder:
         import numpy as np
 
         spaced, bare = self.after_space, self.bare
-        new = [*{p for pieces in cut for p in pieces if (p[1:] not in spaced if p[0] == " " and p[:2] != " \n" else p not in bare)}]
-        coded = self.encode_pieces(new)
-        flat, at = np.fromiter(chain.from_iterable(coded), "<u4").tobytes(), 0
-        for piece, ids in zip(new, coded):
-            value = flat[at : at + 4 * len(ids)]
-            at += 4 * len(ids)
-            if piece[0] == " " and piece[:2] != " \n":
-                spaced[piece[1:]] = value
-            else:
-                bare[piece] = value
+        every = [*{p for pieces in cut for p in pieces if (p[1:] not in spaced if p[0] == " " and p[:2] != " \n" else p not in bare)}]
+        for begin in range(0, len(every), MERGED_PIECES):
+            new = every[begin : begin + MERGED_PIECES]
+            coded = self.encode_pieces(new)
+            flat, at = np.fromiter(chain.from_iterable(coded), "<u4").tobytes(), 0
+            for piece, ids in zip(new, coded):
+                value = flat[at : at + 4 * len(ids)]
+                at += 4 * len(ids)
+                if piece[0] == " " and piece[:2] != " \n":
+                    spaced[piece[1:]] = value
+                else:
+                    bare[piece] = value
         return [b"".join([spaced[p[1:]] if p[0] == " " and p[:2] != " \n" else bare[p] for p in pieces]) for pieces in cut]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        out: list[bytes] = []
-        group, chars = [], 0
-        for text in texts:
-            group.append(text or "")
-            chars += len(group[-1])
-            if chars > GROUP_CHARS:
-                out += self._encode(group)
-                group, chars = [], 0
-        return out + self._encode(group)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        for cache in (self.after_space, self.bare):
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
-        heads, rests = [], []  # what no space or line feed comes before; the chunks that follow
-        for text in texts:
-            marked = text.replace("\n", " \n")
-            if "  " in marked or "\n\n" in text or text[-1:].isspace():
-                heads.append(self.find(text))
-                rests.append([])
-            else:
-                first, *rest = marked.split(" ")
-                heads.append(self.find(first))
-                rests.append(rest)
-        get = self.after_space.get
-        found = [list(map(get, rest)) for rest in rests]
-        new = [*{chunk for rest, values in zip(rests, found) for chunk, value in zip(rest, values) if value is None}]
-        learned = dict(zip(new, self._pieces([self._cut(chunk) for chunk in new])))
-        for rest, values in zip(rests, found):
-            if None in values:
-                for i, value in enumerate(values):
-                    if value is None:
-                        values[i] = learned[rest[i]]
-        self.after_space.update(learned)
-        coded = [head + b"".join(values) for head, values in zip(self._pieces(heads), found)]
-        for chunk in [c for c in new if len(c) > CACHE_CHARS]:
-            del self.after_space[chunk]
-        return coded
+    def encode(self, texts) -> list[bytes]:
+        """Each text of a list or an Arrow array; nulls have no ids."""
+        return [coded for _, group in self.groups(texts) for coded in group]
+
+    def groups(self, texts) -> Iterator[tuple[int, list[bytes]]]:
+        """encode() in groups of about GROUP_BYTES, with the place of each group's first text."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        texts = pc.fill_null(texts, "")
+        groups = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // GROUP_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
+        for begin, end in zip(cuts, cuts[1:]):
+            yield begin, self._encode(texts.slice(begin, end - begin))
+
+    def _encode(self, texts) -> list[bytes]:
+        import numpy as np
+        import pyarrow.compute as pc
+
+        if len(self.after_space) > CACHE_ENTRIES // 2:  # what isn't met again while this fills anew is forgotten
+            self.older, self.after_space = self.after_space, {}
+        if len(self.bare) > CACHE_ENTRIES // 2:
+            self.bare.clear()
+        marked = pc.replace_substring(texts, "\n", " \n")
+        in_runs = pc.or_(pc.match_substring(marked, "  "), pc.match_substring(texts, "\n\n")).to_numpy(zero_copy_only=False)
+        in_runs |= np.array([last.isspace() for last in pc.utf8_slice_codeunits(texts, -1).to_pylist()], bool)
+        split = pc.split_pattern(pc.if_else(in_runs, "", marked), " ")
+        offsets = split.offsets.to_numpy()
+        words = split.values.slice(offsets[0], offsets[-1] - offsets[0])
+        offsets = offsets - offsets[0]
+        # what no space or line feed comes before: the first chunk, or a text whose white space is in runs
+        firsts = words.take(offsets[:-1]).to_pylist()
+        heads = [self.find(first) for first in firsts]
+        for i in np.flatnonzero(in_runs).tolist():
+            heads[i] = self.find(texts[i].as_py())
+        heads = self._pieces(heads)
+        # the other chunks: each distinct one is looked up, or encoded, once
+        coded = words.dictionary_encode()
+        distinct, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        values, older = list(map(self.after_space.get, distinct)), self.older.get
+        new = []
+        for i in [i for i, value in enumerate(values) if value is None]:
+            if (value := older(distinct[i])) is not None:
+                values[i] = self.after_space[distinct[i]] = value
+            elif distinct[i]:
+                new.append(i)
+        for i, value in zip(new, self._pieces([self._cut(distinct[i]) for i in new])):
+            values[i] = value
+            if len(distinct[i]) <= CACHE_CHARS:
+                self.after_space[distinct[i]] = value
+        values = [value or b"" for value in values]
+        ids, sizes = np.frombuffer(b"".join(values), "<u4"), np.fromiter(map(len, values), np.int64, len(values)) // 4
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[which]
+        lengths[offsets[:-1]] = 0  # those are in heads
+        ends = np.cumsum(lengths)
+        places = np.repeat(starts[which] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        flat, bounds = ids[places].tobytes(), np.r_[0, ends][offsets] * 4
+        return [head + flat[begin:end] for head, begin, end in zip(heads, bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -282,6 +313,16 @@ def decode_ids(ids, path: str, pattern: str) -> bytes:
     return b"".join(map(_coder(path, pattern)[1].__getitem__, ids))
 
 
+def _id_lists(coded: list[bytes]):
+    """Ids of several texts as an Arrow list array."""
+    import numpy as np
+    import pyarrow as pa
+
+    offsets = np.zeros(len(coded) + 1, np.int32)
+    np.cumsum([len(x) // 4 for x in coded], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")))
+
+
 def _schema(df: DataFrame, *more: str) -> str:
     return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), *more])
 
@@ -297,17 +338,13 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text")
     rows = docs.drop("ids")
 
     def encode(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         coder, _ = _coder(path, pattern)
         for batch in batches:
-            at = batch.schema.get_field_index(text_col)
-            coded = coder.encode(batch.column(at).to_pylist())
-            offsets = np.zeros(len(coded) + 1, np.int32)
-            np.cumsum([len(x) // 4 for x in coded], out=offsets[1:])
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "ids"])
+            for begin, coded in coder.groups(batch.column(batch.schema.get_field_index(text_col))):
+                part = batch.slice(begin, len(coded))
+                yield pa.RecordBatch.from_arrays([*part.columns, _id_lists(coded)], names=[*batch.schema.names, "ids"])
 
     return rows.mapInArrow(encode, _schema(rows, "ids array<int>"))
 
@@ -343,20 +380,18 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
 
         coder, table = _coder(path, pattern)
         for batch in batches:
-            counts, coded_digests, decoded_digests, kept = [], [], [], []
-            for coded in coder.encode(batch.column(1).to_pylist()):
-                ids = np.frombuffer(coded, "<u4")
-                decoded = b"".join(map(table.__getitem__, ids.tolist()))
-                counts.append(len(ids))
-                coded_digests.append(hashlib.sha256(coded).hexdigest())
-                decoded_digests.append(hashlib.sha256(decoded).hexdigest())
+            for begin, group in coder.groups(batch.column(1)):
+                counts, coded_digests, decoded_digests = [], [], []
+                for coded in group:
+                    ids = np.frombuffer(coded, "<u4").tolist()
+                    counts.append(len(ids))
+                    coded_digests.append(hashlib.sha256(coded).hexdigest())
+                    decoded_digests.append(hashlib.sha256(b"".join(map(table.__getitem__, ids))).hexdigest())
+                columns = [batch.column(0).slice(begin, len(group)), pa.array(counts, pa.int64()), pa.array(coded_digests, pa.string()), pa.array(decoded_digests, pa.string())]
+                names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
-                    kept.append(ids.astype("<i4"))
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(coded_digests, pa.string()), pa.array(decoded_digests, pa.string())]
-            names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                columns.append(pa.array(kept, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                    columns.append(_id_lists(group))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.mapInArrow(work, f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.sources.shared import shared_folder
+
 #: The bytes that part words, as a Java regular-expression class.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Hashes of words that a worker remembers.
@@ -17,18 +18,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode a folder of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not getattr(spark, "_tidemark_folder", None):
-        spark._tidemark_folder = tempfile.mkdtemp(prefix="spark-")
-    return spark._tidemark_folder
-
-
 def materialise(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write df as Parquet into the shared folder and read it back.
 

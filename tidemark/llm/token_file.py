@@ -9,8 +9,9 @@ from functools import lru_cache
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tidemark.sources.shared import shared_folder
+
 from .bpe import TextEncoder
-from .common import shared_folder
 
 #: Ids after which a segment ends; a longer document has a segment of its own.
 SEGMENT_IDS = 1 << 16
@@ -160,14 +161,16 @@ def write_tokens(docs: DataFrame, folder: str, path: str, pattern: str, end_id:
             return pa.RecordBatch.from_pydict(dict(zip(kinds.names, ([x] for x in row))), schema=kinds)
 
         for batch in batches:
-            for key, coded in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist())):
-                coded += end
-                if keys and held + len(coded) // 4 > SEGMENT_IDS:
-                    yield close()
-                keys.append(key)
-                lengths.append(len(coded) // 4)
-                parts.append(coded)
-                held += len(coded) // 4
+            ids = batch.column(0).to_pylist()
+            for begin, group in coder.groups(batch.column(1)):
+                for key, coded in zip(ids[begin:], group):
+                    coded += end
+                    if keys and held + len(coded) // 4 > SEGMENT_IDS:
+                        yield close()
+                    keys.append(key)
+                    lengths.append(len(coded) // 4)
+                    parts.append(coded)
+                    held += len(coded) // 4
         if keys:
             yield close()
 
