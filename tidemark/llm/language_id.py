@@ -13,9 +13,11 @@ from .common import text_bytes
 #: Added to each piece's expected count in each language.
 SMOOTHING = 0.1
 #: Words that a worker remembers the scores of, and documents that it looks up at once.
-CACHE_WORDS, GROUP_DOCS = 1 << 18, 128
-#: Longer words are scored one by one and not remembered.
+CACHE_WORDS, GROUP_DOCS = 1 << 20, 256
+#: Longer words are scored one by one.
 LONG_WORD = 48
+#: Training rows of each language, about: more are thinned out by a hash of their ids.
+ROWS_PER_LANGUAGE = 1500
 #: The mark of a word's begin in the vocabulary.
 MARK = "▁"
 
@@ -31,76 +33,112 @@ def _vocabulary(path: str) -> tuple[dict[str, int], int]:
     return {piece: i for i, piece in enumerate(plain)}, max(map(len, plain), default=1)
 
 
-class Lattice:
-    """All segmentations of a batch of words: edges (word, from, to, piece).
+_FACTOR = 0x9E3779B97F4A7C15
+#: Slots of the piece table, as a power of two.
+_TABLE_BITS = 18
 
-    A character that is no piece gets an edge of the piece `unknown`, so every word has a segmentation.
+
+@lru_cache(maxsize=2)
+def _piece_table(path: str):
+    """(hashes, numbers) of the pieces in an open-addressed table; 0 marks a free slot."""
+    import numpy as np
+
+    vocabulary, _ = _vocabulary(path)
+    hashes, numbers = np.zeros(1 << _TABLE_BITS, np.uint64), np.zeros(1 << _TABLE_BITS, np.int64)
+    for piece, number in vocabulary.items():
+        value = 0
+        for char in piece:
+            value = (value * _FACTOR + ord(char) + 1) & (1 << 64) - 1
+        slot = _slot(value)
+        while hashes[slot]:
+            slot = (slot + 1) & (1 << _TABLE_BITS) - 1
+        hashes[slot], numbers[slot] = value, number
+    return hashes, numbers
+
+
+def _slot(value):
+    if isinstance(value, int):
+        return ((value * 0xD6E8FEB86659FD93) & (1 << 64) - 1) >> (64 - _TABLE_BITS)
+    import numpy as np
+
+    return ((value * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+
+
+def _find(values, path: str, missing: int):
+    """Piece numbers of hashes, `missing` for those that are no piece."""
+    import numpy as np
+
+    hashes, numbers = _piece_table(path)
+    slots = _slot(values)
+    held = hashes[slots]
+    out = np.where(held == values, numbers[slots], missing)
+    left = np.flatnonzero((held != values) & (held != 0))
+    while len(left):
+        slots[left] = (slots[left] + 1) & (1 << _TABLE_BITS) - 1
+        held = hashes[slots[left]]
+        hit = held == values[left]
+        out[left[hit]] = numbers[slots[left[hit]]]
+        left = left[~hit & (held != 0)]
+    return out
+
+
+class Words:
+    """Words of one length with all their pieces: pieces[k][:, i] is the piece of k characters from place i on.
+
+    A character that is no piece is the piece `unknown`, so every word has a segmentation; `none` (whose
+    chance is 0) stands where there is no piece.
     """
 
     def __init__(self, words: list[str], path: str):
         import numpy as np
 
         vocabulary, longest = _vocabulary(path)
-        get, unknown = vocabulary.get, len(vocabulary)
-        self.lengths = np.array([len(w) + 1 for w in words], np.int64)
-        node = 0  # nodes are numbered through all words
-        begins, sources, targets, pieces, ends, places = [], [], [], [], [], []
-        for word in words:
-            text = MARK + word
-            n = len(text)
-            for i in range(n):
-                known = False
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    piece = get(text[i:j])
-                    if piece is not None:
-                        known |= j == i + 1
-                        sources.append(node + i)
-                        targets.append(node + j)
-                        pieces.append(piece)
-                        ends.append(j)
-                        places.append(i)
-                if not known:
-                    sources.append(node + i)
-                    targets.append(node + i + 1)
-                    pieces.append(unknown)
-                    ends.append(i + 1)
-                    places.append(i)
-            begins.append(node)
-            node += n + 1
-        self.begins, self.nodes = np.array(begins, np.int64), node
-        self.final = self.begins + self.lengths
-        self.sources, self.targets = np.array(sources, np.int64), np.array(targets, np.int64)
-        self.pieces, self.ends, self.places = np.array(pieces, np.int64), np.array(ends, np.int64), np.array(places, np.int64)
-
-    def _sweep(self, chances, order_by, source, target, start):
-        """Chances of reaching each node from `start`, edge by edge in ascending order_by."""
-        import numpy as np
-
-        reached = np.zeros((self.nodes, chances.shape[1]))
-        reached[start] = 1
-        order = np.argsort(order_by, kind="stable")
-        cuts = np.flatnonzero(np.diff(order_by[order])) + 1
-        for part in np.split(order, cuts):
-            if len(part):
-                by_target = part[np.argsort(target[part], kind="stable")]
-                flow = reached[source[by_target]] * chances[self.pieces[by_target]]
-                heads = np.flatnonzero(np.r_[True, np.diff(target[by_target]) > 0])
-                reached[target[by_target[heads]]] = np.add.reduceat(flow, heads, axis=0)
-        return reached
+        self.unknown, self.none = len(vocabulary), len(vocabulary) + 1
+        codes = np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le"), "<u4").reshape(len(words), -1).astype(np.uint64)
+        self.n, factor = codes.shape[1], np.uint64(_FACTOR)
+        sums = np.zeros((len(words), self.n + 1), np.uint64)
+        for i in range(self.n):
+            sums[:, i + 1] = sums[:, i] * factor + codes[:, i] + np.uint64(1)
+        self.pieces, power = {}, 1
+        for k in range(1, min(self.n, longest) + 1):
+            power = power * _FACTOR & (1 << 64) - 1
+            values = (sums[:, k:] - sums[:, :-k] * np.uint64(power)).ravel()
+            self.pieces[k] = _find(values, path, self.unknown if k == 1 else self.none).reshape(len(words), -1)
 
     def forward(self, chances):
-        """Summed probability of each word's segmentations, for each column of chances."""
-        return self._sweep(chances, self.ends, self.sources, self.targets, self.begins)[self.final]
+        """ahead[j]: summed probability of the segmentations of the first j characters, for each column of chances."""
+        import numpy as np
+
+        ahead = [np.ones((len(self.pieces[1]), chances.shape[1]))]
+        for j in range(1, self.n + 1):
+            ahead.append(sum(ahead[j - k] * chances[self.pieces[k][:, j - k]] for k in range(1, min(j, len(self.pieces)) + 1)))
+        return ahead
 
     def expected(self, chances, weights):
-        """Expected piece counts under `chances` (one column), with a row of weights for each word."""
+        """Expected counts of the pieces under `chances` (one column), with a row of weights for each word."""
         import numpy as np
 
-        ahead = self._sweep(chances, self.ends, self.sources, self.targets, self.begins)[:, 0]
-        back = self._sweep(chances, -self.places, self.targets, self.sources, self.final)[:, 0]
-        word = np.searchsorted(self.begins, self.sources, "right") - 1
-        share = ahead[self.sources] * chances[self.pieces, 0] * back[self.targets] / ahead[self.final][word]
-        return np.stack([np.bincount(self.pieces, share * w[word], len(chances)) for w in weights.T], axis=1)
+        ahead, back = self.forward(chances), {self.n: np.ones((len(weights), 1))}
+        for i in range(self.n - 1, -1, -1):
+            back[i] = sum(back[i + k] * chances[self.pieces[k][:, i]] for k in range(1, min(self.n - i, len(self.pieces)) + 1))
+        total = np.zeros((len(chances), weights.shape[1]))
+        for k, pieces in self.pieces.items():
+            for i in range(pieces.shape[1]):
+                share = (ahead[i] * chances[pieces[:, i]] * back[i + k] / ahead[self.n])[:, 0]
+                used = np.flatnonzero(share)
+                for lang in range(weights.shape[1]):
+                    total[:, lang] += np.bincount(pieces[used, i], share[used] * weights[used, lang], len(chances))
+        return total
+
+
+def _by_length(words: list[str], most: int = 20_000):
+    """Places of words of equal length, in parts of at most `most`."""
+    groups: dict[int, list[int]] = {}
+    for i, word in enumerate(words):
+        groups.setdefault(len(word), []).append(i)
+    for places in groups.values():
+        for at in range(0, len(places), most):
+            yield places[at : at + most]
 
 
 def long_word_logs(word: str, chances, path: str):
@@ -126,50 +164,60 @@ def long_word_logs(word: str, chances, path: str):
     return scale + np.log(np.maximum(recent[-1], 1e-300))
 
 
-def train(docs: DataFrame, path: str, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, piece, n): expected piece counts of the rows with text and language, and their number as piece -1.
+def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = ROWS_PER_LANGUAGE) -> tuple[DataFrame, dict[str, int]]:
+    """About per_language rows of each language, all of smaller ones: those whose hashed ids fall below its share.
+
+    Also the number of rows of each language.
+    """
+    rows = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}  # a row for each language
+    if not sizes:
+        return rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")), sizes
+    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, per_language / n)])[F.col(lang_col)]
+    place = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string")), 11) / float(1 << 53)
+    return rows.filter(place < share).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")), sizes
+
+
+def train(sample: DataFrame, path: str) -> DataFrame:
+    """(lang, piece, n): expected piece counts of rows (lang, text).
 
-    Every word of every row counts: a pass over each partition counts its words for each language, and adds
-    up the pieces that all their segmentations are expected to use when every piece is equally likely. The
-    sums of a language's expected counts, smoothed, are its piece probabilities; documents give the prior.
+    A pass over each partition counts its words for each language, and adds up the pieces that all their
+    segmentations are expected to use when every piece is equally likely.
     """
-    rows = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def count(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        size = len(_vocabulary(path)[0]) + 1
-        even, words, n_docs, totals = np.full((size, 1), 1 / size), {}, Counter(), {}
+        size = len(_vocabulary(path)[0]) + 2
+        even, words, totals = np.full((size, 1), 1 / size), {}, {}
+        even[-1] = 0
 
         def add_up():
             langs = sorted(words)
             every = sorted(set().union(*words.values()))
-            for at in range(0, len(every), 20_000):
-                some = every[at : at + 20_000]
-                text = [w.decode() for w in some]
-                weights = np.array([[words[lang][w] for lang in langs] for w in some], float)
-                sums = Lattice(text, path).expected(even, weights)
+            text = [w.decode() for w in every]
+            for places in _by_length(text):
+                weights = np.array([[words[lang][every[i]] for lang in langs] for i in places], float)
+                sums = Words([text[i] for i in places], path).expected(even, weights)
                 for i, lang in enumerate(langs):
                     totals[lang] = totals.get(lang, 0) + sums[:, i]
             words.clear()
 
         for batch in batches:
             for lang, data in zip(batch.column(0).to_pylist(), text_bytes(batch)):
-                # a long word counts by its parts, so that a lattice stays small
+                # a long word counts by its parts, so that all words here are short
                 words.setdefault(lang, Counter()).update(
                     part for w in data.split() for part in ([w] if len(w) <= LONG_WORD else _cut(w)))
-                n_docs[lang] += 1
             if sum(map(len, words.values())) > CACHE_WORDS:
                 add_up()
         if words:
             add_up()
         for lang, sums in totals.items():
             used = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(used) + 1), pa.string()), pa.array([*used.tolist(), -1], pa.int32()),
-                                              pa.array([*sums[used].tolist(), float(n_docs[lang])], pa.float64())], names=["lang", "piece", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(sums[used])], names=["lang", "piece", "n"])
 
-    return rows.mapInArrow(count, "lang string, piece int, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
+    return sample.mapInArrow(count, "lang string, piece int, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
 
 
 def _cut(word: bytes) -> list[bytes]:
@@ -177,27 +225,26 @@ def _cut(word: bytes) -> list[bytes]:
     return [text[i : i + LONG_WORD].encode() for i in range(0, len(text), LONG_WORD)]
 
 
-def _model(counted: DataFrame, path: str):
-    """(languages, chances, priors): chances is (pieces + 1) x languages."""
+def _model(counted: DataFrame, sizes: dict[str, int], path: str):
+    """(languages, chances, priors): chances is (pieces + 2) x languages, the last two unknown and none."""
     import numpy as np
 
     table = counted.toArrow()  # languages x vocabulary at most
-    langs = sorted(set(table.column("lang").to_pylist()))
+    langs = sorted(sizes)
     place = {lang: i for i, lang in enumerate(langs)}
-    sums, docs = np.zeros((len(_vocabulary(path)[0]) + 1, len(langs))), np.zeros(len(langs))
+    sums = np.zeros((len(_vocabulary(path)[0]) + 2, len(langs)))
     for lang, piece, n in zip(table.column("lang").to_pylist(), table.column("piece").to_pylist(), table.column("n").to_pylist()):
-        if piece < 0:
-            docs[place[lang]] = n
-        else:
-            sums[piece, place[lang]] = round(n, 6)
-    sums += SMOOTHING
-    return langs, sums / sums.sum(axis=0), np.log(np.maximum(docs, 1) / max(1.0, docs.sum()))
+        sums[piece, place[lang]] = round(n, 6)
+    sums[:-1] += SMOOTHING
+    return langs, sums / sums.sum(axis=0), np.log([sizes[lang] / sum(sizes.values()) for lang in langs])
 
 
-def identify(docs: DataFrame, training: DataFrame, path: str, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def identify(docs: DataFrame, training: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """docs with lang_pred and score; columns of docs with those names are replaced.
 
-    `training` gives texts with known languages (rows with a null text or language are left out). A text's
+    `training` gives texts with known languages (rows with a null text or language are left out), of which
+    about per_language for each language are learned from. A text's
     score in a language is the sum over its words of log P(word), P(word) being the sum over all its
     segmentations into pieces of the vocabulary (a sentencepiece model's file, never trained here), plus
     the log prior; lang_pred is the best (of equals the first by name), `score` its posterior probability.
@@ -207,7 +254,8 @@ def identify(docs: DataFrame, training: DataFrame, path: str, text_col: str = "t
     Whole texts are scored. Every row of docs is returned; its other columns, lang too, are never read.
     """
     rows = docs.drop("lang_pred", "score")
-    langs, chances, priors = _model(train(training, path, text_col, lang_col), path)
+    sample, sizes = training_sample(training, id_col, text_col, lang_col, per_language)
+    langs, chances, priors = _model(train(sample, path), sizes, path)
     sent = docs.sparkSession.sparkContext.broadcast(chances)  # languages x vocabulary
 
     def predict(batches: Iterator) -> Iterator:
@@ -227,12 +275,13 @@ def identify(docs: DataFrame, training: DataFrame, path: str, text_col: str = "t
             if len(known) + len(new) > len(logs):
                 logs = np.concatenate([logs[: len(known)], np.zeros((len(new) + len(logs), len(langs)))])
             at = len(known)
-            for i in range(0, len(new), 20_000):
-                some = [t if len(t) <= LONG_WORD else "" for t in texts[i : i + 20_000]]
-                logs[at + i : at + i + len(some)] = np.log(np.maximum(Lattice(some, path).forward(chances), 1e-300))
-            for i, t in enumerate(texts):
-                if len(t) > LONG_WORD:
-                    logs[at + i] = long_word_logs(t, chances, path)
+            for places in _by_length(texts):
+                some = [texts[i] for i in places]
+                if len(some[0]) <= LONG_WORD:
+                    logs[[at + i for i in places]] = np.log(np.maximum(Words(some, path).forward(chances)[-1], 1e-300))
+                else:
+                    for i, t in zip(places, some):
+                        logs[at + i] = long_word_logs(t, chances, path)
             known.update((w, at + i) for i, w in enumerate(new))
 
         for batch in batches:
