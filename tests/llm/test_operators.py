@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import zlib
 
 import public_tokenizers as P
@@ -131,6 +132,23 @@ def test_token_file_round_trip(spark):
     assert read_tokens(spark, empty).count() == 0
 
 
+def test_token_file_knows_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    path, end, pick = P.path("byte_bpe_50k.json"), "<|endoftext|>", random.Random(5)
+    texts = [f"a {end} b", end, end * 3, f"{end} a", f"a{end}", f"a  {end}\n\n b {end}", "<|endoftext|", f"<|{end}|>", None, "", "none of them"]
+    texts += ["".join(pick.choice([end, " ", "\n", "word", "isn't", "é", "<|", "|>", "endoftext", "  12"]) for _ in range(pick.randrange(30))) for _ in range(200)]
+    library, folder = Tokenizer.from_file(path), new_folder(spark)
+    wanted = {i: library.encode(t or "", add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+    assert wanted[0] == [64, 220, 50256, 275, 0]
+    write_tokens(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)]), folder, path, P.PATTERN)
+    assert {r.key: list(r.ids) for r in fetch(spark, folder, [*wanted]).collect()} == wanted
+    start = 0
+    for r in sorted(read_tokens(spark, folder).collect(), key=lambda r: r.doc_id):
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(wanted[r.doc_id]), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in wanted[r.doc_id])))
+        start += r.n_tokens
+
+
 # language
 
 

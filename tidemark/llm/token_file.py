@@ -109,6 +109,50 @@ def _library_encoder(path: str, pattern: str) -> TextEncoder:
     return TextEncoder(pieces, pattern)
 
 
+class DocumentEncoder:
+    """Whole texts to ids as the library's encode(): texts are split at the file's added tokens, which have ids of
+    their own, and each section between them is encoded as a text. Of tokens that begin at one place the longest counts.
+    """
+
+    def __init__(self, sections: TextEncoder, added: dict[str, int]):
+        import regex
+
+        self.sections, self.ids = sections, {token: i.to_bytes(4, "little") for token, i in added.items()}
+        ordered = sorted(added, key=len, reverse=True)
+        self.split = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")").split if added else None
+
+    def groups(self, texts) -> Iterator[tuple[int, list[bytes]]]:
+        """As TextEncoder.groups, for an Arrow array."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts, found = pc.fill_null(texts, ""), np.zeros(len(texts), bool)
+        for token in self.ids:
+            found |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        places = np.flatnonzero(found).tolist()
+        cut = {i: self.split(texts[i].as_py()) for i in places}  # section, token, section, ...
+        if cut:
+            texts = pc.replace_with_mask(texts, pa.array(found), pa.array([cut[i][0] for i in places], texts.type))
+        for begin, group in self.sections.groups(texts):
+            held = [i for i in places if begin <= i < begin + len(group)]
+            coded = iter(self.sections.encode([s for i in held for s in cut[i][2::2]])) if held else None
+            for i in held:
+                group[i - begin] += b"".join([self.ids[token] + next(coded) for token in cut[i][1::2]])
+            yield begin, group
+
+
+@lru_cache(maxsize=2)
+def _document_encoder(path: str, pattern: str) -> DocumentEncoder:
+    from tokenizers import Tokenizer
+
+    added = Tokenizer.from_file(path).get_added_tokens_decoder()
+    for token in added.values():
+        if token.single_word or token.lstrip or token.rstrip:
+            raise ValueError(f"added token {token.content!r} takes in or depends on its neighbours, which isn't supported")
+    return DocumentEncoder(_library_encoder(path, pattern), {token.content: i for i, token in added.items()})
+
+
 def _spelling(byte: int) -> str:
     """The character that a byte-level model writes for a byte: itself where printable, else the next from U+0100 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -124,6 +168,8 @@ SEGMENT_SCHEMA = ("part int, segment int, before long, n_docs int, n_ids long, f
 def write_tokens(docs: DataFrame, folder: str, path: str, pattern: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode whole texts, append end_id to each, and write the ids in ascending order of the (integer) id column.
 
+    The file's added tokens are matched in texts, as the library does by default.
+
     Rows are dealt into ranges of the id and sorted there; each range writes its segments: payload (ids as
     little-endian unsigned 32-bit integers), keys and lengths in order, the hash index, and `before`, the
     ids of the range before it. `folder`/parts has the ids before each range. Spark commits the files, so a
@@ -138,7 +184,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, pattern: str, end_id:
     def segments(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        coder, part = _library_encoder(path, pattern), TaskContext.get().partitionId()
+        coder, part = _document_encoder(path, pattern), TaskContext.get().partitionId()
         kinds = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()),
                            ("first_key", pa.int64()), ("last_key", pa.int64()), ("keys", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())),
                            ("index", pa.binary()), ("payload", pa.binary())])
