@@ -63,6 +63,20 @@ def chronology_audit(rows: DataFrame, requests: DataFrame) -> DataFrame:
     return audit.withColumn("passed", clean & (F.col("rows") > 0))
 
 
+def union_audit(rows: DataFrame) -> DataFrame:
+    """(k, rows, fragments, duplicates, interval_mismatch) of the union (k, t, interval, fragment) of settlement fragments.
+
+    Rows are compared with the one before them in their series, whichever fragment it is from; a null interval on
+    any but the first row of a series is a mismatch.
+    """
+    previous = F.lag("t").over(Window.partitionBy("k").orderBy("t", "interval"))
+    line = rows.select("k", "t", "interval", "fragment", previous.alias("previous"))
+    wrong = F.col("previous").isNotNull() & ~F.col("interval").eqNullSafe((F.col("t") - F.col("previous")) / MINUTE)
+    return line.groupBy("k").agg(
+        F.count("*").alias("rows"), F.countDistinct("fragment").alias("fragments"),
+        F.count(F.when(F.col("t") == F.col("previous"), 1)).alias("duplicates"), F.count(F.when(wrong, 1)).alias("interval_mismatch"))
+
+
 def chronology_anomalies(rows: DataFrame) -> DataFrame:
     """(k, t, kind) of each duplicate key and each change of interval in rows (k, t, interval)."""
     line = Window.partitionBy("k").orderBy("t", "interval")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.exact import stable_bucket
 from tidemark.functions.times import MINUTE
+from tidemark.sources import canonical
 
 # Fixed values of the layout.
 TARGET_BYTES, ROW_GROUP = 16 * 1024 * 1024, 128_000
@@ -31,6 +33,16 @@ def compact(table: DataFrame, path: str, most_rows: int, by: list[str]) -> None:
     table.repartition(*[F.col(c) for c in by]).sortWithinPartitions(*by, "k", "t").write.partitionBy(*by).option("maxRecordsPerFile", most_rows).parquet(path)
 
 
+def compact_fragments(rows: DataFrame, folder: str, most_rows: int) -> DataFrame:
+    """Write rows (k, t, fragment, ...) as one dataset for each fragment under folder/fragments, compact the union of
+    what is stored into months and buckets under folder/compacted, and read that back."""
+    spark, by = rows.sparkSession, [*canonical.PARTITIONS]
+    rows.repartition(F.col("fragment"), stable_bucket(F.col("k"))).sortWithinPartitions("fragment", "k", "t").write.partitionBy("fragment").parquet(f"{folder}/fragments")
+    union = canonical.partition_columns(spark.read.schema(rows.schema).parquet(f"{folder}/fragments"))
+    compact(union, f"{folder}/compacted", most_rows, by)
+    return spark.read.schema(union.schema).parquet(f"{folder}/compacted").drop(*by)
+
+
 def plan_gap_repairs(gaps: DataFrame, explained: DataFrame, page_minutes: int, most_minutes: int) -> DataFrame:
     """One task for each gap (k, gap_start, gap_end, minutes) with pages and size class; gaps that hold an explained
     missing key (k, t) don't qualify."""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import DAY
-from tidemark.operators import funding as ops
+from tidemark.operators import funding as ops, maintenance
+from tidemark.plans.catalog import scratch
 from tidemark.plans.registry import query
 from tidemark.plans.sql import with_views
 from tidemark.sources import views
@@ -170,8 +171,23 @@ def episodes(spark, sf_dir):
 @query("H4_compact_funding", with_views("settlements", sql=f"""with {TIMED}, parts as (select *, t // 31536000000 as part from iv)
   select k, count(*) as "rows", count(distinct part) as fragments, count(*) filter (step <= 0) as interval_mismatch from parts group by k"""))
 def compact(spark, sf_dir):
-    part = F.floor(F.col("t") / 31_536_000_000)
-    return _rows(spark, sf_dir).groupBy("k").agg(F.count("*").alias("rows"), F.countDistinct(part).alias("fragments"), F.count(F.when(F.col("interval") <= 0, 1)).alias("interval_mismatch"))
+    rows = _rows(spark, sf_dir).select("k", "t", "rate", "interval", F.floor(F.col("t") / 31_536_000_000).alias("fragment"))
+    return ops.union_audit(maintenance.compact_fragments(rows, scratch(spark, "funding"), 100_000)).drop("duplicates")
+
+
+# three fragments that take turns in each series, share keys and sometimes state a wrong interval
+@query("H4_funding_union_audit", with_views("settlement_rows", sql="""with stated as (select k, t, id % 3 as fragment,
+    coalesce((t - lag(t) over (partition by k order by t, id)) // 60000 + case when id % 5 = 0 then 60 else 0 end, 480)::bigint as interval from settlement_rows),
+  line as (select *, lag(t) over (partition by k order by t, interval) as previous from stated)
+  select k, count(*) as "rows", count(distinct fragment) as fragments, count(*) filter (t = previous) as duplicates,
+    count(*) filter (t - previous <> interval * 60000) as interval_mismatch from line group by k"""))
+def union_audit(spark, sf_dir):
+    from pyspark.sql import Window
+
+    step = F.floor((F.col("t") - F.lag("t").over(Window.partitionBy("k").orderBy("t", "id"))) / 60_000)
+    step = F.when(F.pmod("id", F.lit(5)) == 0, step + 60).otherwise(step)
+    rows = views.settlement_rows(spark, sf_dir).select("k", "t", "rate", F.coalesce(step, F.lit(480)).alias("interval"), F.pmod("id", F.lit(3)).alias("fragment"))
+    return ops.union_audit(maintenance.compact_fragments(rows, scratch(spark, "funding"), 100_000))
 
 
 @query("H5_funding_pair_candidates", with_views("settlement_rows", sql="""with tagged as (select k, t, id % 4 as dataset, t // 31536000000 as part from settlement_rows),
