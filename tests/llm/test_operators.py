@@ -342,6 +342,47 @@ def test_lm_unit_probabilities_sum_to_one():
         assert math.isclose((10**logs).sum(), 1, rel_tol=1e-4)
 
 
+def test_lm_score_is_the_sum_of_log_probabilities(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    pick, made, train = random.Random(3), [], lm_scoring.train
+    rows = [(i, " ".join(pick.choices(words, range(len(words), 0, -1), k=pick.randrange(1, 60))), "s") for i in range(120)] + [(120, "", "s"), (121, "not known here", "s")]
+    monkeypatch.setattr(lm_scoring, "train", lambda *args: made.append(train(*args)) or made[0])
+    got = {r.doc_id: r for r in lm_scoring.lm_scores(docs_of(spark, rows), F.col("doc_id") % 5 != 1).collect()}
+    model, L = made[0], lm_scoring
+    counts = collections.Counter(w for i, t, _ in rows if i % 5 != 1 for w in t.split() + [""])
+    assert len(counts) > L.KNOWN and model.classes.any() and model.words.any()
+    units, others = {}, [[0.0, 1] for _ in range(L.OTHER_CLASSES)]
+    ranked = sorted((w for w in counts if w), key=lambda w: (-counts[w], w))
+    units = {w: u for u, w in enumerate(ranked[: L.KNOWN - 1])} | {"": L.KNOWN - 1}
+    other = lambda w: zlib.crc32(w[-2:].encode()) % L.OTHER_CLASSES
+    for w in ranked[L.KNOWN - 1 :]:
+        others[other(w)][0] += counts[w]
+        others[other(w)][1] += 1
+
+    def row(salt, a, b, size):
+        mixed = (a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F + salt * 0x165667B19E3779F9) * 0xD6E8FEB86659FD93 % 2**64
+        return (mixed >> 33) % size
+
+    def log_share(table, one, two, extra, place):
+        at = [row(1, extra, extra, len(table)), row(2, one, extra, len(table)), row(3, two, extra, len(table)), row(4, one * L.UNITS + two, extra, len(table))]
+        logits = [sum(float(table[r][j]) for r in at) for j in range(table.shape[1])]
+        return (logits[place] - math.log(sum(map(math.exp, logits)))) / math.log(10)
+
+    for i, t, _ in rows[:12] + rows[-2:]:
+        two, one, total = L.BEGIN, L.BEGIN, 0.0
+        for w in t.split() + [""]:
+            unit = units.get(w, L.KNOWN + other(w))
+            kind = unit // L.CLASS_WORDS if unit < L.KNOWN else L.KNOWN // L.CLASS_WORDS + unit - L.KNOWN
+            total += log_share(model.classes, one, two, 0, kind)
+            if unit < L.KNOWN:
+                total += log_share(model.words, one, two, kind + 1, unit % L.CLASS_WORDS)
+            else:
+                seen, types = others[other(w)]
+                total += math.log10((counts[w] + 0.1) / (seen + 0.1 * types))
+            two, one = one, unit
+        assert math.isclose(got[i].score, total, rel_tol=1e-4), (i, got[i].score, total)
+
+
 # chat formatting
 
 

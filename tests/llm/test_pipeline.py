@@ -1,9 +1,13 @@
 """The pipeline's stages on a small folder of tables, each held against a brute-force version."""
 
+import base64
 import collections
+import hashlib
+import math
 import random
 import re
 
+import public_tokenizers
 import pytest
 
 import corpus_pipeline
@@ -51,3 +55,47 @@ def test_stages(spark, folder):
         assert r.n_tokens == len(r.ids) > 0
     whole = corpus_pipeline.run(spark, folder)
     assert ids(whole) == ids(coded)
+
+
+def taken_by_hand(rows, weights=(1, 2, 3), most=3):
+    """How often each (id, words, source) is taken: targets by sharing excess again, then a walk along the hashes."""
+    hashed = lambda i: int(hashlib.md5(str(i).encode()).hexdigest()[:12], 16)
+    sources = sorted({s for _, _, s in rows}, key=lambda s: (s is None, s or ""))
+    size = {s: sum(n for _, n, x in rows if x == s) for s in sources}
+    weight, total = {s: weights[i % len(weights)] for i, s in enumerate(sources)}, sum(size.values())
+    target, free = {}, set(sources)
+    while free:
+        left, shares = total - sum(target.values()), sum(weight[s] for s in free)
+        over = {s for s in free if most * size[s] * shares <= left * weight[s]}
+        target |= {s: most * size[s] for s in over} if over else {s: left * weight[s] / shares for s in free}
+        free = free - over if over else set()
+    times = {}
+    for s in sources:
+        full, need = divmod(math.floor(target[s]), size[s]) if size[s] else (0, 0)
+        got = 0
+        for i, n, _ in sorted((r for r in rows if r[2] == s), key=lambda r: hashed(r[0])):
+            more = full < most and got <= need and (got + n <= need or got + n - need <= need - got)
+            times[i], got = full + more, got + n
+    return times
+
+
+def test_mixing_and_encoding_by_hand(spark, folder):
+    import tiktoken
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("text is not null and doc_id < 400 and (source <> 'src2' or doc_id < 20)")
+    rows = [(r.doc_id, len(r.text.split()), r.source) for r in docs.collect()]
+    mixed = corpus_pipeline.materialise(corpus_pipeline.mixed(spark, docs, folder), "test")
+    times = collections.Counter(r.doc_id for r in mixed.collect())
+    wanted = taken_by_hand(rows)
+    assert {i: times[i] for i in wanted} == wanted and len({*wanted.values()}) > 1
+    path = public_tokenizers.path(corpus_pipeline.VOCABULARY)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    text = {r.doc_id: r.text for r in docs.collect()}
+    coded = corpus_pipeline.encoded(spark, mixed, folder).collect()
+    assert collections.Counter(r.doc_id for r in coded) == times
+    for r in coded:
+        ids = library.encode_ordinary(text[r.doc_id])
+        assert list(r.ids) == ids and r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
