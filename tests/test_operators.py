@@ -140,6 +140,50 @@ def test_cadence_episodes(spark, intervals, low, want):
     assert (got.episodes, got.completed, got.open, got.open_nonqualifying, got.explained, got.unexplained) == want
 
 
+def walk_episodes(rows):
+    """(episodes, completed, open, open_nonqualifying, explained, unexplained) of one series of (t, rate, interval) in order."""
+    steps, defaults = [i for _, _, i in rows], (120, 240, 480)
+    changes = sum(a != b for a, b in zip(steps, steps[1:]))
+    runs = [[a, a + 1] for a, step in enumerate(steps) if step == 60 and (a == 0 or steps[a - 1] != 60)]
+    for run in runs:
+        while run[1] < len(steps) and steps[run[1]] == 60:
+            run[1] += 1
+    if not runs:
+        return (0, 0, 0, 0, 0, changes)
+    good, explained, completed, short = True, 0, 0, 0
+    for number, (begin, end) in enumerate(runs):
+        before = steps[runs[number - 1][1] if number else 0 : begin]
+        after = steps[end : runs[number + 1][0] if number + 1 < len(runs) else None]
+        trailing = 0
+        while trailing < end - begin and abs(rows[end - 1 - trailing][1]) <= Decimal("0.00025"):
+            trailing += 1
+        good &= not before or (len({*before}) == 1 and before[0] in defaults)
+        explained += bool(before)
+        if after:
+            completed += 1
+            fine = len(after) >= 2 and after[1] in defaults and {*after[1:]} == {after[1]} and 60 < after[0] <= after[1] and after[0] % 60 == 0
+            good &= fine and trailing in (16, 17)
+            explained += 1 + (len(after) >= 2 and after[0] != after[1])
+        else:
+            short += trailing < 16
+            good &= trailing <= 17
+    if good and explained == changes:
+        return (len(runs), completed, len(runs) - completed, short, explained, 0)
+    return (0, 0, 0, 0, 0, changes)
+
+
+def test_cadence_query_equals_a_walk_of_each_series(spark):
+    from tidemark.plans import chronology
+
+    series_of = {}
+    for r in chronology._episode_rows(spark, "/root/testdata/sf0.001").collect():
+        series_of.setdefault(r.k, []).append((r.t, r.rate, r.interval))
+    names = ("episodes", "completed", "open", "open_nonqualifying", "explained", "unexplained")
+    got = {r.k: tuple(r[n] for n in names) for r in chronology.episodes(spark, "/root/testdata/sf0.001").collect()}
+    assert got == {k: walk_episodes(sorted(rows)) for k, rows in series_of.items()}
+    assert any(v[1] for v in got.values()) and any(v[2] for v in got.values()) and any(v[5] for v in got.values())
+
+
 def test_sandwiches_need_every_change_explained(spark):
     def found(intervals):
         return rows_of(funding.cadence_sandwiches(series(spark, intervals)), "interval", "gap")

@@ -153,19 +153,27 @@ def boundary(spark, sf_dir):
     return ops.source_boundary(views.settlements(spark, sf_dir))
 
 
-@query("E18_cadence_episodes")
-def episodes(spark, sf_dir):
-    """Hourly episodes on a synthetic cadence over all settlements: intervals follow from each row's place in its series."""
+def _episode_rows(spark, sf_dir):
+    """(k, t, rate, interval): settlements of four instruments each as one series, with an hourly run of 16 to 20 rows from its
+    5th, 13th, 21st, 29th or 37th row on, of which the last 14 to 18 have low rates; series may end before or in it."""
     from pyspark.sql import Window
 
-    line = Window.partitionBy("k").orderBy("t")
-    placed = views.settlements(spark, sf_dir).withColumn("place", F.row_number().over(line))
-    start = 4 + F.pmod("k", F.lit(3))
-    hourly = (F.col("place") > start) & (F.col("place") <= start + 2)
-    interval = F.when(hourly, 60).otherwise(480).cast("long")
-    made = placed.withColumn("interval", interval).withColumn("t", F.sum("interval").over(line) * 60_000 + ops.POLICY_START_MS)
-    rate = F.when(F.pmod("rate", F.lit(2)) == 0, F.lit("0.0001")).otherwise(F.lit("0.001")).cast("decimal(10,8)")
-    return ops.cadence_episodes(made.select("k", "t", rate.alias("rate"), "interval"))
+    line, placed = Window.partitionBy("k").orderBy("place"), Window.partitionBy("k").orderBy("t", "instrument")
+    rows = views.settlements(spark, sf_dir).withColumn("instrument", F.col("k")).withColumn("k", F.floor(F.col("k") / 4))
+    rows = rows.withColumn("place", F.row_number().over(placed)).withColumn("at", F.col("place") - 4 - 8 * F.pmod("k", F.lit(5)))
+    length = 16 + F.pmod(F.floor(F.col("k") / 5), F.lit(5))
+    quiet = length - 14 - F.pmod(F.floor(F.col("k") / 2), F.lit(5))  # rows of the run before the low ones, the last of them high
+    interval = F.when(F.col("at").between(1, length), 60).otherwise(480).cast("long")
+    low = F.when(F.col("at").between(1, length), F.col("at") > quiet).otherwise(False) | ((F.col("at") != quiet) & (F.pmod("rate", F.lit(2)) == 0))
+    rate = F.when(low, F.lit("0.0001")).otherwise(F.lit("0.001")).cast("decimal(10,8)")
+    made = rows.select("k", "place", rate.alias("rate"), interval.alias("interval"))
+    return made.select("k", (F.sum("interval").over(line) * 60_000 + ops.POLICY_START_MS).alias("t"), "rate", "interval")
+
+
+@query("E18_cadence_episodes")
+def episodes(spark, sf_dir):
+    """Hourly episodes on a synthetic cadence over all settlements; completed, open and failing ones occur."""
+    return ops.cadence_episodes(_episode_rows(spark, sf_dir))
 
 
 @query("H4_compact_funding", with_views("settlements", sql=f"""with {TIMED}, parts as (select *, t // 31536000000 as part from iv)
