@@ -331,56 +331,73 @@ def test_lm_scores_base_and_proper_distribution(spark):
     assert len(none) == len(rows) and all(r.train_tokens == 0 and r.n_known == 0 for r in none)
 
 
-def test_lm_unit_probabilities_sum_to_one():
+def test_lm_probabilities_sum_to_one():
     import numpy as np
 
-    pick = np.random.default_rng(1)
-    model = lm_scoring.Model(classes=pick.normal(size=(lm_scoring.CLASS_ROWS, lm_scoring.CLASSES)).astype(np.float32), words=pick.normal(size=(lm_scoring.WORD_ROWS, lm_scoring.CLASS_WORDS)).astype(np.float32))
-    units = np.arange(lm_scoring.UNITS - 1)
-    for two, one in ((5, 9), (lm_scoring.BEGIN, lm_scoring.BEGIN), (260, 3)):
-        logs = model.unit_logs((two * lm_scoring.UNITS + one) * lm_scoring.UNITS + units)
-        assert math.isclose((10**logs).sum(), 1, rel_tol=1e-4)
-
+    L, pick = lm_scoring, np.random.default_rng(1)
+    shares = L.class_chances(pick.normal(size=(L.CLASS_ROWS, L.CLASSES)), np.arange((L.CLASSES + 1) ** 2))
+    assert np.allclose(shares.sum(axis=1), 1)
+    # every word of one class after one word: seen or not, and one that isn't known
+    counts, before = np.r_[pick.integers(1, 400, 300), 0], np.where(pick.random(301) < 0.1, pick.integers(1, 9, 301), 0)
+    before[-1] = 0
+    keys = (np.uint64(5) << np.uint64(38)) | (np.uint64(7) << np.uint64(32)) | (np.arange(301).astype(np.uint64) << np.uint64(8)) | L.levels(counts)
+    mass = np.ones(L.CLASSES)
+    mass[7] += sum(10.0 ** (x / L.LEVEL_STEPS) for x in L.levels(counts[:-1]).tolist())
+    for n in (before, before * 0):
+        assert math.isclose((10 ** L.bigram_logs(keys, n.astype(float), mass)).sum(), 1, rel_tol=1e-9)
+
+
+def lm_by_hand(rows, learns, table):
+    """Scores from plain dictionaries: class softmax by the table, bigrams of a class with as many added words as were seen."""
+    import numpy as np
 
-def test_lm_score_is_the_sum_of_log_probabilities(spark, monkeypatch):
-    words = [f"w{i}" for i in range(300)]
-    pick, made, train = random.Random(3), [], lm_scoring.train
-    rows = [(i, " ".join(pick.choices(words, range(len(words), 0, -1), k=pick.randrange(1, 60))), "s") for i in range(120)] + [(120, "", "s"), (121, "not known here", "s")]
-    monkeypatch.setattr(lm_scoring, "train", lambda *args: made.append(train(*args)) or made[0])
-    got = {r.doc_id: r for r in lm_scoring.lm_scores(docs_of(spark, rows), F.col("doc_id") % 5 != 1).collect()}
-    model, L = made[0], lm_scoring
-    counts = collections.Counter(w for i, t, _ in rows if i % 5 != 1 for w in t.split() + [""])
-    assert len(counts) > L.KNOWN and model.classes.any() and model.words.any()
-    units, others = {}, [[0.0, 1] for _ in range(L.OTHER_CLASSES)]
-    ranked = sorted((w for w in counts if w), key=lambda w: (-counts[w], w))
-    units = {w: u for u, w in enumerate(ranked[: L.KNOWN - 1])} | {"": L.KNOWN - 1}
-    other = lambda w: zlib.crc32(w[-2:].encode()) % L.OTHER_CLASSES
-    for w in ranked[L.KNOWN - 1 :]:
-        others[other(w)][0] += counts[w]
-        others[other(w)][1] += 1
-
-    def row(salt, a, b, size):
-        mixed = (a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F + salt * 0x165667B19E3779F9) * 0xD6E8FEB86659FD93 % 2**64
-        return (mixed >> 33) % size
-
-    def log_share(table, one, two, extra, place):
-        at = [row(1, extra, extra, len(table)), row(2, one, extra, len(table)), row(3, two, extra, len(table)), row(4, one * L.UNITS + two, extra, len(table))]
-        logits = [sum(float(table[r][j]) for r in at) for j in range(table.shape[1])]
-        return (logits[place] - math.log(sum(map(math.exp, logits)))) / math.log(10)
-
-    for i, t, _ in rows[:12] + rows[-2:]:
-        two, one, total = L.BEGIN, L.BEGIN, 0.0
-        for w in t.split() + [""]:
-            unit = units.get(w, L.KNOWN + other(w))
-            kind = unit // L.CLASS_WORDS if unit < L.KNOWN else L.KNOWN // L.CLASS_WORDS + unit - L.KNOWN
-            total += log_share(model.classes, one, two, 0, kind)
-            if unit < L.KNOWN:
-                total += log_share(model.words, one, two, kind + 1, unit % L.CLASS_WORDS)
-            else:
-                seen, types = others[other(w)]
-                total += math.log10((counts[w] + 0.1) / (seen + 0.1 * types))
-            two, one = one, unit
-        assert math.isclose(got[i].score, total, rel_tol=1e-4), (i, got[i].score, total)
+    L = lm_scoring
+    tokens = {i: [w for w in (t or "").encode().lower().split()] + [b""] for i, t, _ in rows}
+    kind = lambda w: L.word_class(w.decode()[-2:])
+    counts, blocks = collections.Counter(), collections.defaultdict(collections.Counter)
+    for i, t, _ in rows:
+        if learns(i):
+            counts.update(tokens[i])
+            for one, w in zip([None, *tokens[i]], tokens[i]):
+                blocks[one, kind(w)][w] += 1
+    prior = lambda w: 10.0 ** (round(L.LEVEL_STEPS * math.log10((counts[w] + 0.1) / 0.1)) / L.LEVEL_STEPS)
+    mass = {c: 1.0 for c in range(L.CLASSES)}
+    for w in counts:
+        mass[kind(w)] += prior(w)
+    logs = np.log10(L.class_chances(table, np.arange((L.CLASSES + 1) ** 2)))
+    out = {}
+    for i, _, _ in rows:
+        two, one, word, total = L.BEGIN, L.BEGIN, None, 0.0
+        for w in tokens[i]:
+            c, block = kind(w), blocks.get((word, kind(w)), {})
+            n, types, share = sum(block.values()), len(block), prior(w) / mass[c]
+            total += logs[two * (L.CLASSES + 1) + one, c] + math.log10((block.get(w, 0) + types * share) / (n + types) if n else share)
+            two, one, word = one, c, w
+        out[i] = total
+    return out
+
+
+@pytest.mark.parametrize("chunk_bytes, shard_tokens", [(6 << 20, 1 << 19), (300, 70)])
+def test_lm_score_is_the_sum_of_log_probabilities(spark, monkeypatch, chunk_bytes, shard_tokens):
+    words = [f"w{i}" for i in range(300)] + ["Über", "ñandú", "x\x1cy"]
+    pick, made, train = random.Random(3), [], lm_scoring.train_classes
+    rows = [(i, " ".join(pick.choices(words, range(len(words), 0, -1), k=pick.randrange(1, 60))), "s") for i in range(120)]
+    rows += [(120, "", "s"), (121, "not known here", "s"), (122, None, "s"), (123, " w1\t\n W2 ", "s"), (124, LONG[:5000], "s"), (124, LONG[:5000], "s")]
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", chunk_bytes)
+    monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", shard_tokens)
+    monkeypatch.setattr(lm_scoring, "train_classes", lambda *args: made.append(train(*args)) or made[0])
+    got = lm_scoring.lm_scores(docs_of(spark, rows), F.col("doc_id") % 5 != 1).collect()
+    wanted = lm_by_hand(rows, lambda i: i % 5 != 1, made[0])
+    assert made[0].any() and len(got) == len(rows)
+    for r in got:
+        assert math.isclose(r.score, wanted[r.doc_id], abs_tol=r.n_tokens / lm_scoring.ANSWER_STEPS + 1e-3), (r.doc_id, r.score, wanted[r.doc_id])
+
+
+def test_lm_beats_the_base_on_held_out_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held = lm_scoring.lm_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0).filter("not learn")
+    row = held.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
+    assert row.n > 1000 and (row.score - row.base) / row.n > 0.1
 
 
 # chat formatting

@@ -3,284 +3,452 @@
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialise, text_bytes
+from .common import materialise
 
-#: Documents that are dealt to one chunk, on average; a chunk's distinct words and texts fit in a task.
-CHUNK_DOCS = 6000
+#: Bytes of texts that a chunk holds, about; a longer text is a chunk of its own.
+CHUNK_BYTES = 6 << 20
+#: Tokens for each shard of the counted words and of the trained bigrams, about.
+SHARD_TOKENS = 1 << 19
 #: Added to each token's count.
 SMOOTHING = 0.1
-#: Units: words with a unit of their own (the end among them), in classes of as many; then classes of the others.
-KNOWN, CLASS_WORDS, OTHER_CLASSES = 256, 32, 24
-CLASSES = KNOWN // CLASS_WORDS + OTHER_CLASSES
-UNITS = KNOWN + OTHER_CLASSES + 1
-BEGIN = UNITS - 1
-#: Rows of the hashed tables, each as wide as a softmax.
-CLASS_ROWS, WORD_ROWS = 1 << 12, 1 << 13
-#: Gradient updates, their rate, and what is added to the counts that scale them.
-ROUNDS, RATE, CAUTION = 6, 0.5, 2.0
-#: Tasks that work out gradients, each of which sends both tables once a round; blocks that they are added up in.
-GRADIENT_TASKS, BLOCKS = 12, 32
+#: Classes of words: the end, then all others by their last two characters. BEGIN stands before a text.
+CLASSES, BEGIN = 64, 64
+#: Steps of a digit in which a word's prior within its class is kept, and their number.
+LEVEL_STEPS, LEVELS = 16, 256
+#: Rows of the hashed table of class features, each as wide as the softmax.
+CLASS_ROWS = 1 << 13
+#: Gradient updates of the class table, their first rate, and what is added to the counts that scale them.
+ROUNDS, RATE, CAUTION = 10, 0.4, 2.0
+#: Tasks that work out class gradients; blocks that they are added up in.
+GRADIENT_TASKS, BLOCKS = 6, 16
+#: Gradient updates of the weights of a shard's bigrams.
+UPDATES = 3
+#: Steps of a digit in which log probabilities are sent back.
+ANSWER_STEPS = 4096
 #: The end of a text as a token; words are never empty.
 END = b""
 
 
-def lowered_words(data: bytes | None) -> list[bytes]:
-    """Words of a UTF-8 text with A-Z lower-cased."""
-    return data.lower().split() if data else []
+# arrays as bytes
 
 
-def _other_class(word: bytes) -> int:
-    """The class of a word without a unit, from its last two characters."""
-    return zlib.crc32(word.decode()[-2:].encode()) % OTHER_CLASSES
-
+def pack(values) -> bytes:
+    """An array of unsigned integers as compressed byte planes."""
+    import numpy as np
+    import zstandard
 
-def _other_class_column(word: Column) -> Column:
-    return F.crc32(F.substring(word, -2, 2).cast("binary")) % OTHER_CLASSES
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _row(salt: int, a, b, rows: int):
+def unpack(data: bytes, kind: str):
     import numpy as np
+    import zstandard
 
-    mixed = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    mixed = (mixed + np.uint64(salt * 0x165667B19E3779F9 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
-    return ((mixed >> np.uint64(33)) % np.uint64(rows)).astype(np.int64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def _features(one, two, extra, rows: int) -> list:
-    """Hashed rows of a history's features (one and two words back): bias, bigram, skip, both together.
+def _mix(x):
+    import numpy as np
 
-    `extra` tells softmaxes apart that share a table.
-    """
-    return [_row(1, extra, extra, rows), _row(2, one, extra, rows), _row(3, two, extra, rows), _row(4, one * UNITS + two, extra, rows)]
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _softmax(table, features: list):
+def _by_shard(high, keys, shards: int):
+    """(order by shard and key, shard of each, bounds of the shards' stretches); 32 bits of `high` deal keys to shards."""
     import numpy as np
 
-    logits = sum(table[f] for f in features)
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    return logits / logits.sum(axis=1, keepdims=True)
+    shard = ((high & np.uint64(0xFFFFFFFF)) * np.uint64(shards)) >> np.uint64(32)
+    order = np.lexsort((keys, shard))
+    shard = shard[order].astype(np.int64)
+    return order, shard, np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else np.zeros(1, np.int64)
 
 
-def unit_class(units):
+def _joined(columns: list):
     import numpy as np
 
-    return np.where(units < KNOWN, units // CLASS_WORDS, units - KNOWN + KNOWN // CLASS_WORDS)
+    return np.concatenate(columns) if columns else np.zeros(0, np.uint64)
 
 
-@dataclass
-class Model:
-    """Both tables, the words with units, and log10 of the base probability that each other class holds."""
-
-    known: dict = field(default_factory=dict)  # word to unit
-    classes: object = None
-    words: object = None
-    total: int = 0  # N
-    distinct: int = 0  # V
-    other_mass: list = field(default_factory=list)
-
-    def base(self, count):
-        """log10 of the base probability of a token seen `count` times."""
-        import numpy as np
+# words, classes, histories
 
-        return np.log10((count + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1)))
 
-    def unit(self, word: bytes) -> int:
-        unit = self.known.get(word)
-        return KNOWN + _other_class(word) if unit is None else unit
+def word_class(suffix: str) -> int:
+    """The class of a word from its last two characters; 0 is the end's."""
+    return 1 + zlib.crc32(suffix.encode()) % (CLASSES - 1) if suffix else 0
 
-    def unit_logs(self, keys):
-        """log10 P(unit | two units before) of distinct keys (two back, one back, unit)."""
-        import numpy as np
 
-        two, one, unit = keys // UNITS**2, keys // UNITS % UNITS, keys % UNITS
-        histories, of = np.unique(keys // UNITS, return_inverse=True)
-        kind = unit_class(unit)
-        out = np.zeros(len(keys))
-        zero = np.zeros(len(histories), np.int64)
-        classes = _softmax(self.classes, _features(histories % UNITS, histories // UNITS, zero, CLASS_ROWS))
-        out += np.log10(np.maximum(classes[of, kind], 1e-30))
-        own = np.flatnonzero(unit < KNOWN)
-        if len(own):
-            inside = _softmax(self.words, _features(one[own], two[own], kind[own] + 1, WORD_ROWS))
-            out[own] += np.log10(np.maximum(inside[np.arange(len(own)), unit[own] % CLASS_WORDS], 1e-30))
-        return out
-
-
-def _history_keys(units):
-    """Key of (two back, one back, unit) for each token of a text."""
+def levels(counts):
+    """A word's prior within its class, in LEVEL_STEPS of a digit above that of a word without a count."""
     import numpy as np
 
-    padded = np.concatenate([[BEGIN, BEGIN], units]).astype(np.int64)
-    return (padded[:-2] * UNITS + padded[1:-1]) * UNITS + padded[2:]
+    return np.minimum(np.rint(LEVEL_STEPS * np.log10((counts + SMOOTHING) / SMOOTHING)), LEVELS - 1).astype(np.uint64)
 
 
-def _chunked(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataFrame:
-    """(id, text, learn, chunk): rows dealt into chunks by a hash of id and text."""
-    n = max(1, -(-docs.count() // CHUNK_DOCS))
-    chunk = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(n)).cast("int")
-    return docs.select(F.col(id_col), F.col(text_col).alias("text"), F.coalesce(learn, F.lit(True)).alias("learn"), chunk.alias("chunk"))
+def _before(flat, lengths, begin: int) -> tuple:
+    """For each token of the texts the one before it and the one before that; `begin` before a text."""
+    import numpy as np
 
+    starts = np.cumsum(lengths) - lengths
+    one = np.r_[begin, flat[:-1]].astype(np.int64)
+    one[starts] = begin
+    two = np.r_[begin, one[:-1]]
+    two[starts] = begin
+    return one, two
 
-def chunk_counts(chunked: DataFrame) -> DataFrame:
-    """(word, chunk, n): every distinct token of each chunk and how often its learning texts have it."""
 
-    def count(table):
-        import pyarrow as pa
+def _history_keys(classes, lengths):
+    """(class two back, class one back, class) of each token as one number."""
+    one, two = _before(classes, lengths, BEGIN)
+    return (two * (CLASSES + 1) + one) * CLASSES + classes
+
+
+CHUNK_SCHEMA = "chunk long, n_tokens long, learn binary, lengths binary, codes binary, words binary, classes binary, counts binary, events binary"
+
 
-        counts, every = Counter(), set()
-        texts = table.column("text").cast(pa.binary() if pa.types.is_string(table.schema.field("text").type) else pa.large_binary())
-        for data, learn in zip(texts.to_pylist(), table.column("learn").to_pylist()):
-            words = lowered_words(data)
-            if learn:
-                counts.update(words)
-                counts[END] += 1
-            else:
-                every.update(words)
-        every.update(counts)
-        words = [*every]
-        chunk = table.column("chunk")[0].as_py()
-        return pa.table({"word": pa.array(words, pa.binary()).cast(pa.string()), "chunk": pa.array([chunk] * len(words), pa.int32()),
-                         "n": pa.array([counts[w] for w in words], pa.int64())})
-
-    return chunked.select("chunk", "text", "learn").groupBy("chunk").applyInArrow(count, "word string, chunk int, n long")
-
-
-def history_counts(docs: DataFrame, known: dict) -> DataFrame:
-    """(key, n): how often learning texts have each (two back, one back, unit); docs are (text, learn)."""
-    sent = docs.sparkSession.sparkContext.broadcast(known)  # KNOWN words
-
-    def count(batches: Iterator) -> Iterator:
+def encode_chunks(docs: DataFrame) -> DataFrame:
+    """docs (id, text, learn) as chunks of texts in scan order: each chunk's distinct words as 64-bit hashes with class
+    and count in its learning texts, tokens as places among them, and counts of class histories."""
+    id_type = docs.schema["id"].dataType.simpleString()
+
+    def encode(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
+        import xxhash
+
+        number = TaskContext.get().partitionId() << 32
+
+        def chunk(batch):
+            texts = pc.ascii_lower(pc.fill_null(batch.column(1), ""))
+            learn = pc.fill_null(batch.column(2), True).to_numpy(zero_copy_only=False)
+            split = pc.ascii_split_whitespace(texts)
+            bounds = split.offsets.to_numpy()
+            coded = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+            suffixes = pc.utf8_slice_codeunits(coded.dictionary, -2).dictionary_encode()
+            kinds = np.array([word_class(s) for s in suffixes.dictionary.to_pylist()] + [0], np.int64)
+            kinds = np.r_[kinds[suffixes.indices.to_numpy()], 0]
+            listed = coded.dictionary.cast(pa.binary() if coded.dictionary.type == pa.string() else pa.large_binary()).to_pylist()
+            places, end = coded.indices.to_numpy().astype(np.int64), listed.index(END) if END in listed else len(listed)
+            real = places != end
+            lengths = np.diff(np.r_[0, np.cumsum(real)][bounds - bounds[0]]) + 1
+            stops = np.cumsum(lengths) - 1
+            flat = np.full(int(lengths.sum()), end, np.int64)
+            inside = np.ones(len(flat), bool)
+            inside[stops] = False
+            flat[inside] = places[real]
+            listed += [END] * (end == len(listed))
+            kinds = kinds[: len(listed)]
+            learning = np.repeat(learn, lengths)
+            counts = np.bincount(flat[learning], minlength=len(listed))
+            # the most frequent words get the smallest places, which pack best
+            rank = np.argsort(-counts, kind="stable")
+            back = np.empty(len(rank), np.int64)
+            back[rank] = np.arange(len(rank))
+            flat, kinds, counts = back[flat], kinds[rank], counts[rank]
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, len(listed))[rank]
+            seen = np.bincount(_history_keys(kinds[flat], lengths)[learning], minlength=1)
+            events = np.flatnonzero(seen)
+            columns = [pa.array([len(flat)], pa.int64()), *(pa.array([pack(x)], pa.binary()) for x in (
+                learn.astype(np.uint8), lengths.astype(np.uint32), flat.astype(np.uint32), hashes, kinds.astype(np.uint8), counts.astype(np.uint32),
+                np.concatenate([events, seen[events]]).astype(np.uint32)))]
+            ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *columns, ids], names=[n.split()[0] for n in CHUNK_SCHEMA.split(", ")] + ["ids"])
+
+        for batch in batches:
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // CHUNK_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
+            for begin, end in zip(cuts, cuts[1:]):
+                if end > begin:
+                    yield chunk(batch.slice(begin, end - begin))
+                    number += 1
+
+    return docs.select("id", "text", "learn").mapInArrow(encode, f"{CHUNK_SCHEMA}, ids array<{id_type}>")
+
+
+# word counts: chunks ask shards of words
 
-        model = Model(known=sent.value)
 
-        class Units(dict):
-            def __missing__(self, word):
-                if len(self) > 1 << 18:
-                    self.clear()
-                value = self[word] = model.unit(word)
-                return value
+REQUEST_SCHEMA = "shard int, chunk long, keys binary, extra binary, counts binary"
+ANSWER_SCHEMA = "chunk long, kind int, shard int, answers binary, level int, n long"
 
-        units, held, size = Units(), [], 0
 
-        def flush():
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(n, pa.int64())], names=["key", "n"])
+def _request(rows: list):
+    import pyarrow as pa
 
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    columns = zip(*rows) if rows else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "chunk", "keys", "extra", "counts"])
+
+
+def _answer(rows: list):
+    import pyarrow as pa
+
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int64())
+    columns = zip(*rows) if rows else [[]] * len(kinds)
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["chunk", "kind", "shard", "answers", "level", "n"])
+
+
+def _sorted_keys(table) -> tuple:
+    """All keys of a shard's requests, and the bounds of each request among them."""
+    import numpy as np
+
+    parts = [np.cumsum(unpack(k.as_py(), "<u8")) for k in table.column("keys")]
+    return _joined(parts), np.cumsum([0, *map(len, parts)])
+
+
+def word_answers(chunks: DataFrame, shards: int) -> DataFrame:
+    """How often the learning texts of all chunks have each word of each chunk, and sums over all words.
+
+    Rows with chunk -1 are sums: the number of words of (class, level), or of all tokens where level is -1.
+    """
+    import numpy as np
+
+    def ask(batches: Iterator) -> Iterator:
         for batch in batches:
-            for data in text_bytes(batch):
-                words = lowered_words(data)
-                words.append(END)
-                held.append(_history_keys(np.fromiter(map(units.__getitem__, words), np.int64, len(words))).astype(np.int32))
-                size += len(words)
-                if size > 4_000_000:
-                    size = 0
-                    yield flush()
-        if held:
-            yield flush()
-
-    counted = docs.filter("learn").select("text").mapInArrow(count, "key int, n long")
-    return counted.groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _gradients(events: DataFrame, model: Model) -> tuple:
-    """Seen minus expected counts, and expected counts, of both tables, added up over all events."""
+            for row in batch.to_pylist():
+                words, kinds, counts = unpack(row["words"], "<u8"), unpack(row["classes"], "u1"), unpack(row["counts"], "<u4")
+                order, shard, cuts = _by_shard(words >> np.uint64(32), words, shards)
+                words, kinds, counts = words[order], kinds[order], counts[order]
+                yield _request([(int(shard[a]), row["chunk"], pack(np.diff(words[a:b], prepend=np.uint64(0))), pack(kinds[a:b]), pack(counts[a:b])) for a, b in zip(cuts, cuts[1:])])
+
+    def answer(table):
+        keys, cuts = _sorted_keys(table)
+        kinds, counts = (_joined([unpack(x.as_py(), k) for x in table.column(c)]) for c, k in (("extra", "u1"), ("counts", "<u4")))
+        distinct, which = np.unique(keys, return_inverse=True)
+        total = np.bincount(which, counts, len(distinct)).astype(np.uint64)
+        kind = np.zeros(len(distinct), np.int64)
+        kind[which] = kinds
+        known = total > 0
+        seen = np.bincount(kind[known] * LEVELS + levels(total[known]).astype(np.int64), minlength=1)
+        rows = [(c.as_py(), 0, s.as_py(), pack(total[which[a:b]]), None, None) for c, s, a, b in zip(table.column("chunk"), table.column("shard"), cuts, cuts[1:])]
+        rows += [(-1, 0, None, None, level, int(seen[level])) for level in np.flatnonzero(seen).tolist()]
+        return _answer([*rows, (-1, 0, None, None, -1, int(total.sum()))])
+
+    asked = chunks.select("chunk", "words", "classes", "counts").mapInArrow(ask, REQUEST_SCHEMA)
+    return materialise(asked.groupBy("shard").applyInArrow(answer, ANSWER_SCHEMA), "lm-words")
+
+
+# the class softmax
+
+
+def _row(salt: int, a, b, rows: int):
     import numpy as np
 
-    sent = events.sparkSession.sparkContext.broadcast((model.classes, model.words))  # both tables
+    mixed = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (mixed + np.uint64(salt * 0x165667B19E3779F9 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
+    return ((mixed >> np.uint64(33)) % np.uint64(rows)).astype(np.int64)
 
-    def one_part(batches: Iterator) -> Iterator:
-        import pyarrow as pa
 
-        classes, words = sent.value
-        grads = [np.zeros((CLASS_ROWS, CLASSES)), np.zeros((CLASS_ROWS, CLASSES)), np.zeros((WORD_ROWS, CLASS_WORDS)), np.zeros((WORD_ROWS, CLASS_WORDS))]
-        any_rows = False
+def class_features(one, two) -> list:
+    """Hashed rows of a history's features (classes one and two back): bias, bigram, skip, both together."""
+    zero = one * 0
+    return [_row(1, zero, zero, CLASS_ROWS), _row(2, one, zero, CLASS_ROWS), _row(3, two, zero, CLASS_ROWS), _row(4, one, two + 1, CLASS_ROWS)]
 
-        def add(table, at, features, seen):
-            share = _softmax(table, features) * seen.sum(axis=1, keepdims=True)
-            for f in features:
-                np.add.at(grads[at], f, seen - share)
-                np.add.at(grads[at + 1], f, share)
 
+def class_chances(table, histories):
+    """P(class | history) for histories two * (CLASSES + 1) + one, a row each."""
+    import numpy as np
+
+    logits = sum(table[f].astype(float) for f in class_features(histories % (CLASSES + 1), histories // (CLASSES + 1)))
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    return logits / logits.sum(axis=1, keepdims=True)
+
+
+def _gradient(events: DataFrame, table) -> tuple:
+    """(log likelihood, seen minus expected counts, expected counts) of the class table over all events (key, n)."""
+    import numpy as np
+
+    sent = events.sparkSession.sparkContext.broadcast(table)  # CLASS_ROWS rows
+
+    def one_part(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        table, sums, likelihood = sent.value, np.zeros((2, CLASS_ROWS, CLASSES)), 0.0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            any_rows = True
             key, n = batch.column(0).to_numpy().astype(np.int64), batch.column(1).to_numpy().astype(float)
-            unit, history = key % UNITS, key // UNITS
-            kind = unit_class(unit)
-            which, of = np.unique(history, return_inverse=True)
-            seen = np.bincount(of * CLASSES + kind, n, len(which) * CLASSES).reshape(-1, CLASSES)
-            add(classes, 0, _features(which % UNITS, which // UNITS, np.zeros(len(which), np.int64), CLASS_ROWS), seen)
-            own = unit < KNOWN
-            pairs, of = np.unique(history[own] * CLASSES + kind[own], return_inverse=True)
-            if len(pairs):
-                seen = np.bincount(of * CLASS_WORDS + unit[own] % CLASS_WORDS, n[own], len(pairs) * CLASS_WORDS).reshape(-1, CLASS_WORDS)
-                h = pairs // CLASSES
-                add(words, 2, _features(h % UNITS, h // UNITS, pairs % CLASSES + 1, WORD_ROWS), seen)
-        if any_rows:
-            flat = np.concatenate([g.ravel() for g in grads]).astype(np.float32)
-            blocks = np.array_split(flat, BLOCKS)
-            yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())], names=["block", "sums"])
+            histories, of = np.unique(key // CLASSES, return_inverse=True)
+            seen = np.bincount(of * CLASSES + key % CLASSES, n, len(histories) * CLASSES).reshape(-1, CLASSES)
+            share = class_chances(table, histories)
+            likelihood += float((seen * np.log(np.maximum(share, 1e-300))).sum())
+            share *= seen.sum(axis=1, keepdims=True)
+            for f in class_features(histories % (CLASSES + 1), histories // (CLASSES + 1)):
+                np.add.at(sums[0], f, seen - share)
+                np.add.at(sums[1], f, share)
+        parts = np.array_split(sums.ravel(), BLOCKS) + [np.array([likelihood])]
+        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS + 1), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["block", "sums"])
 
     def add_up(table):
         import pyarrow as pa
 
-        total = 0
-        for sums in table.column("sums"):
-            total = total + np.frombuffer(sums.as_py(), np.float32).astype(float)
-        return pa.table({"block": table.column("block").slice(0, 1), "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+        total = sum(np.frombuffer(s.as_py()) for s in table.column("sums"))  # a part for each of GRADIENT_TASKS
+        return pa.table({"block": table.column("block").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    added = events.coalesce(GRADIENT_TASKS).mapInArrow(one_part, "block int, sums binary").groupBy("block").applyInArrow(add_up, "block int, sums binary")
+    parts = [np.frombuffer(sums) for _, sums in sorted((r["block"], r["sums"]) for r in added.collect())]  # BLOCKS + 1 rows
+    sums = np.concatenate(parts[:-1]).reshape(2, CLASS_ROWS, CLASSES) if parts else np.zeros((2, CLASS_ROWS, CLASSES))
+    return float(parts[-1][0]) if parts else 0.0, sums[0], sums[1]
+
+
+def train_classes(events: DataFrame):
+    """The class table from the counts (key, n) of all class histories of the learning texts.
+
+    Each update is a job: tasks add up what was seen and what the table sent to them expects for the hashed
+    features, and the driver moves the table along the gradient, scaled by the expected counts. An update
+    that lowers the likelihood is taken back and the rate halved.
+    """
+    import numpy as np
+
+    table, rate = np.zeros((CLASS_ROWS, CLASSES), np.float32), RATE
+    best, gap, expected = _gradient(events, table)
+    for _ in range(ROUNDS):
+        moved = (table + rate * np.clip(gap / (expected + CAUTION), -2, 2)).astype(np.float32)
+        likelihood, *sums = _gradient(events, moved)
+        if likelihood < best:
+            rate /= 2
+            continue
+        table, best, (gap, expected) = moved, likelihood, sums
+    return table
+
+
+# the word softmax inside a class: chunks ask shards of bigrams
+
+
+@dataclass
+class Sums:
+    """N and V, and the prior mass of each class: its words by level and one word that isn't known."""
+
+    total: int
+    distinct: int
+    mass: object
+
+    @classmethod
+    def of(cls, answers: DataFrame) -> Sums:
+        import numpy as np
 
-    added = events.mapInArrow(one_part, "block int, sums binary").groupBy("block").applyInArrow(add_up, "block int, sums binary")
-    rows = sorted((r["block"], r["sums"]) for r in added.collect())  # BLOCKS rows
-    flat = np.concatenate([np.frombuffer(s, np.float32) for _, s in rows])
-    sizes = np.cumsum([CLASS_ROWS * CLASSES] * 2 + [WORD_ROWS * CLASS_WORDS])
-    a, b, c, d = np.split(flat, sizes)
-    return a.reshape(-1, CLASSES), b.reshape(-1, CLASSES), c.reshape(-1, CLASS_WORDS), d.reshape(-1, CLASS_WORDS)
+        rows = answers.filter("chunk = -1").groupBy("level").agg(F.sum("n").alias("n")).collect()  # CLASSES * LEVELS rows at most
+        found = {r["level"]: r["n"] for r in rows}
+        total, mass = found.pop(-1, 0), np.ones(CLASSES)
+        for key, n in found.items():
+            mass[key // LEVELS] += n * 10.0 ** (key % LEVELS / LEVEL_STEPS)
+        return cls(total, sum(found.values()), mass)
 
+    def base(self, counts):
+        """log10 of the base probability of tokens seen so often."""
+        import numpy as np
 
-def train(chunked: DataFrame, counts: DataFrame) -> Model:
-    """The model from (id, text, learn, chunk) and the corpus counts (word, c).
+        return np.log10((counts + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1)))
+
+
+def _chunk_counts(row: dict, answers: list, shards: int):
+    """The corpus counts of a chunk's words, from the answers (shard, bytes) of the word shards."""
+    import numpy as np
 
-    The KNOWN - 1 most frequent words and the end get units, in classes by frequency; every other word belongs
-    to a class by its ending. All tokens of all learning texts go into counts of (two units back, one unit
-    back, unit); those rows, at most UNITS**3 however large the corpus, are the events. Each of ROUNDS updates
-    is a job over all of them: tasks work out seen and expected counts of the hashed features under the
-    tables sent to them, blocks of the sums are added up in a second stage, and the driver moves both tables
-    along the gradient, scaled by the expected counts.
+    words = unpack(row["words"], "<u8")
+    order, _, _ = _by_shard(words >> np.uint64(32), words, shards)
+    counts = np.zeros(len(words))
+    counts[order] = _joined([unpack(data, "<u8") for _, data in sorted(answers)])
+    return counts
+
+
+def _chunk_grams(row: dict, counts, shards: int) -> tuple:
+    """A chunk's distinct bigrams in the order of their requests.
+
+    Returns (keys, shards, bounds, learning counts, and for each token the place of its bigram). A key has 26
+    bits of the hash of (word before, class), the class, 24 bits of the word's hash, and its level.
     """
     import numpy as np
 
-    sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    top = counts.filter(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(KNOWN - 1).collect()
-    known = {row["word"].encode(): unit for unit, row in enumerate(top)} | {END: KNOWN - 1}
-    model = Model(known, np.zeros((CLASS_ROWS, CLASSES), np.float32), np.zeros((WORD_ROWS, CLASS_WORDS), np.float32), sums["n"] or 0, sums["v"])
-    of = _other_class_column(F.col("word")).alias("k")
-    others = counts.filter(F.length("word") > 0).groupBy(of).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
-    mass, types = np.zeros(OTHER_CLASSES), np.ones(OTHER_CLASSES)  # one type for all words that aren't in the counts
-    for row in others:
-        mass[row["k"]] += row["c"]
-        types[row["k"]] += row["v"]
-    for row in top:
-        mass[_other_class(row["word"].encode())] -= row["c"]
-        types[_other_class(row["word"].encode())] -= 1
-    model.other_mass = np.log10((mass + SMOOTHING * types) / (model.total + SMOOTHING * (model.distinct + 1)))
-    events = materialise(history_counts(chunked, known), "lm-events").coalesce(GRADIENT_TASKS)  # UNITS**3 rows at most
-    for _ in range(ROUNDS if model.total else 0):
-        a, b, c, d = _gradients(events, model)
-        model.classes = (model.classes + RATE * np.clip(a / (b + CAUTION), -2, 2)).astype(np.float32)
-        model.words = (model.words + RATE * np.clip(c / (d + CAUTION), -2, 2)).astype(np.float32)
-    return model
+    flat, lengths, words = unpack(row["codes"], "<u4").astype(np.int64), unpack(row["lengths"], "<u4").astype(np.int64), unpack(row["words"], "<u8")
+    kinds, size = unpack(row["classes"], "u1").astype(np.uint64), len(words)
+    one, _ = _before(flat, lengths, size)
+    pairs = one * (size + 1) + flat
+    order = np.argsort(pairs, kind="stable")
+    ordered = pairs[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.zeros(0, bool)
+    learning = np.repeat(unpack(row["learn"], "u1"), lengths)[order]
+    n = np.add.reduceat(learning.astype(np.int64), np.flatnonzero(new)) if len(ordered) else np.zeros(0, np.int64)
+    distinct = ordered[new]
+    left, word = np.r_[words, np.uint64(0x5851F42D4C957F2D)][distinct // (size + 1)], distinct % (size + 1)
+    block = _mix(left + (kinds[word] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    key = (block & np.uint64((1 << 26) - 1)) << np.uint64(38) | kinds[word] << np.uint64(32)
+    key |= _mix(words[word]) >> np.uint64(40) << np.uint64(8) | levels(counts[word])
+    asked, shard, cuts = _by_shard(block >> np.uint64(32), key, shards)
+    place = np.empty(len(asked), np.int64)
+    place[asked] = np.arange(len(asked))
+    of_token = np.empty(len(order), np.int64)
+    of_token[order] = place[np.cumsum(new) - 1]
+    return key[asked], shard, cuts, n[asked], of_token
+
+
+def bigram_logs(keys, counts, mass):
+    """log10 P(word | class, word before) of distinct sorted bigram keys with their counts in the learning texts.
+
+    Bigrams of one (word before, class) are a block of a softmax: weights of those that were seen, one weight
+    for all other words of the class, and the class's prior. As many words as the block has seen are added to
+    its counts in proportion to the prior. Blocks share no weight, so all updates happen where the block is:
+    each moves a weight by log(1 + gradient / expected count).
+    """
+    import numpy as np
+
+    if not len(keys):
+        return np.zeros(0)
+    block = keys >> np.uint64(32)
+    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+    sizes = np.diff(np.r_[starts, len(keys)])
+    prior = 10.0 ** ((keys & np.uint64(LEVELS - 1)).astype(float) / LEVEL_STEPS) / mass[(block & np.uint64(CLASSES - 1)).astype(np.int64)]
+    seen = counts > 0
+    each = lambda x: np.add.reduceat(x, starts)
+    total, types, rest = each(counts.astype(float)), each(seen.astype(float)), np.maximum(1 - each(np.where(seen, prior, 0.0)), 1e-12)
+    wanted, wanted_rest = np.where(seen, counts + np.repeat(types, sizes) * prior, 0.0), types * rest
+    weight, other = np.zeros(len(keys)), np.zeros(len(starts))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for _ in range(UPDATES):
+            share, share_rest = np.where(seen, prior * np.exp(weight), 0.0), rest * np.exp(other)
+            scale = (total + types) / (each(share) + share_rest)
+            weight = np.where(seen, weight + np.log(wanted / (share * np.repeat(scale, sizes))), 0.0)
+            other = np.where(types > 0, other + np.log(wanted_rest / (share_rest * scale)), 0.0)
+    share, share_rest = np.where(seen, prior * np.exp(weight), 0.0), rest * np.exp(other)
+    norm = each(share) + share_rest
+    return (np.log(prior) + np.where(seen, weight, np.repeat(other, sizes)) - np.repeat(np.log(norm), sizes)) / np.log(10)
+
+
+def gram_answers(chunks: DataFrame, words: DataFrame, sums: Sums, shards: int) -> DataFrame:
+    """log10 P(word | class, word before) of each chunk's distinct bigrams, trained in shards of blocks."""
+    import numpy as np
+    import pyarrow as pa
+
+    mass = sums.mass  # a number for each class
+
+    def ask(left, right):
+        if not left.num_rows:
+            return pa.Table.from_batches([_request([])])
+        row = left.to_pylist()[0]
+        counts = _chunk_counts(row, [(r["shard"], r["answers"]) for r in right.select(["shard", "answers"]).to_pylist()], shards)
+        keys, shard, cuts, n, _ = _chunk_grams(row, counts, shards)
+        asked = [(int(shard[a]), row["chunk"], pack(np.diff(keys[a:b], prepend=np.uint64(0))), None, pack(n[a:b].astype(np.uint32))) for a, b in zip(cuts, cuts[1:])]
+        return pa.Table.from_batches([_request(asked)])
+
+    def answer(table):
+        keys, cuts = _sorted_keys(table)
+        distinct, which = np.unique(keys, return_inverse=True)
+        total = np.bincount(which, _joined([unpack(x.as_py(), "<u4") for x in table.column("counts")]), len(distinct))
+        logs = np.clip(np.rint(-ANSWER_STEPS * bigram_logs(distinct, total, mass)), 0, 65535).astype(np.uint16)[which]
+        return _answer([(c.as_py(), 1, s.as_py(), pack(logs[a:b]), None, None) for c, s, a, b in zip(table.column("chunk"), table.column("shard"), cuts, cuts[1:])])
+
+    needed = chunks.select("chunk", "learn", "lengths", "codes", "words", "classes")
+    asked = needed.groupBy("chunk").cogroup(words.filter("chunk >= 0").groupBy("chunk")).applyInArrow(ask, REQUEST_SCHEMA)
+    return materialise(asked.groupBy("shard").applyInArrow(answer, ANSWER_SCHEMA), "lm-bigrams")
 
 
 def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,67 +457,68 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     Tokens are the words with A-Z lower-cased, then one end. base_score sums
     log10((c + 0.1) / (N + 0.1 (V + 1))) over the tokens, c being a token's count, N and V the number of
     tokens and of distinct tokens in the learning texts. `score` is log10 of the text's probability under the
-    maximum-entropy model: P(class | two words before) P(word | class, two words before), where words without
-    a unit share their class's probability in proportion to their base probabilities, so that all words sum
-    to one.
-
-    Texts are dealt into chunks; a chunk's distinct words fetch their corpus counts by a join, and the chunk
-    meets its own words again, so no table of all words is sent to anyone. Null and empty texts are one end;
+    maximum-entropy model P(class | classes of two words before) P(word | class, word before): the class
+    softmax has hashed n-gram and skip features of classes and is trained by distributed gradient updates;
+    the softmax inside a class has a hashed feature for every distinct bigram of the learning texts, trained
+    in shards that follow the corpus. In each class one word stands for those that aren't known, so that all
+    words sum to one (their priors are in 1/16, the answers in 1/4096 of a digit).
+
+    Texts go into chunks in scan order, once encoded and written. A chunk asks the shards for the counts of
+    its distinct words, then for the log probabilities of its distinct bigrams; no table of all words or
+    bigrams is sent to anyone. Words and bigrams are told apart by hashes. Null and empty texts are one end;
     a null `learn` counts as true. Repeated rows are each scored and each learned from. Without learning
-    texts N is 0, every c is 0 and the model's tables are even. An empty table gives no rows.
+    texts N is 0, every c is 0 and the tables are even. An empty table gives no rows.
     """
-    chunked = _chunked(docs, id_col, text_col, learn)
-    by_chunk = materialise(chunk_counts(chunked), "lm-words")
-    counts = by_chunk.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
-    counts = materialise(counts, "lm-counts")
-    model = train(chunked, counts)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # both tables and KNOWN words
-    slices = by_chunk.select("word", "chunk").join(counts, "word").select("chunk", "word", "c")
-    id_field = chunked.schema[id_col]
-    schema = f"`{id_col}` {id_field.dataType.simpleString()}, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), learn.cast("boolean").alias("learn"))
+    chunks = materialise(encode_chunks(rows), "lm-chunks")
+    tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
+    shards = max(1, -(-tokens // SHARD_TOKENS))
+    words = word_answers(chunks, shards)
+    sums = Sums.of(words)
+    table = train_classes(class_events(chunks))
+    grams = gram_answers(chunks, words, sums, shards)
+    sent = docs.sparkSession.sparkContext.broadcast((sums, table))  # CLASS_ROWS rows
+    id_type = rows.schema["id"].dataType.simpleString()
+    names = [id_col, "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def score(left, right):
         import numpy as np
         import pyarrow as pa
 
-        model = sent.value
+        sums, table = sent.value
+        kinds = [left.schema.field("ids").type.value_type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         if not left.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in zip(names, [left.schema.field(id_col).type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])})
-        listed = right.column("word").cast(pa.binary()).to_pylist()
-        units, counts = [model.unit(w) for w in listed], right.column("c").to_pylist()
-
-        class Places(dict):
-            def __missing__(self, word):
-                units.append(model.unit(word))
-                counts.append(0)
-                self[word] = len(units) - 1
-                return self[word]
-
-        place = Places(zip(listed, range(len(listed))))
-        texts = left.column("text").cast(pa.binary() if pa.types.is_string(left.schema.field("text").type) else pa.large_binary()).to_pylist()
-        out = ([], [], [], [])
-        for start in range(0, len(texts), 512):
-            held = []
-            for data in texts[start : start + 512]:
-                words = lowered_words(data)
-                words.append(END)
-                held.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
-            of, seen = np.array(units, np.int64), np.array(counts, float)
-            base = model.base(seen)
-            inner = np.where(of < KNOWN, 0.0, base - model.other_mass[np.clip(of - KNOWN, 0, OTHER_CLASSES - 1)])
-            keys = [_history_keys(of[h]) for h in held]
-            distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
-            logs = model.unit_logs(distinct)[back]
-            at = 0
-            for h in held:
-                out[0].append(len(h))
-                out[1].append(int((seen[h] > 0).sum()))
-                out[2].append(float(base[h].sum()))
-                out[3].append(float(logs[at : at + len(h)].sum() + inner[h].sum()))
-                at += len(h)
-        n = pa.array([model.total] * len(texts), pa.int64())
-        return pa.table([left.column(id_col), left.column("learn"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), n,
-                         pa.array(out[2], pa.float64()), pa.array(out[3], pa.float64())], names=names)
+            return pa.table([pa.array([], k) for k in kinds], names=names)
+        row, answers = left.drop_columns(["ids"]).to_pylist()[0], right.select(["kind", "shard", "answers"]).to_pylist()
+        counts = _chunk_counts(row, [(r["shard"], r["answers"]) for r in answers if r["kind"] == 0], shards)
+        *_, of_token = _chunk_grams(row, counts, shards)
+        logs = _joined([unpack(data, "<u2") for _, data in sorted((r["shard"], r["answers"]) for r in answers if r["kind"] == 1)])
+        flat, lengths = unpack(row["codes"], "<u4"), unpack(row["lengths"], "<u4").astype(np.int64)
+        starts = np.cumsum(lengths) - lengths
+        chances = np.log10(class_chances(table, np.arange((CLASSES + 1) ** 2))).ravel()
+        of_class = _history_keys(unpack(row["classes"], "u1").astype(np.int64)[flat], lengths)
+        each = lambda x: np.add.reduceat(x, starts)
+        columns = [left.column("ids").combine_chunks().values if left.column("ids").num_chunks > 1 else left.column("ids").chunk(0).flatten(),
+                   unpack(row["learn"], "u1").astype(bool), lengths, each((counts > 0)[flat].astype(np.int64)), np.full(len(lengths), sums.total, np.int64),
+                   each(sums.base(counts)[flat]), each(chances[of_class] - logs[of_token] / ANSWER_STEPS)]
+        return pa.table([pa.array(c, k) if isinstance(c, np.ndarray) else c for c, k in zip(columns, kinds)], names=names)
+
+    schema = f"`{id_col}` {id_type}, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    answers = words.filter("chunk >= 0").unionByName(grams)
+    needed = chunks.select("chunk", "ids", "learn", "lengths", "codes", "words", "classes")
+    return needed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
+
+
+def class_events(chunks: DataFrame) -> DataFrame:
+    """(key, n): how often the learning texts have each history of classes; fewer than (CLASSES + 1)**2 * CLASSES rows."""
+
+    def rows(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    names = [id_col, "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    return chunked.groupBy("chunk").cogroup(slices.groupBy("chunk")).applyInArrow(score, schema)
+        for batch in batches:
+            for data in batch.column(0):
+                keys, n = unpack(data.as_py(), "<u4").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(n, pa.int64())], names=["key", "n"])
+
+    counted = chunks.select("events").mapInArrow(rows, "key int, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return materialise(counted, "lm-events")
