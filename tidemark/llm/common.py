@@ -29,6 +29,14 @@ def materialise(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_in_buckets(df: DataFrame, column: str, label: str) -> DataFrame:
+    """As materialise(), as a table in buckets of `column`: groups of it are then read without a shuffle."""
+    spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    writer = df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).option("path", f"{shared_folder(spark)}/{name}")
+    writer.format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def id_remainder(id_col: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; -1 for a null id."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % modulus, F.lit(-1))

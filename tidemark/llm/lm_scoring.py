@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialise
+from .common import materialise, materialise_in_buckets
 
 #: Bytes of texts that a chunk holds, about; a longer text is a chunk of its own.
 CHUNK_BYTES = 6 << 20
@@ -463,14 +463,14 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     in shards that follow the corpus. In each class one word stands for those that aren't known, so that all
     words sum to one (their priors are in 1/16, the answers in 1/4096 of a digit).
 
-    Texts go into chunks in scan order, once encoded and written. A chunk asks the shards for the counts of
+    Texts go into chunks in scan order, once encoded and written in buckets, so that they never are shuffled. A chunk asks the shards for the counts of
     its distinct words, then for the log probabilities of its distinct bigrams; no table of all words or
     bigrams is sent to anyone. Words and bigrams are told apart by hashes. Null and empty texts are one end;
     a null `learn` counts as true. Repeated rows are each scored and each learned from. Without learning
     texts N is 0, every c is 0 and the tables are even. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), learn.cast("boolean").alias("learn"))
-    chunks = materialise(encode_chunks(rows), "lm-chunks")
+    chunks = materialise_in_buckets(encode_chunks(rows), "chunk", "lm_chunks")
     tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
     shards = max(1, -(-tokens // SHARD_TOKENS))
     words = word_answers(chunks, shards)
