@@ -5,11 +5,12 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 from pyspark.sql import DataFrame, functions as F
 
+from .common import kept
+
 #: Entries that a worker's caches of encoded chunks and pieces hold before they start anew.
 CACHE_ENTRIES = 1 << 19
 #: Longer chunks are encoded each time.
@@ -293,8 +294,11 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-@lru_cache(maxsize=4)
 def _coder(path: str, pattern: str) -> tuple[TextEncoder, list[bytes]]:
+    return kept(("bpe", path, pattern), lambda: _make_coder(path, pattern))
+
+
+def _make_coder(path: str, pattern: str) -> tuple[TextEncoder, list[bytes]]:
     ranks = load_ranks(path)
     merger = Merger(ranks)
     table = [b""] * (max(ranks.values(), default=-1) + 1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,7 +12,7 @@ from tidemark.sources.shared import shared_folder
 #: The bytes that part words, as a Java regular-expression class.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Hashes of words that a worker remembers.
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 17
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +52,48 @@ def text_bytes(batch, name: str = "text") -> list:
     return column.cast(kind).to_pylist()
 
 
+def slices(batches: Iterator, column: int, most_bytes: int) -> Iterator:
+    """The rows of Arrow batches in batches whose texts have about most_bytes; a longer text is in one of its own."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        groups = np.cumsum(sizes) // most_bytes
+        cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(cuts, cuts[1:]):
+            if end > begin:
+                yield batch.slice(begin, end - begin)
+
+
+def pack(values) -> bytes:
+    """An array of unsigned integers as compressed byte planes."""
+    import numpy as np
+    import zstandard
+
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(data: bytes, kind: str):
+    import numpy as np
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+_KEPT: dict = {}
+
+
+def kept(name, make: Callable):
+    """What a Python worker keeps from task to task. Workers serve all operators in turn, so they keep one thing at a time."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 class WordHashes(dict):
     """Word to 64-bit hash, remembered up to a bound."""
 
@@ -65,13 +108,10 @@ class WordHashes(dict):
         return value
 
 
-_HASHES = WordHashes()
-
-
 def word_hashes(words: list[bytes]):
     import numpy as np
 
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(kept("words", WordHashes).__getitem__, words), np.uint64, len(words))
 
 
 def windows(hashes, n: int):

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialise, materialise_in_buckets
+from .common import materialise, materialise_in_buckets, pack, slices, unpack
 
 #: Bytes of texts that a chunk holds, about; a longer text is a chunk of its own.
 CHUNK_BYTES = 6 << 20
@@ -35,26 +35,6 @@ ANSWER_STEPS = 4096
 END = b""
 
 
-# arrays as bytes
-
-
-def pack(values) -> bytes:
-    """An array of unsigned integers as compressed byte planes."""
-    import numpy as np
-    import zstandard
-
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack(data: bytes, kind: str):
-    import numpy as np
-    import zstandard
-
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
 def _mix(x):
     import numpy as np
 
@@ -164,13 +144,9 @@ def encode_chunks(docs: DataFrame) -> DataFrame:
             ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *columns, ids], names=[n.split()[0] for n in CHUNK_SCHEMA.split(", ")] + ["ids"])
 
-        for batch in batches:
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // CHUNK_BYTES
-            cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
-            for begin, end in zip(cuts, cuts[1:]):
-                if end > begin:
-                    yield chunk(batch.slice(begin, end - begin))
-                    number += 1
+        for batch in slices(batches, 1, CHUNK_BYTES):
+            yield chunk(batch)
+            number += 1
 
     return docs.select("id", "text", "learn").mapInArrow(encode, f"{CHUNK_SCHEMA}, ids array<{id_type}>")
 

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialise, text_bytes, windows, word_hashes
+from .common import materialise, pack, slices, text_bytes, unpack, windows, word_hashes
 from .components import connected_components
 
-#: A shingle is frequent if so many documents have it, as far as a task's documents repeat it.
-FREQUENT = 8
-#: Bits of the map of frequent shingles; at most a sixteenth of them is set, for the most frequent ones.
-MAP_BITS = 25
-#: Sets with prefixes of at most so many places index pairs of frequent shingles, larger sets single ones.
-COMBINED_PLACES = 25
+#: Hashed counters of shingles; a shingle is frequent if its counter has so many documents, and so many times the mean.
+COUNTER_BITS, FREQUENT, ABOVE_MEAN = 22, 8, 4
+#: Blocks that the counters are added up in.
+COUNTER_BLOCKS = 64
+#: Classes of frequency: rare, then one for each doubling.
+FREQUENCY_CLASSES = 16
+#: Frequent shingles of a prefix are dealt into groups of about so many to twice as many; pairs of a group are keys.
+GROUP_PLACES = 4
 #: Bits of the map of documents whose sets are compared.
 NEEDED_BITS = 20
+#: Bytes of texts that a worker turns into sets at a time, and shingles that it counts at a time.
+SLICE_BYTES, COUNTED_SHINGLES = 2 << 20, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -28,11 +33,6 @@ class Link:
     over: int = 80
     under: int = 100
 
-    @property
-    def combined(self) -> int:
-        """The largest set that indexes combinations only."""
-        return COMBINED_PLACES * self.under // (self.under - self.over)
-
 
 def shingles(data: bytes | None, n: int):
     """Sorted distinct 64-bit hashes of the word n-grams of a UTF-8 text with A-Z lower-cased.
@@ -53,9 +53,14 @@ def least_overlap(a: Column, b: Column, link: Link) -> Column:
     return F.ceil((a + b) * link.over / (link.over + link.under))
 
 
-def prefix_length(n: int, link: Link) -> int:
-    """Places in which a set must meet every set that it links with."""
-    return n - -(-n * link.over // link.under) + 1
+def may_miss(n: int, link: Link) -> int:
+    """Shingles that a set of n may have and a set that it links with may lack, at most."""
+    return n - -(-n * link.over // link.under)
+
+
+def level(n: int, link: Link) -> int:
+    """log2 of the number of groups that a set of n shingles deals its frequent ones into."""
+    return max(1, may_miss(n, link) // GROUP_PLACES).bit_length() - 1
 
 
 def _mix(tokens):
@@ -66,133 +71,195 @@ def _mix(tokens):
     return mixed * np.uint64(0xD6E8FEB86659FD93)
 
 
-def _map_place(tokens):
+def _counter(tokens):
+    import numpy as np
+
+    return (_mix(tokens) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def frequency_classes(counts):
+    """Class of each counter: 0 below FREQUENT documents and ABOVE_MEAN times the mean, else one for each doubling."""
     import numpy as np
 
-    return (_mix(tokens) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    least = max(FREQUENT, ABOVE_MEAN * counts.sum() / max(1, len(counts)))
+    return np.clip(np.floor(np.log2(np.maximum(counts, 1e-9) / least)) + 1, 0, FREQUENCY_CLASSES - 1).astype(np.uint8)
 
 
-def _frequent_map(docs: DataFrame, link: Link):
-    """Bits of frequent shingles, as bytes: they come last in the order of all shingles.
+def _frequencies(docs: DataFrame, link: Link) -> bytes:
+    """The frequency class of each counter: how many documents have the shingles that hash to it.
 
-    Counts are over all documents; a task sends those of shingles that it has met twice. The map has a fixed
-    size; a bit set for another shingle, or not set, changes the order for all sets alike.
+    Every shingle of every document is counted. The counters have a fixed number, and the classes only order
+    shingles, for all sets alike: shingles that share a counter share a class.
     """
     import numpy as np
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        held, size = [], 0
+        counts, held, size = np.zeros(1 << COUNTER_BITS, np.uint32), [], 0
 
         def flush():
-            tokens, n = np.unique(np.concatenate(held), return_counts=True)
+            counts[:] += np.bincount(_counter(np.concatenate(held)), minlength=len(counts)).astype(np.uint32)
             held.clear()
-            often = n > 1
-            return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often], pa.int64())], names=["token", "n"])
 
-        for batch in batches:
+        for batch in slices(batches, 0, SLICE_BYTES):
             for data in text_bytes(batch):
                 held.append(shingles(data, link.words))
                 size += len(held[-1])
-                if size > 4_000_000:
+                if size > COUNTED_SHINGLES:
                     size = 0
-                    yield flush()
+                    flush()
         if held:
-            yield flush()
-
-    counts = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counts.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(1 << (MAP_BITS - 4))
-    bits = np.zeros(1 << MAP_BITS, bool)
-    tokens = top.select("token").toArrow().column("token").to_numpy()  # at most 2**(MAP_BITS - 4)
-    bits[_map_place(tokens.astype(np.int64).view(np.uint64))] = True
-    return np.packbits(bits).tobytes()
+            flush()
+            blocks = [(i, pack(part)) for i, part in enumerate(np.split(counts, COUNTER_BLOCKS)) if part.any()]
+            if blocks:
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names=["block", "counts"])
 
+    def add_up(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-def index_keys(tokens, frequent, link: Link):
-    """(prefix, singles, combined keys, their first places, their second places) that a set is indexed under.
+        sums: dict = {}  # COUNTER_BLOCKS at most
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = unpack(data, "<u4").astype(np.uint64)
+                sums[block] = sums.get(block, 0) + part
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int32()), pa.array([pack(x) for x in sums.values()], pa.binary())], names=["block", "counts"])
+
+    schema = "block int, counts binary"
+    added = docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add_up, schema)
+    counts = np.zeros((COUNTER_BLOCKS, (1 << COUNTER_BITS) // COUNTER_BLOCKS), np.uint64)
+    for row in added.toLocalIterator():  # COUNTER_BLOCKS rows
+        counts[row["block"]] += unpack(row["counts"], "<u8")
+    classes = frequency_classes(counts.ravel())
+    return (classes[::2] << 4 | classes[1::2]).tobytes()
+
+
+def _pairs_of_groups(tokens, group):
+    """Places (i, j), i before j, of every two tokens of the same group."""
+    import numpy as np
 
-    Shingles are ordered by (frequent, hash). Linked sets have a common shingle among their first
-    prefix_length places and two among one place more; `prefix` holds those. If a rare one is among the
-    common, the first is rare and a single key; else two frequent ones are, and the sets meet in that
-    combination. Sets too large for combinations index single frequent shingles, and sets in reach of both
-    kinds do both. The first `singles` shingles of the prefix are single keys.
+    order = np.argsort(group, kind="stable")
+    ordered, first, second = group[order], [], []
+    for apart in range(1, len(order)):
+        same = np.flatnonzero(ordered[apart:] == ordered[:-apart])
+        if not len(same):
+            break
+        first.append(order[same])
+        second.append(order[same + apart])
+    none = np.zeros(0, np.int64)
+    return np.concatenate(first) if first else none, np.concatenate(second) if second else none
+
+
+def index_keys(tokens, classes, link: Link):
+    """(prefix, singles, keys of pairs, their weights) that a set is indexed under.
+
+    Shingles are ordered by (frequency class, hash); class 0 is rare. A set's prefix is the shortest whose
+    weight is above may_miss(): each rare shingle weighs 1, and of the frequent ones, dealt into groups by
+    hash, all but the first of each group. A linked set lacks too few shingles to take away that weight, so
+    the two share a rare shingle of both prefixes, or two shingles of one group. Those are the keys: the
+    first `singles` shingles of the prefix, and every pair of a group. The number of groups follows the
+    set's size, so the keys are in proportion to it; a set is indexed for each number of groups that a linked
+    smaller set may have. A key's weight is that of the prefix up to its last shingle. Where linked sets may
+    share one shingle alone, frequent shingles are single keys as well.
     """
     import numpy as np
 
-    n, plain = len(tokens), prefix_length(len(tokens), link)
-    places = _map_place(tokens)
-    often = (frequent[places >> 3] >> (7 - (places & 7)).astype(np.uint8) & 1).astype(bool)
-    prefix = np.concatenate([tokens[~often], tokens[often]])[: plain + 1]
-    n_rare = int((~often).sum())
-    singles, none = min(n_rare, plain), np.zeros(0, np.int64)
-    keys, first, second = none.astype(np.uint64), none, none
-    if n_rare < len(prefix):
-        # a set of at most link.combined shingles links with none larger than this
-        if n <= link.combined * link.under // link.over:
-            hot, at = prefix[n_rare:], np.arange(n_rare + 1, len(prefix) + 1)
-            i, j = np.triu_indices(len(hot), 1)
-            keys, first, second = _mix(hot[i]) * np.uint64(3) + hot[j], at[i], at[j]
-        if n >= link.combined * link.over // link.under or len(prefix) < plain + 1 or n == 1:
-            singles = min(len(prefix), plain)
-    return prefix, singles, keys, first, second
-
-
-def _indexed(docs: DataFrame, frequent: bytes, link: Link) -> DataFrame:
-    """(id, n, node, prefix, singles, combined) of each document: size and hash of its set, and its index keys."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)  # 2**MAP_BITS bits
+    n = len(tokens)
+    missing, places = may_miss(n, link), _counter(tokens)
+    kinds = classes[places >> 1] >> (4 - 4 * (places & 1)).astype(np.uint8) & 15
+    order = np.argsort(kinds, kind="stable")
+    ordered, rare = tokens[order], int((kinds == 0).sum())
+    singles, keys, weights = min(rare, missing + 1), [], []
+    end = singles
+    if rare <= missing:
+        often = ordered[rare:]
+        spread = (_mix(often ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(20)).astype(np.int64)
+        for groups in range(level(-(-n * link.over // link.under), link), level(n, link) + 1):
+            group = spread & ((1 << groups) - 1)
+            again = np.ones(len(often), bool)
+            again[np.unique(group, return_index=True)[1]] = False
+            weight = rare + np.cumsum(again)
+            reach = min(len(often), int(np.searchsorted(weight, missing + 1)) + 1)
+            i, j = _pairs_of_groups(often[:reach], group[:reach])
+            keys.append(_mix(often[i] + np.uint64(groups)) * np.uint64(3) + often[j])
+            weights.append(weight[j])
+            end = max(end, rare + reach)
+        if n <= link.under // link.over:
+            singles = min(n, missing + 1)
+            end = max(end, singles)
+    none = np.zeros(0, np.uint64)
+    return ordered[:end], singles, np.concatenate(keys) if keys else none, np.concatenate(weights) if weights else none
+
+
+def _digests(tokens) -> tuple[int, int]:
+    """128 bits that tell a set from all others."""
+    import xxhash
+
+    value = xxhash.xxh3_128_intdigest(tokens.tobytes())
+    return (value >> 64) - (1 << 63), (value & (1 << 64) - 1) - (1 << 63)
+
+
+def _indexed(docs: DataFrame, classes: bytes, link: Link) -> DataFrame:
+    """(id, n, high, low, prefix, singles, pairs) of each document: size and digest of its set, and its index keys."""
+    sent = docs.sparkSession.sparkContext.broadcast(classes)  # 2**COUNTER_BITS half bytes
     id_type = docs.schema["id"].dataType.simpleString()
 
     def index(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        import xxhash
 
-        bits = np.frombuffer(sent.value, np.uint8)
+        kinds = np.frombuffer(sent.value, np.uint8)
 
         def lists(arrays, values):
             offsets = np.zeros(len(arrays) + 1, np.int32)
             np.cumsum([len(a) for a in arrays], out=offsets[1:])
             return pa.ListArray.from_arrays(pa.array(offsets), values)
 
-        for batch in batches:
-            sizes, nodes, singles, parts = [], [], [], ([], [], [], [])
+        for batch in slices(batches, 1, SLICE_BYTES):
+            sizes, digests, singles, prefixes, keys, weights = [], [], [], [], [], []
             for data in text_bytes(batch):
                 tokens = shingles(data, link.words)
                 sizes.append(len(tokens))
-                nodes.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63) if len(tokens) else None)
-                prefix, single, *combined = index_keys(tokens, bits, link) if len(tokens) else (tokens, 0, tokens, sizes[:0], sizes[:0])
-                singles.append(single)
-                for column, values in zip(parts, (prefix, *combined)):
-                    column.append(np.asarray(values))
-            prefixes, keys, first, second = (np.concatenate(p) if p else np.zeros(0) for p in parts)
-            combined = pa.StructArray.from_arrays([pa.array(keys.astype(np.uint64).view(np.int64)), pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32))], names=["key", "first", "second"])
+                digests.append(_digests(tokens) if len(tokens) else (None, None))
+                prefix, single, key, weight = index_keys(tokens, kinds, link) if len(tokens) else (tokens, 0, tokens, tokens)
+                for column, value in zip((singles, prefixes, keys, weights), (single, prefix, key, weight)):
+                    column.append(value)
+            flat = [np.concatenate(x) if x else np.zeros(0) for x in (prefixes, keys, weights)]
+            pairs = pa.StructArray.from_arrays([pa.array(flat[1].astype(np.uint64).view(np.int64)), pa.array(flat[2].astype(np.int32))], names=["key", "weight"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()), lists(parts[0], pa.array(prefixes.astype(np.uint64).view(np.int64))), pa.array(singles, pa.int32()), lists(parts[1], combined)],
-                names=["id", "n", "node", "prefix", "singles", "combined"])
+                [batch.column(0), pa.array(sizes, pa.int32()), *(pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)),
+                 lists(prefixes, pa.array(flat[0].astype(np.uint64).view(np.int64))), pa.array(singles, pa.int32()), lists(keys, pairs)],
+                names=["id", "n", "high", "low", "prefix", "singles", "pairs"])
 
-    return docs.mapInArrow(index, f"id {id_type}, n int, node long, prefix array<long>, singles int, combined array<struct<key:long,first:int,second:int>>")
+    return docs.mapInArrow(index, f"id {id_type}, n int, high long, low long, prefix array<long>, singles int, pairs array<struct<key:long,weight:int>>")
 
 
 def _live(batches: Iterator) -> Iterator:
-    """Entries of keys that two sets or more share, each with its key's pivot, from entries sorted by
-    (key, first, second, n, node): the pivot is a key's first entry, the set with the fewest rarer shingles.
-    An entry that repeats the one before it is left out."""
+    """Entries of keys that sets share, each with a pivot, from entries sorted by (key, weight, n, node).
+
+    The pivot is a key's first entry in this partition, the set with the fewest rarer shingles; a key with
+    many entries fills several partitions and has a pivot in each. A key's only entry is left out, unless
+    the partition begins or ends with it, and so is an entry that repeats the one before it.
+    """
     import numpy as np
     import pyarrow as pa
 
-    names = ["key", "first", "second", "n", "node"]
+    names = ["key", "weight", "n", "node"]
     last, pivot, alone = None, None, None  # the last entry; of the key that the last batch ended in; its entry, if it has been the only one
 
     def out(rows, pivots):
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows] + [pa.array(c) for c in pivots], names=names + ["p_first", "p_second", "p_n", "p_node"])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows] + [pa.array(c) for c in pivots], names=names + ["p_weight", "p_n", "p_node"])
+
+    def lone(columns):
+        return out([np.array([v], c.dtype) for v, c in zip(alone, columns)], [np.array([v], c.dtype) for v, c in zip(pivot[1:], columns[1:])])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(i).to_numpy() for i in range(5)]
-        again = np.r_[last == (columns[0][0], columns[4][0]), (columns[0][1:] == columns[0][:-1]) & (columns[4][1:] == columns[4][:-1])]
-        last = (columns[0][-1], columns[4][-1])
+        columns = [batch.column(i).to_numpy() for i in range(4)]
+        again = np.r_[last == (columns[0][0], columns[3][0]), (columns[0][1:] == columns[0][:-1]) & (columns[3][1:] == columns[3][:-1])]
+        begins, last = last is None, (columns[0][-1], columns[3][-1])
         columns = [c[~again] for c in columns]
         key, n = columns[0], len(columns[0])
         if not n:
@@ -201,25 +268,28 @@ def _live(batches: Iterator) -> Iterator:
         if pivot is not None and key[0] == pivot[0]:
             new[0] = False
             if alone is not None:
-                yield out([np.array([v], c.dtype) for v, c in zip(alone, columns)], [np.array([v], c.dtype) for v, c in zip(pivot[1:], columns[1:])])
+                yield lone(columns)
             alone = None
         starts = np.flatnonzero(new)
         head = np.maximum.accumulate(np.where(new, np.arange(n), -1))
         pivots = [np.where(head >= 0, c[np.maximum(head, 0)], 0 if pivot is None else p).astype(c.dtype)
-                  for c, p in zip(columns[1:], (pivot or [0] * 5)[1:])]
+                  for c, p in zip(columns[1:], (pivot or [0] * 4)[1:])]
         counts = np.diff(np.r_[starts, n])
         shared = np.ones(n, bool)
         single = starts[counts == 1]
         shared[single] = False
-        alone = tuple(c[-1] for c in columns) if len(single) and single[-1] == n - 1 else None
+        shared[0] |= begins
+        alone = tuple(c[-1] for c in columns) if not shared[-1] else None
         if len(starts):
             pivot = tuple(c[starts[-1]] for c in columns)
         if shared.any():
             yield out([c[shared] for c in columns], [p[shared] for p in pivots])
+    if alone is not None:
+        yield lone(columns)
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, link: Link) -> DataFrame:
-    """(node, tokens) of nodes (node, id): their documents are shingled again, picked by a map of ids."""
+    """(node, tokens) of nodes (node, id, high, low): their documents are shingled again, picked by a map of ids."""
     import numpy as np
 
     place = F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 64 - NEEDED_BITS)
@@ -230,18 +300,17 @@ def _sets(docs: DataFrame, nodes: DataFrame, link: Link) -> DataFrame:
 
     def again(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import xxhash
 
         bits = np.unpackbits(np.frombuffer(sent.value, np.uint8)).astype(bool)
-        for batch in batches:
+        for batch in slices(batches, 0, SLICE_BYTES):
             batch = batch.filter(pa.array(bits[batch.column(1).to_numpy(zero_copy_only=False)]))
             found = [shingles(data, link.words) for data in text_bytes(batch)]
             found = [t for t in found if len(t)]
-            ids = [xxhash.xxh3_64_intdigest(t.tobytes()) - (1 << 63) for t in found]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))], names=["node", "tokens"])
+            digests = [_digests(t) for t in found]
+            yield pa.RecordBatch.from_arrays([*(pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)), pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))], names=["high", "low", "tokens"])
 
-    found = docs.select("text", place.cast("int").alias("place")).mapInArrow(again, "node long, tokens array<long>")
-    return found.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    found = docs.select("text", place.cast("int").alias("place")).mapInArrow(again, "high long, low long, tokens array<long>")
+    return found.join(nodes.select("node", "high", "low"), ["high", "low"]).groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
 def _sides(pairs: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
@@ -263,22 +332,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, link: Link) -
     """Pairs (a, b) of nodes whose sets link: whole sets are made for those that remain after _close()."""
     close = materialise(_close(pairs, nodes, link), "join-close")
     wanted = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
-    sets = materialise(_sets(docs, nodes.select("node", "id").join(wanted, "node", "left_semi"), link), "join-sets")
+    sets = materialise(_sets(docs, nodes.select("node", "id", "high", "low").join(wanted, "node", "left_semi"), link), "join-sets")
     met = _sides(close, sets, "tokens")
     common, both = F.size(F.array_intersect("a_tokens", "b_tokens")), F.size("a_tokens") + F.size("b_tokens")
     return materialise(met.filter(link.under * common >= link.over * (both - common)).select("a", "b"), "join-links")
 
 
 def _can_link(x: str, y: str, link: Link) -> Column:
-    """Whether sets with these sizes that first meet in these places can have enough in common."""
+    """Whether sets with these sizes that first meet at these weights can have enough in common."""
     n, m = F.col(f"{x}n"), F.col(f"{y}n")
     least = least_overlap(n, m, link)
     fits = (link.under * n >= link.over * m) & (link.under * m >= link.over * n)
     for side, size in ((x, n), (y, m)):
-        fits &= (F.col(f"{side}first") <= size - least + 1) & (F.col(f"{side}second") <= size - least + 2)
+        fits &= F.col(f"{side}weight") <= size - least + 1
     return fits
 
 
+def _band(n: Column, link: Link) -> Column:
+    """Number of a band of sizes; sets that link are in the same or in neighbouring bands."""
+    return F.floor(F.log(n.cast("double")) / math.log(link.under / link.over) + 1e-9).cast("int") if link.over < link.under else n
+
+
 def _pairs(x: str, y: str) -> list[Column]:
     return [F.least(f"{x}node", f"{y}node").alias("a"), F.greatest(f"{x}node", f"{y}node").alias("b")]
 
@@ -286,54 +360,58 @@ def _pairs(x: str, y: str) -> list[Column]:
 def ngram_join(docs: DataFrame, link: Link = Link(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Components of documents whose shingle sets link, without comparing all pairs of a group.
 
-    Documents with the same set are one node. Nodes are indexed by index_keys(). In each key's entries the
-    node with the fewest rarer shingles is the pivot; every other is compared with it, and links join
-    components. What is left are pairs of nodes in different components that share a key and whose sizes and
-    places allow a link: classes of entries (key, component, size, places) meet first, then the nodes of
-    those classes, and every such pair is compared. So each linked pair is either compared or already in
-    one component, while a group of near copies costs a comparison for each member and not for each pair.
-    Comparisons are of whole sets of 64-bit hashes.
+    Documents with the same set are one node. Nodes are indexed by index_keys(), and the entries are dealt
+    into ranges of (key, weight, size, node), so that a key that very many sets have fills several tasks. In
+    each task's entries of a key the node with the fewest rarer shingles is the pivot; every other is
+    compared with it, and links join components. What is left are pairs of nodes in different components
+    that share a key and whose sizes and weights allow a link: classes of entries (key, component, size,
+    weight) meet first, in bands of sizes, then the nodes of those classes, and every such pair is compared.
+    So each linked pair is either compared or already in one component, while a group of near copies costs a
+    comparison for each member and not for each pair. Comparisons are of whole sets of 64-bit hashes; sets
+    are told apart by 128 bits.
 
     Returns (id, n_shingles, component_id), a row for every document: component_id is the smallest id that
     links reach. Null texts and texts without words have no shingles and link with nothing: component_id is
     their own id. Null ids take part and never are a component_id unless a component has no other. Repeated
-    rows are returned each; rows with the same id and different sets are nodes of their own. Empty table:
-    no rows.
+    rows are returned each; rows with the same id and different sets are nodes of their own. Very long texts
+    are whole sets like any other. Empty table: no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    indexed = materialise(_indexed(rows, _frequent_map(rows, link), link), "join-index")
-    with_words = indexed.filter("n > 0")
-    one = with_words.groupBy("node").agg(F.min("id").alias("id"))
-    nodes = materialise(with_words.join(one, (with_words["node"] == one["node"]) & with_words["id"].eqNullSafe(one["id"]), "left_semi").dropDuplicates(["node"]), "join-nodes")
-    single = F.transform(F.slice("prefix", 1, F.col("singles")), lambda key, at: F.struct(key.alias("key"), (at + 1).alias("first"), F.lit(0).alias("second")))
-    entries = nodes.select("node", "n", F.explode(F.concat(single, "combined")).alias("e")).select("e.key", "e.first", "e.second", "n", "node")
-    sorted_entries = entries.repartition("key").sortWithinPartitions("key", "first", "second", "n", "node")
-    kinds = "key long, first int, second int, n int, node long"
-    live = materialise(sorted_entries.mapInArrow(_live, f"{kinds}, p_first int, p_second int, p_n int, p_node long"), "join-entries")
-    mine = live.select("key", *[F.col(c).alias(f"x_{c}") for c in ("first", "second", "n", "node")], *[F.col(f"p_{c}") for c in ("first", "second", "n", "node")])
+    indexed = materialise(_indexed(rows, _frequencies(rows, link), link), "join-index")
+    digest = ["high", "low"]
+    one = indexed.filter("n > 0").groupBy(*digest).agg(F.min("id").alias("first_id"))
+    met = indexed.filter("n > 0").join(one, digest).filter(F.col("id").eqNullSafe(F.col("first_id"))).drop("first_id").dropDuplicates(digest)
+    nodes = materialise(met.withColumn("node", F.monotonically_increasing_id()), "join-nodes")
+    single = F.transform(F.slice("prefix", 1, F.col("singles")), lambda key, at: F.struct(key.alias("key"), (at + 1).alias("weight")))
+    entries = nodes.select("node", "n", F.explode(F.concat(single, "pairs")).alias("e")).select("e.key", "e.weight", "n", "node")
+    order = ["key", "weight", "n", "node"]
+    sorted_entries = entries.repartitionByRange(*order).sortWithinPartitions(*order)
+    live = materialise(sorted_entries.mapInArrow(_live, "key long, weight int, n int, node long, p_weight int, p_n int, p_node long"), "join-entries")
+    mine = live.select("key", *[F.col(c).alias(f"x_{c}") for c in order[1:]], *[F.col(f"p_{c}") for c in order[1:]])
     starred = mine.filter((F.col("x_node") != F.col("p_node")) & _can_link("x_", "p_", link)).select(*_pairs("x_", "p_")).distinct()
     starred = materialise(starred, "join-pairs")
     links = _verified(starred, rows, nodes, link)
     labels = connected_components(links)
-    placed = live.select("key", "first", "second", "n", "node").join(labels, "node", "left")
+    placed = live.select(*order).join(labels, "node", "left")
     placed = materialise(placed.withColumn("label", F.coalesce("label", "node")), "join-placed")
     split = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
     open_entries = placed.join(split, "key", "left_semi")
-    kinds_of = ["key", "label", "first", "second", "n"]
-    classes = open_entries.select(*kinds_of).distinct()
-    x = classes.select("key", *[F.col(c).alias(f"x_{c}") for c in kinds_of[1:]])
-    y = classes.select("key", *[F.col(c).alias(f"y_{c}") for c in kinds_of[1:]])
-    meet = x.join(y, "key").filter((F.col("x_label") < F.col("y_label")) & _can_link("x_", "y_", link))
-    members = {s: open_entries.select("key", *[F.col(c).alias(f"{s}{c}") for c in [*kinds_of[1:], "node"]]) for s in ("x_", "y_")}
-    left = meet.join(members["x_"], ["key", *[f"x_{c}" for c in kinds_of[1:]]]).join(members["y_"], ["key", *[f"y_{c}" for c in kinds_of[1:]]])
+    kinds = ["key", "label", "weight", "n"]
+    classes = open_entries.select(*kinds).distinct()
+    x = classes.select("key", *[F.col(c).alias(f"x_{c}") for c in kinds[1:]]).withColumn("band", _band(F.col("x_n"), link))
+    y = classes.select("key", *[F.col(c).alias(f"y_{c}") for c in kinds[1:]])
+    y = y.withColumn("band", F.explode(F.array(*[_band(F.col("y_n"), link) + i for i in (-1, 0, 1)])))
+    meet = x.join(y, ["key", "band"]).drop("band").filter((F.col("x_label") < F.col("y_label")) & _can_link("x_", "y_", link))
+    members = {s: open_entries.select("key", *[F.col(c).alias(f"{s}{c}") for c in [*kinds[1:], "node"]]) for s in ("x_", "y_")}
+    left = meet.join(members["x_"], ["key", *[f"x_{c}" for c in kinds[1:]]]).join(members["y_"], ["key", *[f"y_{c}" for c in kinds[1:]]])
     rest = left.select(*_pairs("x_", "y_")).distinct().join(starred, ["a", "b"], "left_anti")
     more = _verified(rest, rows, nodes, link)
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more))
-    named = nodes.select("node", "id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = nodes.select("node", "id", *digest).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("id").alias("component_id"))
-    of_node = named.join(smallest, "label").select("node", "component_id")
-    joined = indexed.select("id", "n", "node").join(of_node, "node", "left")
+    of_node = named.join(smallest, "label").select(*digest, "component_id")
+    joined = indexed.select("id", "n", *digest).join(of_node, digest, "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return joined.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
 

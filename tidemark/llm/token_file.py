@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tidemark.sources.shared import shared_folder
 
 from .bpe import TextEncoder
+from .common import kept
 
 #: Ids after which a segment ends; a longer document has a segment of its own.
 SEGMENT_IDS = 1 << 16
@@ -90,7 +90,6 @@ class Segment:
         return None if at is None else self.payload[4 * at[0] : 4 * (at[0] + at[1])]
 
 
-@lru_cache(maxsize=2)
 def _library_encoder(path: str, pattern: str) -> TextEncoder:
     import os
 
@@ -142,8 +141,11 @@ class DocumentEncoder:
             yield begin, group
 
 
-@lru_cache(maxsize=2)
 def _document_encoder(path: str, pattern: str) -> DocumentEncoder:
+    return kept(("library", path, pattern), lambda: _make_document_encoder(path, pattern))
+
+
+def _make_document_encoder(path: str, pattern: str) -> DocumentEncoder:
     from tokenizers import Tokenizer
 
     added = Tokenizer.from_file(path).get_added_tokens_decoder()
