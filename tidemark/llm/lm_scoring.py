@@ -98,7 +98,7 @@ CHUNK_SCHEMA = "chunk long, n_tokens long, learn binary, lengths binary, codes b
 def encode_chunks(docs: DataFrame) -> DataFrame:
     """docs (id, text, learn) as chunks of texts in scan order: each chunk's distinct words as 64-bit hashes with class
     and count in its learning texts, tokens as places among them, and counts of class histories."""
-    id_type = docs.schema["id"].dataType.simpleString()
+    id_type, most_bytes = docs.schema["id"].dataType.simpleString(), CHUNK_BYTES
 
     def encode(batches: Iterator) -> Iterator:
         import numpy as np
@@ -144,7 +144,7 @@ def encode_chunks(docs: DataFrame) -> DataFrame:
             ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *columns, ids], names=[n.split()[0] for n in CHUNK_SCHEMA.split(", ")] + ["ids"])
 
-        for batch in slices(batches, 1, CHUNK_BYTES):
+        for batch in slices(batches, 1, most_bytes):
             yield chunk(batch)
             number += 1
 

@@ -11,18 +11,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import materialise, pack, slices, text_bytes, unpack, windows, word_hashes
 from .components import connected_components
 
-#: Hashed counters of shingles; a shingle is frequent if its counter has so many documents, and so many times the mean.
-COUNTER_BITS, FREQUENT, ABOVE_MEAN = 22, 8, 4
-#: Blocks that the counters are added up in.
-COUNTER_BLOCKS = 64
-#: Classes of frequency: rare, then one for each doubling.
-FREQUENCY_CLASSES = 16
+#: Documents that a shingle is frequent in at least; each doubling is a further class, up to FREQUENCY_CLASSES.
+FREQUENT, FREQUENCY_CLASSES = 8, 16
+#: Documents for each shard that counts shingles, about.
+SHARD_DOCS = 1 << 11
+#: Bits of a shingle that tell it from others of its shard while it is counted.
+SHARD_BITS = 33
+#: The map of frequent shingles has 16 places for each, for the most frequent 2**21 at most.
+MOST_FREQUENT = 1 << 21
 #: Frequent shingles of a prefix are dealt into groups of about so many to twice as many; pairs of a group are keys.
 GROUP_PLACES = 4
 #: Bits of the map of documents whose sets are compared.
 NEEDED_BITS = 20
 #: Bytes of texts that a worker turns into sets at a time, and shingles that it counts at a time.
-SLICE_BYTES, COUNTED_SHINGLES = 2 << 20, 1 << 20
+SLICE_BYTES, COUNTED_SHINGLES = 2 << 20, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -71,68 +73,96 @@ def _mix(tokens):
     return mixed * np.uint64(0xD6E8FEB86659FD93)
 
 
-def _counter(tokens):
-    import numpy as np
+@dataclass(frozen=True)
+class Frequencies:
+    """Frequency classes of shingles by a hash of their first bits, two in a byte; shingles that share a place share a class."""
 
-    return (_mix(tokens) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+    classes: bytes
+    cut: int  # bits of a shingle that aren't looked at
+    bits: int  # log2 of the number of places
 
+    def places(self, tokens):
+        import numpy as np
 
-def frequency_classes(counts):
-    """Class of each counter: 0 below FREQUENT documents and ABOVE_MEAN times the mean, else one for each doubling."""
-    import numpy as np
+        return (_mix(tokens >> np.uint64(self.cut)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    least = max(FREQUENT, ABOVE_MEAN * counts.sum() / max(1, len(counts)))
-    return np.clip(np.floor(np.log2(np.maximum(counts, 1e-9) / least)) + 1, 0, FREQUENCY_CLASSES - 1).astype(np.uint8)
+    def __call__(self, tokens):
+        import numpy as np
+
+        places = self.places(tokens)
+        return np.frombuffer(self.classes, np.uint8)[places >> 1] >> (4 - 4 * (places & 1)).astype(np.uint8) & 15
 
 
-def _frequencies(docs: DataFrame, link: Link) -> bytes:
-    """The frequency class of each counter: how many documents have the shingles that hash to it.
+def frequency_counts(docs: DataFrame, link: Link) -> tuple[DataFrame, int]:
+    """((token, class) of every shingle in FREQUENT documents or more, bits cut off a shingle to make a token).
 
-    Every shingle of every document is counted. The counters have a fixed number, and the classes only order
-    shingles, for all sets alike: shingles that share a counter share a class.
+    Every shingle of every document is counted: tasks send the sorted distinct ones of about COUNTED_SHINGLES
+    as packed differences to shards that take a range each, and those add up. More shards keep more bits.
     """
-    import numpy as np
+    shards, least = max(1, docs.count() // SHARD_DOCS), FREQUENT
+    cut = max(0, 64 - SHARD_BITS - (shards - 1).bit_length())
 
     def count(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
-        counts, held, size = np.zeros(1 << COUNTER_BITS, np.uint32), [], 0
+        held, size = [], 0
 
         def flush():
-            counts[:] += np.bincount(_counter(np.concatenate(held)), minlength=len(counts)).astype(np.uint32)
+            tokens, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
+            shard = ((tokens << np.uint64(cut) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+            cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]).tolist() if len(shard) else [0]
+            rows = [(int(shard[a]), pack(np.diff(tokens[a:b], prepend=np.uint64(0))), pack(n[a:b].astype(np.uint32))) for a, b in zip(cuts, cuts[1:])]
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.binary(), pa.binary()))]
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "tokens", "counts"])
 
         for batch in slices(batches, 0, SLICE_BYTES):
             for data in text_bytes(batch):
-                held.append(shingles(data, link.words))
+                held.append(shingles(data, link.words) >> np.uint64(cut))
                 size += len(held[-1])
                 if size > COUNTED_SHINGLES:
                     size = 0
-                    flush()
+                    yield flush()
         if held:
-            flush()
-            blocks = [(i, pack(part)) for i, part in enumerate(np.split(counts, COUNTER_BLOCKS)) if part.any()]
-            if blocks:
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names=["block", "counts"])
+            yield flush()
 
-    def add_up(batches: Iterator) -> Iterator:
+    def add_up(table):
+        import numpy as np
         import pyarrow as pa
 
-        sums: dict = {}  # COUNTER_BLOCKS at most
-        for batch in batches:
-            for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = unpack(data, "<u4").astype(np.uint64)
-                sums[block] = sums.get(block, 0) + part
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int32()), pa.array([pack(x) for x in sums.values()], pa.binary())], names=["block", "counts"])
+        tokens = np.concatenate([np.cumsum(unpack(x.as_py(), "<u8")) for x in table.column("tokens")])
+        counts = np.concatenate([unpack(x.as_py(), "<u4") for x in table.column("counts")])
+        distinct, which = np.unique(tokens, return_inverse=True)
+        total = np.bincount(which, counts, len(distinct))
+        often = total >= least
+        kinds = np.minimum(np.floor(np.log2(total[often] / least)) + 1, FREQUENCY_CLASSES - 1)
+        return pa.table({"token": pa.array(distinct[often].view(np.int64)), "class": pa.array(kinds.astype(np.int32))})
+
+    asked = docs.select("text").mapInArrow(count, "shard int, tokens binary, counts binary")
+    return materialise(asked.groupBy("shard").applyInArrow(add_up, "token long, class int"), "join-frequent"), cut
+
+
+def _frequencies(docs: DataFrame, link: Link) -> Frequencies:
+    """The map of the frequency classes of frequent shingles; its size follows their number up to MOST_FREQUENT.
+
+    Where there are more, the lowest classes count as rare. Only the order of shingles depends on that, and it
+    is the same for all sets.
+    """
+    import numpy as np
 
-    schema = "block int, counts binary"
-    added = docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add_up, schema)
-    counts = np.zeros((COUNTER_BLOCKS, (1 << COUNTER_BITS) // COUNTER_BLOCKS), np.uint64)
-    for row in added.toLocalIterator():  # COUNTER_BLOCKS rows
-        counts[row["block"]] += unpack(row["counts"], "<u8")
-    classes = frequency_classes(counts.ravel())
-    return (classes[::2] << 4 | classes[1::2]).tobytes()
+    counted, cut = frequency_counts(docs, link)
+    sizes = {r["class"]: r["n"] for r in counted.groupBy("class").agg(F.count("*").alias("n")).collect()}  # FREQUENCY_CLASSES rows at most
+    lowest, n = FREQUENCY_CLASSES, 0
+    while lowest > 1 and n + sizes.get(lowest - 1, 0) <= MOST_FREQUENT:
+        lowest -= 1
+        n += sizes.get(lowest, 0)
+    table = counted.filter(F.col("class") >= lowest).toArrow()  # MOST_FREQUENT rows at most
+    found = Frequencies(b"", cut, max(10, (16 * n - 1).bit_length() if n else 0))
+    tokens, kinds = table.column("token").to_numpy().view(np.uint64), table.column("class").to_numpy().astype(np.uint8)
+    classes, order = np.zeros(1 << found.bits, np.uint8), np.argsort(kinds, kind="stable")
+    classes[found.places(tokens[order] << np.uint64(cut))] = kinds[order] - (lowest - 1)
+    return Frequencies((classes[::2] << 4 | classes[1::2]).tobytes(), cut, found.bits)
 
 
 def _pairs_of_groups(tokens, group):
@@ -151,7 +181,7 @@ def _pairs_of_groups(tokens, group):
     return np.concatenate(first) if first else none, np.concatenate(second) if second else none
 
 
-def index_keys(tokens, classes, link: Link):
+def index_keys(tokens, frequencies: Frequencies, link: Link):
     """(prefix, singles, keys of pairs, their weights) that a set is indexed under.
 
     Shingles are ordered by (frequency class, hash); class 0 is rare. A set's prefix is the shortest whose
@@ -166,8 +196,7 @@ def index_keys(tokens, classes, link: Link):
     import numpy as np
 
     n = len(tokens)
-    missing, places = may_miss(n, link), _counter(tokens)
-    kinds = classes[places >> 1] >> (4 - 4 * (places & 1)).astype(np.uint8) & 15
+    missing, kinds = may_miss(n, link), frequencies(tokens)
     order = np.argsort(kinds, kind="stable")
     ordered, rare = tokens[order], int((kinds == 0).sum())
     singles, keys, weights = min(rare, missing + 1), [], []
@@ -200,16 +229,16 @@ def _digests(tokens) -> tuple[int, int]:
     return (value >> 64) - (1 << 63), (value & (1 << 64) - 1) - (1 << 63)
 
 
-def _indexed(docs: DataFrame, classes: bytes, link: Link) -> DataFrame:
+def _indexed(docs: DataFrame, frequencies: Frequencies, link: Link) -> DataFrame:
     """(id, n, high, low, prefix, singles, pairs) of each document: size and digest of its set, and its index keys."""
-    sent = docs.sparkSession.sparkContext.broadcast(classes)  # 2**COUNTER_BITS half bytes
+    sent = docs.sparkSession.sparkContext.broadcast(frequencies)  # 16 half bytes for each of MOST_FREQUENT at most
     id_type = docs.schema["id"].dataType.simpleString()
 
     def index(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        kinds = np.frombuffer(sent.value, np.uint8)
+        frequencies = sent.value
 
         def lists(arrays, values):
             offsets = np.zeros(len(arrays) + 1, np.int32)
@@ -222,7 +251,7 @@ def _indexed(docs: DataFrame, classes: bytes, link: Link) -> DataFrame:
                 tokens = shingles(data, link.words)
                 sizes.append(len(tokens))
                 digests.append(_digests(tokens) if len(tokens) else (None, None))
-                prefix, single, key, weight = index_keys(tokens, kinds, link) if len(tokens) else (tokens, 0, tokens, tokens)
+                prefix, single, key, weight = index_keys(tokens, frequencies, link) if len(tokens) else (tokens, 0, tokens, tokens)
                 for column, value in zip((singles, prefixes, keys, weights), (single, prefix, key, weight)):
                     column.append(value)
             flat = [np.concatenate(x) if x else np.zeros(0) for x in (prefixes, keys, weights)]
