@@ -9,7 +9,7 @@ from itertools import chain
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import kept
+from .common import give_back, kept
 
 #: Entries that a worker's caches of encoded chunks and pieces hold before they start anew.
 CACHE_ENTRIES = 1 << 19
@@ -18,7 +18,7 @@ CACHE_CHARS = 64
 #: Characters that often end a word.
 PUNCTUATION = ".,;:!?#$%&*|"
 #: Bytes of the texts that a worker encodes together, about; a longer text is a group of its own.
-GROUP_BYTES = 1 << 23
+GROUP_BYTES = 1 << 22
 #: Pieces that one queue merges.
 MERGED_PIECES = 1 << 14
 
@@ -180,9 +180,10 @@ class TextEncoder:
     together.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[list[int]]], pattern: str):
+    def __init__(self, encode_pieces: Callable[[list[str]], list[list[int]]], pattern: str, entries: int = CACHE_ENTRIES):
         import regex
 
+        self.entries = entries
         # regex counts \x1c-\x1f as white space, Unicode's property (which the reference libraries use) doesn't
         self.find = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")).findall
         # a run of letters is one match with the space before it, and punctuation after it another
@@ -210,7 +211,7 @@ class TextEncoder:
         """Each list of pieces encoded; pieces that are new are encoded together and remembered."""
         import numpy as np
 
-        spaced, bare = self.after_space, self.bare
+        spaced, bare, fresh = self.after_space, self.bare, {}
         every = [*{p for pieces in cut for p in pieces if (p[1:] not in spaced if p[0] == " " and p[:2] != " \n" else p not in bare)}]
         for begin in range(0, len(every), MERGED_PIECES):
             new = every[begin : begin + MERGED_PIECES]
@@ -219,11 +220,14 @@ class TextEncoder:
             for piece, ids in zip(new, coded):
                 value = flat[at : at + 4 * len(ids)]
                 at += 4 * len(ids)
+                fresh[piece] = value
+                if len(piece) > CACHE_CHARS:
+                    continue
                 if piece[0] == " " and piece[:2] != " \n":
                     spaced[piece[1:]] = value
                 else:
                     bare[piece] = value
-        return [b"".join([spaced[p[1:]] if p[0] == " " and p[:2] != " \n" else bare[p] for p in pieces]) for pieces in cut]
+        return [b"".join([fresh.get(p) or (spaced[p[1:]] if p[0] == " " and p[:2] != " \n" else bare[p]) for p in pieces]) for pieces in cut]
 
     def encode(self, texts) -> list[bytes]:
         """Each text of a list or an Arrow array; nulls have no ids."""
@@ -242,14 +246,15 @@ class TextEncoder:
         cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
         for begin, end in zip(cuts, cuts[1:]):
             yield begin, self._encode(texts.slice(begin, end - begin))
+        give_back()
 
     def _encode(self, texts) -> list[bytes]:
         import numpy as np
         import pyarrow.compute as pc
 
-        if len(self.after_space) > CACHE_ENTRIES // 2:  # what isn't met again while this fills anew is forgotten
+        if len(self.after_space) > self.entries // 2:  # what isn't met again while this fills anew is forgotten
             self.older, self.after_space = self.after_space, {}
-        if len(self.bare) > CACHE_ENTRIES // 2:
+        if len(self.bare) > self.entries // 2:
             self.bare.clear()
         marked = pc.replace_substring(texts, "\n", " \n")
         in_runs = pc.or_(pc.match_substring(marked, "  "), pc.match_substring(texts, "\n\n")).to_numpy(zero_copy_only=False)
@@ -304,7 +309,7 @@ def _make_coder(path: str, pattern: str) -> tuple[TextEncoder, list[bytes]]:
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    return TextEncoder(lambda pieces: merger.ids([p.encode() for p in pieces]), pattern), table
+    return TextEncoder(lambda pieces: merger.ids([p.encode() for p in pieces]), pattern, CACHE_ENTRIES // 2), table
 
 
 def encode_text(text: str | None, path: str, pattern: str) -> list[int]:

@@ -64,6 +64,19 @@ def slices(batches: Iterator, column: int, most_bytes: int) -> Iterator:
         for begin, end in zip(cuts, cuts[1:]):
             if end > begin:
                 yield batch.slice(begin, end - begin)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: idle workers share an executor's memory with those that work."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
 
 
 def pack(values) -> bytes:
@@ -90,6 +103,7 @@ def kept(name, make: Callable):
     """What a Python worker keeps from task to task. Workers serve all operators in turn, so they keep one thing at a time."""
     if name not in _KEPT:
         _KEPT.clear()
+        give_back()
         _KEPT[name] = make()
     return _KEPT[name]
 
