@@ -9,7 +9,7 @@ from itertools import chain
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import give_back, kept
+from .common import give_back, kept, small_batches
 
 #: Entries that a worker's caches of encoded chunks and pieces hold before they start anew.
 CACHE_ENTRIES = 1 << 19
@@ -180,10 +180,10 @@ class TextEncoder:
     together.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[list[int]]], pattern: str, entries: int = CACHE_ENTRIES):
+    def __init__(self, encode_pieces: Callable[[list[str]], list[list[int]]], pattern: str, entries: int = CACHE_ENTRIES, group_bytes: int = GROUP_BYTES):
         import regex
 
-        self.entries = entries
+        self.entries, self.group_bytes = entries, group_bytes
         # regex counts \x1c-\x1f as white space, Unicode's property (which the reference libraries use) doesn't
         self.find = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")).findall
         # a run of letters is one match with the space before it, and punctuation after it another
@@ -242,7 +242,7 @@ class TextEncoder:
         if not isinstance(texts, pa.Array):
             texts = pa.array(texts, pa.string())
         texts = pc.fill_null(texts, "")
-        groups = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // GROUP_BYTES
+        groups = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // self.group_bytes
         cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
         for begin, end in zip(cuts, cuts[1:]):
             yield begin, self._encode(texts.slice(begin, end - begin))
@@ -309,7 +309,7 @@ def _make_coder(path: str, pattern: str) -> tuple[TextEncoder, list[bytes]]:
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    return TextEncoder(lambda pieces: merger.ids([p.encode() for p in pieces]), pattern, CACHE_ENTRIES // 2), table
+    return TextEncoder(lambda pieces: merger.ids([p.encode() for p in pieces]), pattern, CACHE_ENTRIES // 4, GROUP_BYTES // 4), table
 
 
 def encode_text(text: str | None, path: str, pattern: str) -> list[int]:
@@ -345,6 +345,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text")
     their partitions; nothing is shuffled.
     """
     rows = docs.drop("ids")
+    small_batches(docs.sparkSession)
 
     def encode(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -382,6 +383,7 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
     """
     rows = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
     id_type = rows.schema[0].dataType.simpleString()
+    small_batches(docs.sparkSession)
 
     def work(batches: Iterator) -> Iterator:
         import numpy as np

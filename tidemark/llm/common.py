@@ -13,12 +13,21 @@ from tidemark.sources.shared import shared_folder
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Hashes of words that a worker remembers.
 CACHE_WORDS = 1 << 17
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 2000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches have BATCH_ROWS rows where the session has Spark's default: texts of 10,000 rows are too much at a time."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
+
+
 def materialise(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write df as Parquet into the shared folder and read it back.
 

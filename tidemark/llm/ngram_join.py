@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialise, pack, slices, text_bytes, unpack, windows, word_hashes
+from .common import materialise, pack, slices, small_batches, text_bytes, unpack, windows, word_hashes
 from .components import connected_components
 
 #: Documents that a shingle is frequent in at least; each doubling is a further class, up to FREQUENCY_CLASSES.
@@ -405,6 +405,7 @@ def ngram_join(docs: DataFrame, link: Link = Link(), id_col: str = "doc_id", tex
     rows are returned each; rows with the same id and different sets are nodes of their own. Very long texts
     are whole sets like any other. Empty table: no rows.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     indexed = materialise(_indexed(rows, _frequencies(rows, link), link), "join-index")
     digest = ["high", "low"]

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import text_bytes, windows, word_hashes
+from .common import small_batches, text_bytes, windows, word_hashes
 
 #: Buckets of the hashed features and the n-gram orders that go into them.
 FEATURE_BITS = 17
@@ -200,6 +200,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     Scoring is one pass in Arrow batches without a shuffle; the model is 2**FEATURE_BITS floats.
     """
     rows = docs.drop(*RESULTS)
+    small_batches(docs.sparkSession)
     model = train(rows, labels, id_col, text_col, sample_rows)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**FEATURE_BITS floats
 
