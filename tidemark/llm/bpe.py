@@ -18,7 +18,7 @@ CACHE_CHARS = 64
 #: Characters that often end a word.
 PUNCTUATION = ".,;:!?#$%&*|"
 #: Bytes of the texts that a worker encodes together, about; a longer text is a group of its own.
-GROUP_BYTES = 1 << 22
+GROUP_BYTES = 1 << 23
 #: Pieces that one queue merges.
 MERGED_PIECES = 1 << 14
 
@@ -309,7 +309,7 @@ def _make_coder(path: str, pattern: str) -> tuple[TextEncoder, list[bytes]]:
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    return TextEncoder(lambda pieces: merger.ids([p.encode() for p in pieces]), pattern, CACHE_ENTRIES // 4, GROUP_BYTES // 4), table
+    return TextEncoder(lambda pieces: merger.ids([p.encode() for p in pieces]), pattern, CACHE_ENTRIES // 4, GROUP_BYTES // 8), table
 
 
 def encode_text(text: str | None, path: str, pattern: str) -> list[int]:
