@@ -22,16 +22,16 @@ def candle_violations() -> Column:
 
 
 def quarantine(rows: DataFrame) -> DataFrame:
-    """rows with the first reason that sets a candle aside, null for admitted ones."""
-    reason = F.when(F.col("low") > F.col("high"), "low_exceeds_high")
+    """rows with the first reason that sets a candle aside, null for admitted ones; `rejected` ones can't be candles at all."""
+    reason = F.when((F.least("open", "high", "low", "close") <= 0) | (F.col("volume") < 0), "rejected").when(F.col("low") > F.col("high"), "low_exceeds_high")
     for price in ("open", "close"):
         reason = reason.when((F.col(price) < F.col("low")) | (F.col(price) > F.col("high")), f"{price}_outside_low_high")
     return rows.withColumn("reason", reason)
 
 
 def representation_admission(rows: DataFrame, volume: str = "volume") -> DataFrame:
-    """rows with the reason that excludes a volume finer than the canonical scale; null for admitted ones."""
-    return rows.withColumn("reason", F.when(~exact.fits_decimal(F.col(volume), exact.VOLUME_SCALE), "volume_exceeds_canonical_scale"))
+    """rows with the reason that excludes a volume, below zero or finer than the canonical scale; null for admitted ones."""
+    return rows.withColumn("reason", F.when(F.startswith(volume, F.lit("-")), "negative_volume").when(~exact.fits_decimal(F.col(volume), exact.VOLUME_SCALE), "volume_exceeds_canonical_scale"))
 
 
 def funding_violations() -> Column:

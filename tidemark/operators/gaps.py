@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.times import MINUTE
 
@@ -12,19 +12,19 @@ def distinct_keys(rows: DataFrame) -> DataFrame:
 
 
 def gap_ranges(requests: DataFrame, rows: DataFrame, step: int = MINUTE) -> DataFrame:
-    """Maximal missing runs (k, gap_start, gap_end, minutes) of requested series (k, start, stop; both inclusive).
+    """Maximal missing runs (k, start, stop, gap_start, gap_end, minutes) of requested series (k, start, stop; both inclusive).
 
     Leading, internal and trailing runs, and the whole series where nothing is observed. Only the observed
-    keys are sorted; missing keys are never listed.
+    keys are sorted; missing keys are never listed. Requests may overlap; repeated ones count once.
     """
-    wanted = requests.select("k", "start", "stop")
+    wanted = requests.select("k", "start", "stop").distinct()
     seen = distinct_keys(rows).join(wanted, "k").filter((F.col("t") >= F.col("start")) & (F.col("t") <= F.col("stop")))
     line = Window.partitionBy("k", "start", "stop").orderBy("t")
     inner = seen.select("k", "start", "stop", "t", F.coalesce(F.lag("t").over(line), F.col("start") - step).alias("before"))
-    inner = inner.filter(F.col("t") - F.col("before") > step).select("k", (F.col("before") + step).alias("gap_start"), (F.col("t") - step).alias("gap_end"))
+    inner = inner.filter(F.col("t") - F.col("before") > step).select("k", "start", "stop", (F.col("before") + step).alias("gap_start"), (F.col("t") - step).alias("gap_end"))
     last = seen.groupBy("k", "start", "stop").agg(F.max("t").alias("last"))
     tail = wanted.join(last, ["k", "start", "stop"], "left").select(
-        "k", F.coalesce(F.col("last") + step, F.col("start")).alias("gap_start"), F.col("stop").alias("gap_end")).filter("gap_start <= gap_end")
+        "k", "start", "stop", F.coalesce(F.col("last") + step, F.col("start")).alias("gap_start"), F.col("stop").alias("gap_end")).filter("gap_start <= gap_end")
     both = inner.unionByName(tail)
     return both.withColumn("minutes", ((F.col("gap_end") - F.col("gap_start")) / step + 1).cast("long"))
 
@@ -32,15 +32,17 @@ def gap_ranges(requests: DataFrame, rows: DataFrame, step: int = MINUTE) -> Data
 def gap_topology(requests: DataFrame, rows: DataFrame, step: int = MINUTE) -> DataFrame:
     """Leading, internal, trailing and fully absent minutes and ranges of each series; they sum to `missing`."""
     gaps = gap_ranges(requests, rows, step)
-    met = requests.select("k", "start", "stop").join(gaps.withColumnRenamed("k", "g"), (F.col("k") == F.col("g")) & (F.col("gap_start") >= F.col("start")) & (F.col("gap_end") <= F.col("stop")), "left")
     absent = (F.col("gap_start") == F.col("start")) & (F.col("gap_end") == F.col("stop"))
     leading = ~absent & (F.col("gap_start") == F.col("start"))
     trailing = ~absent & (F.col("gap_end") == F.col("stop"))
-    internal = ~absent & ~leading & ~trailing & F.col("minutes").isNotNull()
+    internal = ~absent & ~leading & ~trailing
     sums = {"absent": absent, "leading": leading, "trailing": trailing, "internal": internal}
-    columns = [F.coalesce(F.sum(F.when(c, F.col("minutes"))), F.lit(0)).alias(f"{n}_minutes") for n, c in sums.items()]
+    columns = [F.sum(F.when(c, F.col("minutes"))).alias(f"{n}_minutes") for n, c in sums.items()]
     columns += [F.count(F.when(c, 1)).alias(f"{n}_ranges") for n, c in sums.items()]
-    return met.groupBy("k", "start", "stop").agg(*columns, F.coalesce(F.sum("minutes"), F.lit(0)).alias("missing"))
+    counted = gaps.groupBy("k", "start", "stop").agg(*columns, F.sum("minutes").alias("missing"))
+    names = counted.columns[3:]
+    every = requests.select("k", "start", "stop").distinct().join(counted, ["k", "start", "stop"], "left")
+    return every.select("k", "start", "stop", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in names])
 
 
 def missing_keys(requests: DataFrame, rows: DataFrame, step: int = MINUTE) -> DataFrame:
@@ -130,7 +132,3 @@ def page_shape(pages: DataFrame, size: int, step: int = MINUTE) -> DataFrame:
     return marked.groupBy("page").agg(
         F.count("*").alias("n"), F.min("t").alias("first"), F.max("t").alias("last"),
         (F.bool_and("falls") & (F.count("*") == size) & (F.countDistinct("t") == size)).alias("full"))
-
-
-def is_aligned(t: Column, step: int = MINUTE) -> Column:
-    return F.pmod(t, F.lit(step)) == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemark.functions.times import DAY, utc_date
 
@@ -84,12 +84,19 @@ def reconcile_stages(acquired: DataFrame, published: DataFrame) -> DataFrame:
     return acquired.join(published, "kind").withColumn("agree", F.col("acquired") == F.col("published"))
 
 
-def completeness_profile(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows, blank values of each column, and rows that repeat another."""
+def completeness_profile(rows: DataFrame, columns: list[str], url: str | None = None) -> DataFrame:
+    """Rows, blank values of each column, and rows that repeat another; with a column `url` also those whose url repeats another's.
+
+    Rows repeat one another if all columns are equal, null being equal to null alone.
+    """
     blanks = [F.count(F.when(F.col(c).isNull() | (F.trim(c) == ""), 1)).alias(f"blank_{c}") for c in columns]
-    digest = F.md5(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in columns]).cast("binary"))
-    repeats = rows.groupBy(digest.alias("d")).agg(F.count("*").alias("c")).agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("repeated_items"))
-    return rows.agg(F.count("*").alias("n"), *blanks).crossJoin(repeats)  # one row each
+    digest = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)  # keeps columns apart
+
+    def repeats(df: DataFrame, key: Column, name: str) -> DataFrame:
+        return df.groupBy(key.alias("d")).agg(F.count("*").alias("c")).agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias(name))
+
+    profile = rows.agg(F.count("*").alias("n"), *blanks).crossJoin(repeats(rows, digest, "repeated_items"))  # one row each
+    return profile.crossJoin(repeats(rows.filter(F.trim(url) != ""), F.col(url), "repeated_urls")) if url else profile  # one row each
 
 
 def adjacent_inversions(rows: DataFrame, line: WindowSpec) -> DataFrame:

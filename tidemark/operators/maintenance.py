@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.exact import stable_bucket
-from tidemark.functions.times import MINUTE
 from tidemark.sources import canonical
 
 # Fixed values of the layout.
@@ -68,12 +67,10 @@ def repair_outcome(tasks: DataFrame, returned: DataFrame) -> DataFrame:
 
 
 def repair_classification(coverage: DataFrame) -> DataFrame:
-    """What may be done for each audited series: nothing, a repair of gaps without data, or neither and why."""
-    kind = (F.when(F.col("passed"), "not_blocked").when(F.col("duplicates") + F.col("unexpected") > 0, "ineligible_key_defects")
+    """What may be done for each audited series: nothing, a repair of gaps without data, or neither and why.
+
+    Series whose `kind` is funding have a repair of their own and are kept apart.
+    """
+    kind = (F.when(F.col("kind") == "funding", "funding_separate").when(F.col("passed"), "not_blocked").when(F.col("duplicates") + F.col("unexpected") > 0, "ineligible_key_defects")
             .when(F.col("quarantined_missing") > 0, "ineligible_quarantined").when(F.col("excluded_missing") > 0, "ineligible_excluded").otherwise("eligible"))
     return coverage.withColumn("class", kind)
-
-
-def minute_keys(gaps: DataFrame) -> DataFrame:
-    """(k, t) of the minutes of gaps."""
-    return gaps.select("k", F.explode(F.sequence("gap_start", "gap_end", F.lit(MINUTE))).alias("t"))

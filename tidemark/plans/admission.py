@@ -52,13 +52,12 @@ def decimal_text(spark, sf_dir):
     return texts(spark, sf_dir).select("l_orderkey", "line", exact.decimal_text(F.col("price")).alias("price_text"))
 
 
-@query("B9_representation_admission", _sql("""select l_orderkey % 10 as series, count(*) as source, count(*) filter (length(volume_tail) <= 4) as admitted, count(*) filter (length(volume_tail) > 4) as volume_exceeds_canonical_scale
-  from parts where left(volume, 1) <> '-' group by 1"""))
+@query("B9_representation_admission", _sql("""select l_orderkey % 10 as series, count(*) as source, count(*) filter (length(volume_tail) <= 4 and left(volume, 1) <> '-') as admitted,
+  count(*) filter (length(volume_tail) > 4 and left(volume, 1) <> '-') as volume_exceeds_canonical_scale, count(*) filter (left(volume, 1) = '-') as negative_volume from parts group by 1"""))
 def admission(spark, sf_dir):
-    rows = texts(spark, sf_dir).filter(~F.startswith("volume", F.lit("-")))
-    marked = ops.representation_admission(rows)
+    marked = ops.representation_admission(texts(spark, sf_dir))
     return marked.groupBy(F.pmod("l_orderkey", F.lit(10)).alias("series")).agg(
-        F.count("*").alias("source"), F.count(F.when(F.col("reason").isNull(), 1)).alias("admitted"), F.count("reason").alias("volume_exceeds_canonical_scale"))
+        F.count("*").alias("source"), F.count(F.when(F.col("reason").isNull(), 1)).alias("admitted"), *[F.count(F.when(F.col("reason") == r, 1)).alias(r) for r in ("volume_exceeds_canonical_scale", "negative_volume")])
 
 
 @query("B3_stable_bucket", with_views("ticks", sql="select k, k % 8 as bucket, count(*) as n from ticks group by 1, 2"))
@@ -97,12 +96,11 @@ def candle_violations(spark, sf_dir):
     return candles(spark, sf_dir).select("k", "line", F.array_join(ops.candle_violations(), ",").alias("codes"))
 
 
-@query("B8_quarantine_candles", f"""with {CANDLES}, judged as (select *, case when low > high then 'low_exceeds_high' when open < low or open > high then 'open_outside_low_high'
-  when close < low or close > high then 'close_outside_low_high' end as reason from candles where least(open, high, low, close) > 0 and volume >= 0)
+@query("B8_quarantine_candles", f"""with {CANDLES}, judged as (select *, case when least(open, high, low, close) <= 0 or volume < 0 then 'rejected' when low > high then 'low_exceeds_high' when open < low or open > high then 'open_outside_low_high'
+  when close < low or close > high then 'close_outside_low_high' end as reason from candles)
   select coalesce(reason, 'admitted') as reason, count(*) as n, min(k) as first_k from judged group by 1""")
 def quarantine(spark, sf_dir):
-    rows = candles(spark, sf_dir).filter((F.least("open", "high", "low", "close") > 0) & (F.col("volume") >= 0))
-    marked = ops.quarantine(rows)
+    marked = ops.quarantine(candles(spark, sf_dir))
     return marked.groupBy(F.coalesce("reason", F.lit("admitted")).alias("reason")).agg(F.count("*").alias("n"), F.min("k").alias("first_k"))
 
 
@@ -156,7 +154,8 @@ def to_decimal(spark, sf_dir):
     return views.ticks(spark, sf_dir).select("event_id", exact.units_to_decimal(F.col("price"), 2).cast("string").alias("price"))
 
 
-@query("B20_spreads", with_views("instruments", "tickers", sql="""select i.symbol, (t.high - t.low) * 10000 // i.price as range_bps, greatest(i.size * i.price, 50000) as minimum_order from instruments i join tickers t on i.symbol = t.symbol"""))
+@query("B20_spreads", with_views("instruments", "tickers", sql="""select i.symbol, (t.high - t.low) * 10000 // i.price as range_bps, (t.high - t.low) * 20000 // (t.high + t.low) as spread_bps, greatest(i.size * i.price, 50000) as minimum_order from instruments i join tickers t on i.symbol = t.symbol"""))
 def spreads(spark, sf_dir):
     met = views.instruments(spark, sf_dir).join(views.tickers(spark, sf_dir), "symbol")
-    return met.select("symbol", F.floor((F.col("high") - F.col("low")) * 10_000 / F.col("price")).alias("range_bps"), F.greatest(F.col("size") * F.col("price"), F.lit(50_000)).alias("minimum_order"))
+    return met.select("symbol", F.floor((F.col("high") - F.col("low")) * 10_000 / F.col("price")).alias("range_bps"),
+                      F.floor((F.col("high") - F.col("low")) * 20_000 / (F.col("high") + F.col("low"))).alias("spread_bps"), F.greatest(F.col("size") * F.col("price"), F.lit(50_000)).alias("minimum_order"))

@@ -29,18 +29,29 @@ def _both(spark, sf_dir):
 
 @query("E13_gap_ranges", with_views("bars", sql=f"with {GAPS} select k, gap_start, gap_end, ((gap_end - gap_start) // 60000 + 1)::bigint as minutes from gaps"))
 def gap_ranges(spark, sf_dir):
-    return ops.gap_ranges(*_both(spark, sf_dir))
-
-
-@query("E14_gap_topology", with_views("bars", sql=f"""with {GAPS},
-  sized as (select g.*, r.start, r.stop, (gap_end - gap_start) // 60000 + 1 as m from gaps g join requests r using (k))
-  select k, start, stop, 0::bigint as absent_minutes, sum(case when gap_start = start then m else 0 end)::bigint as leading_minutes,
-    sum(case when gap_end = stop then m else 0 end)::bigint as trailing_minutes, sum(case when gap_start <> start and gap_end <> stop then m else 0 end)::bigint as internal_minutes,
-    0::bigint as absent_ranges, count(*) filter (gap_start = start) as leading_ranges, count(*) filter (gap_end = stop) as trailing_ranges,
-    count(*) filter (gap_start <> start and gap_end <> stop) as internal_ranges, sum(m)::bigint as missing
-  from sized group by k, start, stop"""))
+    return ops.gap_ranges(*_both(spark, sf_dir)).select("k", "gap_start", "gap_end", "minutes")
+
+
+# beside each series an overlapping one for every other instrument, one that is whole, and one of an instrument without rows
+@query("E14_gap_topology", with_views("bars", sql=f"""with first_{REQUESTS},
+  requests as (select * from first_requests union select k, start + 600000, stop + 1200000 from first_requests where k % 2 = 0
+    union select k, min(t), min(t) from bars where k % 3 = 0 group by k union select k + 1000000, start, stop from first_requests where k % 5 = 0),
+  seen as (select r.*, b.t, coalesce(lag(b.t) over (partition by r.k, r.start, r.stop order by b.t), r.start - 60000) as before from requests r join bars b on b.k = r.k and b.t between r.start and r.stop),
+  gaps as (select k, start, stop, before + 60000 as gap_start, t - 60000 as gap_end from seen where t - before > 60000
+    union all select r.k, r.start, r.stop, coalesce(max(s.t) + 60000, r.start), r.stop from requests r left join seen s on s.k = r.k and s.start = r.start and s.stop = r.stop
+    group by r.k, r.start, r.stop having coalesce(max(s.t) + 60000, r.start) <= r.stop),
+  sized as (select *, (gap_end - gap_start) // 60000 + 1 as m, case when gap_start = start and gap_end = stop then 'absent' when gap_start = start then 'leading' when gap_end = stop then 'trailing' else 'internal' end as kind from gaps)
+  select k, start, stop, coalesce(sum(m) filter (kind = 'absent'), 0)::bigint as absent_minutes, coalesce(sum(m) filter (kind = 'leading'), 0)::bigint as leading_minutes,
+    coalesce(sum(m) filter (kind = 'trailing'), 0)::bigint as trailing_minutes, coalesce(sum(m) filter (kind = 'internal'), 0)::bigint as internal_minutes,
+    count(*) filter (kind = 'absent') as absent_ranges, count(*) filter (kind = 'leading') as leading_ranges, count(*) filter (kind = 'trailing') as trailing_ranges,
+    count(*) filter (kind = 'internal') as internal_ranges, coalesce(sum(m), 0)::bigint as missing
+  from requests left join sized using (k, start, stop) group by k, start, stop"""))
 def gap_topology(spark, sf_dir):
-    return ops.gap_topology(*_both(spark, sf_dir))
+    first, bars = _both(spark, sf_dir)
+    later = first.filter("k % 2 = 0").select("k", (F.col("start") + 600_000).alias("start"), (F.col("stop") + 1_200_000).alias("stop"))
+    whole = bars.filter("k % 3 = 0").groupBy("k").agg(F.min("t").alias("start"), F.min("t").alias("stop"))
+    absent = first.filter("k % 5 = 0").select((F.col("k") + 1_000_000).alias("k"), "start", "stop")
+    return ops.gap_topology(first.unionByName(later).unionByName(whole).unionByName(absent), bars)
 
 
 @query("F5_gap_examples", with_views("bars", sql=f"""with {GAPS}, ranked as (select *, row_number() over (partition by k order by gap_start) as place from gaps)

@@ -123,14 +123,30 @@ def archive_bounds(spark, sf_dir):
     return rows.groupBy("kind").agg(F.min("t").alias("oldest"), F.max("t").alias("newest"), F.count("*").alias("n"), F.count(F.when(F.col("t") > F.col("prev"), 1)).alias("inversions"))
 
 
-@query("D20_completeness_profile", """with items as (select text, source, md5(coalesce(text, '') || '|' || coalesce(source, '')) as d from documents)
+# with rows that differ only in where their columns part: ("7|", "b") and ("7", "|b")
+PROFILED = """items as (select text, source from documents union all select (doc_id // 10) || '|', 'b' from documents where doc_id % 10 <> 2 and doc_id % 5 = 2
+  union all select (doc_id // 10)::varchar, '|b' from documents where doc_id % 10 = 2)"""
+
+
+@query("D20_completeness_profile", f"""with {PROFILED}
   select count(*) as n, count(*) filter (text is null or trim(text) = '') as blank_text, count(*) filter (source is null or trim(source) = '') as blank_source,
-    (select coalesce(sum(c - 1), 0)::bigint from (select count(*) as c from items group by d) where c > 1) as repeated_items from items""")
+    (select coalesce(sum(c - 1), 0)::bigint from (select count(*) as c from items group by text, source) where c > 1) as repeated_items from items""")
 def completeness(spark, sf_dir):
-    rows = views.table(spark, sf_dir, "documents").select("text", "source")
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows = docs.select("text", "source")
+    for before, after, rest in (("", "|", "<> 2"), ("|", "", "= 2")):
+        parted = docs.filter(f"doc_id % 10 {rest} and doc_id % 5 = 2")
+        rows = rows.unionByName(parted.select(F.concat(F.floor(F.col("doc_id") / 10).cast("string"), F.lit(after)).alias("text"), F.concat(F.lit(before), F.lit("b")).alias("source")))
     return ops.completeness_profile(rows, ["text", "source"])
 
 
+@query("D20_page_profile", """select count(*) as n, count(*) filter (url is null or trim(url) = '') as blank_url, count(*) filter (html is null or trim(html) = '') as blank_html,
+    (select coalesce(sum(c - 1), 0)::bigint from (select count(*) as c from pages group by url, html)) as repeated_items,
+    (select coalesce(sum(c - 1), 0)::bigint from (select count(*) as c from pages where trim(url) <> '' group by url)) as repeated_urls from pages""")
+def page_profile(spark, sf_dir):
+    return ops.completeness_profile(views.table(spark, sf_dir, "pages").select("url", "html"), ["url", "html"], "url")
+
+
 @query("E20_adjacent_inversions", with_views("ticks", sql="with l as (select k, t, lag(t) over (partition by k order by event_id desc) as prev from ticks) select k, count(*) filter (t > prev) as inversions from l group by k"))
 def inversions(spark, sf_dir):
     return ops.adjacent_inversions(views.ticks(spark, sf_dir), Window.partitionBy("k").orderBy(F.col("event_id").desc()))

@@ -44,7 +44,7 @@ def size_class(spark, sf_dir):
 
 def _gaps(spark, sf_dir):
     bars = views.minute_bars(spark, sf_dir)
-    return gaps.gap_ranges(requests(bars), bars)
+    return gaps.gap_ranges(requests(bars), bars).drop("start", "stop")
 
 
 EXPLAINED = f"""{GAPS}, sized as (select k, gap_start, gap_end, ((gap_end - gap_start) // 60000 + 1)::bigint as minutes from gaps),
@@ -81,10 +81,11 @@ def outcome(spark, sf_dir):
     return ops.repair_outcome(_tasks(spark, sf_dir), returned)
 
 
-@query("H12_repair_classification", with_views("bars", sql=f"""with {COVERAGE_SQL} select k, missing, case when passed then 'not_blocked' when quarantined_missing > 0 then 'ineligible_quarantined'
+@query("H12_repair_classification", with_views("bars", sql=f"""with {COVERAGE_SQL} select k, missing, case when k % 4 = 3 then 'funding_separate' when passed then 'not_blocked' when quarantined_missing > 0 then 'ineligible_quarantined'
   when excluded_missing > 0 then 'ineligible_excluded' else 'eligible' end as class from coverage"""))
 def classification(spark, sf_dir):
-    return ops.repair_classification(_coverage(spark, sf_dir)).select("k", "missing", "class")
+    kind = F.when(F.pmod("k", F.lit(4)) == 3, "funding").otherwise("candles")
+    return ops.repair_classification(_coverage(spark, sf_dir).withColumn("kind", kind)).select("k", "missing", "class")
 
 
 @query("H13_fragment_and_rewrite", with_views("bars", sql=SUMMARY))
