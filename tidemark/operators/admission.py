@@ -13,12 +13,13 @@ def _codes(rules: dict[str, Column]) -> Column:
 
 
 def candle_violations() -> Column:
-    """Codes of the rules that a candle (k, t, open, high, low, close, volume) breaks."""
+    """Codes of the rules that a candle (k, t, open, high, low, close, volume, turnover, source_id) breaks."""
     outside = {p: (F.col(p) < F.col("low")) | (F.col(p) > F.col("high")) for p in ("open", "close")}
     return _codes({
         "instrument_id": F.col("k") <= 0, "not_minute_aligned": F.pmod("t", F.lit(MINUTE)) != 0,
         "non_positive_price": F.least("open", "high", "low", "close") <= 0, "low_exceeds_high": F.col("low") > F.col("high"),
-        "open_outside_low_high": outside["open"], "close_outside_low_high": outside["close"], "negative_volume": F.col("volume") < 0})
+        "open_outside_low_high": outside["open"], "close_outside_low_high": outside["close"], "negative_volume": F.col("volume") < 0,
+        "negative_turnover": F.col("turnover") < 0, "empty_source_id": F.coalesce(F.trim("source_id"), F.lit("")) == ""})
 
 
 def quarantine(rows: DataFrame) -> DataFrame:
@@ -40,5 +41,6 @@ def funding_violations() -> Column:
 
 
 def instrument_violations() -> Column:
-    """Codes of the rules that an instrument (tick, min_quantity, max_quantity, launch, delivery) breaks."""
-    return _codes({"non_positive_tick": F.col("tick") <= 0, "quantity_bounds": F.col("min_quantity") > F.col("max_quantity"), "delivery_before_launch": F.col("delivery") < F.col("launch")})
+    """Codes of the rules that an instrument (tick, step, min/max_quantity, min/max_leverage, launch, delivery) breaks."""
+    positive = {f"non_positive_{c}": F.col(c) <= 0 for c in ("tick", "step", "min_quantity", "max_quantity", "min_leverage", "max_leverage")}
+    return _codes(positive | {"leverage_bounds": F.col("min_leverage") > F.col("max_leverage"), "quantity_bounds": F.col("min_quantity") > F.col("max_quantity"), "delivery_before_launch": F.col("delivery") < F.col("launch")})

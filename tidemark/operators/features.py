@@ -81,3 +81,23 @@ def forward_excursion(bars: DataFrame, rows: int) -> DataFrame:
     ahead = Window.partitionBy("k").orderBy("t").rowsBetween(1, rows)
     full = F.count("*").over(ahead) == rows
     return bars.withColumns({"adverse": F.when(full, F.col("close") - F.min("low").over(ahead)), "favourable": F.when(full, F.max("high").over(ahead) - F.col("close"))})
+
+
+def outcome_metrics(moves: DataFrame) -> DataFrame:
+    """Of each instrument's outcomes (k, t, net): sums, expectancy, profit factor, the 5% quantile, the mean of the worst 1%,
+    the longest run of losses and the best month's share of the gains."""
+    line = Window.partitionBy("k").orderBy("t")
+    run = F.row_number().over(line) - F.row_number().over(Window.partitionBy("k", F.col("net") < 0).orderBy("t"))
+    place = F.row_number().over(Window.partitionBy("k").orderBy("net", "t"))
+    tail = place <= F.ceil(F.count("*").over(Window.partitionBy("k")) * 0.01)
+    marked = moves.withColumns({"run": run, "tail": tail, "gain": F.when(F.col("net") > 0, F.col("net")).otherwise(0), "loss": F.when(F.col("net") < 0, -F.col("net")).otherwise(0)})
+    runs = marked.filter("net < 0").groupBy("k", "run").agg(F.count("*").alias("c")).groupBy("k").agg(F.max("c").alias("longest"))
+    month = F.date_trunc("month", F.timestamp_millis("t"))
+    months = marked.groupBy("k", month.alias("month")).agg(F.sum("gain").alias("g")).groupBy("k").agg(F.max("g").alias("best_month"))
+    sums = marked.groupBy("k").agg(
+        F.sum("net").alias("net_sum"), F.count("*").alias("n"), F.sum("gain").alias("gains"), F.sum("loss").alias("losses"),
+        F.expr("percentile_disc(0.05) within group (order by net)").cast("long").alias("worst"), F.round(F.sum("net") / F.count("*"), 6).alias("expectancy"),
+        F.round(F.avg(F.when(F.col("tail"), F.col("net"))), 6).alias("tail_mean"))
+    met = sums.join(runs, "k", "left").join(months, "k")
+    return met.select(*sums.columns, F.when(F.col("losses") > 0, F.round(F.col("gains") / F.col("losses"), 6)).alias("profit_factor"),
+                      F.coalesce("longest", F.lit(0)).alias("longest_losses"), F.when(F.col("gains") > 0, F.round(F.col("best_month") / F.col("gains"), 6)).alias("month_share"))

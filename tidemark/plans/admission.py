@@ -76,6 +76,7 @@ def partitions(spark, sf_dir):
 CANDLES = """candles as (select l_orderkey as k, l_linenumber::bigint as line, round(l_extendedprice * 100)::bigint as open, round(l_extendedprice * 100)::bigint + l_partkey % 500 as high,
   round(l_extendedprice * 100)::bigint - l_suppkey % 300 - case when l_partkey % 29 = 0 then 99999999999 else 0 end as low,
   round(l_extendedprice * 100)::bigint + (l_partkey * 7 + l_suppkey) % 900 - 350 as close, l_quantity::bigint - case when l_orderkey % 97 = 0 then 60 else 0 end as volume,
+  round(l_extendedprice * 100)::bigint - case when l_orderkey % 89 = 0 then 99999999999 else 0 end as turnover, case when l_orderkey % 83 = 0 then ' ' when l_orderkey % 79 = 0 then null else l_returnflag end as source_id,
   (epoch_us(l_shipdate) // 1000) + case when l_orderkey % 31 = 0 then 1 else 0 end as t from lineitem)"""
 
 
@@ -86,12 +87,15 @@ def candles(spark, sf_dir):
         F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("long").alias("line"), open_.alias("open"), (open_ + F.pmod("l_partkey", F.lit(500))).alias("high"), low.alias("low"),
         (open_ + F.pmod(F.col("l_partkey") * 7 + F.col("l_suppkey"), F.lit(900)) - 350).alias("close"),
         (F.col("l_quantity").cast("long") - F.when(F.pmod("l_orderkey", F.lit(97)) == 0, 60).otherwise(0)).alias("volume"),
+        (open_ - F.when(F.pmod("l_orderkey", F.lit(89)) == 0, F.lit(99_999_999_999)).otherwise(F.lit(0))).alias("turnover"),
+        F.when(F.pmod("l_orderkey", F.lit(83)) == 0, " ").when(F.pmod("l_orderkey", F.lit(79)) == 0, F.lit(None)).otherwise(F.col("l_returnflag")).alias("source_id"),
         (times.epoch_ms(F.col("l_shipdate")) + F.when(F.pmod("l_orderkey", F.lit(31)) == 0, 1).otherwise(0)).alias("t"))
 
 
 @query("B5_candle_violations", f"""with {CANDLES} select k, line, concat_ws(',', case when k <= 0 then 'instrument_id' end, case when t % 60000 <> 0 then 'not_minute_aligned' end,
   case when least(open, high, low, close) <= 0 then 'non_positive_price' end, case when low > high then 'low_exceeds_high' end, case when open < low or open > high then 'open_outside_low_high' end,
-  case when close < low or close > high then 'close_outside_low_high' end, case when volume < 0 then 'negative_volume' end) as codes from candles""")
+  case when close < low or close > high then 'close_outside_low_high' end, case when volume < 0 then 'negative_volume' end,
+  case when turnover < 0 then 'negative_turnover' end, case when coalesce(trim(source_id), '') = '' then 'empty_source_id' end) as codes from candles""")
 def candle_violations(spark, sf_dir):
     return candles(spark, sf_dir).select("k", "line", F.array_join(ops.candle_violations(), ",").alias("codes"))
 
@@ -111,11 +115,14 @@ def funding_violations(spark, sf_dir):
     return rows.select("id", F.array_join(ops.funding_violations(), ",").alias("codes"))
 
 
-@query("B7_instrument_violations", with_views("instruments", sql="""select k, concat_ws(',', case when price % 10 - 1 <= 0 then 'non_positive_tick' end, case when size > 40 then 'quantity_bounds' end,
+@query("B7_instrument_violations", with_views("instruments", sql="""select k, concat_ws(',', case when price % 10 - 1 <= 0 then 'non_positive_tick' end, case when k % 17 = 0 then 'non_positive_step' end,
+  case when size - 2 <= 0 then 'non_positive_min_quantity' end, case when k % 23 = 0 then 'non_positive_min_leverage' end, case when k % 19 - 1 <= 0 then 'non_positive_max_leverage' end,
+  case when k % 23 > k % 19 - 1 then 'leverage_bounds' end, case when size - 2 > 40 then 'quantity_bounds' end,
   case when k % 50 = 0 then 'delivery_before_launch' end) as codes from instruments"""))
 def instrument_violations(spark, sf_dir):
     rows = views.instruments(spark, sf_dir).select(
-        "k", (F.pmod("price", F.lit(10)) - 1).alias("tick"), F.col("size").alias("min_quantity"), F.lit(40).alias("max_quantity"), F.lit(1_000).alias("launch"),
+        "k", (F.pmod("price", F.lit(10)) - 1).alias("tick"), (F.col("size") - 2).alias("min_quantity"), F.lit(40).alias("max_quantity"),
+        F.pmod("k", F.lit(17)).alias("step"), F.pmod("k", F.lit(23)).alias("min_leverage"), (F.pmod("k", F.lit(19)) - 1).alias("max_leverage"), F.lit(1_000).alias("launch"),
         F.when(F.pmod("k", F.lit(50)) == 0, 999).otherwise(F.lit(None)).alias("delivery"))
     return rows.select("k", F.array_join(ops.instrument_violations(), ",").alias("codes"))
 

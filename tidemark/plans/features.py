@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemark.operators import features as ops
 from tidemark.plans.registry import query
@@ -110,15 +110,19 @@ def decision(spark, sf_dir):
     return views.minute_bars(spark, sf_dir).select("k", "t", decision_time_ns(F.col("t")).alias("decision_ns"))
 
 
-@query("L2_feature_status", sql(f"""select k, t, case when n < {W} then 'warmup' else '' end || case when t - lag(t) over w > 3600000 then '|missing' else '' end as status
-  from prior window w as (partition by k order by t)"""))
+# instruments whose customer has a negative balance, or none, have no metadata here
+@query("L2_feature_status", sql(f"""select p.k, p.t, case when n < {W} then 'warmup' else '' end || case when t - lag(t) over w > 3600000 then '|missing' else '' end
+    || case when c.c_custkey is null then '|metadata' else '' end as status
+  from prior p left join (select c_custkey from customer where c_acctbal >= 0) c on p.k = c.c_custkey + 1 window w as (partition by p.k order by p.t)"""))
 def status(spark, sf_dir):
     from pyspark.sql import Window
 
     line = Window.partitionBy("k").orderBy("t")
     warm = F.when(F.row_number().over(line) < W, F.lit("warmup")).otherwise(F.lit(""))
     gap = F.when(F.col("t") - F.lag("t").over(line) > 3_600_000, F.lit("|missing")).otherwise(F.lit(""))
-    return views.hour_bars(spark, sf_dir).select("k", "t", F.concat(warm, gap).alias("status"))
+    known = views.table(spark, sf_dir, "customer").filter("c_acctbal >= 0").select((F.col("c_custkey") + 1).alias("k"), F.lit("").alias("known"))
+    marked = views.hour_bars(spark, sf_dir).select("k", "t", F.concat(warm, gap).alias("status"))
+    return marked.join(known, "k", "left").select("k", "t", F.concat("status", F.coalesce("known", F.lit("|metadata"))).alias("status"))
 
 
 @query("L3_range_candidates", sql("""select k, t, rolling_high - rolling_low > 2000 as wide_enough, close between rolling_low and rolling_high as inside,
@@ -147,13 +151,17 @@ def split_roles(spark, sf_dir):
 
 
 @query("L6_outcome_metrics", with_views("hours", sql="""with moves as (select k, t, close - lag(close) over (partition by k order by t) as net from hours),
-  net as (select * from moves where net is not null)
+  net as (select *, row_number() over (partition by k order by t) - row_number() over (partition by k, net < 0 order by t) as run, row_number() over (partition by k order by net, t) as place,
+          count(*) over (partition by k) as of_k from moves where net is not null),
+  runs as (select k, max(c) as longest_losses from (select k, count(*) filter (net < 0) as c from net group by k, net < 0, run) group by k),
+  months as (select k, max(gain) as best_month from (select k, date_trunc('month', epoch_ms(t)) as month, sum(case when net > 0 then net else 0 end)::bigint as gain from net group by all) group by k)
   select k, sum(net)::bigint as net_sum, count(*) as n, sum(case when net > 0 then net else 0 end)::bigint as gains, sum(case when net < 0 then -net else 0 end)::bigint as losses,
-         quantile_disc(net, 0.05) as worst from net group by k"""))
+         quantile_disc(net, 0.05) as worst, round(sum(net)::double / count(*), 6) as expectancy,
+         case when sum(case when net < 0 then -net else 0 end) > 0 then round(sum(case when net > 0 then net else 0 end)::double / sum(case when net < 0 then -net else 0 end), 6) end as profit_factor,
+         round(avg(net) filter (place <= ceil(of_k * 0.01)), 6) as tail_mean, any_value(longest_losses) as longest_losses,
+         case when sum(case when net > 0 then net else 0 end) > 0 then round(any_value(best_month)::double / sum(case when net > 0 then net else 0 end), 6) end as month_share
+  from net join runs using (k) join months using (k) group by k"""))
 def outcome_metrics(spark, sf_dir):
-    from pyspark.sql import Window
-
-    net = views.hour_bars(spark, sf_dir).withColumn("net", F.col("close") - F.lag("close").over(Window.partitionBy("k").orderBy("t"))).filter("net is not null")
-    return net.groupBy("k").agg(
-        F.sum("net").alias("net_sum"), F.count("*").alias("n"), F.sum(F.when(F.col("net") > 0, F.col("net")).otherwise(0)).alias("gains"),
-        F.sum(F.when(F.col("net") < 0, -F.col("net")).otherwise(0)).alias("losses"), F.expr("percentile_disc(0.05) within group (order by net)").cast("long").alias("worst"))
+    hours = views.hour_bars(spark, sf_dir)
+    line = Window.partitionBy("k").orderBy("t")
+    return ops.outcome_metrics(hours.withColumn("net", F.col("close") - F.lag("close").over(line)).filter("net is not null"))
