@@ -45,9 +45,10 @@ def test_times_do_not_depend_on_the_zone(spark):
 
 
 def test_candle_rules(spark):
-    df = spark.createDataFrame([(1, 0, 5, 6, 4, 5, 1), (1, 1, 7, 6, 4, 9, -1), (0, M, 5, 3, 4, 5, 0)], "k long, t long, open long, high long, low long, close long, volume long")
+    df = spark.createDataFrame([(1, 0, 5, 6, 4, 5, 1, 5, "s"), (1, 1, 7, 6, 4, 9, -1, -5, " "), (0, M, 5, 3, 4, 5, 0, 0, None)], "k long, t long, open long, high long, low long, close long, volume long, turnover long, source_id string")
     got = [r[0] for r in df.orderBy("t").select(admission.candle_violations()).collect()]
-    assert got == [[], ["not_minute_aligned", "open_outside_low_high", "close_outside_low_high", "negative_volume"], ["instrument_id", "low_exceeds_high", "open_outside_low_high", "close_outside_low_high"]]
+    assert got == [[], ["not_minute_aligned", "open_outside_low_high", "close_outside_low_high", "negative_volume", "negative_turnover", "empty_source_id"],
+                   ["instrument_id", "low_exceeds_high", "open_outside_low_high", "close_outside_low_high", "empty_source_id"]]
 
 
 # gaps
@@ -72,6 +73,12 @@ def test_gap_ranges_and_topology(spark):
     assert {k: n for k, n in rows_of(gaps.missing_keys(wanted, seen).groupBy("k").count(), "k", "count")} == {1: 6, 2: 3}
 
 
+def test_gaps_of_overlapping_requests(spark):
+    wanted = requests(spark, (1, 0, 9 * M), (1, 0, 20 * M), (1, 0, 20 * M))
+    got = gaps.gap_topology(wanted, keys(spark, (1, 0), (1, 5)))
+    assert rows_of(got, "k", "stop", "missing", "internal_minutes", "trailing_minutes") == [(1, 9 * M, 8, 4, 4), (1, 20 * M, 19, 4, 15)]
+
+
 def test_coverage_identity(spark):
     wanted = requests(spark, (1, 0, 9 * M))
     rows = keys(spark, (1, 0), (1, 1), (1, 1), (1, 2), (1, 20))
@@ -221,6 +228,8 @@ def test_lineage_and_registration(spark):
     checkpoints(spark)
     chain = spark.createDataFrame([(i, i - 1) for i in range(1, 12)], "child long, parent long")
     assert sets.lineage_closure(chain).count() == 66
+    long = spark.createDataFrame([(i, i - 1) for i in range(1, 101)], "child long, parent long")
+    assert sets.lineage_closure(long).count() == 5050
     cycle = sets.lineage_closure(spark.createDataFrame([(1, 2), (2, 1)], "child long, parent long"))
     assert cycle.filter("child = ancestor").count() == 2
     entries = "id string, binding string, parent string"
