@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import bpe_round_trip
-from tidemark.llm.common import materialise, read_table
+from tidemark.llm.common import discard, materialise, read_table, recorded
 from tidemark.llm.exact_dedup import exact_dedup_rows
 from tidemark.llm.mixing import mix_rows
 from tidemark.llm.ngram_join import one_of_each_component
@@ -16,27 +19,50 @@ from tidemark.llm.quality_rules import quality_rules
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+#: Folders that the stages so far have left.
+_LEFT: list[str] = []
+
+
+def _stage(work: Callable) -> Callable:
+    """A stage begins when its predecessor's rows are written, so what that left goes, unless `docs` still reads it."""
+
+    @wraps(work)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _LEFT[:] = discard(spark, _LEFT, docs)
+        with recorded() as folders:
+            rows = work(spark, docs, sf_dir)
+        _LEFT.extend(folders)
+        return rows
+
+    return run
+
+
+@_stage
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base limits and the model trained on `labels`; the others go."""
     rows = quality_rules(docs, read_table(spark, sf_dir, "labels"))
     return rows.filter("kept").select(*docs.columns)
 
 
+@_stage
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts (white space aside) the one with the smallest doc_id."""
     return exact_dedup_rows(docs)
 
 
+@_stage
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a Jaccard similarity of 0.8 in five-word shingles the one with the smallest doc_id."""
     return one_of_each_component(docs)
 
 
+@_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture of sources takes them."""
     return mix_rows(docs)
 
 
+@_stage
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document with their number and the digests of ids and decoded bytes."""
     return bpe_round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, keep_ids=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -28,6 +29,31 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(rows, str(BATCH_ROWS))
 
 
+_RECORDED: list[str] | None = None
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that materialise() writes meanwhile."""
+    global _RECORDED
+    before, _RECORDED = _RECORDED, []
+    try:
+        yield _RECORDED
+    finally:
+        _RECORDED = before
+
+
+def discard(spark: SparkSession, folders: list[str], readers: DataFrame) -> list[str]:
+    """Delete folders that `readers` doesn't read; returns the others."""
+    files, path_of = readers.inputFiles() if folders else [], spark._jvm.org.apache.hadoop.fs.Path
+    read = [f for f in folders if any(f"/{f.rsplit('/', 1)[1]}/" in x for x in files)]
+    for folder in folders:
+        if folder not in read:
+            path = path_of(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return read
+
+
 def materialise(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write df as Parquet into the shared folder and read it back.
 
@@ -35,6 +61,8 @@ def materialise(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _RECORDED is not None:
+        _RECORDED.append(path)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
