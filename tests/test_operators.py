@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import exact, times
-from tidemark.operators import admission, features, funding, gaps, lookups, maintenance, sets
+from tidemark.operators import admission, features, funding, gaps, lookups, maintenance, profiles, sets
 from tidemark.sources import canonical, pages, ranges
 from tidemark.sources.shared import checkpoints
 
@@ -259,6 +259,69 @@ def test_repair_outcome(spark):
     assert got == [(1, 2, 1, False), (2, 0, 1, False)]
 
 
+def test_repairs_of_overlapping_gaps(spark):
+    found = spark.createDataFrame([(1, 0, 4 * M, 5), (1, 2 * M, 9 * M, 8), (1, 20 * M, 21 * M, 2), (2, 0, 0, 1)], "k long, gap_start long, gap_end long, minutes long")
+    planned = maintenance.plan_gap_repairs(found, keys(spark, (1, 9), (1, 10), (2, -1), (3, 0)), 4, 5)
+    assert rows_of(planned, "k", "gap_start", "pages", "within_limit") == [(1, 0, 2, True), (1, 20 * M, 1, True), (2, 0, 1, True)]
+    met = maintenance.repair_outcome(found, keys(spark, (1, 3), (1, 3), (1, 4), (1, 20), (1, 21)))
+    assert rows_of(met, "k", "gap_start", "returned", "passed") == [(1, 0, 2, False), (1, 2 * M, 2, False), (1, 20 * M, 2, True), (2, 0, 0, False)]
+
+
+def test_exact_coverage(spark):
+    asked = spark.createDataFrame([(k, 0, 2 * M) for k in range(1, 6)], "k long, start long, stop long")
+    rows = keys(spark, *[(1, m) for m in (0, 1, 2)], *[(2, m) for m in (0, 1, 1)], *[(3, m) for m in (0, 1, 2, 3)], *[(4, m) for m in (0, 2, 2)], (9, 0))
+    got = maintenance.exact_coverage(rows, asked)
+    assert rows_of(got, "k", "expected", "n", "exact") == [(1, 3, 3, True), (2, 3, 3, False), (3, 3, 4, False), (4, 3, 3, False), (5, 3, 0, False), (9, 0, 1, False)]
+
+
+def test_files_must_fall(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id as k", "id as t", "id % 2 as part")
+    rows.repartition(4).write.partitionBy("part").parquet(f"{tmp_path}/many")
+    many = spark.read.parquet(f"{tmp_path}/many")
+    maintenance.compact(many, f"{tmp_path}/few", 1000, ["part"])
+    few = spark.read.parquet(f"{tmp_path}/few")
+    assert rows_of(maintenance.files_fall(many, few, ["part"]), "part", "files_before", "files_after", "falls") == [(0, 4, 1, True), (1, 4, 1, True)]
+    assert rows_of(maintenance.files_fall(few, few.filter("part = 0"), ["part"]), "part", "files_after", "falls") == [(0, 1, False), (1, 0, False)]
+
+
+def test_listings_in_texts(spark):
+    schema = "k long, symbol string, base string, event_t long"
+    inst = spark.createDataFrame([(1, "BTCUSDT", "BTC", 50), (2, "1INCHUSDT", "1INCH", 50), (3, "OLDUSDT", "OLD", 5), (4, "NONEUSDT", "NONE", None), (5, "XUSDT", "X", 50), (6, "USDTUSDT", "USDT", 50)], schema)
+    texts = ["NEW BTC/USDT PERPETUAL", "BTCUSDT CONTRACTS", "BTC - _/ USDT DERIVATIVES", "ABTCUSDT PERPETUAL", "BTCUSDTX PERPETUAL", "BTC/USDT SPOT", "BTC/USDT SUBCONTRACTS", "BTC:USDT PERPETUAL",
+             "1INCH-USDT, BTC.USDT CONTRACT", "OLDUSDT PERPETUAL", "NONEUSDT PERPETUAL", "X USDT USDT PERPETUAL", None, ""]
+    got = lookups.match_listings(inst, spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), 10)
+    assert rows_of(got, "k", "matches", "class") == [(1, 3, "ambiguous"), (2, 1, "unique"), (3, 0, "outside_archive"), (5, 1, "unique"), (6, 1, "unique")]
+
+
+def test_selection_of_inventories(spark):
+    day = 86_400_000
+    inventories = spark.createDataFrame([(100, "complete"), (200, "partial"), (5 * day, "complete")], "t long, inventory_status string")
+    records = spark.createDataFrame([(100, 1, "a"), (200, 1, "a"), (5 * day, 2, "b"), (5 * day, 2, "b")], "snapshot_t long, k long, status string")
+    probes = spark.createDataFrame([(1, 99), (1, 100), (1, 199), (1, 200), (1, 3 * day), (2, 5 * day), (1, 900 * day), (2, 900 * day)], "k long, t long")
+    got = rows_of(lookups.select_as_of(probes, inventories, records, True), "t", "k", "snapshot_t", "problem")
+    assert got == sorted([(99, 1, None, "before_first_snapshot"), (100, 1, 100, None), (199, 1, 100, None), (200, 1, 200, "partial_inventory"), (3 * day, 1, 200, "partial_inventory"),
+                          (5 * day, 2, 5 * day, None), (900 * day, 1, 5 * day, "absent_instrument"), (900 * day, 2, 5 * day, None)], key=lambda r: r[:2])
+    assert lookups.select_as_of(probes, inventories.limit(0), records).filter("problem = 'before_first_snapshot'").count() == 8
+    assert lookups.timeline_summary(inventories, records.distinct()).first()[-2:] == (1, "b:1")
+
+
+def test_stages_against_their_plans(spark):
+    log = spark.createDataFrame([("a", 0, None, 5), ("a", 60_000, None, 5), ("b", 0, "E1", 9), ("b", 1, "E1", 9), ("b", 2, "E0", 9), ("c", 0, None, 1), ("c", 60_000, None, 1)], "stage string, t long, code string, rows long")
+    plans = spark.createDataFrame([("a", 2, 2), ("b", 3, 1), ("c", 2, 3), ("d", 1, 1)], "stage string, planned long, target long")
+    got = profiles.stage_status(log, plans)
+    assert rows_of(got, "stage", "rows", "errors", "attainment", "status") == [
+        ("a", 10, "", 1_000_000, "passed"), ("b", 0, "E0:1,E1:2", 90_000_000_000, "failed"), ("c", 2, "", 666_666, "under_target"), ("d", 0, "", None, "failed")]
+
+
+def test_long_excursions_equal_sliding_ones(spark, monkeypatch):
+    bars = spark.range(400).selectExpr("id % 3 as k", "id * 60000 as t", "id * 7919 % 1009 as close", "id * 7919 % 1009 + id % 11 as high", "id * 7919 % 1009 - id % 13 as low")
+    for rows in (1, 7, 40, 133, 200):
+        monkeypatch.setattr(features, "SLIDING", 0)
+        blocks = rows_of(features.forward_excursion(bars, rows), "k", "t", "adverse", "favourable")
+        monkeypatch.setattr(features, "SLIDING", 1000)
+        assert blocks == rows_of(features.forward_excursion(bars, rows), "k", "t", "adverse", "favourable")
+
+
 def test_stream_of_ticks(spark, tmp_path):
     from tidemark.streaming import candles
 

@@ -20,6 +20,14 @@ def true_range(previous: str = "prev_close") -> Column:
     return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col(previous)), F.abs(F.col("low") - F.col(previous)))
 
 
+def _block_runs(df: DataFrame) -> DataFrame:
+    """Extremes from each block's start to a row (prefix) and from the row to its end (suffix)."""
+    block = Window.partitionBy("k", "__block")
+    for name, order in (("prefix", F.col("t")), ("suffix", F.col("t").desc())):
+        df = df.withColumns({f"__{name}_high": F.max("high").over(block.orderBy(order)), f"__{name}_low": F.min("low").over(block.orderBy(order))})
+    return df
+
+
 def _extremes(df: DataFrame, rows: int) -> DataFrame:
     """rolling_high and rolling_low over the last `rows` rows; null before there are as many.
 
@@ -31,9 +39,7 @@ def _extremes(df: DataFrame, rows: int) -> DataFrame:
     if rows <= SLIDING:
         frame = Window.partitionBy("k").orderBy("t").rowsBetween(1 - rows, 0)
         return df.withColumns({"rolling_high": F.when(full, F.max("high").over(frame)), "rolling_low": F.when(full, F.min("low").over(frame))})
-    block = Window.partitionBy("k", "__block")
-    for name, order in (("prefix", F.col("t")), ("suffix", F.col("t").desc())):
-        df = df.withColumns({f"__{name}_high": F.max("high").over(block.orderBy(order)), f"__{name}_low": F.min("low").over(block.orderBy(order))})
+    df = _block_runs(df)
     line = Window.partitionBy("k").orderBy("__block", "t")
     df = df.withColumns({f"__{c}_before": F.lag(f"__suffix_{c}", rows - 1).over(line) for c in ("high", "low")})
     return df.withColumns({"rolling_high": F.when(full, F.greatest("__prefix_high", "__high_before")), "rolling_low": F.when(full, F.least("__prefix_low", "__low_before"))})
@@ -77,10 +83,21 @@ def core_with_halo(bars: DataFrame, rows: int, core_start: int, core_end: int, h
 
 
 def forward_excursion(bars: DataFrame, rows: int) -> DataFrame:
-    """Largest adverse and favourable move of the close within the next `rows` rows; null without them."""
-    ahead = Window.partitionBy("k").orderBy("t").rowsBetween(1, rows)
-    full = F.count("*").over(ahead) == rows
-    return bars.withColumns({"adverse": F.when(full, F.col("close") - F.min("low").over(ahead)), "favourable": F.when(full, F.max("high").over(ahead) - F.col("close"))})
+    """Largest adverse and favourable move of the close within the next `rows` rows; null without them.
+
+    Long windows take the suffix of the next row's block and the prefix `rows` rows ahead, as _extremes() does backwards.
+    """
+    line = Window.partitionBy("k").orderBy("t")
+    if rows <= SLIDING:
+        ahead = line.rowsBetween(1, rows)
+        high, low, full = F.max("high").over(ahead), F.min("low").over(ahead), F.count("*").over(ahead) == rows
+        return bars.withColumns({"adverse": F.when(full, F.col("close") - low), "favourable": F.when(full, high - F.col("close"))})
+    df = _block_runs(bars.withColumn("__block", F.floor((F.row_number().over(line) - 1) / rows)))
+    last = Window.partitionBy("k").orderBy("__block", "t")
+    df = df.withColumns({f"__next_{c}": F.lead(f"__suffix_{c}").over(last) for c in ("high", "low")} | {f"__far_{c}": F.lead(f"__prefix_{c}", rows).over(last) for c in ("high", "low")})
+    full = F.col("__far_low").isNotNull()
+    moves = {"adverse": F.when(full, F.col("close") - F.least("__next_low", "__far_low")), "favourable": F.when(full, F.greatest("__next_high", "__far_high") - F.col("close"))}
+    return df.withColumns(moves).drop(*[c for c in df.columns if c.startswith("__")])
 
 
 def outcome_metrics(moves: DataFrame) -> DataFrame:

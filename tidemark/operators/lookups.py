@@ -29,6 +29,36 @@ def as_of_snapshot(probes: DataFrame, snapshots: DataFrame, columns: list[str])
                        *[F.col(f"__last.{c}").alias(c) for c in columns], F.col("__last").isNotNull().alias("found"))
 
 
+def select_as_of(probes: DataFrame, inventories: DataFrame, records: DataFrame, require_complete: bool = False) -> DataFrame:
+    """probes (k, t, ...) with `snapshot_t`, the latest of all inventories (t, inventory_status) at or before t, and `problem`.
+
+    problem: before_first_snapshot, partial_inventory (only with require_complete), absent_instrument where that
+    inventory's records (snapshot_t, k) lack k, else null. Inventories are one line, not one for each k, so each is
+    listed for the days on which it holds and met on the day: no task sorts all probes.
+    """
+    last = probes.agg(F.max("t").alias("end"))
+    line = Window.orderBy("t")  # a row for each inventory
+    held = inventories.select(F.col("t").alias("snapshot_t"), "inventory_status", F.lead("t").over(line).alias("until")).crossJoin(last)  # one row
+    until = F.coalesce("until", F.greatest("end", "snapshot_t") + 1)
+    days = held.select("snapshot_t", "inventory_status", until.alias("__until"), F.explode(F.sequence(F.floor(F.col("snapshot_t") / DAY), F.floor((until - 1) / DAY))).alias("__held"))
+    # a day with several inventories has each of them, and one row alone is at or before t
+    seen = probes.withColumn("__day", F.floor(F.col("t") / DAY)).join(days, (F.col("__day") == F.col("__held")) & (F.col("t") >= F.col("snapshot_t"))
+                                                                                       & (F.col("t") < F.col("__until")), "left").drop("__day", "__held", "__until")
+    met = seen.join(records.select("snapshot_t", "k", F.lit(True).alias("__listed")).distinct(), ["snapshot_t", "k"], "left")
+    partial = F.lit(require_complete) & (F.col("inventory_status") != "complete")
+    problem = F.when(F.col("snapshot_t").isNull(), "before_first_snapshot").when(partial, "partial_inventory").when(F.col("__listed").isNull(), "absent_instrument")
+    return met.select(*probes.columns, "snapshot_t", problem.alias("problem"))
+
+
+def timeline_summary(inventories: DataFrame, records: DataFrame) -> DataFrame:
+    """One row: inventories and partial ones, first and last time, and the last one's status, records and counts by status."""
+    sums = inventories.agg(F.count("*").alias("snapshots"), F.count(F.when(F.col("inventory_status") == "partial", 1)).alias("partial"), F.min("t").alias("first_t"),
+                           F.max("t").alias("last_t"), F.max_by("inventory_status", "t").alias("last_status"))
+    latest = records.join(F.broadcast(sums.select("last_t")), F.col("snapshot_t") == F.col("last_t")).groupBy("status").agg(F.count("*").alias("n"))  # one row
+    counts = F.array_sort(F.collect_list(F.concat_ws(":", "status", F.col("n").cast("string"))))  # a row for each status
+    return sums.crossJoin(latest.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("records"), F.array_join(counts, ",").alias("status_counts")))  # one row each
+
+
 def lifecycle_conflicts(observed: DataFrame) -> DataFrame:
     """(k, n, blockers) of observations (k, closed, symbol, launch, delivery): sorted codes of what contradicts."""
     reused = observed.groupBy("symbol").agg((F.countDistinct("k") > 1).alias("reused"))
@@ -57,6 +87,29 @@ def match_announcements(instruments: DataFrame, texts: DataFrame) -> DataFrame:
     return counted.select("k", "matches", kind.alias("class"))
 
 
+def match_listings(instruments: DataFrame, texts: DataFrame, archive_oldest: int) -> DataFrame:
+    """(k, matches, class) of instruments (k, symbol, base, event_t) in upper-case texts (doc_id, text).
+
+    A text counts if it has a derivative word and either the symbol or the base and USDT, next to each other or parted
+    by white space, `/`, `_` or `-`, on boundaries of letters and digits. Symbols and bases are letters and digits.
+    Instruments without event_t have no row; those before archive_oldest are outside_archive and not looked for.
+    All that a text names are tokens, so both sides meet in an equi join on distinct tokens.
+    """
+    scope = F.regexp_like("text", F.lit(r"PERPETUAL|DERIVATIVE|(?<![A-Z])CONTRACTS?(?![A-Z])"))
+    words = F.regexp_extract_all("text", F.lit("[A-Z0-9]+"), F.lit(0))
+    apart = F.regexp_extract_all("text", F.lit(r"(?<![A-Z0-9])([A-Z0-9]+)(?=[\s/_-]+USDT(?![A-Z0-9]))"), F.lit(1))
+    joined = F.transform(F.filter(words, lambda w: F.length(w) > 4), lambda w: F.when(w.endswith("USDT"), F.regexp_replace(w, "USDT$", "")))
+    told = texts.filter(scope).select("doc_id", words.alias("words"), F.array_compact(F.array_union(apart, joined)).alias("bases"))
+    tokens = told.select("doc_id", F.explode(F.array_distinct(F.concat(
+        F.transform("words", lambda w: F.concat(F.lit("symbol "), w)), F.transform("bases", lambda b: F.concat(F.lit("base "), b))))).alias("token"))
+    dated = instruments.filter(F.col("event_t").isNotNull()).withColumn("outside", F.col("event_t") < archive_oldest)
+    wanted = dated.filter(~F.col("outside")).select("k", F.explode(F.array(F.concat(F.lit("symbol "), "symbol"), F.concat(F.lit("base "), "base"))).alias("token"))
+    matched = wanted.join(tokens, "token").select("k", "doc_id").distinct().groupBy("k").agg(F.count("*").alias("matches"))
+    counted = dated.join(matched, "k", "left").withColumn("matches", F.coalesce("matches", F.lit(0)))
+    kind = F.when(F.col("outside"), "outside_archive").when(F.col("matches") == 0, "unmatched").when(F.col("matches") == 1, "unique").otherwise("ambiguous")
+    return counted.select("k", "matches", kind.alias("class"))
+
+
 def date_relation(deltas: DataFrame) -> DataFrame:
     """Counts of negative, zero and positive `delta` and the largest absolute one."""
     return deltas.agg(F.count(F.when(F.col("delta") < 0, 1)).alias("before"), F.count(F.when(F.col("delta") == 0, 1)).alias("same"),

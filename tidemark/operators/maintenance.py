@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.exact import stable_bucket
 from tidemark.sources import canonical
@@ -42,12 +42,26 @@ def compact_fragments(rows: DataFrame, folder: str, most_rows: int) -> DataFrame
     return spark.read.schema(union.schema).parquet(f"{folder}/compacted").drop(*by)
 
 
+def files_fall(before: DataFrame, after: DataFrame, by: list[str]) -> DataFrame:
+    """(by, files_before, files_after, falls) of a stored table and its compaction: one that doesn't lower the number of
+    files of a partition is refused there. Partitions that only one side has count no files on the other and don't fall."""
+    counts = [df.groupBy(*by).agg(F.countDistinct("_metadata.file_path").alias(name)) for df, name in ((before, "files_before"), (after, "files_after"))]
+    met = counts[0].join(counts[1], by, "full_outer").select(*by, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("files_before", "files_after")])
+    return met.withColumn("falls", (F.col("files_after") > 0) & (F.col("files_after") < F.col("files_before")))
+
+
 def plan_gap_repairs(gaps: DataFrame, explained: DataFrame, page_minutes: int, most_minutes: int) -> DataFrame:
     """One task for each gap (k, gap_start, gap_end, minutes) with pages and size class; gaps that hold an explained
-    missing key (k, t) don't qualify."""
-    held = gaps.join(explained.select("k", F.col("t").alias("x")), "k").filter(F.col("x").between(F.col("gap_start"), F.col("gap_end")))
-    held = held.groupBy("k", "gap_start").agg(F.count("*").alias("held"))
-    tasks = gaps.join(held, ["k", "gap_start"], "left").filter(F.col("held").isNull()).drop("held")
+    missing key (k, t) don't qualify.
+
+    Gaps and keys are sorted together once by (k, t): a gap holds a key if the next one from its start on is inside.
+    Gaps may overlap; repeated ones stay repeated.
+    """
+    starts = gaps.select("k", F.col("gap_start").alias("t"), F.struct("gap_end", "minutes").alias("__gap"), F.lit(None).cast("long").alias("__key"), F.lit(0).alias("__side"))
+    keys = explained.select("k", "t", F.lit(None).cast(starts.schema["__gap"].dataType).alias("__gap"), F.col("t").alias("__key"), F.lit(1).alias("__side"))
+    backwards = Window.partitionBy("k").orderBy(F.col("t").desc(), F.col("__side").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    met = starts.unionByName(keys).withColumn("__next", F.last("__key", ignorenulls=True).over(backwards)).filter("__side = 0")
+    tasks = met.select("k", F.col("t").alias("gap_start"), "__gap.gap_end", "__gap.minutes", "__next").filter("__next is null or __next > gap_end").drop("__next")
     return tasks.withColumn("pages", F.ceil(F.col("minutes") / page_minutes)).withColumn("within_limit", F.col("minutes") <= most_minutes)
 
 
@@ -59,11 +73,32 @@ def apply_repair(parent: DataFrame, repair: DataFrame) -> DataFrame:
 
 
 def repair_outcome(tasks: DataFrame, returned: DataFrame) -> DataFrame:
-    """(k, gap_start, minutes, returned, missing, passed) of repair tasks and the rows (k, t) that came back."""
-    met = tasks.join(returned.select("k", "t").distinct(), "k", "left").filter(F.col("t").isNull() | F.col("t").between(F.col("gap_start"), F.col("gap_end")))
-    counted = met.groupBy("k", "gap_start").agg(F.count("t").alias("returned"))
-    joined = tasks.join(counted, ["k", "gap_start"], "left").withColumn("returned", F.coalesce("returned", F.lit(0)))
-    return joined.select("k", "gap_start", "minutes", "returned", (F.col("minutes") - F.col("returned")).alias("missing"), (F.col("minutes") == F.col("returned")).alias("passed"))
+    """(k, gap_start, minutes, returned, missing, passed) of repair tasks and the rows (k, t) that came back.
+
+    Both are sorted together once by (k, t); a task's rows are the running count at its end less that before its start.
+    Tasks may overlap; equal ones count once, repeated rows too.
+    """
+    gap = F.struct("gap_start", "gap_end", "minutes")
+    begins = tasks.select("k", F.col("gap_start").alias("t"), gap.alias("__gap"), F.lit(0).alias("__side"))
+    ends = tasks.select("k", F.col("gap_end").alias("t"), gap.alias("__gap"), F.lit(2).alias("__side"))
+    rows = returned.select("k", "t").distinct().select("k", "t", F.lit(None).cast(begins.schema["__gap"].dataType).alias("__gap"), F.lit(1).alias("__side"))
+    line = Window.partitionBy("k").orderBy("t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    counted = begins.unionByName(ends).unionByName(rows).withColumn("__run", F.count(F.when(F.col("__side") == 1, 1)).over(line)).filter("__side <> 1")
+    met = counted.groupBy("k", "__gap").agg((F.max("__run") - F.min("__run")).alias("returned"))
+    return met.select("k", "__gap.gap_start", "__gap.minutes", "returned", (F.col("__gap.minutes") - F.col("returned")).alias("missing"), (F.col("__gap.minutes") == F.col("returned")).alias("passed"))
+
+
+def exact_coverage(table: DataFrame, requests: DataFrame, step: int = 60_000) -> DataFrame:
+    """(k, expected, n, exact) of rows (k, t) and one request (k, start, stop; both inclusive) for each k.
+
+    exact: every requested minute once and nothing else. Rows without a request expect nothing, requests without rows have n = 0.
+    """
+    sums = table.groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("t").alias("keys"), F.min("t").alias("first"), F.max("t").alias("last"),
+                                  F.countDistinct(F.pmod("t", F.lit(step))).alias("offsets"))
+    met = sums.join(requests.select("k", "start", "stop"), "k", "full_outer")
+    expected = F.coalesce(F.floor((F.col("stop") - F.col("start")) / step) + 1, F.lit(0))
+    exact = (F.col("n") == expected) & (F.col("keys") == expected) & (F.col("first") == F.col("start")) & (F.col("last") == F.col("stop")) & (F.col("offsets") == 1)
+    return met.select("k", expected.alias("expected"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce(exact, F.lit(False)).alias("exact"))
 
 
 def repair_classification(coverage: DataFrame) -> DataFrame:

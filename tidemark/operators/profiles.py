@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# Fixed value: millionths of a stage's target rate that count as met.
+ATTAINED = 850_000
+
 
 def logical_summary(bars: DataFrame) -> DataFrame:
     """Count, time bounds and exact sums of a table of bars, equal for equal contents in any layout."""
@@ -33,6 +36,25 @@ def stage_throughput(log: DataFrame) -> DataFrame:
         (F.max("t") - F.min("t")).alias("span_ms"), F.expr("count(*) * 60000 div greatest(max(t) - min(t), 1)").alias("per_minute"))
 
 
+def stage_status(log: DataFrame, plans: DataFrame) -> DataFrame:
+    """Of each planned stage (stage, planned, target attempts a minute): attempts, successes, rows and errors by code of a log
+    (stage, t, code or null, rows), the part of the target that was met in millionths, and status.
+
+    failed: attempts or successes fall short of the plan, or any error; under_target: less than ATTAINED of the target. A stage
+    without a log has no attainment and has failed.
+    """
+    codes = log.filter(F.col("code").isNotNull()).groupBy("stage", "code").agg(F.count("*").alias("c"))
+    codes = codes.groupBy("stage").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "code", F.col("c").cast("string")))), ",").alias("errors"))  # a row for each code
+    good = F.col("code").isNull()
+    sums = log.groupBy("stage").agg(F.count("*").alias("attempts"), F.count(F.when(good, 1)).alias("successes"), F.coalesce(F.sum(F.when(good, F.col("rows"))), F.lit(0)).alias("rows"),
+                                    F.greatest(F.max("t") - F.min("t"), F.lit(1)).alias("span"))
+    met = plans.join(sums, "stage", "left").join(codes, "stage", "left")
+    met = met.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("attempts", "successes", "rows")} | {"errors": F.coalesce("errors", F.lit("")), "attainment": F.expr("attempts * 60000000000 div (span * target)")})
+    failed = (F.col("attempts") != F.col("planned")) | (F.col("successes") != F.col("planned")) | (F.col("errors") != "")
+    status = F.when(failed, "failed").when(F.col("attainment") >= ATTAINED, "passed").otherwise("under_target")
+    return met.select("stage", "planned", "attempts", "successes", "rows", "errors", "attainment", status.alias("status"))
+
+
 def backfill_estimate(life: DataFrame, start_ms: int, end_ms: int, page: int = 1000, cadence: int = 480) -> DataFrame:
     """Minutes of each lifecycle (k, launch, last) inside a horizon, with pages and settlements, rounded up."""
     minutes = F.greatest(F.floor((F.least(F.col("last"), F.lit(end_ms)) - F.greatest(F.col("launch"), F.lit(start_ms))) / 60_000) + 1, F.lit(0))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from tidemark.functions.times import HOUR
 from tidemark.operators import features as ops
 from tidemark.plans.registry import query
-from tidemark.plans.sql import with_views
+from tidemark.plans.sql import VIEWS, with_views
 from tidemark.sources import views
 
 W = 20
@@ -103,6 +104,28 @@ def excursion(spark, sf_dir):
     return ops.forward_excursion(views.hour_bars(spark, sf_dir), 6).select("k", "t", "adverse", "favourable")
 
 
+# instruments have too few hours for a long window: the hours of eight pools of instruments
+POOLED = "pooled as (select k % 8 as k, t, price, event_id from ticks),\n" + VIEWS["hours"].replace("from ticks", "from pooled as ticks")
+
+
+def _pooled(spark, sf_dir):
+    return views.bars(views.ticks(spark, sf_dir).withColumn("k", F.pmod("k", F.lit(8))), HOUR)
+
+
+@query("L5_long_excursion", with_views("ticks", sql=f"""with {POOLED} select k, t, case when count(*) over f = {LONG} then close - min(low) over f end as adverse,
+  case when count(*) over f = {LONG} then max(high) over f - close end as favourable from hours
+  window f as (partition by k order by t rows between 1 following and {LONG} following)"""))
+def long_excursion(spark, sf_dir):
+    return ops.forward_excursion(_pooled(spark, sf_dir), LONG).select("k", "t", "adverse", "favourable")
+
+
+@query("E4_pooled_window", with_views("ticks", sql=f"""with {POOLED} select k, t, case when count(*) over f = {LONG} then max(high) over f end as rolling_high,
+  case when count(*) over f = {LONG} then min(low) over f end as rolling_low, case when count(*) over f = {LONG} then round(avg(close) over f, 6) end as rolling_mid from hours
+  window f as (partition by k order by t rows between {LONG - 1} preceding and current row)"""))
+def pooled_window(spark, sf_dir):
+    return ops.features(_pooled(spark, sf_dir), LONG).select("k", "t", "rolling_high", "rolling_low", F.round("rolling_mid", 6).alias("rolling_mid"))
+
+
 @query("L1_decision_time", with_views("bars", sql="select k, t, (t + 60000) * 1000000 as decision_ns from bars"))
 def decision(spark, sf_dir):
     from tidemark.functions.times import decision_time_ns

@@ -24,6 +24,37 @@ def as_of(spark, sf_dir):
     return ops.as_of_snapshot(views.probes(spark, sf_dir), views.snapshots(spark, sf_dir), ["status", "symbol"])
 
 
+# inventories of thirty days each, every fourth one partial; some probes come before the first
+PERIOD = 2_592_000_000
+INVENTORIES = f"""inv as (select distinct t // {PERIOD} * {PERIOD} as t, case when t // {PERIOD} % 4 = 0 then 'partial' else 'complete' end as inventory_status from snapshots),
+recs as (select t // {PERIOD} * {PERIOD} as snapshot_t, k, arg_max(status, t) as status from snapshots group by 1, 2),
+asked as (select k, t - case when k % 5 = 0 then 129600000000 else 0 end as t, l_orderkey, line from probes)"""
+
+
+def _inventories(spark, sf_dir):
+    start = F.floor(F.col("t") / PERIOD) * PERIOD
+    rows = views.snapshots(spark, sf_dir).withColumn("snapshot_t", start)
+    status = F.when(F.floor(F.col("snapshot_t") / PERIOD) % 4 == 0, "partial").otherwise("complete")
+    return rows.select(F.col("snapshot_t").alias("t"), status.alias("inventory_status")).distinct(), rows.groupBy("snapshot_t", "k").agg(F.max_by("status", "t").alias("status"))
+
+
+@query("C2_select_as_of", with_views("snapshots", "probes", sql=f"""with {INVENTORIES}, valid as (select *, lead(t) over (order by t) as until from inv)
+  select a.k, a.t, a.l_orderkey, a.line, v.t as snapshot_t,
+    case when v.t is null then 'before_first_snapshot' when v.inventory_status <> 'complete' then 'partial_inventory' when r.k is null then 'absent_instrument' end as problem
+  from asked a left join valid v on v.t <= a.t and (v.until is null or a.t < v.until) left join recs r on r.snapshot_t = v.t and r.k = a.k"""))
+def select_as_of(spark, sf_dir):
+    asked = views.probes(spark, sf_dir).select("k", (F.col("t") - F.when(F.pmod("k", F.lit(5)) == 0, DAY * 1500).otherwise(0)).alias("t"), "l_orderkey", "line")
+    return ops.select_as_of(asked, *_inventories(spark, sf_dir), require_complete=True)
+
+
+@query("D8_timeline_summary", with_views("snapshots", "probes", sql=f"""with {INVENTORIES}, s as (select count(*) as snapshots, count(*) filter (inventory_status = 'partial') as partial, min(t) as first_t,
+    max(t) as last_t, arg_max(inventory_status, t) as last_status from inv),
+  c as (select status, count(*) as n from recs where snapshot_t = (select last_t from s) group by status)
+  select s.*, (select sum(n)::bigint from c) as records, (select string_agg(status || ':' || n, ',' order by status) from c) as status_counts from s"""))
+def timeline_summary(spark, sf_dir):
+    return ops.timeline_summary(*_inventories(spark, sf_dir))
+
+
 @query("D8_status_counts", with_views("snapshots", sql="""select status, count(*) as snapshots, count(distinct k) as instruments, min(t) as first_t, max(t) as last_t from snapshots group by status"""))
 def status_counts(spark, sf_dir):
     return views.snapshots(spark, sf_dir).groupBy("status").agg(
@@ -62,6 +93,26 @@ def match_announcements(spark, sf_dir):
     return ops.match_announcements(inst, docs)
 
 
+# whole texts with a pair behind them: five ways to part it, one of them no pair, and four words, one of them no derivative's
+LISTINGS = (("", "/", "-", " ", ":"), ("perpetual", "derivatives", "contract", "spot"))
+
+
+@query("C5_match_listings", with_views("instruments", sql=r"""with told as (select doc_id, upper(coalesce(text, '') || ' P' || doc_id % 977 || ['', '/', '-', ' ', ':'][doc_id % 5 + 1] || 'usdt ' ||
+    ['perpetual', 'derivatives', 'contract', 'spot'][doc_id // 5 % 4 + 1]) as text from documents),
+  told_of as (select * from told where contains(text, 'PERPETUAL') or contains(text, 'DERIVATIVE') or regexp_matches(text, '(^|[^A-Z])CONTRACTS?([^A-Z]|$)')),
+  named as (select doc_id, unnest(regexp_extract_all(text, '(?:^|[^A-Z0-9])(P[0-9]+)[\s/_-]*USDT(?:[^A-Z0-9]|$)', 1)) as base from told_of),
+  dated as (select k, 'P' || (k - 1) as base, size * 86400000 as event_t from instruments where size % 7 > 0),
+  per as (select d.k, d.event_t, count(distinct n.doc_id) filter (d.event_t >= 864000000) as matches from dated d left join named n on n.base = d.base group by 1, 2)
+  select k, matches, case when event_t < 864000000 then 'outside_archive' when matches = 0 then 'unmatched' when matches = 1 then 'unique' else 'ambiguous' end as class from per""".replace("\\\\s", "\\s")))
+def match_listings(spark, sf_dir):
+    day = F.when(F.pmod("size", F.lit(7)) > 0, F.col("size") * DAY)
+    inst = views.instruments(spark, sf_dir).select("k", "symbol", F.regexp_replace("symbol", "USDT$", "").alias("base"), day.alias("event_t"))
+    parted, words = (F.array(*map(F.lit, x)) for x in LISTINGS)
+    pair = F.concat(F.lit(" P"), F.pmod("doc_id", F.lit(977)).cast("string"), F.get(parted, F.pmod("doc_id", F.lit(5)).cast("int")), F.lit("usdt "), F.get(words, F.pmod(F.floor(F.col("doc_id") / 5), F.lit(4)).cast("int")))
+    texts = views.table(spark, sf_dir, "documents").select("doc_id", F.upper(F.concat(F.coalesce("text", F.lit("")), pair)).alias("text"))
+    return ops.match_listings(inst, texts, 10 * DAY)
+
+
 @query("C5_pair_text", with_views("instruments", sql=r"""select k, regexp_matches(upper(name || ' ' || kind), '(^|[^A-Z0-9])(RED|BLUE)[ /_-]?(WIDGET|BOLT|GEAR)([^A-Z0-9]|$)') as named from instruments"""))
 def pair_text(spark, sf_dir):
     text = F.upper(F.concat_ws(" ", "name", "kind"))

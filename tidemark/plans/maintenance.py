@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemark.operators import gaps, maintenance as ops, profiles
 from tidemark.plans.catalog import scratch, stored_bars
@@ -72,6 +72,29 @@ def apply_repair(spark, sf_dir):
     return ops.apply_repair(bars, bars.filter(F.pmod("k", F.lit(3)) == 0).select("k", (F.col("t") + 60_000).alias("t"), "close"))
 
 
+# the repair fills the minutes between two ticks of every third instrument; the request of every fifth is a minute too long
+COVERED = """line as (select k, t, lead(t) over (partition by k order by t) as next from bars), firsts as (select k, min(t) as start from bars where k % 7 > 0 group by k),
+u as (select k, t from bars union all select k, unnest(range(t + 60000, least(next, t + 60000 * 600), 60000)) from line where k % 3 = 0 and next is not null),
+near as (select u.k, u.t from u join firsts f on u.k = f.k where u.t <= f.start + 60000 * 5 or u.k % 11 = 0 union all select k, t from u where k % 7 = 0),
+asked as (select k, start, start + 60000 * (5 + (k % 5 = 0)::int) as stop from firsts)"""
+
+
+@query("H7_exact_coverage", with_views("bars", sql=f"""with {COVERED}
+  select coalesce(n.k, a.k) as k, coalesce(max((stop - start) // 60000 + 1), 0) as expected, count(n.t) as n,
+    coalesce(count(n.t) = count(distinct n.t) and count(distinct n.t) filter (n.t between start and stop and (n.t - start) % 60000 = 0) = max((stop - start) // 60000 + 1)
+      and count(*) filter (n.t < start or n.t > stop) = 0, false) as exact
+  from near n full join asked a on n.k = a.k group by 1"""))
+def exact_coverage(spark, sf_dir):
+    bars = views.minute_bars(spark, sf_dir)
+    after = F.lead("t").over(Window.partitionBy("k").orderBy("t"))
+    between = F.when(F.col("next") > F.col("t") + 60_000, F.sequence(F.col("t") + 60_000, F.least(F.col("next"), F.col("t") + 60_000 * 600) - 60_000, F.lit(60_000)))
+    filled = bars.select("k", "t", after.alias("next")).filter("k % 3 = 0").select("k", F.explode(between).alias("t"))
+    firsts = bars.filter("k % 7 > 0").groupBy("k").agg(F.min("t").alias("start"))
+    table = bars.select("k", "t").unionByName(filled).join(firsts, "k", "left").filter("start is null or t <= start + 60000 * 5 or k % 11 = 0")
+    asked = firsts.withColumn("stop", F.col("start") + 60_000 * (5 + (F.pmod("k", F.lit(5)) == 0).cast("long")))
+    return ops.exact_coverage(table, asked)
+
+
 @query("H8_repair_outcome", with_views("bars", sql=f"""with {EXPLAINED}, returned as (select distinct k, t + 60000 as t from bars union select distinct k, t + 120000 from bars)
   select t.k, t.gap_start, t.minutes, count(r.t) as returned, t.minutes - count(r.t) as missing, t.minutes = count(r.t) as passed
   from tasks t left join returned r on r.k = t.k and r.t between t.gap_start and t.gap_end group by t.k, t.gap_start, t.minutes"""))

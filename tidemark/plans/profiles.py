@@ -47,6 +47,23 @@ def throughput(spark, sf_dir):
     return ops.stage_throughput(views.ticks(spark, sf_dir).withColumn("stage", F.floor(F.col("t") / 86_400_000)))
 
 
+@query("D12_stage_status", with_views("ticks", sql="""with log as (select k as stage, t, case when kind = 'error' or price % 97 = 0 then 'E' || price % 3 end as code, price % 10 as rows from ticks),
+  plans as (select c_custkey + 1 as stage, 3 + c_custkey % 5 as target from customer),
+  c as (select stage, string_agg(code || ':' || n, ',' order by code) as errors from (select stage, code, count(*) as n from log where code is not null group by all) group by stage),
+  s as (select stage, count(*) as attempts, count(*) filter (code is null) as successes, coalesce(sum("rows") filter (code is null), 0)::bigint as "rows", greatest(max(t) - min(t), 1) as span from log group by stage),
+  m as (select p.stage, coalesce(attempts, 0) + (p.stage % 6 = 0)::int as planned, coalesce(attempts, 0) as attempts, coalesce(successes, 0) as successes, coalesce("rows", 0) as "rows", coalesce(errors, '') as errors,
+    attempts * 60000000000 // (span * (case when p.stage % 2 = 0 then 1 else target * 1000 end)) as attainment from plans p left join s on s.stage = p.stage left join c on c.stage = p.stage)
+  select *, case when attempts <> planned or successes <> planned or errors <> '' then 'failed' when attainment >= @ATTAINED then 'passed' else 'under_target' end as status from m""".replace("@ATTAINED", str(ops.ATTAINED))))
+def stage_status(spark, sf_dir):
+    code = F.when((F.col("kind") == "error") | (F.pmod("price", F.lit(97)) == 0), F.concat(F.lit("E"), F.pmod("price", F.lit(3)).cast("string")))
+    log = views.ticks(spark, sf_dir).select(F.col("k").alias("stage"), "t", code.alias("code"), F.pmod("price", F.lit(10)).alias("rows"))
+    made = log.groupBy("stage").agg(F.count("*").alias("made"))
+    stages = views.table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("stage"), (F.pmod("c_custkey", F.lit(5)) + 3).alias("x"))
+    planned = F.coalesce("made", F.lit(0)) + (F.pmod("stage", F.lit(6)) == 0).cast("long")
+    plans = stages.join(made, "stage", "left").select("stage", planned.alias("planned"), F.when(F.pmod("stage", F.lit(2)) == 0, 1).otherwise(F.col("x") * 1000).alias("target"))
+    return ops.stage_status(log, plans)
+
+
 HORIZON = (820_454_400_000, 978_307_200_000)
 
 
