@@ -207,26 +207,29 @@ class TextEncoder:
                 return [" " + letters, chunk[len(letters) :]]
         return self.find(" " + chunk)
 
-    def _pieces(self, cut: list[list[str]]) -> list[bytes]:
-        """Each list of pieces encoded; pieces that are new are encoded together and remembered."""
+    def _coded(self, pieces: list[str]) -> Iterator[bytes]:
+        """Each piece encoded, MERGED_PIECES at a time."""
         import numpy as np
 
-        spaced, bare, fresh = self.after_space, self.bare, {}
-        every = [*{p for pieces in cut for p in pieces if (p[1:] not in spaced if p[0] == " " and p[:2] != " \n" else p not in bare)}]
-        for begin in range(0, len(every), MERGED_PIECES):
-            new = every[begin : begin + MERGED_PIECES]
-            coded = self.encode_pieces(new)
+        for begin in range(0, len(pieces), MERGED_PIECES):
+            coded = self.encode_pieces(pieces[begin : begin + MERGED_PIECES])
             flat, at = np.fromiter(chain.from_iterable(coded), "<u4").tobytes(), 0
-            for piece, ids in zip(new, coded):
-                value = flat[at : at + 4 * len(ids)]
+            for ids in coded:
+                yield flat[at : at + 4 * len(ids)]
                 at += 4 * len(ids)
-                fresh[piece] = value
-                if len(piece) > CACHE_CHARS:
-                    continue
-                if piece[0] == " " and piece[:2] != " \n":
-                    spaced[piece[1:]] = value
-                else:
-                    bare[piece] = value
+
+    def _pieces(self, cut: list[list[str]]) -> list[bytes]:
+        """Each list of pieces encoded; pieces that are new are encoded together and remembered."""
+        spaced, bare, fresh = self.after_space, self.bare, {}
+        every = [*{p for pieces in cut for p in pieces if (p[1:] not in spaced if p[0] == " " and p[:2] != " \n" else p not in bare)}]
+        for piece, value in zip(every, self._coded(every)):
+            fresh[piece] = value
+            if len(piece) > CACHE_CHARS:
+                continue
+            if piece[0] == " " and piece[:2] != " \n":
+                spaced[piece[1:]] = value
+            else:
+                bare[piece] = value
         return [b"".join([fresh.get(p) or (spaced[p[1:]] if p[0] == " " and p[:2] != " \n" else bare[p]) for p in pieces]) for pieces in cut]
 
     def encode(self, texts) -> list[bytes]:
@@ -279,6 +282,13 @@ class TextEncoder:
                 values[i] = self.after_space[distinct[i]] = value
             elif distinct[i]:
                 new.append(i)
+        if self.letters_whole:  # a chunk of letters is one piece, and no cache has it
+            whole = [i for i in new if distinct[i].isalpha()]
+            for i, value in zip(whole, self._coded([" " + distinct[i] for i in whole])):
+                values[i] = value
+                if len(distinct[i]) <= CACHE_CHARS:
+                    self.after_space[distinct[i]] = value
+            new = [i for i in new if values[i] is None]
         for i, value in zip(new, self._pieces([self._cut(distinct[i]) for i in new])):
             values[i] = value
             if len(distinct[i]) <= CACHE_CHARS:

@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.sources.shared import shared_folder
 
-from .bpe import TextEncoder
+from .bpe import CACHE_ENTRIES, TextEncoder
 from .common import kept
 
 #: Ids after which a segment ends; a longer document has a segment of its own.
 SEGMENT_IDS = 1 << 16
 #: Keys for each bucket of the hash function, on average.
 BUCKET_KEYS = 4
+#: Entries of a worker's caches; this encoder is its only one, and its new words cost most.
+CACHED = 2 * CACHE_ENTRIES
 _MASK = (1 << 64) - 1
 
 
@@ -105,7 +107,7 @@ def _library_encoder(path: str, pattern: str) -> TextEncoder:
     def pieces(texts: list[str]) -> list[list[int]]:
         return [[token.id for token in model(text.encode().decode("latin-1").translate(table))] for text in texts]
 
-    return TextEncoder(pieces, pattern)
+    return TextEncoder(pieces, pattern, CACHED)
 
 
 class DocumentEncoder:
