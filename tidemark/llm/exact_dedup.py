@@ -92,13 +92,18 @@ def _marked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, lis
 def _chains(marked: DataFrame) -> DataFrame:
     """Runs at the ends of ranges joined to those that they go on from; two rows for each range at most.
 
+    The ends are lined up by their numbers alone, and the texts of neighbouring ends meet in a join on those.
     Returns (__part, __run, __chain_first, __chain_n, __link), __link 1 where a chain begins.
     """
     ends = marked.filter(F.col("__edge").isNotNull()).groupBy("__part", "__run").agg(F.max("__edge").alias("edge"))
+    line = Window.orderBy("__part", "__run")  # two rows of integers for each range
+    before = F.lag(F.struct("__part", "__run")).over(line)
+    order = marked.filter(F.col("__edge").isNotNull()).select("__part", "__run").distinct().withColumn("before", before)
+    previous = ends.select(F.col("__part").alias("part"), F.col("__run").alias("run"), F.col("edge").alias("text"))
+    met = order.join(ends, ["__part", "__run"]).join(previous, (F.col("before.__part") == F.col("part")) & (F.col("before.__run") == F.col("run")), "left")
+    begins = met.select("__part", "__run", F.coalesce(F.col("edge") != F.col("text"), F.lit(True)).cast("int").alias("begins"))
     sizes = marked.groupBy("__part", "__run").agg(F.count("*").alias("n"), F.first("__first").alias("first"))
-    line = Window.orderBy("__part", "__run")
-    begins = F.coalesce(F.lag("edge").over(line) != F.col("edge"), F.lit(True)).cast("int")
-    chained = ends.join(sizes, ["__part", "__run"]).withColumn("begins", begins).withColumn("chain", F.sum("begins").over(line))
+    chained = begins.join(sizes, ["__part", "__run"]).withColumn("chain", F.sum("begins").over(line))
     inside = Window.partitionBy("chain").orderBy("__part", "__run")
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return chained.select("__part", "__run", F.first("first").over(whole).alias("__chain_first"),
