@@ -16,7 +16,7 @@ from tidemark.llm.components import connected_components
 from tidemark.llm.exact_dedup import exact_dedup, exact_dedup_rows
 from tidemark.llm.mixing import mix_report, mix_rows
 from tidemark.llm.ngram_join import Link, ngram_join, one_of_each_component
-from tidemark.llm.quality_rules import base_counts, quality_rules, repeated_words
+from tidemark.llm.quality_rules import base_counts, quality_rules, repeated_words, train
 from tidemark.llm.token_file import Segment, build_index, fetch, new_folder, read_tokens, write_tokens
 from tidemark.llm.url_filter import url_filter
 
@@ -97,6 +97,15 @@ def test_quality_rules_learns_and_keeps_rows(spark):
     assert quality_rules(docs_of(spark, []), labels).count() == 0
 
 
+def test_quality_sample_is_bounded_by_ids_and_features(spark):
+    rows = [(i, f"plain words of {'good' if i % 2 else 'bad'} text {i}", "s") for i in range(40)] + [(7, f"copy {i} of a labelled id", "s") for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    learned = train(docs_of(spark, rows), labels, "doc_id", "text")
+    assert learned is not None and train(docs_of(spark, rows), labels, "doc_id", "text", sample_features=1) is None
+    again = train(docs_of(spark, rows).repartition(7), labels, "doc_id", "text")
+    assert (learned.weights == again.weights).all() and learned.slope == again.slope
+
+
 # token files
 
 

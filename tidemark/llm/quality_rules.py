@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import small_batches, text_bytes, windows, word_hashes
 
@@ -14,6 +14,8 @@ FEATURE_BITS = 17
 WORD_ORDERS, CHAR_ORDERS = (1, 2), (2, 4)
 #: Labelled rows that the model is fitted on at most: those whose ids have the lowest hashes.
 SAMPLE_ROWS = 2000
+#: Features that these rows may have together (12 bytes each); rows that would exceed it are left out of the fit.
+SAMPLE_FEATURES = 20_000_000
 #: Folds whose held-out scores calibrate the probabilities, steps of the optimiser, ridge penalty.
 FOLDS, STEPS, RIDGE = 4, 60, 1e-6
 #: A document is kept if the probability of good quality is at least this.
@@ -149,8 +151,13 @@ def fit_model(examples: list) -> Model | None:
     return Model(weights.astype(np.float32), bias, max(slope, 1e-3), shift)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """The model from at most sample_rows labelled rows, picked by a hash of their ids; the rest isn't read."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample_rows: int = SAMPLE_ROWS,
+          sample_features: int = SAMPLE_FEATURES) -> Model | None:
+    """The model from at most sample_rows labelled ids, picked by a hash; the rest isn't learned from.
+
+    Of rows that share an id, one is taken. Rows are taken in the order of the hash while their features,
+    those of the rows before included, are sample_features at most.
+    """
     spark = docs.sparkSession
     one = labels.filter(F.col(id_col).isNotNull() & F.col("quality").isin(0, 1)).groupBy(id_col).agg(F.min("quality").alias("__label"))
     picked = one.orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(sample_rows)
@@ -160,20 +167,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
     def features(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import xxhash
 
         for batch in batches:
-            out = ([], [], [])
-            for label, data in zip(batch.column(0).to_pylist(), text_bytes(batch, "text")):
+            out = ([], [], [], [], [])
+            for key, label, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch, "text")):
                 grams = hashed_features(data, word_hashes(data.split()))
                 parts = [np.unique(g, return_counts=True) + (len(g),) for g in grams if len(g)]
-                out[0].append(label)
-                out[1].append(np.concatenate([p[0] for p in parts] or [np.zeros(0)]).astype(np.int32))
-                out[2].append(np.concatenate([p[1] / p[2] for p in parts] or [np.zeros(0)]).astype(np.float32))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.list_(pa.int32())), pa.array(out[2], pa.list_(pa.float32()))],
-                                             names=["label", "buckets", "shares"])
-
-    rows = sample.select(F.col("__label").cast("int").alias("label"), F.col(text_col).alias("text"))
-    table = rows.mapInArrow(features, "label int, buckets array<int>, shares array<float>").toArrow().combine_chunks()
+                out[0].append(key)
+                out[1].append(label)
+                out[2].append(xxhash.xxh3_64_intdigest(data) >> 1)
+                out[3].append(np.concatenate([p[0] for p in parts] or [np.zeros(0)]).astype(np.int32))
+                out[4].append(np.concatenate([p[1] / p[2] for p in parts] or [np.zeros(0)]).astype(np.float32))
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, kinds)], names=["id", "label", "mark", "buckets", "shares"])
+
+    rows = sample.select(F.col("__id").cast("string").alias("id"), F.col("__label").cast("int").alias("label"), F.col(text_col).alias("text"))
+    made = rows.mapInArrow(features, "id string, label int, mark long, buckets array<int>, shares array<float>")
+    one_each = made.groupBy("id").agg(F.min_by(F.struct("label", "buckets", "shares"), "mark").alias("row"))  # repeated ids
+    used = F.sum(F.size("row.buckets")).over(Window.orderBy(F.xxhash64("id"), "id"))  # sample_rows rows at most
+    table = one_each.withColumn("used", used).filter(F.col("used") <= sample_features).select("row.*").toArrow().combine_chunks()
     if not table.num_rows:
         return None
     buckets, shares = table.column("buckets"), table.column("shares")
