@@ -12,8 +12,11 @@ from .exact_dedup import exact_dedup
 from .lm_scoring import lm_scores
 from .mixing import mix_report
 from .ngram_join import Link, ngram_join
+from .periodic_runs import longest_run, periodic_runs, with_planted_periods
 from .quality_rules import quality_rules
+from .simhash import simhash_components
 from .token_file import new_folder, read_tokens, write_tokens
+from .turn_repair import damaged, repair_conversations
 from .url_filter import url_filter
 
 #: Rules of the url query: host, path, action.
@@ -83,6 +86,24 @@ def op10_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns(spans)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs(with_planted_periods(_documents(spark, sf_dir, "doc_id", "text"))).withColumn("longest", longest_run(F.col("runs")))
+    lines = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -94,6 +115,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_lm_scores": op9_lm_scores,
     "op10_chat_preferences": op10_chat_preferences,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_simhash": op12_simhash,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLE_SQL = {
@@ -182,5 +206,60 @@ select c.pair_id, c.chosen_id, c.rejected_id, c.common, coalesce(pr.prompt, '')
        case when c.chosen_id is not null then coalesce(a.completion, '') end as chosen, case when c.rejected_id is not null then coalesce(b.completion, '') end as rejected,
        case when c.chosen_id is not null then coalesce(a.spans, '') end as chosen_spans, case when c.rejected_id is not null then coalesce(b.spans, '') end as rejected_spans
 from cut c left join prompts pr using (pair_id) left join completions a on a.conv_id = c.chosen_id left join completions b on b.conv_id = c.rejected_id
+""",
+    "op13_turn_repair": r"""
+with recursive keyed as (
+  select conv_id, dense_rank() over (order by conv_id) as c, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ascii(x)::bigint) as bytes
+  from conversations),
+hashed as (
+  select *, xor(4294967295, list_reduce(bytes, lambda crc, b: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, b)), 4294967295)) % 20 as kind
+  from keyed),
+changed as (
+  select c, turn, case when kind = 4 then 'user' else role end as role,
+         case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+  from hashed where kind <> 0),
+seen as (select *, row_number() over (partition by c, role, text order by turn nulls first) as times from changed),
+placed as (
+  select *, row_number() over (partition by c order by turn nulls first, role, text, times) as i, substr(role, 1, 1) as initial,
+         case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank' when times > 1 then 'duplicate'
+              when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault
+  from seen),
+paired as (select *, lag(initial) over (partition by c order by i) || initial as pair from placed),
+counts as (
+  select c, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (fault = 'blank') as blank,
+         count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+         count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+  from paired group by c),
+kept(state, initial, next) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+edits(edit, fee) as (values ('D', 3), ('K', 0), ('R', 2)),
+inserts(m) as (values (0), (1), (2)),
+ways(c, i, state, best) as (
+  select c, 0::bigint, case m when 0 then 0 when 1 then 2 else 3 end, {'cost': (2 * m)::bigint, 'audit': repeat('I', m)} from counts, inserts
+  union all
+  select c, i, state, min(best) from (
+    select s.c, s.i, case when m = 0 then s.state when (s.state = 2) = (m = 1) then 3 else 2 end as state,
+           {'cost': s.cost + 2 * m, 'audit': s.audit || repeat('I', m)} as best
+    from (
+      select w.c, p.i, case edit when 'D' then w.state when 'K' then k.next else case when w.state = 2 then 3 else 2 end end as state,
+             w.best.cost + fee + case when edit <> 'D' and fault = 'truncated' then 1 else 0 end as cost, w.best.audit || edit as audit
+      from ways w join placed p on p.c = w.c and p.i = w.i + 1 cross join edits left join kept k on k.state = w.state and k.initial = p.initial
+      where edit = 'D' or (fault not in ('blank', 'duplicate') and (edit = 'R' or k.next is not null))) s cross join inserts)
+  group by c, i, state),
+chosen as (select w.c, min(w.best) as best from ways w join counts n on n.c = w.c and n.n = w.i where w.state in (0, 3) group by w.c),
+letters as (select c, unnest(range(1, length(best.audit) + 1)) as pos, best.audit as audit from chosen),
+steps as (
+  select c, pos, substr(audit, pos, 1) as edit, sum(case when substr(audit, pos, 1) = 'I' then 0 else 1 end) over w as i,
+         sum(case when substr(audit, pos, 1) = 'D' then 0 else 1 end) over w as made
+  from letters window w as (partition by c order by pos)),
+lines as (
+  select s.*, p.role, p.text, max(case when s.made = 1 and s.edit = 'K' and p.initial = 's' then 1 else 0 end) over (partition by s.c) as system
+  from steps s left join placed p on p.c = s.c and p.i = s.i and s.edit <> 'I' where s.edit <> 'D'),
+repaired as (
+  select c, string_agg(case when edit = 'K' then role when (made - system) % 2 = 1 then 'user' else 'assistant' end || ':' || coalesce(text, ''), chr(10) order by pos) as whole
+  from lines group by c)
+select conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+       coalesce(illegal, 0) as illegal, coalesce(best.cost, 0) as cost, coalesce(best.audit, '') as audit, sha256(coalesce(whole, '')) as repaired_sha256
+from (select distinct c, conv_id from keyed) k left join counts using (c) left join chosen using (c) left join repaired using (c)
 """,
 }
