@@ -119,14 +119,6 @@ def test_later_rows_change_nothing_before(spark):
     assert a.exceptAll(b).count() == 0
 
 
-def test_blocks_equal_sliding_frames(spark, monkeypatch):
-    bars = synthetic(spark)
-    sliding = features.features(bars, 50)
-    monkeypatch.setattr(features, "SLIDING", 5)
-    blocks = features.features(bars, 50)
-    assert sliding.exceptAll(blocks.select(*sliding.columns)).count() == 0 and blocks.filter("rolling_mid is null").count() == 3 * 49
-
-
 # settlements
 
 
@@ -313,15 +305,6 @@ def test_stages_against_their_plans(spark):
         ("a", 10, "", 1_000_000, "passed"), ("b", 0, "E0:1,E1:2", 90_000_000_000, "failed"), ("c", 2, "", 666_666, "under_target"), ("d", 0, "", None, "failed")]
 
 
-def test_long_excursions_equal_sliding_ones(spark, monkeypatch):
-    bars = spark.range(400).selectExpr("id % 3 as k", "id * 60000 as t", "id * 7919 % 1009 as close", "id * 7919 % 1009 + id % 11 as high", "id * 7919 % 1009 - id % 13 as low")
-    for rows in (1, 7, 40, 133, 200):
-        monkeypatch.setattr(features, "SLIDING", 0)
-        blocks = rows_of(features.forward_excursion(bars, rows), "k", "t", "adverse", "favourable")
-        monkeypatch.setattr(features, "SLIDING", 1000)
-        assert blocks == rows_of(features.forward_excursion(bars, rows), "k", "t", "adverse", "favourable")
-
-
 def test_stream_of_ticks(spark, tmp_path):
     from tidemark.streaming import candles
 

@@ -1,11 +1,10 @@
-"""Rolling features of bars by instrument: one shuffle, windows that only grow, whatever their length."""
+"""Rolling features of bars by instrument, as segmented scans: blocks of time that tasks finish alone, with a halo of rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Row frames up to this length use Spark's sliding frames; longer ones are decomposed.
-SLIDING = 60
+from tidemark.operators import segments
 
 FEATURES = ("rolling_mid", "rolling_high", "rolling_low", "rolling_atr", "rolling_volume_mean", "range_width", "range_position",
             "lower_touch", "upper_touch", "mid_crossing")
@@ -20,29 +19,9 @@ def true_range(previous: str = "prev_close") -> Column:
     return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col(previous)), F.abs(F.col("low") - F.col(previous)))
 
 
-def _block_runs(df: DataFrame) -> DataFrame:
-    """Extremes from each block's start to a row (prefix) and from the row to its end (suffix)."""
-    block = Window.partitionBy("k", "__block")
-    for name, order in (("prefix", F.col("t")), ("suffix", F.col("t").desc())):
-        df = df.withColumns({f"__{name}_high": F.max("high").over(block.orderBy(order)), f"__{name}_low": F.min("low").over(block.orderBy(order))})
-    return df
-
-
-def _extremes(df: DataFrame, rows: int) -> DataFrame:
-    """rolling_high and rolling_low over the last `rows` rows; null before there are as many.
-
-    Long windows are cut into blocks of `rows` rows: the extreme is that of the running one inside this block
-    and of the suffix of the block before, `rows` - 1 rows back. Both frames only grow, both columns share
-    each window, and block order is time order, so there are three sorts whatever the length.
-    """
-    full = F.col("__n") >= rows
-    if rows <= SLIDING:
-        frame = Window.partitionBy("k").orderBy("t").rowsBetween(1 - rows, 0)
-        return df.withColumns({"rolling_high": F.when(full, F.max("high").over(frame)), "rolling_low": F.when(full, F.min("low").over(frame))})
-    df = _block_runs(df)
-    line = Window.partitionBy("k").orderBy("__block", "t")
-    df = df.withColumns({f"__{c}_before": F.lag(f"__suffix_{c}", rows - 1).over(line) for c in ("high", "low")})
-    return df.withColumns({"rolling_high": F.when(full, F.greatest("__prefix_high", "__high_before")), "rolling_low": F.when(full, F.least("__prefix_low", "__low_before"))})
+def _kind(bars: DataFrame, *names: str) -> str:
+    """long if all the columns are integers, else double."""
+    return "long" if all(bars.schema[n].dataType.typeName() in ("byte", "short", "integer", "long") for n in names) else "double"
 
 
 def features(bars: DataFrame, rows: int) -> DataFrame:
@@ -50,27 +29,40 @@ def features(bars: DataFrame, rows: int) -> DataFrame:
 
     Means are null until there are `rows` rows; they are differences of running sums, exact on integer prices.
     prior_* are the rolling values one row back; touches and crossings are false where a prior value is missing.
+    Null prices are left out of sums and extremes, and whatever is compared with them alone is null or false. Integers
+    give integers, other numbers doubles (decimals too: units are the exact way). Each block needs the rows + 1 before it;
+    see segments.scan_segments() for what is shuffled and held.
     """
-    line = Window.partitionBy("k").orderBy("t")
-    df = bars.withColumns({"prev_close": previous_close(), "__n": F.row_number().over(line)})
-    df = df.withColumns({"__block": F.floor((F.col("__n") - 1) / rows), "true_range": true_range()})
-    summed = ("close", "true_range", "volume")
-    df = df.withColumns({f"__run_{c}": F.sum(c).over(line) for c in summed})
-    df = df.withColumns({f"__old_{c}": F.coalesce(F.lag(f"__run_{c}", rows).over(line), F.lit(0)) for c in summed})
-    mean = {c: F.when(F.col("__n") >= rows, F.col(f"__run_{c}") - F.col(f"__old_{c}")) / rows for c in summed}
-    df = df.withColumns({"rolling_mid": mean["close"], "rolling_atr": mean["true_range"], "rolling_volume_mean": mean["volume"]})
-    df = _extremes(df, rows)
-    last = line if rows <= SLIDING else Window.partitionBy("k").orderBy("__block", "t")
-    df = df.withColumns({f"prior_{x}": F.lag(f"rolling_{x}").over(last) for x in ("mid", "high", "low")})
-    width = F.col("rolling_high") - F.col("rolling_low")
-    crossing = ((F.col("prev_close") <= F.col("prior_mid")) & (F.col("close") > F.col("prior_mid"))) | (
-        (F.col("prev_close") >= F.col("prior_mid")) & (F.col("close") < F.col("prior_mid")))
-    df = df.withColumns({
-        "range_width": width, "range_position": F.when(width > 0, (F.col("close") - F.col("rolling_low")) / width),
-        "lower_touch": F.coalesce(F.col("low") <= F.col("prior_low"), F.lit(False)),
-        "upper_touch": F.coalesce(F.col("high") >= F.col("prior_high"), F.lit(False)),
-        "mid_crossing": F.coalesce(crossing, F.lit(False))})
-    return df.drop(*[c for c in df.columns if c.startswith("__")])
+    range_kind, close_kind = _kind(bars, "high", "low"), _kind(bars, "close")
+    true_kind = _kind(bars, "high", "low", "close")
+    schema = (f"prev_close {close_kind}, true_range {true_kind}, rolling_mid double, rolling_atr double, rolling_volume_mean double, "
+              f"rolling_high {range_kind}, rolling_low {range_kind}, prior_mid double, prior_high {range_kind}, prior_low {range_kind}, "
+              f"range_width {range_kind}, range_position double, lower_touch boolean, upper_touch boolean, mid_crossing boolean")
+
+    def finish(table, place, left):
+        import numpy as np
+
+        high, low, close, volume = (segments.numbers(table, c) for c in ("high", "low", "close", "volume"))
+        full, second, later = place >= rows - 1, place >= rows, place >= 1
+        previous = segments.shifted(close, 1)
+        width = high - low
+        wide = np.fmax(width, np.fmax(np.abs(high - previous), np.abs(low - previous)))
+        reach = np.where(later, wide, width)
+        mid, atr, mean = (segments.rolling_sum(x, rows, place) / rows for x in (close, reach, volume))
+        top, bottom = segments.rolling_extreme(high, rows, np.fmax), segments.rolling_extreme(low, rows, np.fmin)
+        prior_mid, prior_top, prior_bottom = (segments.shifted(x, 1) for x in (mid, top, bottom))
+        spread = top - bottom
+        with np.errstate(divide="ignore", invalid="ignore"):
+            position = (close - bottom) / spread
+        crossing = ((previous <= prior_mid) & (close > prior_mid)) | ((previous >= prior_mid) & (close < prior_mid))
+        known = np.ones(len(table), bool)
+        made = [(previous, later, close_kind), (reach, known, true_kind), (mid, full, "double"), (atr, full, "double"), (mean, full, "double"),
+                (top, full, range_kind), (bottom, full, range_kind), (prior_mid, second, "double"), (prior_top, second, range_kind), (prior_bottom, second, range_kind),
+                (spread, full, range_kind), (position, full & (spread > 0), "double"),
+                (second & (low <= prior_bottom), known, "boolean"), (second & (high >= prior_top), known, "boolean"), (second & crossing, known, "boolean")]
+        return [segments.column(*x) for x in made]
+
+    return segments.scan_segments(bars, finish, schema, back=rows + 1)
 
 
 def core_with_halo(bars: DataFrame, rows: int, core_start: int, core_end: int, halo_ms: int) -> DataFrame:
@@ -83,21 +75,18 @@ def core_with_halo(bars: DataFrame, rows: int, core_start: int, core_end: int, h
 
 
 def forward_excursion(bars: DataFrame, rows: int) -> DataFrame:
-    """Largest adverse and favourable move of the close within the next `rows` rows; null without them.
+    """bars with the largest adverse and favourable move of the close within the next `rows` rows; null without them."""
+    kind = _kind(bars, "high", "low", "close")
 
-    Long windows take the suffix of the next row's block and the prefix `rows` rows ahead, as _extremes() does backwards.
-    """
-    line = Window.partitionBy("k").orderBy("t")
-    if rows <= SLIDING:
-        ahead = line.rowsBetween(1, rows)
-        high, low, full = F.max("high").over(ahead), F.min("low").over(ahead), F.count("*").over(ahead) == rows
-        return bars.withColumns({"adverse": F.when(full, F.col("close") - low), "favourable": F.when(full, high - F.col("close"))})
-    df = _block_runs(bars.withColumn("__block", F.floor((F.row_number().over(line) - 1) / rows)))
-    last = Window.partitionBy("k").orderBy("__block", "t")
-    df = df.withColumns({f"__next_{c}": F.lead(f"__suffix_{c}").over(last) for c in ("high", "low")} | {f"__far_{c}": F.lead(f"__prefix_{c}", rows).over(last) for c in ("high", "low")})
-    full = F.col("__far_low").isNotNull()
-    moves = {"adverse": F.when(full, F.col("close") - F.least("__next_low", "__far_low")), "favourable": F.when(full, F.greatest("__next_high", "__far_high") - F.col("close"))}
-    return df.withColumns(moves).drop(*[c for c in df.columns if c.startswith("__")])
+    def finish(table, place, left):
+        import numpy as np
+
+        high, low, close = (segments.numbers(table, c) for c in ("high", "low", "close"))
+        top = segments.shifted(segments.rolling_extreme(high, rows, np.fmax), -rows)
+        bottom = segments.shifted(segments.rolling_extreme(low, rows, np.fmin), -rows)
+        return [segments.column(close - bottom, left >= rows, kind), segments.column(top - close, left >= rows, kind)]
+
+    return segments.scan_segments(bars, finish, f"adverse {kind}, favourable {kind}", back=0, ahead=rows)
 
 
 def outcome_metrics(moves: DataFrame) -> DataFrame:

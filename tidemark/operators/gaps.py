@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.times import MINUTE
-
-
-def distinct_keys(rows: DataFrame) -> DataFrame:
-    return rows.select("k", "t").distinct()
+from tidemark.operators.presence import FULL, presence, runs, within_requests
+from tidemark.sources.shared import checkpoints
 
 
 def gap_ranges(requests: DataFrame, rows: DataFrame, step: int = MINUTE) -> DataFrame:
     """Maximal missing runs (k, start, stop, gap_start, gap_end, minutes) of requested series (k, start, stop; both inclusive).
 
-    Leading, internal and trailing runs, and the whole series where nothing is observed. Only the observed
-    keys are sorted; missing keys are never listed. Requests may overlap; repeated ones count once.
+    Leading, internal and trailing runs, and the whole series where nothing is observed. Rows become presence words
+    before they are shuffled; the runs of ones in the words of a request are stitched over words, and what is between
+    two is a gap, so missing keys are never listed. Requests are whole steps and may overlap; repeated ones count once.
+    Rows between two steps fill none.
     """
     wanted = requests.select("k", "start", "stop").distinct()
-    seen = distinct_keys(rows).join(wanted, "k").filter((F.col("t") >= F.col("start")) & (F.col("t") <= F.col("stop")))
-    line = Window.partitionBy("k", "start", "stop").orderBy("t")
-    inner = seen.select("k", "start", "stop", "t", F.coalesce(F.lag("t").over(line), F.col("start") - step).alias("before"))
-    inner = inner.filter(F.col("t") - F.col("before") > step).select("k", "start", "stop", (F.col("before") + step).alias("gap_start"), (F.col("t") - step).alias("gap_end"))
-    last = seen.groupBy("k", "start", "stop").agg(F.max("t").alias("last"))
+    seen = within_requests(wanted, presence(step, seen=rows), step)
+    seen = seen.select("k", "start", "stop", "word", F.col("seen").bitwiseAND(F.col("mask")).alias("bits")).filter("bits <> 0")
+    run = seen.select("k", "start", "stop", "word", F.explode(runs(F.col("bits"))).alias("r"))
+    run = run.select("k", "start", "stop", (F.col("word") + F.col("r.first") * F.lit(step)).alias("first"), (F.col("word") + F.col("r.last") * F.lit(step)).alias("last"))
+    line = Window.partitionBy("k", "start", "stop").orderBy("first")
+    inner = run.select("k", "start", "stop", "first", F.coalesce(F.lag("last").over(line), F.col("start") - step).alias("before"))
+    inner = inner.filter(F.col("first") - F.col("before") > step).select("k", "start", "stop", (F.col("before") + step).alias("gap_start"), (F.col("first") - step).alias("gap_end"))
+    last = run.groupBy("k", "start", "stop").agg(F.max("last").alias("last"))
     tail = wanted.join(last, ["k", "start", "stop"], "left").select(
         "k", "start", "stop", F.coalesce(F.col("last") + step, F.col("start")).alias("gap_start"), F.col("stop").alias("gap_end")).filter("gap_start <= gap_end")
     both = inner.unionByName(tail)
@@ -46,39 +49,48 @@ def gap_topology(requests: DataFrame, rows: DataFrame, step: int = MINUTE) -> Da
 
 
 def missing_keys(requests: DataFrame, rows: DataFrame, step: int = MINUTE) -> DataFrame:
-    """(k, t) of every requested minute without a row; for ranges whose minutes may be listed."""
-    expected = requests.select("k", F.explode(F.sequence("start", "stop", F.lit(step))).alias("t"))
-    return expected.join(distinct_keys(rows), ["k", "t"], "left_anti")
+    """(k, t) of every requested minute without a row, for each distinct request; only what is missing is listed."""
+    return gap_ranges(requests, rows, step).select("k", F.explode(F.sequence("gap_start", "gap_end", F.lit(step))).alias("t"))
 
 
 def coverage_by_series(requests: DataFrame, rows: DataFrame, quarantined: DataFrame, excluded: DataFrame, source: DataFrame, step: int = MINUTE) -> DataFrame:
     """Expected, observed, missing, duplicate, unexpected and explained minutes of each series, and whether it passed.
 
     quarantined and excluded are keys (k, t) that explain a missing minute; `source` are the keys that the
-    canonical rows should equal. What no reason explains, the source returned no data for.
+    canonical rows should equal. What no reason explains, the source returned no data for. unexpected counts an
+    instrument's keys outside the request, source_mismatch its keys that only one of rows and source has; rows between
+    two steps are unexpected and mismatched, each.
+
+    All four tables become presence words in one shuffle, kept in the shared folder; counts are of bits of words and
+    their AND NOT. Only where a request ends inside a word that has repeated rows are that word's rows looked at again.
     """
-    def inside(keys: DataFrame) -> DataFrame:
-        return keys.join(requests, "k").filter((F.col("t") >= F.col("start")) & (F.col("t") <= F.col("stop")))
-
-    per_key = rows.groupBy("k", "t").agg(F.count("*").alias("n"))
-    canonical = per_key.join(source.select("k", "t").distinct().withColumn("src", F.lit(1)), ["k", "t"], "full_outer")
-    facts = canonical.join(requests, "k")
-    within = (F.col("t") >= F.col("start")) & (F.col("t") <= F.col("stop"))
-    sums = facts.groupBy("k", "start", "stop").agg(
-        F.count(F.when(within & F.col("n").isNotNull(), 1)).alias("observed"),
-        F.coalesce(F.sum(F.when(within, F.col("n"))), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.when(within & (F.col("n") > 1), F.col("n") - 1)), F.lit(0)).alias("duplicates"),
-        F.count(F.when(~within & F.col("n").isNotNull(), 1)).alias("unexpected"),
-        F.count(F.when(F.col("n").isNull() | F.col("src").isNull(), 1)).alias("source_mismatch"))
-    reasons = {}
-    for name, keys in (("quarantined", quarantined), ("excluded", excluded)):
-        lost = inside(keys.select("k", "t").distinct().join(per_key, ["k", "t"], "left_anti"))
-        reasons[name] = lost.groupBy("k", "start", "stop").agg(F.count("*").alias(f"{name}_missing"))
-    joined = requests.select("k", "start", "stop").join(sums, ["k", "start", "stop"], "left")
-    for part in reasons.values():
-        joined = joined.join(part, ["k", "start", "stop"], "left")
-    counts = ["observed", "row_count", "duplicates", "unexpected", "source_mismatch", "quarantined_missing", "excluded_missing"]
-    filled = joined.select("k", "start", "stop", ((F.col("stop") - F.col("start")) / step + 1).cast("long").alias("expected"), *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
+    checkpoints(rows.sparkSession)
+    words = presence(step, row=rows, quarantined=quarantined, excluded=excluded, source=source).checkpoint()
+    ones = lambda c: F.bit_count(c).cast("long")
+    series = ["k", "start", "stop"]
+    met = within_requests(requests, words, step)
+    repeats = F.col("row_rows") - ones("row")
+    lost = F.col("mask").bitwiseAND(F.bitwise_not("row"))
+    sums = met.groupBy(*series).agg(
+        F.sum(ones(F.col("row").bitwiseAND(F.col("mask")))).alias("observed"),
+        F.sum(F.when(F.col("mask") == FULL, repeats).otherwise(0)).alias("duplicates"),
+        *[F.sum(ones(F.col(c).bitwiseAND(lost))).alias(f"{c}_missing") for c in ("quarantined", "excluded")])
+    totals = words.groupBy("k").agg(
+        F.sum(ones("row") + F.col("row_off")).alias("keys"),
+        F.sum(ones(F.col("row").bitwiseXOR(F.col("source"))) + F.col("row_off") + F.col("source_off")).alias("source_mismatch"))
+    joined = requests.select(*series).join(sums, series, "left").join(totals, "k", "left")
+    counts = ["observed", "duplicates", "quarantined_missing", "excluded_missing", "keys", "source_mismatch"]
+    filled = joined.select(*series, *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
+    cut = met.filter((F.col("mask") != FULL) & (repeats > 0)).select(*series, "word", "mask")
+    if not cut.isEmpty():
+        span = step * 60
+        again = rows.select("k", "t", (F.col("t") - F.pmod("t", F.lit(span))).alias("word")).filter(F.pmod("t", F.lit(step)) == 0)
+        again = again.join(cut.select("k", "word").distinct(), ["k", "word"], "left_semi").groupBy("k", "word", "t").agg((F.count("*") - 1).alias("n")).filter("n > 0")
+        inside = again.join(cut, ["k", "word"]).filter("t between start and stop").groupBy(*series).agg(F.sum("n").alias("more"))
+        filled = filled.join(inside, series, "left").withColumn("duplicates", F.col("duplicates") + F.coalesce("more", F.lit(0)))
+    filled = filled.select(
+        *series, ((F.col("stop") - F.col("start")) / step + 1).cast("long").alias("expected"), "observed", (F.col("observed") + F.col("duplicates")).alias("row_count"), "duplicates",
+        (F.col("keys") - F.col("observed")).alias("unexpected"), "source_mismatch", "quarantined_missing", "excluded_missing")
     filled = filled.withColumn("missing", F.col("expected") - F.col("observed"))
     filled = filled.withColumn("no_data", F.col("missing") - F.col("quarantined_missing") - F.col("excluded_missing"))
     passed = (F.col("missing") == 0) & (F.col("row_count") == F.col("expected")) & (F.col("duplicates") + F.col("unexpected") + F.col("source_mismatch") == 0)

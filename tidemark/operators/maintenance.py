@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.exact import stable_bucket
+from tidemark.operators.presence import presence, within_requests
 from tidemark.sources import canonical
 
 # Fixed values of the layout.
@@ -92,12 +93,14 @@ def exact_coverage(table: DataFrame, requests: DataFrame, step: int = 60_000) ->
     """(k, expected, n, exact) of rows (k, t) and one request (k, start, stop; both inclusive) for each k.
 
     exact: every requested minute once and nothing else. Rows without a request expect nothing, requests without rows have n = 0.
+    Counted in presence words, which are a sixtieth of the rows.
     """
-    sums = table.groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("t").alias("keys"), F.min("t").alias("first"), F.max("t").alias("last"),
-                                  F.countDistinct(F.pmod("t", F.lit(step))).alias("offsets"))
-    met = sums.join(requests.select("k", "start", "stop"), "k", "full_outer")
+    words = presence(step, row=table)
+    inside = within_requests(requests, words, step).groupBy("k").agg(F.sum(F.bit_count(F.col("row").bitwiseAND(F.col("mask")))).alias("inside"))
+    sums = words.groupBy("k").agg(F.sum(F.col("row_rows") + F.col("row_off")).alias("n"))
+    met = sums.join(requests.select("k", "start", "stop"), "k", "full_outer").join(inside, "k", "left")
     expected = F.coalesce(F.floor((F.col("stop") - F.col("start")) / step) + 1, F.lit(0))
-    exact = (F.col("n") == expected) & (F.col("keys") == expected) & (F.col("first") == F.col("start")) & (F.col("last") == F.col("stop")) & (F.col("offsets") == 1)
+    exact = (F.col("n") == expected) & (F.col("inside") == expected)
     return met.select("k", expected.alias("expected"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce(exact, F.lit(False)).alias("exact"))
 
 

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import DAY, MINUTE
+from tidemark.functions.times import DAY, HOUR, MINUTE
 from tidemark.operators import gaps as ops
 from tidemark.plans.registry import query
 from tidemark.plans.sql import with_views
 from tidemark.sources import views
 
 REQUESTS = "requests as (select k, min(t) - 60000 as start, max(t) + 60000 as stop from bars group by k)"
-GAPS = REQUESTS + """,
-seen as (select b.k, b.t, coalesce(lag(b.t) over (partition by b.k order by b.t), r.start - 60000) as before from bars b join requests r on b.k = r.k),
+# every third instrument has a second request that overlaps the first
+GAPS = f"""first_{REQUESTS},
+requests as (select * from first_requests union select k, start + 7200000, stop + 600000 from first_requests where k % 3 = 0),
+seen as (select r.k, r.start, r.stop, b.t, coalesce(lag(b.t) over (partition by r.k, r.start, r.stop order by b.t), r.start - 60000) as before
+  from bars b join requests r on b.k = r.k and b.t between r.start and r.stop),
 gaps as (
-  select k, before + 60000 as gap_start, t - 60000 as gap_end from seen where t - before > 60000
-  union all select r.k, max(b.t) + 60000, r.stop from requests r join bars b on b.k = r.k group by r.k, r.stop having max(b.t) + 60000 <= r.stop)"""
+  select k, start, stop, before + 60000 as gap_start, t - 60000 as gap_end from seen where t - before > 60000
+  union all select r.k, r.start, r.stop, coalesce(max(b.t) + 60000, r.start), r.stop from requests r left join bars b on b.k = r.k and b.t between r.start and r.stop
+  group by r.k, r.start, r.stop having coalesce(max(b.t) + 60000, r.start) <= r.stop)"""
 
 
 def requests(bars):
@@ -27,9 +31,15 @@ def _both(spark, sf_dir):
     return requests(bars), bars
 
 
-@query("E13_gap_ranges", with_views("bars", sql=f"with {GAPS} select k, gap_start, gap_end, ((gap_end - gap_start) // 60000 + 1)::bigint as minutes from gaps"))
+def _gaps(spark, sf_dir):
+    first, bars = _both(spark, sf_dir)
+    later = first.filter("k % 3 = 0").select("k", (F.col("start") + 2 * HOUR).alias("start"), (F.col("stop") + 10 * MINUTE).alias("stop"))
+    return ops.gap_ranges(first.unionByName(later), bars)
+
+
+@query("E13_gap_ranges", with_views("bars", sql=f"with {GAPS} select k, start, stop, gap_start, gap_end, ((gap_end - gap_start) // 60000 + 1)::bigint as minutes from gaps"))
 def gap_ranges(spark, sf_dir):
-    return ops.gap_ranges(*_both(spark, sf_dir)).select("k", "gap_start", "gap_end", "minutes")
+    return _gaps(spark, sf_dir)
 
 
 # beside each series an overlapping one for every other instrument, one that is whole, and one of an instrument without rows
@@ -54,13 +64,14 @@ def gap_topology(spark, sf_dir):
     return ops.gap_topology(first.unionByName(later).unionByName(whole).unionByName(absent), bars)
 
 
-@query("F5_gap_examples", with_views("bars", sql=f"""with {GAPS}, ranked as (select *, row_number() over (partition by k order by gap_start) as place from gaps)
-  select k, place, gap_start, gap_end from ranked where place <= 20"""))
+@query("F5_gap_examples", with_views("bars", sql=f"""with {GAPS}, ranked as (select *, row_number() over (partition by k, start, stop order by gap_start) as place from gaps)
+  select k, start, stop, place, gap_start, gap_end from ranked where place <= 20"""))
 def gap_examples(spark, sf_dir):
     from pyspark.sql import Window
 
-    ranked = ops.gap_ranges(*_both(spark, sf_dir)).withColumn("place", F.row_number().over(Window.partitionBy("k").orderBy("gap_start")).cast("long"))
-    return ranked.filter("place <= 20").select("k", "place", "gap_start", "gap_end")
+    series = Window.partitionBy("k", "start", "stop")
+    ranked = _gaps(spark, sf_dir).withColumn("place", F.row_number().over(series.orderBy("gap_start")).cast("long"))
+    return ranked.filter("place <= 20").select("k", "start", "stop", "place", "gap_start", "gap_end")
 
 
 @query("C4_missing_keys", with_views("hours", sql="""with requests as (select k, min(t) as start, max(t) as stop from hours group by k),
@@ -71,24 +82,43 @@ def missing_keys(spark, sf_dir):
     return ops.missing_keys(hours.groupBy("k").agg(F.min("t").alias("start"), F.max("t").alias("stop")), hours, 3_600_000)
 
 
-COVERED = """requests as (select k, min(t) - 60000 as start, max(t) + 60000 as stop from bars group by k),
+# every other instrument has a second request that begins a day later, so rows lie outside; some rows are there two or three
+# times, the source lacks some and has others, and some quarantined keys aren't missing
+COVERED = """firsts as (select k, min(t) - 60000 as start, max(t) + 60000 as stop from bars group by k),
+requests as (select * from firsts union all select k, start + 86400000, stop from firsts where k % 2 = 0 and start + 86400000 <= stop),
 good as (select * from bars where high - low <= 20000 and close % 7 <> 0),
-quarantined as (select k, t from bars where high - low > 20000), excluded as (select k, t from bars where close % 7 = 0 and high - low <= 20000)"""
+canonical as (select k, t from good union all select k, t from good where k % 3 = 0 and close % 5 = 0 union all select k, t from good where k % 3 = 0 and close % 10 = 0),
+source as (select k, t from good where close % 11 <> 0 union select k, t + 60000 from good where close % 13 = 0),
+quarantined as (select k, t from bars where high - low > 20000 or close % 17 = 0), excluded as (select k, t from bars where close % 7 = 0 and high - low <= 20000 and close % 17 <> 0)"""
 
 
 def _coverage(spark, sf_dir):
     bars = views.minute_bars(spark, sf_dir)
     wide, odd = F.col("high") - F.col("low") > 20_000, F.pmod("close", F.lit(7)) == 0
+    firsts = requests(bars)
+    later = firsts.filter("k % 2 = 0").withColumn("start", F.col("start") + DAY).filter("start <= stop")
     good = bars.filter(~wide & ~odd)
-    return ops.coverage_by_series(requests(bars), good, bars.filter(wide), bars.filter(odd & ~wide), good)
+    copies = F.when((F.pmod("k", F.lit(3)) == 0) & (F.pmod("close", F.lit(10)) == 0), 3).when((F.pmod("k", F.lit(3)) == 0) & (F.pmod("close", F.lit(5)) == 0), 2).otherwise(1)
+    canonical = good.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies)))
+    source = good.filter("close % 11 <> 0").select("k", "t").unionByName(good.filter("close % 13 = 0").select("k", (F.col("t") + MINUTE).alias("t")))
+    marked = F.pmod("close", F.lit(17)) == 0
+    return ops.coverage_by_series(firsts.unionByName(later), canonical, bars.filter(wide | marked), bars.filter(odd & ~wide & ~marked), source)
 
 
 COVERAGE_SQL = f"""{COVERED},
-counted as (select r.k, r.start, r.stop, ((r.stop - r.start) // 60000 + 1)::bigint as expected,
-    (select count(*) from good g where g.k = r.k) as observed, (select count(*) from quarantined q where q.k = r.k) as quarantined_missing,
-    (select count(*) from excluded x where x.k = r.k) as excluded_missing from requests r),
-coverage as (select k, start, stop, expected, observed, observed as row_count, 0::bigint as duplicates, 0::bigint as unexpected, 0::bigint as source_mismatch, quarantined_missing,
-  excluded_missing, expected - observed as missing, expected - observed - quarantined_missing - excluded_missing as no_data, expected = observed as passed from counted)"""
+per_key as (select k, t, count(*) as n from canonical group by k, t),
+facts as (select coalesce(p.k, s.k) as k, n, s.k is not null as in_source from per_key p full join source s on p.k = s.k and p.t = s.t),
+of_k as (select k, count(n) as keys, count(*) filter (n is null or not in_source) as source_mismatch from facts group by k),
+counted as (select r.k, r.start, r.stop, count(p.n) as observed, coalesce(sum(p.n), 0)::bigint as row_count
+  from requests r left join per_key p on p.k = r.k and p.t between r.start and r.stop group by r.k, r.start, r.stop),
+explained as (select r.k, r.start, r.stop, count(*) filter (why = 'q') as quarantined_missing, count(*) filter (why = 'x') as excluded_missing
+  from requests r join (select 'q' as why, * from quarantined union all select 'x', * from excluded) e on e.k = r.k and e.t between r.start and r.stop
+  anti join per_key p on p.k = e.k and p.t = e.t group by r.k, r.start, r.stop),
+coverage as (select k, start, stop, ((stop - start) // 60000 + 1)::bigint as expected, observed, row_count, row_count - observed as duplicates, coalesce(keys, 0) - observed as unexpected,
+    coalesce(source_mismatch, 0) as source_mismatch, coalesce(quarantined_missing, 0) as quarantined_missing, coalesce(excluded_missing, 0) as excluded_missing,
+    (stop - start) // 60000 + 1 - observed as missing, (stop - start) // 60000 + 1 - observed - coalesce(quarantined_missing, 0) - coalesce(excluded_missing, 0) as no_data,
+    (stop - start) // 60000 + 1 = row_count and observed = row_count and coalesce(keys, 0) = observed and coalesce(source_mismatch, 0) = 0 as passed
+  from counted left join of_k using (k) left join explained using (k, start, stop))"""
 
 
 @query("D4_coverage_by_series", with_views("bars", sql=f"with {COVERAGE_SQL} select * from coverage"))
@@ -163,13 +193,17 @@ def lifecycle_check(spark, sf_dir):
     return met.groupBy("k").agg(F.count(F.when(F.col("t") < F.col("launch"), 1)).alias("before_launch"), F.count(F.when(F.col("t") > F.col("delivery"), 1)).alias("after_delivery"), F.bool_and(inside).alias("inside"))
 
 
-@query("E24_full_page_check", with_views("bars", sql="""with pages as (select k, t // 3600000 as page, t, row_number() over (partition by k, t // 3600000 order by t desc) as place from bars),
+# pages of two bars: those of an hour with exactly two ticks, and the same with a bar a minute later put in
+@query("E24_full_page_check", with_views("bars", sql="""with filled as (select k, t from bars union select k, t + 60000 from bars where close % 2 = 0 and t // 3600000 = (t + 60000) // 3600000),
+  pages as (select k, t // 3600000 as page, t, row_number() over (partition by k, t // 3600000 order by t desc) as place from filled),
   marked as (select *, lag(t) over (partition by k, page order by place) as prev from pages)
-  select k * 1000000 + page as page, count(*) as n, min(t) as first, max(t) as last, bool_and(prev is null or t = prev - 60000) and count(*) = 1 and count(distinct t) = 1 as "full" from marked group by k, page"""))
+  select k * 1000000 + page as page, count(*) as n, min(t) as first, max(t) as last, bool_and(prev is null or t = prev - 60000) and count(*) = 2 and count(distinct t) = 2 as "full" from marked group by k, page"""))
 def full_pages(spark, sf_dir):
     from pyspark.sql import Window
 
-    hour = F.floor(F.col("t") / 3_600_000)
+    bars = views.minute_bars(spark, sf_dir).select("k", "t", "close")
+    hour = F.floor(F.col("t") / HOUR)
+    after = bars.filter((F.pmod("close", F.lit(2)) == 0) & (hour == F.floor((F.col("t") + MINUTE) / HOUR))).select("k", (F.col("t") + MINUTE).alias("t"))
+    filled = bars.select("k", "t").unionByName(after).distinct()
     place = F.row_number().over(Window.partitionBy("k", hour).orderBy(F.col("t").desc()))
-    pages = views.minute_bars(spark, sf_dir).select((F.col("k") * 1_000_000 + hour).alias("page"), place.alias("place"), "t")
-    return ops.page_shape(pages, 1)
+    return ops.page_shape(filled.select((F.col("k") * 1_000_000 + hour).alias("page"), place.alias("place"), "t"), 2)

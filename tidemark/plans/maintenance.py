@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
-from tidemark.operators import gaps, maintenance as ops, profiles
+from tidemark.operators import maintenance as ops, profiles
 from tidemark.plans.catalog import scratch, stored_bars
-from tidemark.plans.coverage import COVERAGE_SQL, GAPS, _coverage, requests
+from tidemark.plans.coverage import COVERAGE_SQL, GAPS, _coverage, _gaps
 from tidemark.plans.registry import query
 from tidemark.plans.sql import with_views
 from tidemark.sources import views
@@ -42,11 +42,6 @@ def size_class(spark, sf_dir):
     return sizes.select("k", "size", ops.file_size_class(F.col("size")).alias("class"))
 
 
-def _gaps(spark, sf_dir):
-    bars = views.minute_bars(spark, sf_dir)
-    return gaps.gap_ranges(requests(bars), bars).drop("start", "stop")
-
-
 EXPLAINED = f"""{GAPS}, sized as (select k, gap_start, gap_end, ((gap_end - gap_start) // 60000 + 1)::bigint as minutes from gaps),
 explained as (select k, t + 60000 as t from bars where close % 5 = 0),
 tasks as (select s.* from sized s where not exists (select 1 from explained e where e.k = s.k and e.t between s.gap_start and s.gap_end))"""
@@ -54,7 +49,7 @@ tasks as (select s.* from sized s where not exists (select 1 from explained e wh
 
 def _tasks(spark, sf_dir):
     explained = views.minute_bars(spark, sf_dir).filter(F.pmod("close", F.lit(5)) == 0).select("k", (F.col("t") + 60_000).alias("t"))
-    return ops.plan_gap_repairs(_gaps(spark, sf_dir), explained, 1000, 10_000)
+    return ops.plan_gap_repairs(_gaps(spark, sf_dir).drop("start", "stop"), explained, 1000, 10_000)
 
 
 @query("H6_plan_gap_repairs", with_views("bars", sql=f"with {EXPLAINED} select k, gap_start, gap_end, minutes, ((minutes + 999) // 1000)::bigint as pages, minutes <= 10000 as within_limit from tasks"))
@@ -97,14 +92,14 @@ def exact_coverage(spark, sf_dir):
 
 @query("H8_repair_outcome", with_views("bars", sql=f"""with {EXPLAINED}, returned as (select distinct k, t + 60000 as t from bars union select distinct k, t + 120000 from bars)
   select t.k, t.gap_start, t.minutes, count(r.t) as returned, t.minutes - count(r.t) as missing, t.minutes = count(r.t) as passed
-  from tasks t left join returned r on r.k = t.k and r.t between t.gap_start and t.gap_end group by t.k, t.gap_start, t.minutes"""))
+  from (select distinct * from tasks) t left join returned r on r.k = t.k and r.t between t.gap_start and t.gap_end group by t.k, t.gap_start, t.minutes"""))
 def outcome(spark, sf_dir):
     bars = views.minute_bars(spark, sf_dir)
     returned = bars.select("k", F.explode(F.array(F.col("t") + 60_000, F.col("t") + 120_000)).alias("t"))
     return ops.repair_outcome(_tasks(spark, sf_dir), returned)
 
 
-@query("H12_repair_classification", with_views("bars", sql=f"""with {COVERAGE_SQL} select k, missing, case when k % 4 = 3 then 'funding_separate' when passed then 'not_blocked' when quarantined_missing > 0 then 'ineligible_quarantined'
+@query("H12_repair_classification", with_views("bars", sql=f"""with {COVERAGE_SQL} select k, missing, case when k % 4 = 3 then 'funding_separate' when passed then 'not_blocked' when duplicates + unexpected > 0 then 'ineligible_key_defects' when quarantined_missing > 0 then 'ineligible_quarantined'
   when excluded_missing > 0 then 'ineligible_excluded' else 'eligible' end as class from coverage"""))
 def classification(spark, sf_dir):
     kind = F.when(F.pmod("k", F.lit(4)) == 3, "funding").otherwise("candles")
