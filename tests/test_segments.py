@@ -90,10 +90,16 @@ def test_a_block_has_a_halo_and_a_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(segments, "BLOCK_ROWS", 4000)
     bars = pages.synthetic_market(spark, 3, 40_000)
     plan = segments.block_plan(bars, 300, 200)
-    sizes = bars.withColumn("__unit", F.col("t") - F.pmod("t", F.lit(DAY))).join(plan, ["k", "__unit"])
-    own = {(r.k, r.b): r.n for r in sizes.groupBy("k", F.col("__block").alias("b")).agg(F.count("*").alias("n")).collect()}
-    before = {(r.k, r.b): r.n for r in sizes.filter("__next is not null").groupBy("k", F.col("__next").alias("b")).agg(F.count("*").alias("n")).collect()}
-    after = {(r.k, r.b): r.n for r in sizes.filter("__before is not null").groupBy("k", F.col("__before").alias("b")).agg(F.count("*").alias("n")).collect()}
+    sent = bars.withColumn("__unit", F.col("t") - F.pmod("t", F.lit(DAY))).join(plan, ["k", "__unit"]).withColumn("to", F.explode("__to"))
+    counts = sent.groupBy("k", F.col("to.block").alias("b"), F.col("to.own").alias("own"), (F.col("t") - F.pmod("t", F.lit(DAY))).alias("unit")).agg(F.count("*").alias("n")).collect()
+    first = {}
+    for r in counts:
+        if r.own:
+            first[r.k, r.b] = min(r.unit, first.get((r.k, r.b), r.unit))
+    own, before, after = {}, {}, {}
+    for r in counts:
+        side = own if r.own else before if r.unit < first[r.k, r.b] else after
+        side[r.k, r.b] = side.get((r.k, r.b), 0) + r.n
     last = {k: max(b for kk, b in own if kk == k) for k, _ in own}
     assert sum(own.values()) == 120_000 and len(own) >= 24
     for (k, b), n in own.items():

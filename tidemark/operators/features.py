@@ -36,8 +36,7 @@ def features(bars: DataFrame, rows: int) -> DataFrame:
     range_kind, close_kind = _kind(bars, "high", "low"), _kind(bars, "close")
     true_kind = _kind(bars, "high", "low", "close")
     schema = (f"prev_close {close_kind}, true_range {true_kind}, rolling_mid double, rolling_atr double, rolling_volume_mean double, "
-              f"rolling_high {range_kind}, rolling_low {range_kind}, prior_mid double, prior_high {range_kind}, prior_low {range_kind}, "
-              f"range_width {range_kind}, range_position double, lower_touch boolean, upper_touch boolean, mid_crossing boolean")
+              f"rolling_high {range_kind}, rolling_low {range_kind}, prior_mid double, prior_high {range_kind}, prior_low {range_kind}")
 
     def finish(table, place, left):
         import numpy as np
@@ -51,18 +50,20 @@ def features(bars: DataFrame, rows: int) -> DataFrame:
         mid, atr, mean = (segments.rolling_sum(x, rows, place) / rows for x in (close, reach, volume))
         top, bottom = segments.rolling_extreme(high, rows, np.fmax), segments.rolling_extreme(low, rows, np.fmin)
         prior_mid, prior_top, prior_bottom = (segments.shifted(x, 1) for x in (mid, top, bottom))
-        spread = top - bottom
-        with np.errstate(divide="ignore", invalid="ignore"):
-            position = (close - bottom) / spread
-        crossing = ((previous <= prior_mid) & (close > prior_mid)) | ((previous >= prior_mid) & (close < prior_mid))
         known = np.ones(len(table), bool)
         made = [(previous, later, close_kind), (reach, known, true_kind), (mid, full, "double"), (atr, full, "double"), (mean, full, "double"),
-                (top, full, range_kind), (bottom, full, range_kind), (prior_mid, second, "double"), (prior_top, second, range_kind), (prior_bottom, second, range_kind),
-                (spread, full, range_kind), (position, full & (spread > 0), "double"),
-                (second & (low <= prior_bottom), known, "boolean"), (second & (high >= prior_top), known, "boolean"), (second & crossing, known, "boolean")]
+                (top, full, range_kind), (bottom, full, range_kind), (prior_mid, second, "double"), (prior_top, second, range_kind), (prior_bottom, second, range_kind)]
         return [segments.column(*x) for x in made]
 
-    return segments.scan_segments(bars, finish, schema, back=rows + 1)
+    df = segments.scan_segments(bars, finish, schema, back=rows + 1)
+    width = F.col("rolling_high") - F.col("rolling_low")
+    crossing = ((F.col("prev_close") <= F.col("prior_mid")) & (F.col("close") > F.col("prior_mid"))) | (
+        (F.col("prev_close") >= F.col("prior_mid")) & (F.col("close") < F.col("prior_mid")))
+    return df.withColumns({
+        "range_width": width, "range_position": F.when(width > 0, (F.col("close") - F.col("rolling_low")) / width),
+        "lower_touch": F.coalesce(F.col("low") <= F.col("prior_low"), F.lit(False)),
+        "upper_touch": F.coalesce(F.col("high") >= F.col("prior_high"), F.lit(False)),
+        "mid_crossing": F.coalesce(crossing, F.lit(False))})
 
 
 def core_with_halo(bars: DataFrame, rows: int, core_start: int, core_end: int, halo_ms: int) -> DataFrame:

@@ -19,9 +19,9 @@ def block_plan(rows: DataFrame, back: int, ahead: int = 0, unit: int = DAY) -> D
 
     Units are counted first, a row for each, and running counts cut every history into blocks: of BLOCK_ROWS rows,
     eight halos, or a halo and the fullest unit, whichever is most. So a block has at least a halo's rows, unless it
-    is an instrument's last, and no unit is in the halo of two blocks on one side. Returns (k, __unit, __block,
-    __next, __before): __next is the block after that has the unit in the `back` rows before it, __before the block
-    that has it in the `ahead` rows behind, null where there is none.
+    is an instrument's last, and no unit is in the halo of two blocks on one side. Returns (k, __unit, __to), the
+    blocks that the unit's rows go to as (block, own): its own, the one after if the unit is in the `back` rows before
+    that, and the one before if it is in the `ahead` rows behind that.
     """
     counts = rows.groupBy("k", (F.col("t") - F.pmod("t", F.lit(unit))).alias("__unit")).agg(F.count("*").alias("n"))
     line = Window.partitionBy("k").orderBy("__unit")
@@ -34,9 +34,13 @@ def block_plan(rows: DataFrame, back: int, ahead: int = 0, unit: int = DAY) -> D
         "first": F.min("from").over(block), "last": F.max("upto").over(block),
         "after": F.min("__block").over(order.rangeBetween(1, Window.unboundedFollowing)),
         "ahead": F.max("__block").over(order.rangeBetween(Window.unboundedPreceding, -1))})
-    return placed.select(
-        "k", "__unit", "__block", F.when(F.col("last") - F.col("upto") < back, F.col("after")).alias("__next"),
-        F.when(F.col("from") - F.col("first") < ahead, F.col("ahead")).alias("__before"))
+    targets = [(F.lit(True), F.col("__block"), True)]
+    if back:
+        targets.append(((F.col("last") - F.col("upto") < back) & F.col("after").isNotNull(), F.col("after"), False))
+    if ahead:
+        targets.append(((F.col("from") - F.col("first") < ahead) & F.col("ahead").isNotNull(), F.col("ahead"), False))
+    sent = F.array(*[F.when(needed, F.struct(to.alias("block"), F.lit(own).alias("own"))) for needed, to, own in targets])
+    return placed.select("k", "__unit", F.array_compact(sent).alias("__to"))
 
 
 def scan_segments(rows: DataFrame, finish: Callable, schema: str, back: int, ahead: int = 0, unit: int = DAY) -> DataFrame:
@@ -51,10 +55,8 @@ def scan_segments(rows: DataFrame, finish: Callable, schema: str, back: int, ahe
     """
     unit_of = (F.col("t") - F.pmod("t", F.lit(unit))).alias("__unit")
     planned = rows.select("*", unit_of).join(block_plan(rows, back, ahead, unit), ["k", "__unit"])
-    targets = [F.struct(F.col("__block").alias("b"), F.lit(True).alias("own"))]
-    targets += [F.struct(F.col(c).alias("b"), F.lit(False).alias("own")) for c, n in (("__next", back), ("__before", ahead)) if n]
-    sent = planned.withColumn("__to", F.explode(F.filter(F.array(*targets), lambda x: x["b"].isNotNull())))
-    dealt = sent.select(*rows.columns, F.col("__to.b").alias("__block"), F.col("__to.own").alias("__own"))
+    sent = planned.withColumn("__to", F.explode("__to"))
+    dealt = sent.select(*rows.columns, F.col("__to.block").alias("__block"), F.col("__to.own").alias("__own"))
     dealt = dealt.repartition("k", "__block").sortWithinPartitions("k", "__block", "t")
     columns = list(rows.columns)
 
@@ -74,9 +76,8 @@ def scan_segments(rows: DataFrame, finish: Callable, schema: str, back: int, ahe
         def done(table, begins):
             sizes = np.diff(np.concatenate([begins, [len(table)]]))
             place = np.arange(len(table)) - np.repeat(begins, sizes)
-            own = table.column("__own")
-            made = [c.filter(own) for c in (*(table.column(n) for n in columns), *finish(table, place, np.repeat(sizes, sizes) - 1 - place))]
-            return pa.RecordBatch.from_arrays(made, names=[*columns, *added])
+            made = [*(table.column(n) for n in columns), *finish(table, place, np.repeat(sizes, sizes) - 1 - place)]
+            return pa.RecordBatch.from_arrays(made, names=[*columns, *added]).filter(table.column("__own"))
 
         held, size = [], 0
         for batch in batches:
