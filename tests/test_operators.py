@@ -305,26 +305,6 @@ def test_stages_against_their_plans(spark):
         ("a", 10, "", 1_000_000, "passed"), ("b", 0, "E0:1,E1:2", 90_000_000_000, "failed"), ("c", 2, "", 666_666, "under_target"), ("d", 0, "", None, "failed")]
 
 
-def test_stream_of_ticks(spark, tmp_path):
-    from tidemark.streaming import candles
-
-    base = dt.datetime(2026, 1, 1)
-    ticks = [(1, base + dt.timedelta(seconds=s), float(s), s) for s in (1, 30, 61, 300, 900)]
-    spark.createDataFrame(ticks, "k long, ts timestamp, price double, event_id long").coalesce(1).write.parquet(f"{tmp_path}/in")
-    stream = spark.readStream.schema("k long, ts timestamp, price double, event_id long").parquet(f"{tmp_path}/in")
-
-    def run(df, name):
-        q = df.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True).start()
-        q.awaitTermination(120)
-        return spark.table(name).collect()
-
-    closed = sorted((r.open, r.close, r.volume) for r in run(candles.closed_candles(stream), "closed"))
-    assert closed[0] == (1.0, 30.0, 2) and (61.0, 61.0, 1) in closed
-    assert len(run(candles.dedupe(stream), "deduped")) == 5
-    flags = sorted((r.ts, r.gap_minutes) for r in run(candles.gap_flags(stream), "flags"))
-    assert [g for _, g in flags] == [0, -1, -1, 2, 9] or max(g for _, g in flags) == 9
-
-
 def test_fragments_are_compacted_and_their_union_audited(spark, tmp_path):
     rows = [(1, 0, None, 0), (1, 480 * M, 480, 1), (1, 960 * M, 480, 0), (1, 960 * M, 480, 1),  # a key in two fragments
             (2, 0, None, 0), (2, 480 * M, 480, 0), (2, 1440 * M, 480, 1), (2, 1920 * M, None, 1),  # a settlement lacks between fragments, no interval
