@@ -85,7 +85,7 @@ def neighbour_pairs(conversations: DataFrame) -> DataFrame:
     A conversation without its neighbour is paired with a null id.
     """
     ids = conversations.filter(F.col("conv_id").isNotNull()).select("conv_id").distinct()
-    pair = F.floor(F.col("conv_id") / 2).cast("long")
-    side = F.pmod("conv_id", F.lit(2))
+    pair = F.shiftright("conv_id", 1)  # halves of all longs, rounded down
+    side = F.col("conv_id").bitwiseAND(F.lit(1))
     return ids.groupBy(pair.alias("pair_id")).agg(
         F.max(F.when(side == 0, F.col("conv_id"))).alias("chosen_id"), F.max(F.when(side == 1, F.col("conv_id"))).alias("rejected_id"))

@@ -178,16 +178,16 @@ select page_id, host, path, best.rule as rule, coalesce(best.action, 'allow') as
 """,
     "op10_chat_preferences": r"""
 with t as (
-  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, conv_id // 2 as pair_id,
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, conv_id >> 1 as pair_id,
          row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
   from conversations where conv_id is not null),
 pairs as (
-  select conv_id // 2 as pair_id, max(case when conv_id % 2 = 0 then conv_id end) as chosen_id, max(case when conv_id % 2 = 1 then conv_id end) as rejected_id
+  select conv_id >> 1 as pair_id, max(case when (conv_id & 1) = 0 then conv_id end) as chosen_id, max(case when (conv_id & 1) = 1 then conv_id end) as rejected_id
   from t group by 1),
 lengths as (select p.pair_id, coalesce(min(n), 0) as least_n from pairs p left join (select conv_id, pair_id, count(*) as n from t group by all) c using (pair_id)
             group by 1 having count(c.conv_id) = 2),
 differing as (
-  select a.pair_id, min(a.pos) as pos from t a join t b on a.pair_id = b.pair_id and a.pos = b.pos and a.conv_id % 2 = 0 and b.conv_id % 2 = 1
+  select a.pair_id, min(a.pos) as pos from t a join t b on a.pair_id = b.pair_id and a.pos = b.pos and (a.conv_id & 1) = 0 and (b.conv_id & 1) = 1
   where a.role <> b.role or a.text <> b.text group by 1),
 cut as (
   select p.*, coalesce(d.pos - 1, l.least_n, 0)::int as common
@@ -201,7 +201,7 @@ completions as (
   select conv_id, string_agg(head || body, '' order by pos) as completion,
          coalesce(string_agg((stop - length(body))::varchar || '-' || stop::varchar, ',' order by pos) filter (role = 'assistant'), '') as spans
   from placed group by 1),
-prompts as (select pair_id, string_agg(head || body, '' order by pos) as prompt from rendered where pos <= common and conv_id % 2 = 0 group by 1)
+prompts as (select pair_id, string_agg(head || body, '' order by pos) as prompt from rendered where pos <= common and (conv_id & 1) = 0 group by 1)
 select c.pair_id, c.chosen_id, c.rejected_id, c.common, coalesce(pr.prompt, '') as prompt,
        case when c.chosen_id is not null then coalesce(a.completion, '') end as chosen, case when c.rejected_id is not null then coalesce(b.completion, '') end as rejected,
        case when c.chosen_id is not null then coalesce(a.spans, '') end as chosen_spans, case when c.rejected_id is not null then coalesce(b.spans, '') end as rejected_spans
