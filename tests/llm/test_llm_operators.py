@@ -10,8 +10,8 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, lm_scoring
-from tidemark.llm.chat_format import format_preferences
+from tidemark.llm import language_id, lm_scoring, queries
+from tidemark.llm.chat_format import format_preferences, neighbour_pairs
 from tidemark.llm.components import connected_components
 from tidemark.llm.exact_dedup import exact_dedup, exact_dedup_rows
 from tidemark.llm.mixing import mix_report, mix_rows
@@ -280,6 +280,28 @@ def test_ngram_join_against_all_pairs(spark, link, frequent, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == components_by_hand(rows, link)
 
 
+def test_ngram_join_with_more_frequent_shingles_than_places(spark, monkeypatch):
+    from tidemark.llm import ngram_join as module
+
+    for name, value in (("FREQUENT", 2), ("MAP_BITS", 10), ("SEGMENT_BITS", 4), ("SHARD_BYTES", 2000)):
+        monkeypatch.setattr(module, name, value)
+    pick, link = random.Random(8), Link(words=3, over=90)
+    base = [[f"w{pick.randrange(4000)}" for _ in range(300)] for _ in range(12)]
+    rows = []
+    for text in base * 5:
+        other = list(text)
+        for _ in range(pick.randrange(4)):
+            other[pick.randrange(300)] = f"n{len(rows)}"
+        rows.append((len(rows), " ".join(other)))
+    docs = docs_of(spark, [(i, t, "s") for i, t in rows])
+    plain = docs.select(F.col("doc_id").alias("id"), "text")
+    counted, _ = module.frequency_counts(plain, link)
+    assert counted.count() > 3 * 1024  # no place of the map is free
+    indexed = module._indexed(plain, module._frequencies(plain, link), link)
+    assert indexed.filter("size(pairs) = 0").count() == 0  # frequent shingles are still combined
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join(docs, link).collect()) == components_by_hand(rows, link)
+
+
 def test_ngram_join_repeats_and_empty_tables(spark):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(1, text, "s"), (1, text, "s"), (2, text, "s"), (None, text, "s"), (9, "other words here now", "s")]
@@ -429,3 +451,26 @@ def test_preferences_by_hand(spark):
     assert (got[15].chosen, got[15].rejected) == (None, None)
     assert format_preferences(conversations, pairs).count() == 7
     assert format_preferences(conversations.limit(0), pairs.limit(0)).count() == 0
+
+
+def test_neighbour_pairs_of_large_and_negative_ids(spark):
+    ids = [2**60 + i for i in range(4)] + [-1, -2, -3, 2**63 - 1, -(2**63), 0, None]
+    got = sorted(map(tuple, neighbour_pairs(spark.createDataFrame([(i,) for i in ids], "conv_id long")).collect()))
+    assert got == [(-(2**62), -(2**63), None), (-2, None, -3), (-1, -2, -1), (0, 0, None), (2**59, 2**60, 2**60 + 1), (2**59 + 1, 2**60 + 2, 2**60 + 3), (2**62 - 1, None, 2**63 - 1)]
+
+
+# queries
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+
+    connection = duckdb.connect()
+    for table in ("documents", "pages", "conversations"):
+        connection.execute(f"create view {table} as select * from '/root/testdata/sf0.001/{table}.parquet'")
+    want = connection.sql(queries.ORACLE_SQL[name])
+    got = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert sorted(got.columns) == sorted(want.columns)
+    plain = lambda row: repr([round(x, 6) if isinstance(x, float) else x for x in row])
+    assert sorted(map(plain, got.select(*want.columns).collect())) == sorted(map(plain, want.fetchall()))

@@ -99,3 +99,43 @@ def test_mixing_and_encoding_by_hand(spark, folder):
         assert list(r.ids) == ids and r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
+
+
+CLASHING = {"kept": "'x'", "n_words": "7", "keep_id": "-1", "group_size": "'g'", "__plan": "8", "__id": "'i'", "__copy": "9", "__text": "'t'", "size": "5", "id": "6", "carried_0": "'c'",
+            "component_id": "4", "ids": "array(1)", "text_sha256": "3", "__norm": "2", "label": "1", "node": "'n'"}
+
+
+def test_columns_with_clashing_names_come_through(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plain, wide = docs, docs.selectExpr("*", *[f"{v} as `{k}`" for k, v in CLASHING.items()])
+    columns, values = wide.columns, wide.select(*CLASHING).distinct().collect()
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        plain = corpus_pipeline.materialise(stage(spark, plain, folder), "plain")
+        wide = corpus_pipeline.materialise(stage(spark, wide, folder), "wide")  # two runs by turns
+        want = sorted(repr(r) for r in plain.collect())
+        if number < 4:
+            assert wide.columns == columns and wide.select(*CLASHING).distinct().collect() == values
+        assert sorted(repr(r) for r in wide.select(*plain.columns).collect()) == want
+
+
+def test_a_second_run_leaves_the_first_one_alone(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stages = [stage for _, stage in corpus_pipeline.STAGES]
+    good = corpus_pipeline.materialise(stages[0](spark, docs, folder), "good")
+    lazy = stages[1](spark, good, folder)  # not written yet
+    corpus_pipeline.run(spark, folder)
+    assert lazy.count() > 100
+    unique = corpus_pipeline.materialise(lazy, "unique")
+    left = unique.schema["doc_id"].metadata[corpus_pipeline.LEFT]
+    assert left
+    stages[2](spark, unique, folder)
+    with pytest.raises(Exception, match="(?i)path"):
+        spark.read.parquet(left[0])
+
+
+def test_empty_and_null_tables(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, rows in (("empty", []), ("nulls", [(None, None, None, None, None)] * 3 + [(1, "", None, None, 0)])):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        assert corpus_pipeline.run(spark, f"{tmp_path}/{name}").count() == 0

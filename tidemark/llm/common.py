@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -29,18 +30,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(rows, str(BATCH_ROWS))
 
 
-_RECORDED: list[str] | None = None
+_RECORDED: ContextVar[list[str] | None] = ContextVar("recorded", default=None)
 
 
 @contextmanager
 def recorded() -> Iterator[list[str]]:
-    """The folders that materialise() writes meanwhile."""
-    global _RECORDED
-    before, _RECORDED = _RECORDED, []
+    """The folders that materialise() writes meanwhile in this thread."""
+    folders: list[str] = []
+    token = _RECORDED.set(folders)
     try:
-        yield _RECORDED
+        yield folders
     finally:
-        _RECORDED = before
+        _RECORDED.reset(token)
 
 
 def discard(spark: SparkSession, folders: list[str], readers: DataFrame) -> list[str]:
@@ -61,8 +62,8 @@ def materialise(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    if _RECORDED is not None:
-        _RECORDED.append(path)
+    if (folders := _RECORDED.get()) is not None:
+        folders.append(path)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

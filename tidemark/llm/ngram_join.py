@@ -13,12 +13,14 @@ from .components import connected_components
 
 #: Documents that a shingle is frequent in at least; each doubling is a further class, up to FREQUENCY_CLASSES.
 FREQUENT, FREQUENCY_CLASSES = 8, 16
-#: Documents for each shard that counts shingles, about.
-SHARD_DOCS = 1 << 11
+#: Bytes of text for each shard that counts shingles, about.
+SHARD_BYTES = 6 << 20
 #: Bits of a shingle that tell it from others of its shard while it is counted.
 SHARD_BITS = 33
-#: The map of frequent shingles has 16 places for each, for the most frequent 2**21 at most.
-MOST_FREQUENT = 1 << 21
+#: The map of frequent shingles has 16 places of half a byte for each, 2**MAP_BITS (32 MB) at most; more share places.
+MAP_BITS = 26
+#: Places of the map that one row has.
+SEGMENT_BITS = 16
 #: Frequent shingles of a prefix are dealt into groups of about so many to twice as many; pairs of a group are keys.
 GROUP_PLACES = 4
 #: Bits of the map of documents whose sets are compared.
@@ -97,9 +99,11 @@ def frequency_counts(docs: DataFrame, link: Link) -> tuple[DataFrame, int]:
     """((token, class) of every shingle in FREQUENT documents or more, bits cut off a shingle to make a token).
 
     Every shingle of every document is counted: tasks send the sorted distinct ones of about COUNTED_SHINGLES
-    as packed differences to shards that take a range each, and those add up. More shards keep more bits.
+    as packed differences to shards that take a range each, and those add up. Shards follow the bytes of texts, as
+    shingles do; more shards keep more bits.
     """
-    shards, least = max(1, docs.count() // SHARD_DOCS), FREQUENT
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards, least = max(1, size // SHARD_BYTES), FREQUENT
     cut = max(0, 64 - SHARD_BITS - (shards - 1).bit_length())
 
     def count(batches: Iterator) -> Iterator:
@@ -144,25 +148,46 @@ def frequency_counts(docs: DataFrame, link: Link) -> tuple[DataFrame, int]:
 
 
 def _frequencies(docs: DataFrame, link: Link) -> Frequencies:
-    """The map of the frequency classes of frequent shingles; its size follows their number up to MOST_FREQUENT.
+    """The map of the frequency classes of all frequent shingles; its size follows their number up to 2**MAP_BITS places.
 
-    Where there are more, the lowest classes count as rare. Only the order of shingles depends on that, and it
-    is the same for all sets.
+    A place has the highest class of the shingles that fall on it, rare ones with them. Where there are very many, more
+    rare shingles share the class of a frequent one; no frequent shingle ever counts as rare. Only the order of
+    shingles depends on that, and it is the same for all sets. Places are filled in segments of 2**SEGMENT_BITS by
+    tasks, so what comes to the driver is the packed map.
     """
     import numpy as np
 
     counted, cut = frequency_counts(docs, link)
-    sizes = {r["class"]: r["n"] for r in counted.groupBy("class").agg(F.count("*").alias("n")).collect()}  # FREQUENCY_CLASSES rows at most
-    lowest, n = FREQUENCY_CLASSES, 0
-    while lowest > 1 and n + sizes.get(lowest - 1, 0) <= MOST_FREQUENT:
-        lowest -= 1
-        n += sizes.get(lowest, 0)
-    table = counted.filter(F.col("class") >= lowest).toArrow()  # MOST_FREQUENT rows at most
-    found = Frequencies(b"", cut, max(10, (16 * n - 1).bit_length() if n else 0))
-    tokens, kinds = table.column("token").to_numpy().view(np.uint64), table.column("class").to_numpy().astype(np.uint8)
-    classes, order = np.zeros(1 << found.bits, np.uint8), np.argsort(kinds, kind="stable")
-    classes[found.places(tokens[order] << np.uint64(cut))] = kinds[order] - (lowest - 1)
-    return Frequencies((classes[::2] << 4 | classes[1::2]).tobytes(), cut, found.bits)
+    n = counted.count()
+    found = Frequencies(b"", cut, max(10, min(MAP_BITS, (16 * n - 1).bit_length())) if n else 10)
+    segment = min(SEGMENT_BITS, found.bits)
+
+    def place(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            places = found.places(batch.column(0).to_numpy().view(np.uint64) << np.uint64(cut))
+            kinds = batch.column(1).to_numpy().astype(np.int32)
+            codes, order = np.unique(places, return_inverse=True)
+            highest = np.zeros(len(codes), np.int32)
+            np.maximum.at(highest, order, kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(codes >> segment), pa.array(codes & (1 << segment) - 1), pa.array(highest)], names=["segment", "place", "class"])
+
+    def fill(key, table):
+        import pyarrow as pa
+
+        classes = np.zeros(1 << segment, np.uint8)
+        np.maximum.at(classes, table.column("place").to_numpy(), table.column("class").to_numpy().astype(np.uint8))
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "classes": pa.array([(classes[::2] << 4 | classes[1::2]).tobytes()], pa.binary())})
+
+    placed = counted.select("token", "class").mapInArrow(place, "segment long, place long, class int")
+    highest = placed.groupBy("segment", "place").agg(F.max("class").alias("class"))
+    filled = highest.groupBy("segment").applyInArrow(fill, "segment long, classes binary").collect()  # 2**(MAP_BITS - 1) bytes at most
+    half = 1 << segment >> 1
+    whole = bytearray(half << found.bits - segment)
+    for row in filled:
+        whole[row["segment"] * half : (row["segment"] + 1) * half] = row["classes"]
+    return Frequencies(bytes(whole), cut, found.bits)
 
 
 def _pairs_of_groups(tokens, group):
@@ -231,7 +256,7 @@ def _digests(tokens) -> tuple[int, int]:
 
 def _indexed(docs: DataFrame, frequencies: Frequencies, link: Link) -> DataFrame:
     """(id, n, high, low, prefix, singles, pairs) of each document: size and digest of its set, and its index keys."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequencies)  # 16 half bytes for each of MOST_FREQUENT at most
+    sent = docs.sparkSession.sparkContext.broadcast(frequencies)  # 2**(MAP_BITS - 1) bytes at most
     id_type = docs.schema["id"].dataType.simpleString()
 
     def index(batches: Iterator) -> Iterator:
