@@ -45,10 +45,40 @@ def test_times_do_not_depend_on_the_zone(spark):
 
 
 def test_candle_rules(spark):
-    df = spark.createDataFrame([(1, 0, 5, 6, 4, 5, 1, 5, "s"), (1, 1, 7, 6, 4, 9, -1, -5, " "), (0, M, 5, 3, 4, 5, 0, 0, None)], "k long, t long, open long, high long, low long, close long, volume long, turnover long, source_id string")
-    got = [r[0] for r in df.orderBy("t").select(admission.candle_violations()).collect()]
-    assert got == [[], ["not_minute_aligned", "open_outside_low_high", "close_outside_low_high", "negative_volume", "negative_turnover", "empty_source_id"],
-                   ["instrument_id", "low_exceeds_high", "open_outside_low_high", "close_outside_low_high", "empty_source_id"]]
+    rows = [(1, 0, 5, 6, 4, 5, 1, 5, "linear", "s", "run", 0), (1, 1, 7, 6, 4, 9, -1, -5, "linear", " ", "run", 0), (0, M, 5, 3, 4, 5, 0, 0, "linear", None, "run", -1),
+            (1, 2 * M, None, 6, 4, 5, 1, 1, "", "s", None, None), (None, None, None, None, None, None, None, None, None, None, None, None), (1, -M, 5, 6, 4, None, 1, None, "linear", "s", "run", 0)]
+    df = spark.createDataFrame(rows, "k long, t long, open long, high long, low long, close long, volume long, turnover long, category string, source_id string, ingestion_id string, quality_flags long")
+    got = {r.t: r.codes for r in df.select("t", admission.candle_violations().alias("codes")).collect()}
+    assert got[0] == []
+    assert got[1] == ["not_minute_aligned", "open_outside_low_high", "close_outside_low_high", "negative_volume", "negative_turnover", "empty_source_id"]
+    assert got[M] == ["instrument_id", "low_exceeds_high", "open_outside_low_high", "close_outside_low_high", "empty_source_id", "negative_quality_flags"]
+    assert got[2 * M] == ["null_price", "empty_category", "empty_ingestion_id", "negative_quality_flags"]
+    assert got[None] == ["null_price", "null_volume", "instrument_id", "not_minute_aligned", "empty_source_id", "empty_category", "empty_ingestion_id", "negative_quality_flags"]
+    assert got[-M] == ["null_price", "null_volume", "negative_time"]
+    reasons = {r.t: r.reason for r in admission.quarantine(df).collect()}
+    assert reasons == {0: None, 1: "rejected", M: "low_exceeds_high", 2 * M: "rejected", None: "rejected", -M: "rejected"}
+
+
+def test_wrong_sides_and_stages(spark):
+    here = spark.createDataFrame([("A", None), ("B", "on"), ("B", None)], "symbol string, status string")
+    there = spark.createDataFrame([("A",), ("A",), ("C",)], "symbol string")
+    assert sorted(map(repr, map(tuple, lookups.universe_compare(here, there).collect()))) == sorted(map(repr, [("A", None, "both"), ("B", "on", "current_only"), ("B", None, "current_only"), ("C", None, "archive_only")]))
+    one, two = (spark.createDataFrame(x, "kind string, n long") for x in ([("a", 1), ("a", 2), ("b", 5), ("c", 1)], [("a", 3), ("b", 4), ("d", 1), (None, 2)]))
+    got = {r.kind: tuple(r)[1:] for r in lookups.reconcile_stages(x=one, y=two).collect()}
+    assert got == {"a": (3, 3, True), "b": (5, 4, False), "c": (1, None, False), "d": (None, 1, False), None: (None, 2, False)}
+
+
+def test_registration_against_null_and_double_bindings(spark):
+    existing = spark.createDataFrame([(1, None), (1, None), (2, "x"), (2, "x"), (3, "x"), (3, "y"), (4, None), (4, "x")], "id long, binding string")
+    batch = spark.createDataFrame([(1, None, None), (1, "x", None), (2, "x", 1), (2, None, 9), (3, "x", None), (4, None, None), (5, None, 5)], "id long, binding string, parent long")
+    got = [r.state for r in sets.register(existing, batch).orderBy("id", F.col("binding").desc_nulls_last()).collect()]
+    assert got == ["conflict", "same", "same", "orphan", "conflict", "conflict", "new"]
+
+
+def test_steps_of_part_minutes_have_no_interval(spark):
+    parent = spark.createDataFrame([(1, 0, 480), (1, 480 * M + 30_000, 480), (1, 960 * M, 480)], "k long, t long, interval long")
+    made = funding.restate_intervals(parent, spark.createDataFrame([(1, 480 * M)], "k long, t long")).orderBy("t").collect()
+    assert [(r.interval, r.interval_ok, r.restated) for r in made] == [(480, True, False), (480, True, False), (None, False, True), (None, False, True)]
 
 
 # gaps

@@ -2,29 +2,41 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import exact
 from tidemark.functions.times import MINUTE
 
+PRICES = ("open", "high", "low", "close")
+
 
 def _codes(rules: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(rule, F.lit(code)) for code, rule in rules.items()]))
 
 
+def _lacks(*columns: str) -> Column:
+    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+
+
 def candle_violations() -> Column:
-    """Codes of the rules that a candle (k, t, open, high, low, close, volume, turnover, source_id) breaks."""
+    """Codes of the rules that a candle (k, t, open, high, low, close, volume, turnover, category, source_id, ingestion_id,
+    quality_flags) breaks. What must be there and is null breaks a rule, so a row without codes has all of it."""
     outside = {p: (F.col(p) < F.col("low")) | (F.col(p) > F.col("high")) for p in ("open", "close")}
+    empty = {f"empty_{c}": F.coalesce(F.trim(c), F.lit("")) == "" for c in ("source_id", "category", "ingestion_id")}
     return _codes({
-        "instrument_id": F.col("k") <= 0, "not_minute_aligned": F.pmod("t", F.lit(MINUTE)) != 0,
-        "non_positive_price": F.least("open", "high", "low", "close") <= 0, "low_exceeds_high": F.col("low") > F.col("high"),
+        "null_price": _lacks(*PRICES), "null_volume": _lacks("volume", "turnover"),
+        "instrument_id": F.coalesce(F.col("k") <= 0, F.lit(True)), "not_minute_aligned": F.coalesce(F.pmod("t", F.lit(MINUTE)) != 0, F.lit(True)), "negative_time": F.col("t") < 0,
+        "non_positive_price": F.least(*PRICES) <= 0, "low_exceeds_high": F.col("low") > F.col("high"),
         "open_outside_low_high": outside["open"], "close_outside_low_high": outside["close"], "negative_volume": F.col("volume") < 0,
-        "negative_turnover": F.col("turnover") < 0, "empty_source_id": F.coalesce(F.trim("source_id"), F.lit("")) == ""})
+        "negative_turnover": F.col("turnover") < 0, **empty, "negative_quality_flags": F.coalesce(F.col("quality_flags") < 0, F.lit(True))})
 
 
 def quarantine(rows: DataFrame) -> DataFrame:
-    """rows with the first reason that sets a candle aside, null for admitted ones; `rejected` ones can't be candles at all."""
-    reason = F.when((F.least("open", "high", "low", "close") <= 0) | (F.col("volume") < 0), "rejected").when(F.col("low") > F.col("high"), "low_exceeds_high")
+    """rows with the first reason that sets a candle aside, null for admitted ones; `rejected` ones can't be candles at all:
+    a price or the volume is missing, or below what it may be."""
+    reason = F.when(_lacks(*PRICES, "volume") | (F.least(*PRICES) <= 0) | (F.col("volume") < 0), "rejected").when(F.col("low") > F.col("high"), "low_exceeds_high")
     for price in ("open", "close"):
         reason = reason.when((F.col(price) < F.col("low")) | (F.col(price) > F.col("high")), f"{price}_outside_low_high")
     return rows.withColumn("reason", reason)

@@ -105,11 +105,15 @@ def cadence_sandwiches(rows: DataFrame) -> DataFrame:
 
 
 def restate_intervals(parent: DataFrame, repaired: DataFrame) -> DataFrame:
-    """parent (k, t, interval) and repaired (k, t) as one chronology: `restated` where a parent row's interval changed."""
+    """parent (k, t, interval) and repaired (k, t) as one chronology: `restated` where a parent row's interval changed.
+
+    An interval is the step from the row before, in whole minutes; a step of part minutes has none (null, interval_ok false).
+    """
     both = parent.select("k", "t", F.col("interval").alias("old"), F.lit("parent").alias("origin")).unionByName(
         repaired.select("k", "t", F.lit(None).cast("long").alias("old"), F.lit("repair").alias("origin")))
-    step = (F.col("t") - F.lag("t").over(in_time())) / MINUTE
-    made = both.withColumn("interval", F.coalesce(step.cast("long"), F.col("old")))
+    made = both.withColumn("step", F.col("t") - F.lag("t").over(in_time()))
+    made = made.withColumn("interval_ok", F.coalesce(F.pmod("step", F.lit(MINUTE)) == 0, F.lit(True)))
+    made = made.withColumn("interval", F.when(F.col("step").isNull(), F.col("old")).when(F.col("interval_ok"), F.expr(f"step div {MINUTE}"))).drop("step")
     return made.withColumn("restated", (F.col("origin") == "parent") & ~F.col("interval").eqNullSafe(F.col("old")))
 
 

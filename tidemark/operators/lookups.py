@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemark.functions.times import DAY, utc_date
@@ -126,15 +128,25 @@ def listing_vs_first(rows: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def universe_compare(current: DataFrame, archive: DataFrame) -> DataFrame:
-    """Symbols of a current listing (symbol, status) and an archive (symbol), and which of them has each."""
-    met = current.join(archive.withColumn("there", F.lit(1)), "symbol", "full_outer")
-    side = F.when(F.col("status").isNull(), "archive_only").when(F.col("there").isNull(), "current_only").otherwise("both")
+    """Symbols of a current listing (symbol, status) and an archive (symbol), and which of them has each.
+
+    A null status is a status; rows of the listing stay as they are, symbols of the archive count once.
+    """
+    met = current.withColumn("here", F.lit(1)).join(archive.select("symbol").distinct().withColumn("there", F.lit(1)), "symbol", "full_outer")
+    side = F.when(F.col("here").isNull(), "archive_only").when(F.col("there").isNull(), "current_only").otherwise("both")
     return met.select("symbol", "status", side.alias("side"))
 
 
-def reconcile_stages(acquired: DataFrame, published: DataFrame) -> DataFrame:
-    """Totals of two stages by kind and whether they agree."""
-    return acquired.join(published, "kind").withColumn("agree", F.col("acquired") == F.col("published"))
+def reconcile_stages(**stages: DataFrame) -> DataFrame:
+    """(kind, a column for each stage, agree) of the totals (kind, n) of named stages; several rows of a kind add up.
+
+    agree: every stage has the kind, with the same total. A kind that one stage alone has shows as nulls and disagrees.
+    """
+    tagged = reduce(DataFrame.unionByName, [df.select("kind", "n", F.lit(name).alias("stage")) for name, df in stages.items()])
+    totals = tagged.groupBy("kind").agg(*[F.sum(F.when(F.col("stage") == name, F.col("n"))).alias(name) for name in stages])
+    first = next(iter(stages))
+    same = reduce(Column.__and__, [F.col(name).isNotNull() & (F.col(name) == F.col(first)) for name in stages])
+    return totals.withColumn("agree", F.coalesce(same, F.lit(False)))
 
 
 def completeness_profile(rows: DataFrame, columns: list[str], url: str | None = None) -> DataFrame:

@@ -81,10 +81,15 @@ def lineage_closure(parents: DataFrame) -> DataFrame:
 
 
 def register(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """Each entry (id, binding, parent) of a batch as new, same, conflict or orphan against a catalog."""
-    known = existing.select("id", F.col("binding").alias("bound"))
+    """Each entry (id, binding, parent) of a batch as new, same, conflict or orphan against a catalog.
+
+    A null binding is a binding, equal to null alone. An id that the catalog has with several bindings conflicts with all.
+    """
+    held = F.collect_set(F.struct(F.col("binding").alias("bound")))  # of one id
+    known = existing.select("id", "binding").distinct().groupBy("id").agg(held.alias("held"))
     parents = existing.select(F.col("id").alias("parent")).unionByName(batch.select(F.col("id").alias("parent"))).distinct().withColumn("has_parent", F.lit(True))
     met = batch.join(known, "id", "left").join(parents, "parent", "left")
     orphan = F.col("parent").isNotNull() & F.col("has_parent").isNull()
-    state = F.when(orphan, "orphan").when(F.col("bound").isNull(), "new").when(F.col("bound") == F.col("binding"), "same").otherwise("conflict")
+    same = (F.size("held") == 1) & F.get("held", F.lit(0))["bound"].eqNullSafe(F.col("binding"))
+    state = F.when(orphan, "orphan").when(F.col("held").isNull(), "new").when(same, "same").otherwise("conflict")
     return met.select("id", "binding", "parent", state.alias("state"))

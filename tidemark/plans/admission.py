@@ -73,34 +73,46 @@ def partitions(spark, sf_dir):
 
 
 # candles with some broken by rule, from the line items of an order
-CANDLES = """candles as (select l_orderkey as k, l_linenumber::bigint as line, round(l_extendedprice * 100)::bigint as open, round(l_extendedprice * 100)::bigint + l_partkey % 500 as high,
+CANDLES = """raw_candles as (select l_orderkey as k, l_linenumber::bigint as line, round(l_extendedprice * 100)::bigint as open, round(l_extendedprice * 100)::bigint + l_partkey % 500 as high,
   round(l_extendedprice * 100)::bigint - l_suppkey % 300 - case when l_partkey % 29 = 0 then 99999999999 else 0 end as low,
   round(l_extendedprice * 100)::bigint + (l_partkey * 7 + l_suppkey) % 900 - 350 as close, l_quantity::bigint - case when l_orderkey % 97 = 0 then 60 else 0 end as volume,
   round(l_extendedprice * 100)::bigint - case when l_orderkey % 89 = 0 then 99999999999 else 0 end as turnover, case when l_orderkey % 83 = 0 then ' ' when l_orderkey % 79 = 0 then null else l_returnflag end as source_id,
-  (epoch_us(l_shipdate) // 1000) + case when l_orderkey % 31 = 0 then 1 else 0 end as t from lineitem)"""
+  (epoch_us(l_shipdate) // 1000) + case when l_orderkey % 31 = 0 then 1 else 0 end as t, l_orderkey, l_partkey, l_suppkey, l_linestatus from lineitem),
+candles as (select * replace (case when l_partkey % 41 = 0 then null else open end as open, case when l_suppkey % 37 = 0 then null else close end as close,
+    case when l_orderkey % 61 = 0 then null else volume end as volume, case when l_orderkey % 53 = 0 then -60000 when l_orderkey % 71 = 0 then null else t end as t),
+  case when l_orderkey % 43 = 0 then '' else 'linear' end as category, case when l_orderkey % 47 = 0 then null else l_linestatus end as ingestion_id,
+  line - case when l_orderkey % 59 = 0 then 8 else 0 end as quality_flags from raw_candles)"""
 
 
 def candles(spark, sf_dir):
     open_ = F.round(F.col("l_extendedprice") * 100).cast("long")
     low = open_ - F.pmod("l_suppkey", F.lit(300)) - F.when(F.pmod("l_partkey", F.lit(29)) == 0, F.lit(99_999_999_999)).otherwise(F.lit(0))
-    return views.table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("long").alias("line"), open_.alias("open"), (open_ + F.pmod("l_partkey", F.lit(500))).alias("high"), low.alias("low"),
+    raw = views.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linestatus", F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("long").alias("line"), open_.alias("open"), (open_ + F.pmod("l_partkey", F.lit(500))).alias("high"), low.alias("low"),
         (open_ + F.pmod(F.col("l_partkey") * 7 + F.col("l_suppkey"), F.lit(900)) - 350).alias("close"),
         (F.col("l_quantity").cast("long") - F.when(F.pmod("l_orderkey", F.lit(97)) == 0, 60).otherwise(0)).alias("volume"),
         (open_ - F.when(F.pmod("l_orderkey", F.lit(89)) == 0, F.lit(99_999_999_999)).otherwise(F.lit(0))).alias("turnover"),
         F.when(F.pmod("l_orderkey", F.lit(83)) == 0, " ").when(F.pmod("l_orderkey", F.lit(79)) == 0, F.lit(None)).otherwise(F.col("l_returnflag")).alias("source_id"),
         (times.epoch_ms(F.col("l_shipdate")) + F.when(F.pmod("l_orderkey", F.lit(31)) == 0, 1).otherwise(0)).alias("t"))
+    each = lambda column, n: F.pmod(column, F.lit(n)) == 0
+    return raw.withColumns({
+        "open": F.when(~each("l_partkey", 41), F.col("open")), "close": F.when(~each("l_suppkey", 37), F.col("close")), "volume": F.when(~each("l_orderkey", 61), F.col("volume")),
+        "t": F.when(each("l_orderkey", 53), -60_000).when(~each("l_orderkey", 71), F.col("t")), "category": F.when(each("l_orderkey", 43), "").otherwise("linear"),
+        "ingestion_id": F.when(~each("l_orderkey", 47), F.col("l_linestatus")), "quality_flags": F.col("line") - F.when(each("l_orderkey", 59), 8).otherwise(0)})
 
 
-@query("B5_candle_violations", f"""with {CANDLES} select k, line, concat_ws(',', case when k <= 0 then 'instrument_id' end, case when t % 60000 <> 0 then 'not_minute_aligned' end,
+@query("B5_candle_violations", f"""with {CANDLES} select k, line, concat_ws(',', case when open is null or high is null or low is null or close is null then 'null_price' end,
+  case when volume is null or turnover is null then 'null_volume' end, case when k <= 0 then 'instrument_id' end, case when t is null or t % 60000 <> 0 then 'not_minute_aligned' end,
+  case when t < 0 then 'negative_time' end,
   case when least(open, high, low, close) <= 0 then 'non_positive_price' end, case when low > high then 'low_exceeds_high' end, case when open < low or open > high then 'open_outside_low_high' end,
   case when close < low or close > high then 'close_outside_low_high' end, case when volume < 0 then 'negative_volume' end,
-  case when turnover < 0 then 'negative_turnover' end, case when coalesce(trim(source_id), '') = '' then 'empty_source_id' end) as codes from candles""")
+  case when turnover < 0 then 'negative_turnover' end, case when coalesce(trim(source_id), '') = '' then 'empty_source_id' end,
+  case when category = '' then 'empty_category' end, case when ingestion_id is null then 'empty_ingestion_id' end, case when quality_flags < 0 then 'negative_quality_flags' end) as codes from candles""")
 def candle_violations(spark, sf_dir):
     return candles(spark, sf_dir).select("k", "line", F.array_join(ops.candle_violations(), ",").alias("codes"))
 
 
-@query("B8_quarantine_candles", f"""with {CANDLES}, judged as (select *, case when least(open, high, low, close) <= 0 or volume < 0 then 'rejected' when low > high then 'low_exceeds_high' when open < low or open > high then 'open_outside_low_high'
+@query("B8_quarantine_candles", f"""with {CANDLES}, judged as (select *, case when open is null or high is null or low is null or close is null or volume is null or least(open, high, low, close) <= 0 or volume < 0 then 'rejected' when low > high then 'low_exceeds_high' when open < low or open > high then 'open_outside_low_high'
   when close < low or close > high then 'close_outside_low_high' end as reason from candles)
   select coalesce(reason, 'admitted') as reason, count(*) as n, min(k) as first_k from judged group by 1""")
 def quarantine(spark, sf_dir):

@@ -159,15 +159,23 @@ def lineage(spark, sf_dir):
     return ops.lineage_closure(keys.withColumn("parent", F.floor(F.col("child") / 3)))
 
 
-@query("G10_register_datasets", """with ex as (select c_custkey as id, c_mktsegment as binding from customer where c_custkey % 2 = 0),
-  ba as (select c_custkey as id, case when c_custkey % 10 = 0 then 'OTHER' else c_mktsegment end as binding, case when c_custkey % 7 = 0 then c_custkey + 1 when c_custkey % 11 = 0 then -1 end as parent from customer where c_custkey % 3 = 0),
-  known as (select id from ex union select id from ba)
-  select ba.id, ba.binding, ba.parent, case when ba.parent is not null and ba.parent not in (select id from known) then 'orphan' when ex.id is null then 'new' when ex.binding = ba.binding then 'same' else 'conflict' end as state
-  from ba left join ex on ba.id = ex.id""")
+# the catalog has every other customer, some without a binding, some twice and some with two bindings
+@query("G10_register_datasets", """with ex as (select c_custkey as id, case when c_custkey % 9 = 0 or c_custkey % 14 = 0 then null else c_mktsegment end as binding from customer where c_custkey % 2 = 0
+    union all select c_custkey, case when c_custkey % 16 = 0 then 'TWO' when c_custkey % 9 = 0 or c_custkey % 14 = 0 then null else c_mktsegment end from customer where c_custkey % 8 = 0),
+  ba as (select c_custkey as id, case when c_custkey % 10 = 0 then 'OTHER' when c_custkey % 18 = 0 then null else c_mktsegment end as binding,
+    case when c_custkey % 7 = 0 then c_custkey + 1 when c_custkey % 11 = 0 then -1 end as parent from customer where c_custkey % 4 > 0 or c_custkey % 3 = 0),
+  held as (select id, count(distinct coalesce(binding, '(none)')) as n, any_value(coalesce(binding, '(none)')) as binding from ex group by id), known as (select id from ex union select id from ba)
+  select ba.id, ba.binding, ba.parent, case when ba.parent is not null and ba.parent not in (select id from known) then 'orphan' when h.id is null then 'new'
+    when h.n = 1 and h.binding = coalesce(ba.binding, '(none)') then 'same' else 'conflict' end as state
+  from ba left join held h on ba.id = h.id""")
 def register(spark, sf_dir):
     customers = views.table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
-    existing = customers.filter(F.pmod(key, F.lit(2)) == 0).select(key.alias("id"), F.col("c_mktsegment").alias("binding"))
-    parent = F.when(F.pmod(key, F.lit(7)) == 0, key + 1).when(F.pmod(key, F.lit(11)) == 0, F.lit(-1))
-    batch = customers.filter(F.pmod(key, F.lit(3)) == 0).select(key.alias("id"), F.when(F.pmod(key, F.lit(10)) == 0, "OTHER").otherwise(F.col("c_mktsegment")).alias("binding"), parent.alias("parent"))
-    return ops.register(existing, batch)
+    each = lambda n: F.pmod(key, F.lit(n)) == 0
+    bound = F.when(~(each(9) | each(14)), F.col("c_mktsegment"))
+    first = customers.filter(each(2)).select(key.alias("id"), bound.alias("binding"))
+    again = customers.filter(each(8)).select(key.alias("id"), F.when(each(16), "TWO").otherwise(bound).alias("binding"))
+    parent = F.when(each(7), key + 1).when(each(11), F.lit(-1))
+    binding = F.when(each(10), "OTHER").when(~each(18), F.col("c_mktsegment"))
+    batch = customers.filter(~each(4) | each(3)).select(key.alias("id"), binding.alias("binding"), parent.alias("parent"))
+    return ops.register(first.unionByName(again), batch)

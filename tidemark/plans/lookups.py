@@ -7,9 +7,11 @@ from pyspark.sql import Window, functions as F
 from tidemark.functions import exact
 from tidemark.functions.times import DAY
 from tidemark.operators import lookups as ops
+from tidemark.operators.presence import presence
+from tidemark.plans.catalog import stored_bars
 from tidemark.plans.registry import query
 from tidemark.plans.sql import with_views
-from tidemark.sources import views
+from tidemark.sources import canonical, views
 
 
 @query("C1_join_dimension", with_views("instruments", "tickers", sql="select i.k, i.symbol, i.price, t.turnover, t.n from instruments i join tickers t on i.symbol = t.symbol"))
@@ -137,25 +139,32 @@ def listing(spark, sf_dir):
     return ops.listing_vs_first(ticks.select("k", "kind", "t"), events)
 
 
-@query("C8_universe_compare", """with here as (select distinct p_brand as symbol, p_type as status from part where p_size <= 25), there as (select distinct p_brand as symbol from part where p_size > 40)
+@query("C8_universe_compare", """with here as (select distinct p_brand || p_size as symbol, nullif(p_type, 'ECONOMY') as status from part where p_size <= 30), there as (select p_brand || p_size as symbol from part where p_size > 20 group by 1)
   select coalesce(h.symbol, t.symbol) as symbol, h.status, case when h.symbol is null then 'archive_only' when t.symbol is null then 'current_only' else 'both' end as side
   from here h full join there t on h.symbol = t.symbol""")
 def universe_compare(spark, sf_dir):
     part = views.table(spark, sf_dir, "part")
-    here = part.filter("p_size <= 25").select(F.col("p_brand").alias("symbol"), F.col("p_type").alias("status")).distinct()
-    there = part.filter("p_size > 40").select(F.col("p_brand").alias("symbol")).distinct()
+    symbol = F.concat("p_brand", F.col("p_size").cast("string")).alias("symbol")
+    here = part.filter("p_size <= 30").select(symbol, F.nullif("p_type", F.lit("ECONOMY")).alias("status")).distinct()
+    there = part.filter("p_size > 20").select(symbol)
     return ops.universe_compare(here, there)
 
 
-@query("C10_reconcile_stages", with_views("ticks", "bars", sql="""with a as (select k % 4 as kind, count(distinct (k, t // 60000)) as n from ticks group by 1), b as (select k % 4 as kind, count(*) as n from bars group by 1),
-  c as (select k % 4 as kind, sum(volume)::bigint as n from bars group by 1)
-  select a.kind, a.n as acquired, b.n as published, c.n as ticks, a.n = b.n as agree from a join b on a.kind = b.kind join c on a.kind = c.kind"""))
+# what is published lacks some bars of kind 3, what is covered all of kind 2; the catalog has the rows of the stored files
+@query("C10_reconcile_stages", with_views("ticks", "bars", sql="""with a as (select k % 4 as kind, count(distinct (k, t // 60000)) as n from ticks group by 1),
+  p as (select k % 4 as kind, count(*) as n from bars where k % 4 <> 3 or close % 10 <> 0 group by 1), v as (select k % 4 as kind, count(distinct (k, t)) as n from bars where k % 4 <> 2 group by 1),
+  c as (select k % 4 as kind, count(*) as n from bars group by 1)
+  select a.kind, a.n as acquisition, p.n as publication, v.n as coverage, c.n as catalog, coalesce(a.n = p.n and a.n = v.n and a.n = c.n, false) as agree
+  from a left join p on a.kind = p.kind left join v on a.kind = v.kind left join c on a.kind = c.kind"""))
 def reconcile(spark, sf_dir):
     ticks, bars = views.ticks(spark, sf_dir), views.minute_bars(spark, sf_dir)
     kind = F.pmod("k", F.lit(4)).alias("kind")
-    acquired = ticks.select(kind, "k", F.floor(F.col("t") / 60_000).alias("m")).distinct().groupBy("kind").agg(F.count("*").alias("acquired"))
-    published = bars.groupBy(kind).agg(F.count("*").alias("published"), F.sum("volume").alias("ticks"))
-    return ops.reconcile_stages(acquired, published)
+    acquired = ticks.select(kind, "k", F.floor(F.col("t") / 60_000).alias("m")).distinct().groupBy("kind").agg(F.count("*").alias("n"))
+    published = bars.filter((F.pmod("k", F.lit(4)) != 3) | (F.pmod("close", F.lit(10)) != 0)).groupBy(kind).agg(F.count("*").alias("n"))
+    covered = presence(seen=bars.filter(F.pmod("k", F.lit(4)) != 2)).groupBy(kind).agg(F.sum(F.bit_count("seen")).alias("n"))
+    files = canonical.partition_manifest(stored_bars(spark, sf_dir))
+    catalog = files.select(F.pmod("bucket", F.lit(4)).alias("kind"), F.col("rows").alias("n"))
+    return ops.reconcile_stages(acquisition=acquired, publication=published, coverage=covered, catalog=catalog)
 
 
 @query("C11_trade_mark_join", with_views("ticks", "bars", sql="""with marks as (select k, t // 60000 * 60000 as t, max(price) as mark from ticks where kind = 'click' group by all)
