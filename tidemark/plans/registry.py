@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None) -> Callable:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from tidemark.plans import admission, catalog, chronology, coverage, features, lookups, maintenance, profiles, sampling, scans  # noqa: F401
+    from tidemark.plans import admission, catalog, chronology, coverage, features, lookups, maintenance, profiles, sampling, scans, selection  # noqa: F401
