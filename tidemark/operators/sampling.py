@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.exact import tick_round
+from tidemark.operators.ranks import global_rank
 
 
 def ranked(rows: DataFrame, order: list) -> DataFrame:
-    """rows with their place from 0 in a total order and their number `n`.
-
-    The order is one of instruments, which are few; facts are summed up to instruments before.
-    """
+    """rows with their place from 0 in a total order and their number `n`; for pools of a bounded number of rows."""
     return rows.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long") - 1).withColumn("n", F.count("*").over(Window.partitionBy()))
 
 
 def even_rank_sample(rows: DataFrame, order: list, count: int) -> DataFrame:
     """`count` rows at evenly spaced ranks of the order, ends included."""
+    placed, n = global_rank(rows, *order)
+    return placed.filter(F.col("rank").isin([i * (n - 1) // (count - 1) for i in range(count)] if n else []))
+
+
+def _even_in_pool(rows: DataFrame, order: list, count: int) -> DataFrame:
     spaced = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.floor(i * (F.col("n") - 1) / (count - 1)))
     return ranked(rows, order).filter(F.array_contains(spaced, F.col("rank"))).drop("n")
 
@@ -24,7 +27,7 @@ def even_rank_sample(rows: DataFrame, order: list, count: int) -> DataFrame:
 def liquid_price_sample(instruments: DataFrame, count: int, least_pool: int) -> DataFrame:
     """`count` instruments at even price ranks of the most liquid max(least_pool, 10 * count)."""
     pool = instruments.orderBy(F.desc("turnover"), "symbol").limit(max(least_pool, 10 * count))
-    return even_rank_sample(pool, ["price", "symbol"], count)
+    return _even_in_pool(pool, ["price", "symbol"], count)
 
 
 def shortlist(instruments: DataFrame, most: int, tick: int = 25, padding: int = 20) -> DataFrame:

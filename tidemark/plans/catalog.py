@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.times import DAY
 from tidemark.operators import sets as ops
+from tidemark.operators.digests import partition_digests, table_difference_by_partition
+from tidemark.operators.ranks import rank_within
 from tidemark.plans.registry import query
 from tidemark.plans.sql import with_views
 from tidemark.sources import canonical, views
@@ -91,6 +93,25 @@ def table_equal(spark, sf_dir):
     return table_difference(bars, bars.filter(F.pmod("close", F.lit(10)) != 0))
 
 
+# one bucket has changed rows, another repeated ones; the others are proven equal by their digests
+@query("G4_difference_by_partition", with_views("bars", sql="""select k, t, close, 'left' as side from bars where k % 8 = 3 and close % 97 = 0
+  union all select k, t, close + 1, 'right' from bars where k % 8 = 3 and close % 97 = 0 union all select k, t, close, 'right' from bars where k % 8 = 5 and close % 101 = 0"""))
+def difference_by_partition(spark, sf_dir):
+    bars = stored_bars(spark, sf_dir).select("k", "t", "close", *canonical.PARTITIONS)
+    odd, twice = (F.col("bucket") == 3) & (F.pmod("close", F.lit(97)) == 0), (F.col("bucket") == 5) & (F.pmod("close", F.lit(101)) == 0)
+    other = bars.withColumn("close", F.when(odd, F.col("close") + 1).otherwise(F.col("close"))).unionByName(bars.filter(twice))
+    return table_difference_by_partition(bars, other, list(canonical.PARTITIONS)).drop(*canonical.PARTITIONS)
+
+
+@query("G4_partition_digests", with_views("bars", sql="select k % 8 as bucket, count(*) as n, k % 8 not in (2, 6) as equal from bars group by 1"))
+def digests_of_partitions(spark, sf_dir):
+    bars = views.minute_bars(spark, sf_dir).withColumn("bucket", F.pmod("k", F.lit(8)))
+    swapped = bars.withColumn("open", F.when(F.pmod("bucket", F.lit(4)) == 2, F.col("close") + 1).otherwise(F.col("open")))
+    one, two = (partition_digests(df, ["k", "t", "open", "close"], ["bucket"]) for df in (bars, swapped))
+    met = one.join(two.select("bucket", F.col("digest").alias("other")), "bucket")
+    return met.select("bucket", "n", F.col("digest").eqNullSafe(F.col("other")).alias("equal"))
+
+
 @query("G5_partition_gap", with_views("bars", sql="""with need as (select d, k from (select distinct t // 86400000 as d from bars) cross join (select distinct k from bars)), have as (select distinct t // 86400000 as d, k from bars)
   select need.d, need.k from need anti join have on need.d = have.d and need.k = have.k"""))
 def partition_gap(spark, sf_dir):
@@ -145,10 +166,8 @@ def key_order(spark, sf_dir):
 
 @query("F6_canonical_sort", with_views("bars", sql="select k, t, close, row_number() over (partition by k % 8 order by k, t) as place from bars"))
 def canonical_sort(spark, sf_dir):
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy(F.pmod("k", F.lit(8))).orderBy("k", "t")).cast("long")
-    return views.minute_bars(spark, sf_dir).select("k", "t", "close", place.alias("place"))
+    bars = views.minute_bars(spark, sf_dir).select("k", "t", "close", F.pmod("k", F.lit(8)).alias("bucket"))
+    return rank_within(bars, "bucket", "k", "t").drop("bucket")
 
 
 @query("G9_lineage_closure", """with recursive p(child, parent) as (select o_custkey, o_custkey // 3 from (select distinct o_custkey from orders where o_custkey > 0)),

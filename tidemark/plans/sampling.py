@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import sampling as ops
+from tidemark.operators.ranks import exact_quantiles
 from tidemark.plans.registry import query
 from tidemark.plans.sql import with_views
 from tidemark.sources import views
@@ -45,3 +46,9 @@ def oldest(spark, sf_dir):
   select p.k, p.start, count(s.t) as observed, min(s.t) as first_t, (min(s.t) - p.start)::bigint as delay_ms from p left join settlements s on s.k = p.k and s.t >= p.start and s.t < p.stop group by p.k, p.start"""))
 def probes(spark, sf_dir):
     return ops.probe_windows(views.settlements(spark, sf_dir), 31_536_000_000, 2_592_000_000)
+
+
+@query("D11_exact_quantiles", with_views("ticks", sql="""select kind, f as fraction, list_sort(list(price))[greatest(ceil(f * count(*)), 1)::bigint] as price
+  from ticks, (values (0.05::double), (0.5::double), (0.9::double), (0.99::double)) q(f) group by kind, f"""))
+def quantiles(spark, sf_dir):
+    return exact_quantiles(views.ticks(spark, sf_dir), "kind", "price", (0.05, 0.5, 0.9, 0.99))
