@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.exact import stable_bucket
 from tidemark.operators.presence import presence, within_requests
 from tidemark.sources import canonical
+from tidemark.sources.shared import checkpoints
 
 # Fixed values of the layout.
 TARGET_BYTES, ROW_GROUP = 16 * 1024 * 1024, 128_000
@@ -51,6 +52,52 @@ def files_fall(before: DataFrame, after: DataFrame, by: list[str]) -> DataFrame:
     return met.withColumn("falls", (F.col("files_after") > 0) & (F.col("files_after") < F.col("files_before")))
 
 
+def compaction_bins(files: DataFrame, target: int = TARGET_BYTES) -> DataFrame:
+    """files (by, file, size, first) with `bin`, `files` and `bins` of their partition, and whether it is worthwhile.
+
+    Files of a partition are packed into bins in order of their first keys, so that a bin's keys are near each other: one
+    that is full (120% of the target, or more) stays alone, the others fill bins of about the target. Worthwhile: there are
+    fewer bins than files.
+    """
+    part = [*canonical.PARTITIONS]
+    line = Window.partitionBy(*part).orderBy("first", "file")
+    small = F.col("size") * 100 < 120 * target
+    packed = files.withColumns({"__upto": F.coalesce(F.sum(F.when(small, F.col("size"))).over(line), F.lit(0)), "__large": F.count(F.when(~small, 1)).over(line)})
+    run = F.when(small, F.floor((F.col("__upto") - 1) / target)).otherwise(-F.col("__large")).cast("long")
+    packed = packed.withColumn("bin", run).drop("__upto", "__large")
+    whole = Window.partitionBy(*part)
+    packed = packed.withColumns({"files": F.count("*").over(whole), "bins": F.size(F.collect_set("bin").over(whole)).cast("long")})  # numbers of one partition's bins
+    return packed.withColumn("worthwhile", F.col("bins") < F.col("files"))
+
+
+def file_sizes(table: DataFrame) -> DataFrame:
+    """(year, month, bucket, file, size, first) of each file of a stored canonical table; first is its least (k, t)."""
+    meta = table.select(*canonical.PARTITIONS, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.struct("k", "t").alias("key"))
+    return meta.groupBy(*canonical.PARTITIONS, "file").agg(F.first("size").alias("size"), F.min("key").alias("first"))
+
+
+def compact_partitions(table: DataFrame, path: str, target: int = TARGET_BYTES) -> DataFrame:
+    """Rewrite the month and bucket partitions of the canonical table stored at `path` that have fewer bins than files.
+
+    `table` reads that path. Only those partitions are read, and replaced at once by dynamic partition overwrite; every bin is
+    one task's sorted file, so a partition of many bins is many tasks' work. The others keep their files. A partition
+    whose files wouldn't fall is refused. Returns the plan, a row for each partition: (year, month, bucket, files,
+    bins, worthwhile); it is kept in the shared folder, as the files that it names are gone then.
+    """
+    spark, part = table.sparkSession, [*canonical.PARTITIONS]
+    checkpoints(spark)
+    bins = compaction_bins(file_sizes(table), target).checkpoint()
+    plan = bins.groupBy(*part).agg(F.first("files").alias("files"), F.first("bins").alias("bins"), F.first("worthwhile").alias("worthwhile")).checkpoint()
+    chosen = bins.filter("worthwhile").select("file", "bin")
+    if not chosen.isEmpty():
+        paths = [r.file for r in chosen.select("file").collect()]  # names of files, not their rows
+        rows = spark.read.option("basePath", path).schema(table.schema).parquet(*paths).withColumn("__file", F.col("_metadata.file_path"))
+        met = rows.join(chosen.withColumnRenamed("file", "__file"), "__file").drop("__file")
+        dealt = met.repartition(*part, "bin").sortWithinPartitions(*part, "bin", "k", "t").drop("bin")
+        dealt.write.partitionBy(*part).mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", canonical.CODEC).parquet(path)
+    return plan
+
+
 def plan_gap_repairs(gaps: DataFrame, explained: DataFrame, page_minutes: int, most_minutes: int) -> DataFrame:
     """One task for each gap (k, gap_start, gap_end, minutes) with pages and size class; gaps that hold an explained
     missing key (k, t) don't qualify.

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from tidemark.functions.times import DAY
 from tidemark.operators import maintenance as ops, profiles
-from tidemark.plans.catalog import scratch, stored_bars
+from tidemark.plans.catalog import BAR_SCHEMA, scratch, stored_bars
 from tidemark.plans.coverage import COVERAGE_SQL, GAPS, _coverage, _gaps
 from tidemark.plans.registry import query
 from tidemark.plans.sql import with_views
-from tidemark.sources import views
+from tidemark.sources import canonical, views
+from tidemark.sources.shared import checkpoints
 
 SUMMARY = """select count(*) as n, min(t) as first_t, max(t) as last_t, sum(k)::bigint as ids, sum(open)::bigint as opens, sum(high)::bigint as highs, sum(low)::bigint as lows,
   sum(close)::bigint as closes, sum(volume)::bigint as volumes, sum(turnover)::bigint as turnovers from bars"""
@@ -22,6 +24,29 @@ def compact(spark, sf_dir):
     return profiles.logical_summary(spark.read.parquet(path))
 
 
+# buckets 0 to 3 are stored in several small files each, the others in one
+@query("H1_incremental_compaction", with_views("bars", sql="""select k % 8 as bucket, count(*) as n, sum(close)::bigint as closes, count(distinct (k, t)) as keys, k % 8 < 4 as rewritten, true as kept_or_fell
+  from bars where k % 8 in (select bucket from (select k % 8 as bucket, count(distinct t // 86400000 % 5) as days from bars group by 1) where bucket >= 4 or days > 1) group by 1"""))
+def compact_incrementally(spark, sf_dir):
+    path = scratch(spark, "fragmented")
+    checkpoints(spark)
+    bars = canonical.partition_columns(views.minute_bars(spark, sf_dir).select(*BAR_SCHEMA.names))
+    piece = F.when(F.col("bucket") < 4, F.pmod(F.floor(F.col("t") / DAY), F.lit(5))).otherwise(0)
+    for number in range(5):
+        bars.filter(piece == number).repartition(*canonical.PARTITIONS).write.partitionBy(*canonical.PARTITIONS).mode("append").parquet(path)
+    before = ops.file_sizes(canonical.read_canonical(spark, path, BAR_SCHEMA)).checkpoint()
+    plan = ops.compact_partitions(canonical.read_canonical(spark, path, BAR_SCHEMA), path)
+    spark.catalog.refreshByPath(path)
+    after = ops.file_sizes(canonical.read_canonical(spark, path, BAR_SCHEMA))
+    counts = before.groupBy("bucket").agg(F.collect_set("file").alias("before")).join(after.groupBy("bucket").agg(F.collect_set("file").alias("after")), "bucket")
+    same = F.size(F.array_except("before", "after")) == 0
+    fell = F.size("after") < F.size("before")
+    state = counts.join(plan.groupBy("bucket").agg(F.bool_or("worthwhile").alias("rewritten")), "bucket")
+    state = state.select("bucket", "rewritten", F.when(F.col("rewritten"), fell).otherwise(same).alias("kept_or_fell"))
+    rows = canonical.read_canonical(spark, path, BAR_SCHEMA).groupBy("bucket").agg(F.count("*").alias("n"), F.sum("close").alias("closes"), F.countDistinct("k", "t").alias("keys"))
+    return rows.join(state, "bucket")
+
+
 @query("H1_compaction_plan", with_views("bars", sql="""with f as (select t // 86400000 % 8 as part, t // 86400000 as file, count(*) as n from bars group by 1, 2)
   select part, count(*) as files, sum(n)::bigint as "rows", ((sum(n) + 999) // 1000)::bigint as new_files, (sum(n) + 999) // 1000 < count(*) as worthwhile from f group by part"""))
 def plan(spark, sf_dir):
