@@ -92,3 +92,19 @@ def tiling(spark, sf_dir):
   select k, extract(year from m) as year, extract(month from m) as month, greatest(a, epoch_ms(m)) as start, least(b, epoch_ms(m + interval 1 month) - 60000) as stop from m"""))
 def months(spark, sf_dir):
     return ranges.month_windows(views.settlements(spark, sf_dir).groupBy("k").agg(F.min("t").alias("start"), F.max("t").alias("stop")))
+
+
+# settlements as requests of a year each side of an instrument's life; some are delivered, some launch within a minute
+@query("A14_lifecycle_jobs", with_views("settlements", sql="""with life as (select k, min(t) + 31 as launch, case when k % 3 = 0 then max(t) - 86400000 else 0 end as delivery, min(t) - 31536000000 as a, max(t) + 31536000000 as b from settlements group by k),
+  m as (select *, unnest(generate_series(date_trunc('month', epoch_ms(a)), date_trunc('month', epoch_ms(b)), interval 1 month)) as m from life where k % 8 > 0),
+  w as (select k, launch, delivery, extract(year from m) as year, extract(month from m) as month, greatest(a, epoch_ms(m)) as start, least(b, epoch_ms(m + interval 1 month) - 60000) as stop from m),
+  c as (select k, year, month, greatest(start, (launch + 59999) // 60000 * 60000) as start, case when delivery > 0 then least(stop, (delivery + 59999) // 60000 * 60000 - 60000) else stop end as stop from w)
+  select year, month, k % 8 as bucket, count(*) as n, sum(stop - start)::bigint as span, string_agg(k || ':' || start, ',' order by k) as series from c where start <= stop group by all"""))
+def jobs(spark, sf_dir):
+    sums = views.settlements(spark, sf_dir).groupBy("k").agg(F.min("t").alias("first"), F.max("t").alias("last")).filter("k % 8 > 0")
+    requests_ = sums.select("k", (F.col("first") - 31_536_000_000).alias("start"), (F.col("last") + 31_536_000_000).alias("stop"))
+    life = sums.select("k", (F.col("first") + 31).alias("launch"), F.when(F.pmod("k", F.lit(3)) == 0, F.col("last") - 86_400_000).otherwise(0).alias("delivery"))
+    made = ranges.lifecycle_jobs(ranges.month_windows(requests_), life)
+    text = F.array_join(F.transform("series", lambda s: F.concat_ws(":", s["k"], s["start"])), ",")
+    span = F.aggregate("series", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    return made.select("year", "month", "bucket", F.size("series").cast("long").alias("n"), span.alias("span"), text.alias("series"))
