@@ -354,3 +354,14 @@ def test_funding_compaction_writes_what_it_audits(spark, monkeypatch):
     got = chronology.compact(spark, "/root/testdata/sf0.001")
     sums = got.agg(F.sum("rows"), F.sum("interval_mismatch"), F.count("*")).first()
     assert made and sums[0] == made[0].count() and sums[1] == sums[0] - sums[2] > 0  # all but each series' first row
+
+
+def test_pairs_of_fragments(spark):
+    rows = [("a", "x", 1, 0, 480), ("a", "x", 1, 480 * M, 480), ("b", "x", 1, 960 * M, 480), ("b", "x", 2, 0, None), ("c", "x", 1, 480 * M, 480), ("c", "x", 3, 0, 1), ("d", "y", 9, 0, 1),
+            ("e", "x", 2, 60 * M, 30), ("f", "x", 1, 960 * M, 480), ("f", "x", 1, 1440 * M, None)]
+    table = spark.createDataFrame(rows, "dataset string, shape string, k long, t long, interval long").withColumn("part", F.lit(7))
+    got = {(r.a, r.b): r["class"] for r in funding.pair_candidates(table).collect()}
+    assert len(got) == 15 and all(got[p] == "schema" for p in got if "d" in p)
+    assert {p: c for p, c in got.items() if "d" not in p} == {
+        ("a", "b"): "eligible", ("a", "c"): "duplicate", ("a", "e"): "eligible", ("a", "f"): "interval", ("b", "c"): "eligible", ("b", "e"): "interval", ("b", "f"): "duplicate",
+        ("c", "e"): "eligible", ("c", "f"): "interval", ("e", "f"): "interval"}

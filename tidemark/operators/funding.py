@@ -176,3 +176,24 @@ def cadence_episodes(rows: DataFrame, start_ms: int = POLICY_START_MS, low_rate:
     zero = F.lit(0).cast("long")
     parts = {c: F.when(fits, F.col(c)).otherwise(zero) for c in ("episodes", "completed", "open", "open_nonqualifying", "explained")}
     return per.select("k", *[v.cast("long").alias(c) for c, v in parts.items()], F.when(fits, zero).otherwise(F.col("changes")).alias("unexplained"))
+
+
+def pair_candidates(rows: DataFrame) -> DataFrame:
+    """(part, a, b, class) of every two datasets, a before b, of a partition of settlements (part, dataset, shape, k, t, interval).
+
+    `schema`: their shapes differ. Else by the first row of their union in order of (k, t) that can't follow the one before
+    it: `duplicate` where both have the key, `interval` where the step from the settlement before isn't the stated interval
+    (or none is stated). `eligible` where there is no such row. A dataset has one shape.
+    """
+    sets = rows.groupBy("part", "dataset").agg(F.min("shape").alias("shape"))
+    one, two = (sets.select("part", F.col("dataset").alias(n), F.col("shape").alias(f"shape_{n}")) for n in "ab")
+    pairs = one.join(two, "part").filter("a < b")  # datasets of one partition, not rows
+    alike = pairs.filter(F.col("shape_a").eqNullSafe(F.col("shape_b"))).select("part", "a", "b", F.explode(F.array("a", "b")).alias("dataset"))
+    line = Window.partitionBy("part", "a", "b", "k").orderBy("t", "interval")
+    union = rows.select("part", "dataset", "k", "t", "interval").join(alike, ["part", "dataset"]).withColumn("previous", F.lag("t").over(line))
+    stated = F.coalesce(F.col("t") - F.col("previous") == F.col("interval") * MINUTE, F.lit(False))
+    problem = F.when(F.col("t") == F.col("previous"), "duplicate").when(F.col("previous").isNotNull() & ~stated, "interval")
+    first = union.withColumn("problem", problem).filter("problem is not null").groupBy("part", "a", "b").agg(F.min_by("problem", F.struct("k", "t", "problem")).alias("problem"))
+    met = pairs.join(first, ["part", "a", "b"], "left")
+    kind = F.when(~F.col("shape_a").eqNullSafe(F.col("shape_b")), "schema").otherwise(F.coalesce("problem", F.lit("eligible")))
+    return met.select("part", "a", "b", kind.alias("class"))

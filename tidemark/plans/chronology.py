@@ -206,16 +206,24 @@ def union_audit(spark, sf_dir):
     return ops.union_audit(maintenance.compact_fragments(rows, scratch(spark, "funding"), 100_000))
 
 
-@query("H5_funding_pair_candidates", with_views("settlement_rows", sql="""with tagged as (select k, t, id % 4 as dataset, t // 31536000000 as part from settlement_rows),
-  keyed as (select distinct part, dataset, k, t from tagged),
-  pairs as (select a.part, a.dataset as a, b.dataset as b from (select distinct part, dataset from keyed) a join (select distinct part, dataset from keyed) b on a.part = b.part and a.dataset < b.dataset),
-  same as (select x.part, x.dataset as a, y.dataset as b, count(*) as n from keyed x join keyed y on x.part = y.part and x.k = y.k and x.t = y.t and x.dataset < y.dataset group by all)
-  select p.part, p.a, p.b, coalesce(n, 0) as shared, case when n > 0 then 'duplicate' else 'eligible' end as class from pairs p left join same s on p.part = s.part and p.a = s.a and p.b = s.b"""))
+# four datasets a year with an instrument each in turn: one has another schema in even years, one has rows of another's
+# instruments too, one some intervals an hour off
+@query("H5_funding_pair_candidates", with_views("settlements", sql="""with stated as (select k, t, id, t // 31536000000 as part, coalesce((t - lag(t) over (partition by k order by t)) // 60000, 480)::bigint as interval from settlements),
+  tagged as (select part, k % 4 as dataset, k, t, interval + case when k % 4 = 3 and id % 400 = 0 then 60 else 0 end as interval from stated
+    union all select part, 2, k, t, interval from stated where k % 4 = 1 and id % 300 = 0),
+  sets as (select distinct part, dataset, case when dataset = 0 and part % 2 = 0 then 'v2' else 'v1' end as shape from tagged),
+  pairs as (select x.part, x.dataset as a, y.dataset as b, x.shape = y.shape as alike from sets x join sets y on x.part = y.part and x.dataset < y.dataset),
+  lined as (select p.part, a, b, k, t, interval, lag(t) over (partition by p.part, a, b, k order by t, interval) as previous from pairs p join tagged g on g.part = p.part and g.dataset in (a, b) where alike),
+  problems as (select *, case when t = previous then 'duplicate' when t - previous <> interval * 60000 then 'interval' end as problem from lined),
+  firsts as (select part, a, b, arg_min(problem, (k, t, problem)) as problem from problems where problem is not null group by part, a, b)
+  select p.part, p.a, p.b, case when not alike then 'schema' else coalesce(problem, 'eligible') end as class from pairs p left join firsts f on f.part = p.part and f.a = p.a and f.b = p.b"""))
 def pair_candidates(spark, sf_dir):
-    rows = views.settlement_rows(spark, sf_dir)
-    keyed = rows.select(F.floor(F.col("t") / 31_536_000_000).alias("part"), F.pmod("id", F.lit(4)).alias("dataset"), "k", "t").distinct()
-    sets = keyed.select("part", "dataset").distinct()
-    pairs = sets.select("part", F.col("dataset").alias("a")).join(sets.select("part", F.col("dataset").alias("b")), "part").filter("a < b")
-    same = keyed.withColumnRenamed("dataset", "a").join(keyed.withColumnRenamed("dataset", "b"), ["part", "k", "t"]).filter("a < b").groupBy("part", "a", "b").agg(F.count("*").alias("n"))
-    shared = F.coalesce("n", F.lit(0))
-    return pairs.join(same, ["part", "a", "b"], "left").select("part", "a", "b", shared.alias("shared"), F.when(shared > 0, "duplicate").otherwise("eligible").alias("class"))
+    from pyspark.sql import Window
+
+    step = F.floor((F.col("t") - F.lag("t").over(Window.partitionBy("k").orderBy("t"))) / 60_000)
+    stated = views.settlements(spark, sf_dir).select(F.floor(F.col("t") / 31_536_000_000).alias("part"), F.pmod("k", F.lit(4)).alias("dataset"), "k", "t", "id", F.coalesce(step, F.lit(480)).alias("interval"))
+    late = (F.col("dataset") == 3) & (F.pmod("id", F.lit(400)) == 0)
+    copies = stated.filter("dataset = 1 and id % 300 = 0").withColumn("dataset", F.lit(2).cast("long"))
+    tagged = stated.withColumn("interval", F.col("interval") + F.when(late, 60).otherwise(0)).unionByName(copies)
+    shape = F.when((F.col("dataset") == 0) & (F.pmod("part", F.lit(2)) == 0), "v2").otherwise("v1")
+    return ops.pair_candidates(tagged.withColumn("shape", shape))
