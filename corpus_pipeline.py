@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from functools import wraps
 
@@ -9,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import bpe_round_trip
-from tidemark.llm.common import discard, materialise, read_table, recorded
+from tidemark.llm.common import discard, give_back, materialise, read_table, recorded
 from tidemark.llm.exact_dedup import exact_dedup_rows
 from tidemark.llm.mixing import mix_rows
 from tidemark.llm.ngram_join import one_of_each_component
@@ -40,6 +41,8 @@ def _stage(work: Callable) -> Callable:
         carried = {c: c if c in READ else f"carried_{i}" for i, c in enumerate(docs.columns)}
         with recorded() as folders:
             rows = work(spark, docs.toDF(*carried.values()), sf_dir)
+        gc.collect()  # what the driver trained with or looked up
+        give_back()
         named = {new: old for old, new in carried.items()}
         return rows.toDF(*[named.get(c, c) for c in rows.columns]).withMetadata("doc_id", {LEFT: folders})
 
