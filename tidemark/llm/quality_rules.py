@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import small_batches, text_bytes, windows, word_hashes
+from .common import give_back, small_batches, text_bytes, windows, word_hashes
 
 #: Buckets of the hashed features and the n-gram orders that go into them.
 FEATURE_BITS = 17
@@ -118,7 +118,7 @@ def _fit(rows, columns, values, labels, n_features: int):
 
 
 def fit_model(examples: list) -> Model | None:
-    """Fit on (label, [buckets, values]) of a bounded sample; None without examples of both labels."""
+    """Fit on (label, buckets, values) of a bounded sample, which is used up; None without examples of both labels."""
     import numpy as np
 
     labels = np.array([label for label, _, _ in examples], float)
@@ -127,6 +127,8 @@ def fit_model(examples: list) -> Model | None:
     rows = np.repeat(np.arange(len(examples)), [len(c) for _, c, _ in examples])
     columns = np.concatenate([np.asarray(c, np.int32) for _, c, _ in examples])
     values = np.concatenate([np.asarray(x, np.float32) for _, _, x in examples])
+    examples.clear()  # as much memory again
+    give_back()
     held_out = np.zeros(len(labels))
     for fold in range(FOLDS):
         inside = np.arange(len(labels)) % FOLDS != fold
@@ -192,6 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
     buckets, shares = table.column("buckets"), table.column("shares")
     examples = [(label, buckets[i].values.to_numpy(), shares[i].values.to_numpy()) for i, label in enumerate(table.column("label").to_pylist())]
     examples.sort(key=lambda e: (e[0], len(e[1]), e[1].tobytes(), e[2].tobytes()))  # the same folds whatever the order of rows
+    del table, buckets, shares
     return fit_model(examples)
 
 
