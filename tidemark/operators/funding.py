@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemark.functions.times import MINUTE
+from tidemark.operators.gaps import tiling_check
 
 # Fixed values of the cadence policy.
 POLICY_START_MS = 1_772_074_800_000
@@ -197,3 +200,61 @@ def pair_candidates(rows: DataFrame) -> DataFrame:
     met = pairs.join(first, ["part", "a", "b"], "left")
     kind = F.when(~F.col("shape_a").eqNullSafe(F.col("shape_b")), "schema").otherwise(F.coalesce("problem", F.lit("eligible")))
     return met.select("part", "a", "b", kind.alias("class"))
+
+
+def coverage_audit(rows: DataFrame, requests: DataFrame, pages: DataFrame, life: DataFrame) -> DataFrame:
+    """chronology_audit() of each requested series with its source pages, its lifecycle and the verdict of them together.
+
+    pages: (k, page_start, page_end, n) of the range pages; they must tile the request, and an empty one fails the series, as
+    a source that returns nothing isn't proof of nothing. life: (k, launch, delivery), delivery null while it trades;
+    a series without one is outside. unexpected counts the distinct times out of the request, stable_interval is the
+    interval if there is one only. passed: no defect, no change of interval, whole tiling, in its lifecycle.
+    """
+    audit = chronology_audit(rows, requests).drop("passed")
+    tiled = tiling_check(pages, requests)
+    spans = pages.groupBy("k").agg(F.sum(F.expr(f"(page_end - page_start) div {MINUTE} + 1")).alias("window_minutes"))
+    own = requests.join(rows, "k").groupBy("k").agg(
+        F.count_distinct(F.when(~F.col("t").between(F.col("start"), F.col("stop")), F.col("t"))).alias("unexpected"),
+        F.when(F.min("interval") == F.max("interval"), F.min("interval")).alias("stable_interval"))
+    within = F.coalesce((F.col("start") >= F.col("launch")) & (F.col("delivery").isNull() | (F.col("stop") <= F.col("delivery"))), F.lit(False))
+    placed = requests.join(life, "k", "left").select("k", "start", "stop", within.alias("within_life"))
+    met = placed.join(audit, "k").join(tiled, "k").join(spans, "k", "left").join(own, "k", "left")
+    met = met.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("window_minutes", "unexpected")})
+    defects = reduce(Column.__add__, [F.col(c) for c in ("duplicates", "unexpected", "predecessor_mismatch", "internal_mismatch", "interval_changes", "empty_pages")])
+    passed = (defects == 0) & (F.col("rows") > 0) & F.col("tiled") & F.col("within_life")
+    return met.select("k", "rows", "duplicates", "unexpected", "predecessor_mismatch", "internal_mismatch", "interval_changes", "stable_interval",
+                      "pages", "empty_pages", "window_minutes", "tiled", "within_life", passed.alias("passed"))
+
+
+def coverage_reasons(audit: DataFrame, rows: DataFrame, requests: DataFrame) -> DataFrame:
+    """(reason, n) over coverage_audit(): how often each reason to refuse a campaign occurs, zeros included.
+
+    Rows of series that nobody requested are a reason of their own.
+    """
+    sums = audit.agg(*[F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0)).alias(c) for c in ("duplicates", "unexpected", "predecessor_mismatch", "internal_mismatch", "interval_changes", "empty_pages")],
+                     F.count(F.when(~F.col("within_life"), 1)).alias("outside"), F.count(F.when(~F.col("tiled"), 1)).alias("untiled"))
+    strange = rows.join(requests.select("k").distinct(), "k", "left_anti").agg(F.count("*").alias("strange"))
+    names = {"duplicate_canonical_key": "duplicates", "unexpected_settlement_timestamp": "unexpected", "predecessor_interval_mismatch": "predecessor_mismatch",
+             "internal_interval_mismatch": "internal_mismatch", "unexplained_interval_change": "interval_changes", "source_window_returned_no_event": "empty_pages",
+             "registry_lifecycle_failure": "outside", "range_not_tiled": "untiled", "unrequested_instrument_row": "strange"}
+    each = F.explode(F.array(*[F.struct(F.lit(reason).alias("reason"), F.col(c).alias("n")) for reason, c in names.items()]))
+    return sums.crossJoin(strange).select(each.alias("x")).select("x.*")  # one row each
+
+
+def coverage_anomalies(rows: DataFrame, requests: DataFrame, pages: DataFrame) -> DataFrame:
+    """(k, reason, place, start, stop): every defect of the requested series as a row.
+
+    place numbers a series' rows from 0 by (time, interval); start and stop are those of an empty page. A series without
+    rows has a predecessor mismatch without a place.
+    """
+    line = Window.partitionBy("k").orderBy("t", "interval")
+    met = requests.select("k", "before").join(rows.select("k", "t", "interval"), "k", "left")
+    marked = met.withColumns({"place": F.row_number().over(line) - 1, "previous": F.coalesce(F.lag("t").over(line), F.col("before")), "previous_interval": F.lag("interval").over(line)})
+    wrong = ~F.coalesce(F.col("t") - F.col("previous") == F.col("interval") * MINUTE, F.lit(False))
+    reasons = F.array_compact(F.array(
+        F.when(wrong, F.when(F.col("place") == 0, "predecessor_interval_mismatch").otherwise("internal_interval_mismatch")),
+        F.when(F.col("interval") != F.col("previous_interval"), F.lit("unexplained_interval_change"))))
+    none = F.lit(None).cast("long")
+    found = marked.select("k", F.explode(reasons).alias("reason"), F.when(F.col("t").isNotNull(), F.col("place").cast("long")).alias("place"), none.alias("start"), none.alias("stop"))
+    empty = pages.filter("n = 0").join(requests.select("k"), "k", "left_semi")
+    return found.unionByName(empty.select("k", F.lit("source_window_returned_no_event").alias("reason"), none.alias("place"), F.col("page_start").alias("start"), F.col("page_end").alias("stop")))

@@ -168,3 +168,39 @@ def adjacent_inversions(rows: DataFrame, line: WindowSpec) -> DataFrame:
     """How often a row is newer than the one before it in the given order."""
     marked = rows.withColumn("prev", F.lag("t").over(line))
     return marked.groupBy("k").agg(F.count(F.when(F.col("t") > F.col("prev"), 1)).alias("inversions"))
+
+
+def archive_bounds(items: DataFrame) -> DataFrame:
+    """(kind, oldest, newest, n, inversions) of items (kind, page, place, t): how deep an archive reaches and whether its pages are in order.
+
+    Items are listed newest first, so an inversion is an item newer than the one before it by (page, place). A page is lined
+    up by itself; pages of a kind then meet by their first and last items alone, so a kind with most of the items isn't
+    one task's. Items without a time count in n and stand for no neighbour.
+    """
+    line = Window.partitionBy("kind", "page").orderBy("place")
+    at = F.when(F.col("t").isNotNull(), F.struct("place", "t"))
+    marked = items.withColumn("__prev", F.last("t", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1)))
+    pages = marked.groupBy("kind", "page").agg(
+        F.min("t").alias("oldest"), F.max("t").alias("newest"), F.count("*").alias("n"), F.count(F.when(F.col("t") > F.col("__prev"), 1)).alias("inside"),
+        F.min(at)["t"].alias("first"), F.max(at)["t"].alias("last"))
+    before = Window.partitionBy("kind").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)  # a row for each page
+    between = pages.withColumn("across", (F.col("first") > F.last("last", ignorenulls=True).over(before)).cast("long"))
+    return between.groupBy("kind").agg(F.min("oldest").alias("oldest"), F.max("newest").alias("newest"), F.sum("n").alias("n"),
+                                       (F.sum("inside") + F.coalesce(F.sum("across"), F.lit(0))).alias("inversions"))
+
+
+def archive_depth(bounds: DataFrame, launches: DataFrame, listing: str, lifecycle: tuple[str, ...]) -> DataFrame:
+    """One row that says whether an archive reaches back to the launches (k, launch) of instruments.
+
+    bounds: archive_bounds(). before: instruments launched before the oldest item of the kind `listing`; unknown: those
+    without a launch, which are never within. unordered: kinds of `lifecycle` that are absent or have inversions. status: blocked
+    unless every launch is within the archive and no lifecycle kind is unordered; an archive without `listing` holds none.
+    """
+    start = F.max(F.when(F.col("kind") == listing, F.col("oldest")))
+    ordered = F.count(F.when(F.col("kind").isin(*lifecycle) & (F.col("inversions") == 0), 1))
+    edge = bounds.agg(start.alias("listing_start"), F.min("oldest").alias("archive_start"), (F.lit(len(set(lifecycle))) - ordered).alias("unordered"))
+    early = F.coalesce(F.col("launch") < F.col("listing_start"), F.col("launch").isNotNull())
+    met = launches.crossJoin(F.broadcast(edge)).agg(F.count("*").alias("instruments"), F.min("launch").alias("first_launch"), F.max("launch").alias("last_launch"),  # edge is one row
+                                                    F.count(F.when(early, 1)).alias("before"), F.count(F.when(F.col("launch").isNull(), 1)).alias("unknown"))
+    fits = (F.col("before") + F.col("unknown") + F.col("unordered") == 0) & F.col("listing_start").isNotNull()
+    return edge.crossJoin(met).select("*", F.when(fits, "compatible").otherwise("blocked").alias("status"))  # one row each

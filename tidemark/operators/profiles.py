@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed value: millionths of a stage's target rate that count as met.
 ATTAINED = 850_000
@@ -76,3 +78,68 @@ def progress(jobs: DataFrame, lookback_ms: int) -> DataFrame:
     eta = F.when(F.col("recent") > 0, F.expr(f"((total - complete) * {lookback_ms // 1000} + recent - 1) div recent"))
     return counted.select("campaign", "total", "complete", F.expr("complete * 1000000 div total").alias("millionths"),
                           F.when(F.col("complete") == F.col("total"), "complete").otherwise("running").alias("status"), "recent", eta.alias("eta_s"))
+
+
+def campaign_progress(jobs: DataFrame, finalized: DataFrame, now: int, window_ms: int) -> DataFrame:
+    """Progress of each campaign at the time `now` and the seconds that its pending pages take at the recent rate.
+
+    jobs: (campaign, job, pages, rows, started, completed), times null where unknown; a job that completes after `now` is
+    pending. finalized: (campaign) of those whose aggregate is signed off; to be so with pending jobs is an error.
+    status: complete, finalization-pending (every job done), in-progress or not-started. The rate counts pages of the jobs
+    completed within the window but the first, over the time since that one; a lone job counts its own pages over its own
+    time. Without a rate eta_s is null, without pending pages 0. One aggregation: a campaign with most of the jobs is
+    summed up before the shuffle.
+    """
+    at = F.when(F.col("completed") <= now, F.col("completed"))
+    seen = jobs.select("campaign", "job", "pages", "rows", "started", at.alias("completed"))
+    done, recent = F.col("completed").isNotNull(), F.col("completed") >= max(0, now - window_ms)
+    first = F.min(F.when(recent, F.struct("completed", "job", "started", "pages")))
+    sums = seen.groupBy("campaign").agg(
+        F.count("*").alias("jobs"), F.count("completed").alias("completed_jobs"), F.sum("pages").alias("pages"), F.coalesce(F.sum(F.when(done, F.col("pages"))), F.lit(0)).alias("completed_pages"),
+        F.coalesce(F.sum(F.when(done, F.col("rows"))), F.lit(0)).alias("completed_rows"), F.max("completed").alias("last_completed"),
+        F.count(F.when(recent, 1)).alias("recent_jobs"), F.sum(F.when(recent, F.col("pages"))).alias("recent_pages"), first.alias("first"))
+    several = F.col("recent_jobs") >= 2
+    own_time = F.coalesce(F.col("first.completed") - F.col("first.started"), F.lit(0))
+    sums = sums.withColumns({
+        "pending_pages": F.col("pages") - F.col("completed_pages"),
+        "sample_jobs": F.when(several, F.col("recent_jobs") - 1).otherwise(F.col("recent_jobs")),
+        "sample_pages": F.when(several, F.col("recent_pages") - F.col("first.pages")).otherwise(F.coalesce("recent_pages", F.lit(0))),
+        "sample_ms": F.when(several, now - F.col("first.completed")).when(F.col("recent_jobs") == 1, own_time).otherwise(0)})
+    sums = sums.withColumn("rate_milli", F.expr("case when sample_pages > 0 then sample_pages * 1000000 div nullif(sample_ms, 0) end"))
+    eta = F.expr("case when pending_pages = 0 then 0 else (pending_pages * 1000 + rate_milli - 1) div nullif(rate_milli, 0) end")
+    signed = finalized.select("campaign").distinct().withColumn("signed", F.lit(True))
+    whole = F.col("completed_jobs") == F.col("jobs")
+    status = (F.when(F.col("signed") & ~whole, F.raise_error(F.lit("a finalized campaign has pending jobs")).cast("string")).when(F.col("signed"), "complete")
+              .when(whole, "finalization-pending").when(F.col("completed_jobs") > 0, "in-progress").otherwise("not-started"))
+    return sums.join(signed, "campaign", "left").select(
+        "campaign", "jobs", "completed_jobs", "pages", "completed_pages", "pending_pages", "completed_rows", "last_completed", F.expr(f"({now} - last_completed) div 1000").alias("age_s"),
+        F.expr("completed_pages * 1000000 div nullif(pages, 0)").alias("millionths"), status.alias("status"), "sample_jobs", "sample_pages", "sample_ms", "rate_milli", eta.alias("eta_s"))
+
+
+def progress_total(campaigns: DataFrame) -> DataFrame:
+    """One row over campaign_progress(): sums, millionths of all pages, and the seconds of the critical path.
+
+    Campaigns run side by side, so eta_s is the longest of those not complete; null if one of them has none, 0 if all are complete.
+    """
+    pending = F.col("status") != "complete"
+    sums = campaigns.agg(
+        F.count("*").alias("campaigns"), F.count(F.when(pending, 1)).alias("pending_campaigns"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("jobs", "completed_jobs", "pages", "completed_pages", "pending_pages")],
+        F.count(F.when(pending, F.col("eta_s"))).alias("known"), F.max(F.when(pending, F.col("eta_s"))).alias("longest"))
+    eta = F.when(F.col("pending_campaigns") == 0, 0).when(F.col("known") == F.col("pending_campaigns"), F.col("longest"))
+    return sums.select(*[c for c in sums.columns if c not in ("known", "longest")], F.expr("completed_pages * 1000000 div nullif(pages, 0)").alias("millionths"), eta.alias("eta_s"))
+
+
+def shortlist_layouts(runs: DataFrame, scans: list[str], buckets: tuple[int, ...] = (4, 8)) -> DataFrame:
+    """The best layout of each bucket count and how many were eligible there; bucket counts without one have no row.
+
+    runs: (buckets, numeric, compression, target_mb, verified, largest, bytes, write_ms, files, a column for each of `scans`).
+    Eligible: the numeric schema is verified and the largest file but the tail has at least 80% of the target. Best: least
+    bytes, then write time, sum of the scans' times, files, and the layout's own fields. A run that lacks a figure isn't eligible.
+    """
+    scan = reduce(Column.__add__, [F.col(c) for c in scans])
+    figures = F.struct("bytes", "write_ms", scan.alias("scan_ms"), "files", "numeric", "compression", "target_mb")
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in ("bytes", "write_ms", "files", *scans)])
+    eligible = F.col("verified") & (F.col("largest") * 10 >= F.col("target_mb") * 8 * 1024 * 1024) & known
+    best = runs.filter(eligible & F.col("buckets").isin(*buckets)).groupBy("buckets").agg(F.count("*").alias("eligible"), F.min(figures).alias("best"))
+    return best.select("buckets", "eligible", "best.*")

@@ -69,6 +69,73 @@ def anomalies(spark, sf_dir):
     return ops.chronology_anomalies(_audited(spark, sf_dir)[0])
 
 
+# pages of 90 days; series 3, 13, ... lack their second page, 9, 18, ... were launched late, every fourth ended before the request does,
+# rows of 7, 14, ... were not requested, those of 5, 10, ... are regular but for their pages
+PAGE_MS = 90 * DAY
+COVERED = f"""{AUDIT},
+asked as (select r.k, r.start, r.stop, r.before from requests r where r.k % 7 > 0),
+regular as (select k, unnest(generate_series(start, start + 13795200000, 28800000)) as t, 480::bigint as interval from requests where k % 5 = 0),
+facts as (select k, t, interval from given where k % 5 > 0 union all select * from regular),
+wanted as (select k, start, case when k % 5 = 0 then start + 13795200000 else stop end as stop, before from asked),
+pieces as (select k, start + i * {PAGE_MS} as page_start, least(start + (i + 1) * {PAGE_MS} - 60000, stop) as page_end
+  from (select *, unnest(generate_series(0, (stop - start) // {PAGE_MS})) as i from wanted where stop >= start) where not (k % 10 = 3 and i = 1)),
+pages as (select p.k, page_start, page_end, count(f.t) as n from pieces p left join facts f on f.k = p.k and f.t between page_start and page_end group by all),
+tiles as (select k, count(*) as pages, count(*) filter (n = 0) as empty_pages, sum((page_end - page_start) // 60000 + 1)::bigint as window_minutes from pages group by k),
+lined as (select f.k, f.t, f.interval, w.start, w.stop, row_number() over o - 1 as place, lag(f.t) over o as previous, lag(f.interval) over o as previous_interval, w.before
+  from facts f join wanted w on f.k = w.k window o as (partition by f.k order by f.t, f.interval)),
+counts as (select k, count(*) as "rows", count(*) filter (t = previous) as duplicates, count(distinct t) filter (t < start or t > stop) as unexpected,
+  count(*) filter (place = 0 and t - before <> interval * 60000) as predecessor_mismatch, count(*) filter (place > 0 and t - previous <> interval * 60000) as internal_mismatch,
+  count(*) filter (interval <> previous_interval) as interval_changes, case when min(interval) = max(interval) then min(interval) end as stable_interval from lined group by k),
+judged as (select c.*, coalesce(pages, 0) as pages, coalesce(empty_pages, 0) as empty_pages, coalesce(window_minutes, 0) as window_minutes,
+    pages is not null and not (c.k % 10 = 3 and w.stop - w.start >= {PAGE_MS}) as tiled, not (c.k % 9 = 0 or c.k % 4 = 1) as within_life from counts c join wanted w on w.k = c.k left join tiles on tiles.k = c.k),
+verdicts as (select *, duplicates + unexpected + predecessor_mismatch + internal_mismatch + interval_changes + empty_pages = 0 and tiled and within_life as passed from judged)"""
+
+
+def _covered(spark, sf_dir):
+    """(rows, requests, pages, life) of the coverage audit."""
+    given, asked = _audited(spark, sf_dir)
+    end = F.col("start") + 479 * 28_800_000
+    own = F.pmod("k", F.lit(5)) == 0
+    regular = asked.filter(own).select("k", F.explode(F.sequence("start", end, F.lit(28_800_000))).alias("t"), F.lit(480).cast("long").alias("interval"))
+    rows = given.filter(~own).select("k", "t", F.col("interval").cast("long").alias("interval")).unionByName(regular)
+    wanted = asked.filter(F.pmod("k", F.lit(7)) > 0).withColumn("stop", F.when(own, end).otherwise(F.col("stop")))
+    pieces = wanted.filter("stop >= start").select("k", "start", "stop", F.explode(F.sequence(F.lit(0), F.expr(f"(stop - start) div {PAGE_MS}"))).alias("i"))
+    pieces = pieces.filter(~((F.pmod("k", F.lit(10)) == 3) & (F.col("i") == 1)))
+    inside = rows.join(wanted.select("k", "start", "stop"), "k").filter("t between start and stop").groupBy("k", F.expr(f"(t - start) div {PAGE_MS}").alias("i")).agg(F.count("*").alias("n"))
+    pages = pieces.join(inside, ["k", "i"], "left").select(
+        "k", (F.col("start") + F.col("i") * PAGE_MS).alias("page_start"), F.least(F.col("start") + (F.col("i") + 1) * PAGE_MS - 60_000, F.col("stop")).alias("page_end"), F.coalesce("n", F.lit(0)).alias("n"))
+    quarter = F.pmod("k", F.lit(4))
+    life = wanted.select("k", F.when(F.pmod("k", F.lit(9)) == 0, F.col("start") + 1).otherwise(F.col("start")).alias("launch"), F.when(quarter == 1, F.col("stop") - 1).when(quarter == 2, F.col("stop")).alias("delivery"))
+    return rows, wanted, pages, life
+
+
+@query("E16_coverage_audit", with_views("settlement_rows", sql=f"with {COVERED} select * from verdicts"))
+def coverage_audit(spark, sf_dir):
+    return ops.coverage_audit(*_covered(spark, sf_dir))
+
+
+@query("E16_coverage_reasons", with_views("settlement_rows", sql=f"""with {COVERED}, reasons as (
+  select 'duplicate_canonical_key' as reason, sum(duplicates)::bigint as n from verdicts union all select 'unexpected_settlement_timestamp', sum(unexpected)::bigint from verdicts
+  union all select 'predecessor_interval_mismatch', sum(predecessor_mismatch)::bigint from verdicts union all select 'internal_interval_mismatch', sum(internal_mismatch)::bigint from verdicts
+  union all select 'unexplained_interval_change', sum(interval_changes)::bigint from verdicts union all select 'source_window_returned_no_event', sum(empty_pages)::bigint from verdicts
+  union all select 'registry_lifecycle_failure', count(*) filter (not within_life) from verdicts union all select 'range_not_tiled', count(*) filter (not tiled) from verdicts
+  union all select 'unrequested_instrument_row', count(*) from facts where k % 7 = 0)
+  select * from reasons"""))
+def coverage_reasons(spark, sf_dir):
+    rows, wanted, pages, life = _covered(spark, sf_dir)
+    return ops.coverage_reasons(ops.coverage_audit(rows, wanted, pages, life), rows, wanted)
+
+
+@query("E16_coverage_anomalies", with_views("settlement_rows", sql=f"""with {COVERED}
+  select k, case when place = 0 then 'predecessor_interval_mismatch' else 'internal_interval_mismatch' end as reason, place, null::bigint as start, null::bigint as stop from lined
+    where t - (case when place = 0 then before else previous end) <> interval * 60000
+  union all select k, 'unexplained_interval_change', place, null, null from lined where interval <> previous_interval
+  union all select k, 'source_window_returned_no_event', null, page_start, page_end from pages where n = 0"""))
+def coverage_anomalies(spark, sf_dir):
+    rows, wanted, pages, _ = _covered(spark, sf_dir)
+    return ops.coverage_anomalies(rows, wanted, pages)
+
+
 # a regular chronology of 480 minutes for each instrument, from which every 97th key by id and place is missing
 REGULAR = """placed as (select k, id, row_number() over (partition by k order by t) as place from settlements),
 kept as (select k, place * 28800000 as t from placed where (k * 7 + place) % 6 <> 0),

@@ -173,6 +173,48 @@ def split_roles(spark, sf_dir):
     return views.hour_bars(spark, sf_dir).select("k", "t", F.when(t >= FOLDS[1], late).when(t >= FOLDS[0], middle).otherwise(early).alias("role"))
 
 
+RULE = ops.RangeRule("wide-and-flat", W, 500, 30_000, 1500, (150, 850), 1, 2, 400, 1, 20 * 86_400_000, 5 * 86_400_000)
+IDENTITY = {"contract": "range-candidate-v1", "dataset": "hours", "category": "linear"}
+
+
+# instruments of customers without debts have metadata, launched at the start of the year or, every fifth, ten days later
+@query("L3_all_filters", sql(f"""select k, t, decision_ns, warm, complete, known, height, height_in_atr, mid_zone, edges_touched, middle_crossed, horizontal, liquid,
+    warm and complete and known and height and height_in_atr and mid_zone and edges_touched and middle_crossed and horizontal and liquid as accepted,
+    concat_ws(',', case when not warm then 'warm' end, case when not complete then 'complete' end, case when not known then 'known' end, case when not height then 'height' end, case when not height_in_atr then 'height_in_atr' end,
+      case when not mid_zone then 'mid_zone' end, case when not edges_touched then 'edges_touched' end, case when not middle_crossed then 'middle_crossed' end, case when not horizontal then 'horizontal' end,
+      case when not liquid then 'liquid' end) as rejections,
+    sha256('{{"category":"linear","contract":"range-candidate-v1","dataset":"hours","decision_ns":"' || decision_ns || '","k":"' || k || '","rule":"{RULE.name}","rule_sha256":"{RULE.digest()}"}}') as candidate_id
+  from (select k, t, (t + 60000) * 1000000 as decision_ns, drift is not null as warm, coalesce(span <= {RULE.most_span_ms}, false) as complete, coalesce(t - launch >= {RULE.least_age_ms}, false) as known,
+    coalesce(width * 10000 >= rolling_mid * {RULE.least_height_bps} and width * 10000 <= rolling_mid * {RULE.most_height_bps}, false) as height,
+    coalesce(width > 0 and width * 1000 >= rolling_atr * {RULE.least_atr_milli}, false) as height_in_atr,
+    coalesce(width > 0 and (close - rolling_low) * 1000 between width * {RULE.zone_milli[0]} and width * {RULE.zone_milli[1]}, false) as mid_zone,
+    coalesce(least(lower, upper) >= {RULE.touches} and n >= {W}, false) as edges_touched, coalesce(crossings >= {RULE.crossings} and n >= {W}, false) as middle_crossed,
+    coalesce(abs(drift) * 1000 <= width * {RULE.most_drift_milli}, false) as horizontal, coalesce(rolling_volume_mean >= {RULE.least_volume}, false) as liquid
+    from (select *, rolling_high - rolling_low as width, rolling_mid - lag(rolling_mid, {W}) over o as drift, t - lag(t, {W - 1}) over o as span, count(*) filter (low <= prior_low) over f as lower,
+        count(*) filter (high >= prior_high) over f as upper, count(*) filter ((prev_close <= prior_mid and close > prior_mid) or (prev_close >= prior_mid and close < prior_mid)) over f as crossings
+      from prior window o as (partition by k order by t), f as (partition by k order by t rows between {W - 1} preceding and current row)) p
+    left join (select c_custkey + 1 as m, 1704067200000 + case when c_custkey % 5 = 0 then 864000000 else 0 end as launch from customer where c_acctbal >= 0) c on p.k = c.m)"""))
+def all_filters(spark, sf_dir):
+    late = F.when(F.pmod("c_custkey", F.lit(5)) == 0, 864_000_000).otherwise(0)
+    metadata = views.table(spark, sf_dir, "customer").filter("c_acctbal >= 0").select((F.col("c_custkey") + 1).alias("k"), (1_704_067_200_000 + late).alias("launch"))
+    return ops.range_candidates(views.hour_bars(spark, sf_dir), RULE, metadata, IDENTITY)
+
+
+DAY = 24 * HOUR
+WALK = [ops.Fold(f"f{i}", 1_704_067_200_000 + 4 * i * DAY, 1_704_067_200_000 + (10 + 4 * i) * DAY, 1_704_067_200_000 + (14 + 4 * i) * DAY, 1_704_067_200_000 + (20 + 4 * i) * DAY) for i in range(3)]
+
+
+# an outcome is known six bars later; every eleventh instrument is held out
+@query("L4_walk_forward", with_views("hours", sql=f"""with o as (select k, t, lead(t, 6) over (partition by k order by t) as known_at from hours),
+  folds as (select * from (values {", ".join(f"('{f.name}', {f.start}, {f.validation}, {f.test}, {f.end})" for f in WALK)}) as v(fold, a, b, c, d)),
+  placed as (select k, t, known_at, fold, a, d, case when t >= c then 'test' when t >= b then 'validation' else 'train' end as own, case when t >= c then c when t >= b then b end as since, case when t >= c then d when t >= b then c else b end as until from o, folds)
+  select k, t, fold, case when t < a or t >= d then 'outside' when k % 11 = 1 then 'held_out' when known_at is null then 'unresolved' when t < since + {EMBARGO} then 'embargo' when known_at >= until then 'purged' else own end as role from placed"""))
+def walk_forward(spark, sf_dir):
+    rows = views.hour_bars(spark, sf_dir).select("k", "t", F.lead("t", 6).over(Window.partitionBy("k").orderBy("t")).alias("known_at"))
+    held = views.table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("k")).filter(F.pmod("k", F.lit(11)) == 1)
+    return ops.split_roles(rows, WALK, EMBARGO, held)
+
+
 @query("L6_outcome_metrics", with_views("hours", sql="""with moves as (select k, t, close - lag(close) over (partition by k order by t) as net from hours),
   net as (select *, row_number() over (partition by k order by t) - row_number() over (partition by k, net < 0 order by t) as run, row_number() over (partition by k order by net, t) as place,
           count(*) over (partition by k) as of_k from moves where net is not null),

@@ -178,9 +178,25 @@ def trade_mark(spark, sf_dir):
 @query("D19_archive_bounds", with_views("ticks", sql="""with line as (select kind, t, k, lag(t) over (partition by kind order by k, event_id) as prev from ticks)
   select kind, min(t) as oldest, max(t) as newest, count(*) as n, count(*) filter (t > prev) as inversions from line group by kind"""))
 def archive_bounds(spark, sf_dir):
-    line = Window.partitionBy("kind").orderBy("k", "event_id")
-    rows = views.ticks(spark, sf_dir).withColumn("prev", F.lag("t").over(line))
-    return rows.groupBy("kind").agg(F.min("t").alias("oldest"), F.max("t").alias("newest"), F.count("*").alias("n"), F.count(F.when(F.col("t") > F.col("prev"), 1)).alias("inversions"))
+    return ops.archive_bounds(_archive(spark, sf_dir))
+
+
+def _archive(spark, sf_dir):
+    return views.ticks(spark, sf_dir).select("kind", F.col("k").alias("page"), F.col("event_id").alias("place"), "t")
+
+
+# purchases list instruments, signups are ordered by a page of their own each; every ninth instrument has no launch
+@query("D19_archive_depth", with_views("ticks", sql="""with items as (select kind, case when kind = 'signup' then -t else k end as page, event_id, t from ticks),
+  line as (select kind, t, lag(t) over (partition by kind order by page, event_id) as prev from items),
+  bounds as (select kind, min(t) as oldest, count(*) filter (t > prev) as inversions from line group by kind),
+  edge as (select max(oldest) filter (kind = 'purchase') as listing_start, min(oldest) as archive_start, 2 - count(*) filter (kind in ('purchase', 'signup') and inversions = 0) as unordered from bounds),
+  life as (select k, case when k % 9 > 0 then min(t) end as launch from ticks group by k),
+  met as (select count(*) as instruments, min(launch) as first_launch, max(launch) as last_launch, count(*) filter (launch < listing_start) as before, count(*) filter (launch is null) as unknown from life, edge)
+  select *, case when before + unknown + unordered = 0 then 'compatible' else 'blocked' end as status from edge, met"""))
+def archive_depth(spark, sf_dir):
+    items = _archive(spark, sf_dir).withColumn("page", F.when(F.col("kind") == "signup", -F.col("t")).otherwise(F.col("page")))
+    launches = views.ticks(spark, sf_dir).groupBy("k").agg(F.min("t").alias("launch")).withColumn("launch", F.when(F.pmod("k", F.lit(9)) > 0, F.col("launch")))
+    return ops.archive_depth(ops.archive_bounds(items), launches, "purchase", ("purchase", "signup"))
 
 
 # with rows that differ only in where their columns part: ("7|", "b") and ("7", "|b")

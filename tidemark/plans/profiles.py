@@ -97,3 +97,63 @@ def layout_rank(spark, sf_dir):
     part = views.table(spark, sf_dir, "part")
     layouts = part.groupBy(F.col("p_brand").alias("layout"), F.pmod("p_size", F.lit(4)).alias("buckets")).agg(F.sum(F.round(F.col("p_retailprice") * 100).cast("long")).alias("bytes"), F.count("*").alias("files"))
     return layouts.groupBy("buckets").agg(F.min_by("layout", F.struct("bytes", "files", "layout")).alias("best"), F.min("bytes").alias("bytes"))
+
+
+# campaigns 5 and 6 have all jobs done by then, 6 is signed off; no job of 4 is; jobs of the others may complete after NOW
+NOW, WINDOW_MS = 931_000_000_000, 30 * 86_400_000
+CAMPAIGNS = f"""given as (select o_orderkey % 7 as campaign, o_orderkey as job, 1000 + o_orderkey % 9 * 1000 as pages, o_custkey as "rows", epoch_us(o_orderdate) // 1000 as t, 1 + round(o_totalprice * 100)::bigint % 5000000 as took, o_orderstatus as s from orders),
+jobs as (select campaign, job, pages, "rows", case when job % 11 > 0 then t end as started,
+  case when campaign > 4 then least(t + took, {NOW} - job % 1000000) when campaign < 4 and s <> 'P' and t + took <= {NOW} then t + took end as completed from given),
+ordered as (select *, coalesce(completed >= {NOW - WINDOW_MS}, false) as recent, row_number() over (partition by campaign, coalesce(completed >= {NOW - WINDOW_MS}, false) order by completed, job) as place,
+  count(*) over (partition by campaign, coalesce(completed >= {NOW - WINDOW_MS}, false)) as of_kind from jobs),
+sums as (select campaign, count(*) as jobs, count(completed) as completed_jobs, sum(pages)::bigint as pages, coalesce(sum(pages) filter (completed is not null), 0)::bigint as completed_pages,
+  coalesce(sum("rows") filter (completed is not null), 0)::bigint as completed_rows, max(completed) as last_completed, count(*) filter (recent and (place > 1 or of_kind = 1)) as sample_jobs,
+  coalesce(sum(pages) filter (recent and (place > 1 or of_kind = 1)), 0)::bigint as sample_pages,
+  coalesce(max(case when of_kind = 1 then completed - started else {NOW} - completed end) filter (recent and place = 1), 0)::bigint as sample_ms from ordered group by campaign),
+rated as (select *, pages - completed_pages as pending_pages, case when sample_pages > 0 and sample_ms > 0 then sample_pages * 1000000 // sample_ms end as rate_milli from sums),
+campaigns as (select campaign, jobs, completed_jobs, pages, completed_pages, pending_pages, completed_rows, last_completed, ({NOW} - last_completed) // 1000 as age_s, completed_pages * 1000000 // pages as millionths,
+  case when campaign = 6 then 'complete' when completed_jobs = jobs then 'finalization-pending' when completed_jobs > 0 then 'in-progress' else 'not-started' end as status,
+  sample_jobs, sample_pages, sample_ms, rate_milli, case when pending_pages = 0 then 0 when rate_milli > 0 then (pending_pages * 1000 + rate_milli - 1) // rate_milli end as eta_s from rated)"""
+
+
+def _campaigns(spark, sf_dir):
+    given = views.settlement_rows(spark, sf_dir).withColumn("campaign", F.pmod("id", F.lit(7)))
+    status = views.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("s"))
+    end = F.col("t") + 1 + F.pmod("rate", F.lit(5_000_000))
+    completed = F.when(F.col("campaign") > 4, F.least(end, NOW - F.pmod("id", F.lit(1_000_000)))).when((F.col("campaign") < 4) & (F.col("s") != "P"), end)
+    jobs = given.join(status, "id").select("campaign", F.col("id").alias("job"), (1000 + F.pmod("id", F.lit(9)) * 1000).alias("pages"), (F.col("k") - 1).alias("rows"),
+                                           F.when(F.pmod("id", F.lit(11)) > 0, F.col("t")).alias("started"), completed.alias("completed"))
+    return ops.campaign_progress(jobs, jobs.filter("campaign = 6").select("campaign"), NOW, WINDOW_MS)
+
+
+@query("D16_campaigns", f"with {CAMPAIGNS} select * from campaigns")
+def campaigns(spark, sf_dir):
+    return _campaigns(spark, sf_dir)
+
+
+@query("D16_total", f"""with {CAMPAIGNS} select count(*) as campaigns, count(*) filter (status <> 'complete') as pending_campaigns, sum(jobs)::bigint as jobs, sum(completed_jobs)::bigint as completed_jobs, sum(pages)::bigint as pages,
+  sum(completed_pages)::bigint as completed_pages, sum(pending_pages)::bigint as pending_pages, sum(completed_pages)::bigint * 1000000 // sum(pages)::bigint as millionths,
+  case when count(*) filter (status <> 'complete' and eta_s is null) = 0 then max(eta_s) filter (status <> 'complete') end as eta_s from campaigns where campaign <> 4""")
+def total(spark, sf_dir):
+    return ops.progress_total(_campaigns(spark, sf_dir).filter("campaign <> 4"))  # 4 never started and would leave the total without an estimate
+
+
+@query("D16_total_unknown", f"with {CAMPAIGNS} select count(*) as campaigns, sum(pending_pages)::bigint as pending_pages, case when count(*) filter (status <> 'complete' and eta_s is null) = 0 then max(eta_s) filter (status <> 'complete') end as eta_s from campaigns")
+def total_unknown(spark, sf_dir):
+    return ops.progress_total(_campaigns(spark, sf_dir)).select("campaigns", "pending_pages", "eta_s")
+
+
+# the least figures tie often: 50 bytes a step, and times of a few milliseconds
+@query("D18_layout_shortlist", """with runs as (select case l_linenumber % 3 when 0 then 4 when 1 then 8 else 16 end as buckets, l_returnflag as "numeric", 'z' || l_partkey % 5 as compression, 16 * (1 + l_suppkey % 3) as target_mb, count(*) % 5 > 0 as verified,
+    max(round(l_extendedprice * 100)::bigint) * 5 as largest, count(*) // 50 * 50 as bytes, sum(l_quantity)::bigint % 3 as write_ms, count(distinct l_shipdate) % 2 as first_ms, sum(l_linenumber)::bigint % 2 as warm_ms, count(distinct l_suppkey) % 4 as files
+    from lineitem group by 1, 2, 3, 4),
+  fit as (select *, first_ms + warm_ms as scan_ms, row_number() over (partition by buckets order by bytes, write_ms, first_ms + warm_ms, files, "numeric", compression, target_mb) as place, count(*) over (partition by buckets) as eligible
+    from runs where verified and largest * 10 >= target_mb * 8 * 1048576 and buckets in (4, 8))
+  select buckets, eligible, bytes, write_ms, scan_ms, files, "numeric", compression, target_mb from fit where place = 1""")
+def layout_shortlist(spark, sf_dir):
+    line = F.pmod("l_linenumber", F.lit(3))
+    keys = [F.when(line == 0, 4).when(line == 1, 8).otherwise(16).alias("buckets"), F.col("l_returnflag").alias("numeric"), F.concat(F.lit("z"), F.pmod("l_partkey", F.lit(5)).cast("string")).alias("compression"), (16 * (1 + F.pmod("l_suppkey", F.lit(3)))).alias("target_mb")]
+    runs = views.table(spark, sf_dir, "lineitem").groupBy(*keys).agg(
+        (F.count("*") % 5 > 0).alias("verified"), (F.max(F.round(F.col("l_extendedprice") * 100).cast("long")) * 5).alias("largest"), F.expr("count(*) div 50 * 50").alias("bytes"),
+        F.expr("cast(sum(l_quantity) as bigint) % 3").alias("write_ms"), F.expr("count(distinct l_shipdate) % 2").alias("first_ms"), F.expr("sum(l_linenumber) % 2").alias("warm_ms"), F.expr("count(distinct l_suppkey) % 4").alias("files"))
+    return ops.shortlist_layouts(runs, ["first_ms", "warm_ms"])
