@@ -378,11 +378,31 @@ def test_lm_probabilities_sum_to_one():
         assert math.isclose((10 ** L.bigram_logs(keys, n.astype(float), mass)).sum(), 1, rel_tol=1e-9)
 
 
-def lm_by_hand(rows, learns, table):
-    """Scores from plain dictionaries: class softmax by the table, bigrams of a class with as many added words as were seen."""
+def block_by_bisection(block, share, variance, discount):
+    """P(word) of the seen words of a block and of one unit of prior of the others, from the optimum's own equations."""
+    total, rest = sum(block.values()), max(1 - sum(share[w] for w in block), 1e-12)
+
+    def weight(w, z):
+        low, high = -60.0, 60.0
+        for _ in range(60):
+            x = (low + high) / 2
+            low, high = (x, high) if total * share[w] * math.exp(x) / z + x / variance < block[w] - discount else (low, x)
+        return low
+
+    low, high = math.log(rest), math.log(rest) + 60
+    for _ in range(60):
+        z = math.exp((low + high) / 2)
+        more = rest + sum(share[w] * math.exp(weight(w, z)) for w in block) > z
+        low, high = ((low + high) / 2, high) if more else (low, (low + high) / 2)
+    return {w: share[w] * math.exp(weight(w, z)) / z for w in block}, 1 / z
+
+
+def lm_by_hand(rows, learns, table, weights):
+    """Scores from plain dictionaries: class softmax by the trained tables, regularised bigrams of a class by bisection."""
     import numpy as np
+    import xxhash
 
-    L = lm_scoring
+    L, half = lm_scoring, len(weights) // 2
     tokens = {i: [w for w in (t or "").encode().lower().split()] + [b""] for i, t, _ in rows}
     kind = lambda w: L.word_class(w.decode()[-2:])
     counts, blocks = collections.Counter(), collections.defaultdict(collections.Counter)
@@ -395,15 +415,23 @@ def lm_by_hand(rows, learns, table):
     mass = {c: 1.0 for c in range(L.CLASSES)}
     for w in counts:
         mass[kind(w)] += prior(w)
-    logs = np.log10(L.class_chances(table, np.arange((L.CLASSES + 1) ** 2)))
+    share = lambda w: prior(w) / mass[kind(w)]
+    solved = {key: block_by_bisection(block, {w: share(w) for w in block}, L.VARIANCE, L.DISCOUNT) for key, block in blocks.items()}
+    logs = np.log(L.class_chances(table, np.arange((L.CLASSES + 1) ** 2)))
+
+    def row(word, salt):
+        value = L.BEGIN_WORD if word is None else xxhash.xxh3_64_intdigest(word)
+        return int(L._mix(np.array([(value + salt) % 2**64], np.uint64))[0]) % half
+
     out = {}
     for i, _, _ in rows:
-        two, one, word, total = L.BEGIN, L.BEGIN, None, 0.0
+        two, one, before, word, total = L.BEGIN, L.BEGIN, None, None, 0.0
         for w in tokens[i]:
-            c, block = kind(w), blocks.get((word, kind(w)), {})
-            n, types, share = sum(block.values()), len(block), prior(w) / mass[c]
-            total += logs[two * (L.CLASSES + 1) + one, c] + math.log10((block.get(w, 0) + types * share) / (n + types) if n else share)
-            two, one, word = one, c, w
+            c = kind(w)
+            logits = logs[two * (L.CLASSES + 1) + one] + weights[row(word, 0x51)] + weights[half + row(before, 0x7A3)]
+            known, other = solved.get((word, c), ({}, 1.0))
+            total += math.log10(math.exp(logits[c]) / np.exp(logits).sum()) + math.log10(known.get(w, other * share(w)))
+            two, one, before, word = one, c, word, w
         out[i] = total
     return out
 
@@ -411,24 +439,76 @@ def lm_by_hand(rows, learns, table):
 @pytest.mark.parametrize("chunk_bytes, shard_tokens", [(6 << 20, 1 << 19), (300, 70)])
 def test_lm_score_is_the_sum_of_log_probabilities(spark, monkeypatch, chunk_bytes, shard_tokens):
     words = [f"w{i}" for i in range(300)] + ["Über", "ñandú", "x\x1cy"]
-    pick, made, train = random.Random(3), [], lm_scoring.train_classes
+    pick, classes, weights, train, words_of = random.Random(3), [], [], lm_scoring.train_classes, lm_scoring.train_words
     rows = [(i, " ".join(pick.choices(words, range(len(words), 0, -1), k=pick.randrange(1, 60))), "s") for i in range(120)]
     rows += [(120, "", "s"), (121, "not known here", "s"), (122, None, "s"), (123, " w1\t\n W2 ", "s"), (124, LONG[:5000], "s"), (124, LONG[:5000], "s")]
     monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", chunk_bytes)
     monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", shard_tokens)
-    monkeypatch.setattr(lm_scoring, "train_classes", lambda *args: made.append(train(*args)) or made[0])
+    monkeypatch.setattr(lm_scoring, "train_classes", lambda *args: classes.append(train(*args)) or classes[0])
+    monkeypatch.setattr(lm_scoring, "train_words", lambda *args: weights.append(words_of(*args)) or weights[0])
     got = lm_scoring.lm_scores(docs_of(spark, rows), F.col("doc_id") % 5 != 1).collect()
-    wanted = lm_by_hand(rows, lambda i: i % 5 != 1, made[0])
-    assert made[0].any() and len(got) == len(rows)
+    wanted = lm_by_hand(rows, lambda i: i % 5 != 1, classes[0], weights[0])
+    assert classes[0].any() and weights[0].any() and len(got) == len(rows)
     for r in got:
         assert math.isclose(r.score, wanted[r.doc_id], abs_tol=r.n_tokens / lm_scoring.ANSWER_STEPS + 1e-3), (r.doc_id, r.score, wanted[r.doc_id])
 
 
-def test_lm_beats_the_base_on_held_out_text(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    held = lm_scoring.lm_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0).filter("not learn")
-    row = held.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
-    assert row.n > 1000 and (row.score - row.base) / row.n > 0.1
+def test_lm_word_gradient_is_the_slope_of_the_likelihood(spark):
+    import numpy as np
+
+    L, pick = lm_scoring, np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in pick.integers(0, 40, 30)), "s") for i in range(60)]
+    docs = docs_of(spark, rows).select(F.col("doc_id").alias("id"), "text", (F.col("doc_id") % 4 > 0).alias("learn"))
+    chunks, logs = L.encode_chunks(docs).cache(), L.class_logs(np.zeros((L.CLASS_ROWS, L.CLASSES)))
+    weights = pick.normal(size=(32, L.CLASSES)).astype(np.float32)
+    likelihood, expected, seen = L._word_gradient(chunks, logs, weights, seen=True)
+    tokens = 45 * 31
+    assert math.isclose(seen[:16].sum(), tokens) and math.isclose(seen[16:].sum(), tokens) and math.isclose(expected.sum(), 2 * tokens, rel_tol=1e-4) and likelihood < 0
+    for place in (np.unravel_index(seen[:16].argmax(), seen[:16].shape), (16 + seen[16:].sum(axis=1).argmax(), 5)):
+        sides = []
+        for step in (-0.1, 0.1):
+            moved = weights.copy()
+            moved[place] += step
+            sides.append(L._word_gradient(chunks, logs, moved)[0])
+        assert math.isclose((sides[1] - sides[0]) / 0.2, (seen - expected)[place], rel_tol=0.02, abs_tol=0.1)
+
+
+def test_lm_beats_a_count_bigram_by_its_trained_word_and_skip_features(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+    def held(**changed):
+        for name, value in changed.items():
+            monkeypatch.setattr(lm_scoring, name, value)
+        rows = lm_scoring.lm_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0).filter("not learn")
+        row = rows.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
+        return row.score / row.n, row.base / row.n
+
+    uni, pairs, types, totals, texts = collections.Counter(), collections.Counter(), collections.Counter(), collections.Counter(), []
+    for r in docs.select("doc_id", "text").collect():
+        words = (r.text or "").encode().lower().split() + [b""]
+        if zlib.crc32(str(r.doc_id).encode()) % 10:
+            uni.update(words)
+            pairs.update(zip([None, *words], words))
+        else:
+            texts.append(words)
+    for (one, _), n in pairs.items():
+        types[one] += 1
+        totals[one] += n
+    base = lambda w: (uni[w] + 0.1) / (sum_all + 0.1 * (len(uni) + 1))
+    sum_all = sum(uni.values())
+    logs = [math.log10((pairs[one, w] + types[one] * base(w)) / (totals[one] + types[one]) if totals[one] else base(w)) for words in texts for one, w in zip([None, *words], words)]
+    score, of_base = held()
+    assert score > sum(logs) / len(logs) + 0.03 and score > of_base + 1
+    gradient = lm_scoring._word_gradient
+
+    def without_skips(chunks, table, weights, seen=False):
+        likelihood, *sums = gradient(chunks, table, weights, seen)
+        for s in sums:
+            s[len(s) // 2 :] = 0
+        return likelihood, *sums
+
+    assert held(_word_gradient=without_skips)[0] < score - 0.01
+    assert held(_word_gradient=gradient, WORD_ROUNDS=1)[0] < score - 0.005
 
 
 # chat formatting

@@ -25,14 +25,19 @@ LEVEL_STEPS, LEVELS = 16, 256
 CLASS_ROWS = 1 << 13
 #: Gradient updates of the class table, their first rate, and what is added to the counts that scale them.
 ROUNDS, RATE, CAUTION = 10, 0.4, 2.0
-#: Tasks that work out class gradients; blocks that they are added up in.
-GRADIENT_TASKS, BLOCKS = 6, 16
-#: Gradient updates of the weights of a shard's bigrams.
-UPDATES = 3
+#: Tasks that work out class gradients (of a bounded table); blocks that sums are added up in; groups of more tasks than that.
+GRADIENT_TASKS, BLOCKS, PARTS = 2, 16, 64
+#: Gradient updates of the hashed weights of words, their first rate, the variance of the weights' prior, their bound,
+#: and the most hashed rows of either kind (word before, word two before), each as wide as the softmax.
+WORD_ROUNDS, WORD_RATE, WORD_VARIANCE, WORD_BOUND, MOST_WORD_ROWS = 3, 0.8, 2.0, 8.0, 1 << 14
+#: Tokens for each such row, until there are MOST_WORD_ROWS; tokens whose softmax is worked out at a time.
+ROW_TOKENS, BATCH_TOKENS = 1 << 5, 1 << 12
+#: Newton updates of the weights of a shard's bigrams, the variance of their prior, and what is taken off their seen counts.
+UPDATES, VARIANCE, DISCOUNT = 14, 100.0, 0.4
 #: Steps of a digit in which log probabilities are sent back.
 ANSWER_STEPS = 4096
-#: The end of a text as a token; words are never empty.
-END = b""
+#: The end of a text as a token; words are never empty. Before a text stands a word with a hash of its own.
+END, BEGIN_WORD = b"", 0x5851F42D4C957F2D
 
 
 def _mix(x):
@@ -241,6 +246,38 @@ def class_chances(table, histories):
     return logits / logits.sum(axis=1, keepdims=True)
 
 
+PART_SCHEMA = "part int, block int, sums binary"
+
+
+def _parts(sums, likelihood: float):
+    """A task's sums in BLOCKS blocks, as floats of 32 bits, and its log likelihood as one of 64 in a block after them."""
+    import numpy as np
+    import pyarrow as pa
+
+    blocks = [p.tobytes() for p in np.array_split(sums.astype(np.float32).ravel(), BLOCKS)] + [np.float64(likelihood).tobytes()]
+    part = TaskContext.get().partitionId() % PARTS
+    return pa.RecordBatch.from_arrays([pa.array([part] * len(blocks), pa.int32()), pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], names=["part", "block", "sums"])
+
+
+def _added_up(parts: DataFrame, tasks: int, shape: tuple) -> tuple:
+    """(log likelihood, *sums) over all tasks' parts: PARTS groups of tasks are added up first if there are more tasks."""
+    import numpy as np
+    import pyarrow as pa
+
+    kind = lambda block: np.float64 if block == BLOCKS else np.float32
+
+    def add_up(table):
+        of = kind(table.column("block")[0].as_py())
+        total = sum(np.frombuffer(s.as_py(), of).astype(np.float64) for s in table.column("sums")).astype(of)
+        return pa.table([table.column("part").slice(0, 1), table.column("block").slice(0, 1), pa.array([total.tobytes()], pa.binary())], names=["part", "block", "sums"])
+
+    if tasks > PARTS:
+        parts = parts.groupBy("part", "block").applyInArrow(add_up, PART_SCHEMA)
+    rows = {r["block"]: np.frombuffer(r["sums"], kind(r["block"])) for r in parts.groupBy("block").applyInArrow(add_up, PART_SCHEMA).collect()}  # BLOCKS + 1 rows
+    sums = np.concatenate([rows[b] for b in range(BLOCKS)]).reshape(shape) if rows else np.zeros(shape, np.float32)
+    return float(rows[BLOCKS][0]) if rows else 0.0, *sums
+
+
 def _gradient(events: DataFrame, table) -> tuple:
     """(log likelihood, seen minus expected counts, expected counts) of the class table over all events (key, n)."""
     import numpy as np
@@ -261,19 +298,9 @@ def _gradient(events: DataFrame, table) -> tuple:
             for f in class_features(histories % (CLASSES + 1), histories // (CLASSES + 1)):
                 np.add.at(sums[0], f, seen - share)
                 np.add.at(sums[1], f, share)
-        parts = np.array_split(sums.ravel(), BLOCKS) + [np.array([likelihood])]
-        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS + 1), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["block", "sums"])
-
-    def add_up(table):
-        import pyarrow as pa
+        yield _parts(sums, likelihood)
 
-        total = sum(np.frombuffer(s.as_py()) for s in table.column("sums"))  # a part for each of GRADIENT_TASKS
-        return pa.table({"block": table.column("block").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
-
-    added = events.coalesce(GRADIENT_TASKS).mapInArrow(one_part, "block int, sums binary").groupBy("block").applyInArrow(add_up, "block int, sums binary")
-    parts = [np.frombuffer(sums) for _, sums in sorted((r["block"], r["sums"]) for r in added.collect())]  # BLOCKS + 1 rows
-    sums = np.concatenate(parts[:-1]).reshape(2, CLASS_ROWS, CLASSES) if parts else np.zeros((2, CLASS_ROWS, CLASSES))
-    return float(parts[-1][0]) if parts else 0.0, sums[0], sums[1]
+    return _added_up(events.coalesce(GRADIENT_TASKS).mapInArrow(one_part, PART_SCHEMA), GRADIENT_TASKS, (2, CLASS_ROWS, CLASSES))
 
 
 def train_classes(events: DataFrame):
@@ -297,6 +324,121 @@ def train_classes(events: DataFrame):
     return table
 
 
+# the class softmax goes on: hashed weights of the word before and the word two before
+
+
+def word_rows(tokens: int) -> int:
+    """Hashed rows for the words before, and as many for those two before: a power of two that follows the corpus to a bound."""
+    return 1 << min(max(tokens // ROW_TOKENS, 1).bit_length(), MOST_WORD_ROWS.bit_length() - 1)
+
+
+def class_logs(table):
+    """log P(class | classes two and one back) by the class table alone, a row for each history."""
+    import numpy as np
+
+    return np.log(np.maximum(class_chances(table, np.arange((CLASSES + 1) ** 2)), 1e-30)).astype(np.float32)
+
+
+def _histories(row: dict, rows: int) -> tuple:
+    """For each token of a chunk: class history, hashed rows of the word before and the word two before, class."""
+    import numpy as np
+
+    flat, lengths, words = unpack(row["codes"], "<u4").astype(np.int64), unpack(row["lengths"], "<u4").astype(np.int64), unpack(row["words"], "<u8")
+    kinds = unpack(row["classes"], "u1").astype(np.int64)
+    one, two = _before(flat, lengths, len(words))
+    kind, word = np.r_[kinds, BEGIN], np.r_[words, np.uint64(BEGIN_WORD)]
+    first, second = ((_mix(word + np.uint64(salt)) & np.uint64(rows - 1)).astype(np.int64) for salt in (0x51, 0x7A3))
+    return kind[two] * (CLASSES + 1) + kind[one], first[one], rows + second[two], kinds[flat]
+
+
+def _exponentials(logs, weights, history, one, two):
+    """exp of the class logits of some tokens, a row each, and the sum of each row."""
+    import numpy as np
+
+    made = logs[history]
+    made += weights[one]
+    made += weights[two]
+    np.exp(made, out=made)
+    return made, made.sum(axis=1)
+
+
+def token_class_logs(row: dict, logs, weights):
+    """log P(class | two words before) of each token of a chunk."""
+    import numpy as np
+
+    history, one, two, kind = _histories(row, len(weights) // 2)
+    out = np.empty(len(kind))
+    for a in range(0, len(kind), BATCH_TOKENS):
+        b = slice(a, a + BATCH_TOKENS)
+        made, total = _exponentials(logs, weights, history[b], one[b], two[b])
+        out[b] = np.log(np.maximum(made[np.arange(len(total)), kind[b]], 1e-37)) - np.log(total)
+    return out
+
+
+def _word_gradient(chunks: DataFrame, logs, weights, seen: bool = False) -> tuple:
+    """(log likelihood, expected counts, and if asked for seen counts) of the hashed word features over all learning tokens."""
+    import numpy as np
+
+    spark = chunks.sparkSession
+    sent = spark.sparkContext.broadcast((logs, weights))  # (CLASSES + 1)**2 and 2 * MOST_WORD_ROWS rows at most
+
+    def add(sums, keys, shares):
+        """Add rows of shares, in the order of sorted keys, to the rows of sums that the keys name."""
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        sums[keys[starts]] += np.add.reduceat(shares, starts, axis=0)
+
+    def one_part(batches: Iterator) -> Iterator:
+        logs, weights = sent.value
+        sums, likelihood = np.zeros((1 + seen, *weights.shape)), 0.0
+        for batch in batches:
+            for row in batch.to_pylist():
+                learning = np.repeat(unpack(row["learn"], "u1").astype(bool), unpack(row["lengths"], "<u4"))
+                history, one, two, kind = (x[learning] for x in _histories(row, len(weights) // 2))
+                for rows in (one, two) if seen else ():
+                    sums[1] += np.bincount(rows * CLASSES + kind, minlength=weights.size).reshape(weights.shape)
+                order = np.argsort(one, kind="stable")
+                for a in range(0, len(order), BATCH_TOKENS):
+                    at = order[a : a + BATCH_TOKENS]
+                    made, total = _exponentials(logs, weights, history[at], one[at], two[at])
+                    likelihood += float((np.log(np.maximum(made[np.arange(len(at)), kind[at]], 1e-37)) - np.log(total)).sum(dtype=np.float64))
+                    made /= total[:, None]
+                    add(sums[0], one[at], made)
+                    by_two = np.argsort(two[at], kind="stable")
+                    add(sums[0], two[at][by_two], made[by_two])
+        yield _parts(sums, likelihood)
+
+    tasks = max(GRADIENT_TASKS, spark.sparkContext.defaultParallelism)
+    needed = chunks.select("learn", "lengths", "codes", "words", "classes").coalesce(tasks)
+    return _added_up(needed.mapInArrow(one_part, PART_SCHEMA), tasks, (1 + seen, *weights.shape))
+
+
+def train_words(chunks: DataFrame, logs, rows: int):
+    """Weights of the hashed features (word before, class) and (word two before, class), 2 * rows rows.
+
+    The logits of the class table stay as they are and these are added to them. Each update is a job over all learning
+    tokens: tasks add up how often each feature was seen and how often the weights sent to them expect it, and the
+    driver moves the weights along the gradient of the likelihood with a normal prior of WORD_VARIANCE, scaled by the expected
+    counts. An update that lowers that objective is taken back and the rate halved.
+    """
+    import numpy as np
+
+    def objective(likelihood, weights):
+        return likelihood - float((weights.astype(float) ** 2).sum()) / (2 * WORD_VARIANCE)
+
+    weights, rate = np.zeros((2 * rows, CLASSES), np.float32), WORD_RATE
+    likelihood, expected, seen = _word_gradient(chunks, logs, weights, seen=True)
+    best = objective(likelihood, weights)
+    for _ in range(WORD_ROUNDS):
+        step = (seen - expected - weights / WORD_VARIANCE) / (expected + 1 / WORD_VARIANCE)
+        moved = np.clip(weights + rate * np.clip(step, -2, 2), -WORD_BOUND, WORD_BOUND).astype(np.float32)
+        likelihood, found = _word_gradient(chunks, logs, moved)
+        if objective(likelihood, moved) < best:
+            rate /= 2
+            continue
+        weights, best, expected = moved, objective(likelihood, moved), found
+    return weights
+
+
 # the word softmax inside a class: chunks ask shards of bigrams
 
 
@@ -355,7 +497,7 @@ def _chunk_grams(row: dict, counts, shards: int) -> tuple:
     learning = np.repeat(unpack(row["learn"], "u1"), lengths)[order]
     n = np.add.reduceat(learning.astype(np.int64), np.flatnonzero(new)) if len(ordered) else np.zeros(0, np.int64)
     distinct = ordered[new]
-    left, word = np.r_[words, np.uint64(0x5851F42D4C957F2D)][distinct // (size + 1)], distinct % (size + 1)
+    left, word = np.r_[words, np.uint64(BEGIN_WORD)][distinct // (size + 1)], distinct % (size + 1)
     block = _mix(left + (kinds[word] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
     key = (block & np.uint64((1 << 26) - 1)) << np.uint64(38) | kinds[word] << np.uint64(32)
     key |= _mix(words[word]) >> np.uint64(40) << np.uint64(8) | levels(counts[word])
@@ -370,10 +512,10 @@ def _chunk_grams(row: dict, counts, shards: int) -> tuple:
 def bigram_logs(keys, counts, mass):
     """log10 P(word | class, word before) of distinct sorted bigram keys with their counts in the learning texts.
 
-    Bigrams of one (word before, class) are a block of a softmax: weights of those that were seen, one weight
-    for all other words of the class, and the class's prior. As many words as the block has seen are added to
-    its counts in proportion to the prior. Blocks share no weight, so all updates happen where the block is:
-    each moves a weight by log(1 + gradient / expected count).
+    Bigrams of one (word before, class) are a block of a softmax over the words of the class: a weight for each bigram that
+    was seen is added to the log of the class's prior, other words have the prior alone. The weights maximise the
+    likelihood of the block's counts, less DISCOUNT for each bigram, with a normal prior of VARIANCE on weights. Blocks share
+    no weight, so all updates happen where the block is; each is a Newton step, as a block's Hessian is a diagonal and one product.
     """
     import numpy as np
 
@@ -384,19 +526,18 @@ def bigram_logs(keys, counts, mass):
     sizes = np.diff(np.r_[starts, len(keys)])
     prior = 10.0 ** ((keys & np.uint64(LEVELS - 1)).astype(float) / LEVEL_STEPS) / mass[(block & np.uint64(CLASSES - 1)).astype(np.int64)]
     seen = counts > 0
-    each = lambda x: np.add.reduceat(x, starts)
-    total, types, rest = each(counts.astype(float)), each(seen.astype(float)), np.maximum(1 - each(np.where(seen, prior, 0.0)), 1e-12)
-    wanted, wanted_rest = np.where(seen, counts + np.repeat(types, sizes) * prior, 0.0), types * rest
-    weight, other = np.zeros(len(keys)), np.zeros(len(starts))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        for _ in range(UPDATES):
-            share, share_rest = np.where(seen, prior * np.exp(weight), 0.0), rest * np.exp(other)
-            scale = (total + types) / (each(share) + share_rest)
-            weight = np.where(seen, weight + np.log(wanted / (share * np.repeat(scale, sizes))), 0.0)
-            other = np.where(types > 0, other + np.log(wanted_rest / (share_rest * scale)), 0.0)
-    share, share_rest = np.where(seen, prior * np.exp(weight), 0.0), rest * np.exp(other)
-    norm = each(share) + share_rest
-    return (np.log(prior) + np.where(seen, weight, np.repeat(other, sizes)) - np.repeat(np.log(norm), sizes)) / np.log(10)
+    each, spread = lambda x: np.add.reduceat(x, starts), lambda x: np.repeat(x, sizes)
+    wanted, known = np.where(seen, counts - DISCOUNT, 0.0), np.where(seen, prior, 0.0)
+    total, rest = each(np.where(seen, counts - DISCOUNT, 0.0)) + DISCOUNT * each(seen.astype(float)), np.maximum(1 - each(known), 1e-12)
+    weight = np.zeros(len(keys))
+    for _ in range(UPDATES):
+        share = known * np.exp(weight)
+        expected = share * spread(total / (each(share) + rest))
+        slope, scale = np.where(seen, wanted - expected - weight / VARIANCE, 0.0), expected + 1 / VARIANCE
+        joint = each(expected * slope / scale) / np.maximum(total - each(expected * expected / scale), 1e-9)
+        weight += np.where(seen, np.clip((slope + expected * spread(joint)) / scale, -2, 2), 0.0)
+    norm = each(known * np.exp(weight)) + rest
+    return (np.log(prior) + weight - spread(np.log(norm))) / np.log(10)
 
 
 def gram_answers(chunks: DataFrame, words: DataFrame, sums: Sums, shards: int) -> DataFrame:
@@ -433,10 +574,10 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     Tokens are the words with A-Z lower-cased, then one end. base_score sums
     log10((c + 0.1) / (N + 0.1 (V + 1))) over the tokens, c being a token's count, N and V the number of
     tokens and of distinct tokens in the learning texts. `score` is log10 of the text's probability under the
-    maximum-entropy model P(class | classes of two words before) P(word | class, word before): the class
-    softmax has hashed n-gram and skip features of classes and is trained by distributed gradient updates;
-    the softmax inside a class has a hashed feature for every distinct bigram of the learning texts, trained
-    in shards that follow the corpus. In each class one word stands for those that aren't known, so that all
+    maximum-entropy model P(class | two words before) P(word | class, word before): the class
+    softmax has hashed n-gram and skip features of classes and of the two words themselves and is trained by distributed
+    gradient updates; the softmax inside a class has a hashed feature for every distinct bigram of the learning texts,
+    trained in shards that follow the corpus. In each class one word stands for those that aren't known, so that all
     words sum to one (their priors are in 1/16, the answers in 1/4096 of a digit).
 
     Texts go into chunks in scan order, once encoded and written in buckets, so that they never are shuffled. A chunk asks the shards for the counts of
@@ -451,9 +592,10 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     shards = max(1, -(-tokens // SHARD_TOKENS))
     words = word_answers(chunks, shards)
     sums = Sums.of(words)
-    table = train_classes(class_events(chunks))
+    logs = class_logs(train_classes(class_events(chunks)))
+    weights = train_words(chunks, logs, word_rows(tokens))
     grams = gram_answers(chunks, words, sums, shards)
-    sent = docs.sparkSession.sparkContext.broadcast((sums, table))  # CLASS_ROWS rows
+    sent = docs.sparkSession.sparkContext.broadcast((sums, logs, weights))  # (CLASSES + 1)**2 and 2 * MOST_WORD_ROWS rows at most
     id_type = rows.schema["id"].dataType.simpleString()
     names = [id_col, "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -461,7 +603,7 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
         import numpy as np
         import pyarrow as pa
 
-        sums, table = sent.value
+        sums, class_table, weights = sent.value
         kinds = [left.schema.field("ids").type.value_type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         if not left.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
@@ -471,12 +613,11 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
         logs = _joined([unpack(data, "<u2") for _, data in sorted((r["shard"], r["answers"]) for r in answers if r["kind"] == 1)])
         flat, lengths = unpack(row["codes"], "<u4"), unpack(row["lengths"], "<u4").astype(np.int64)
         starts = np.cumsum(lengths) - lengths
-        chances = np.log10(class_chances(table, np.arange((CLASSES + 1) ** 2))).ravel()
-        of_class = _history_keys(unpack(row["classes"], "u1").astype(np.int64)[flat], lengths)
+        of_class = token_class_logs(row, class_table, weights) / np.log(10)
         each = lambda x: np.add.reduceat(x, starts)
         columns = [left.column("ids").combine_chunks().values if left.column("ids").num_chunks > 1 else left.column("ids").chunk(0).flatten(),
                    unpack(row["learn"], "u1").astype(bool), lengths, each((counts > 0)[flat].astype(np.int64)), np.full(len(lengths), sums.total, np.int64),
-                   each(sums.base(counts)[flat]), each(chances[of_class] - logs[of_token] / ANSWER_STEPS)]
+                   each(sums.base(counts)[flat]), each(of_class - logs[of_token] / ANSWER_STEPS)]
         return pa.table([pa.array(c, k) if isinstance(c, np.ndarray) else c for c, k in zip(columns, kinds)], names=names)
 
     schema = f"`{id_col}` {id_type}, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
