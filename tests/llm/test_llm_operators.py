@@ -473,6 +473,35 @@ def test_lm_word_gradient_is_the_slope_of_the_likelihood(spark):
         assert math.isclose((sides[1] - sides[0]) / 0.2, (seen - expected)[place], rel_tol=0.02, abs_tol=0.1)
 
 
+def test_lm_contexts_share_their_softmax(spark):
+    import numpy as np
+
+    L, pick, rows = lm_scoring, np.random.default_rng(5), lm_scoring.MOST_WORD_ROWS
+    history, one, two = (np.r_[high - 1, pick.integers(0, high, 30)] for high in ((L.CLASSES + 1) ** 2, rows, rows))
+    of = np.r_[0, pick.integers(0, 31, 5000)]
+    *got, times = L._contexts(history[of], one[of], rows + two[of], 2 * rows)
+    assert dict(zip(zip(*(x.tolist() for x in got)), times.tolist())) == collections.Counter(zip(history[of].tolist(), one[of].tolist(), (rows + two[of]).tolist()))
+    assert (np.diff(got[1]) >= 0).all() and all(len(x) == 0 for x in L._contexts(*[history[:0]] * 3, 2 * rows))
+    # texts that repeat, against a softmax for each token
+    texts = [" ".join(f"w{x}" for x in pick.integers(0, 30, 40)) for _ in range(20)]
+    docs = docs_of(spark, [(i, texts[i % 20], "s") for i in range(200)]).select(F.col("doc_id").alias("id"), "text", (F.col("doc_id") % 20 > 3).alias("learn"))
+    chunks = L.encode_chunks(docs).cache()
+    logs, weights = L.class_logs(pick.normal(size=(L.CLASS_ROWS, L.CLASSES))), (2 * pick.normal(size=(32, L.CLASSES))).astype(np.float32)
+    expected, likelihood = np.zeros(weights.shape), 0.0
+    for row in chunks.collect():
+        learning = np.repeat(L.unpack(row["learn"], "u1").astype(bool), L.unpack(row["lengths"], "<u4"))
+        history, one, two, kind = L._histories(row.asDict(), 16)
+        logits = (logs[history] + weights[one] + weights[two]).astype(float)
+        share = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+        of_kind = np.log(share[np.arange(len(kind)), kind])
+        assert np.allclose(L.token_class_logs(row.asDict(), logs, weights), of_kind, atol=1e-4)
+        likelihood += of_kind[learning].sum()
+        for at in (one, two):
+            np.add.at(expected, at[learning], share[learning])
+    got = L._word_gradient(chunks, logs, weights)
+    assert math.isclose(got[0], likelihood, rel_tol=1e-6) and np.allclose(got[1], expected, rtol=1e-3, atol=1e-6)
+
+
 def test_lm_beats_a_count_bigram_by_its_trained_word_and_skip_features(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
 

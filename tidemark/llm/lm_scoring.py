@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
@@ -360,15 +361,20 @@ def _histories(row: dict, rows: int) -> tuple:
     return kind[two] * (CLASSES + 1) + kind[one], first[one], rows + second[two], kinds[flat]
 
 
-def _exponentials(logs, weights, history, one, two):
-    """exp of the class logits of some tokens, a row each, and the sum of each row."""
+def _weighed(factors, weights, history, rows):
+    """exp of the part of the class logits that histories and hashed rows of one kind have, a row each.
+
+    exp of logits is a product of exponentials, so those of the tables are worked out once and not for each token.
+    """
     import numpy as np
 
-    made = logs[history]
-    made += weights[one]
-    made += weights[two]
-    np.exp(made, out=made)
-    return made, made.sum(axis=1)
+    made = np.take(factors, history, axis=0, mode="clip")
+    made *= np.take(weights, rows, axis=0, mode="clip")
+    return made
+
+
+def _batches(n: int) -> Iterator[slice]:
+    return (slice(a, a + BATCH_TOKENS) for a in range(0, n, BATCH_TOKENS))
 
 
 def token_class_logs(row: dict, logs, weights):
@@ -376,44 +382,67 @@ def token_class_logs(row: dict, logs, weights):
     import numpy as np
 
     history, one, two, kind = _histories(row, len(weights) // 2)
-    out = np.empty(len(kind))
-    for a in range(0, len(kind), BATCH_TOKENS):
-        b = slice(a, a + BATCH_TOKENS)
-        made, total = _exponentials(logs, weights, history[b], one[b], two[b])
-        out[b] = np.log(np.maximum(made[np.arange(len(total)), kind[b]], 1e-37)) - np.log(total)
+    factors, powers = np.exp(logs), np.exp(weights)
+    out = logs[history, kind].astype(float) + weights[one, kind] + weights[two, kind]
+    for b in _batches(len(kind)):
+        out[b] -= np.log(np.einsum("ij,ij->i", _weighed(factors, powers, history[b], two[b]), np.take(powers, one[b], axis=0, mode="clip")))
     return out
 
 
+def _contexts(history, one, two, width: int) -> tuple:
+    """The distinct (class history, row of the word before, row of the word two before) by the second, and how often each occurs."""
+    import numpy as np
+
+    low, middle = (width - 1).bit_length(), ((CLASSES + 1) ** 2).bit_length()
+    keys = np.sort((one << middle | history) << low | two)
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    times, keys = np.diff(np.r_[first, len(keys)]), keys[first]
+    return keys >> low & (1 << middle) - 1, keys >> low + middle, keys & (1 << low) - 1, times
+
+
 def _word_gradient(chunks: DataFrame, logs, weights, seen: bool = False) -> tuple:
-    """(log likelihood, expected counts, and if asked for seen counts) of the hashed word features over all learning tokens."""
+    """(log likelihood, expected counts, and if asked for seen counts) of the hashed word features over all learning tokens.
+
+    Tokens of a chunk after the same context share their softmax, which is worked out once.
+    """
     import numpy as np
 
     spark = chunks.sparkSession
     sent = spark.sparkContext.broadcast((logs, weights))  # (CLASSES + 1)**2 and 2 * MOST_WORD_ROWS rows at most
 
-    def add(sums, keys, shares):
-        """Add rows of shares, in the order of sorted keys, to the rows of sums that the keys name."""
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        sums[keys[starts]] += np.add.reduceat(shares, starts, axis=0)
+    def add(sums, powers, keys, shares, made):
+        """Add the rows of `made` by their shares, in the order of sorted keys, to the rows of sums that the keys name."""
+        cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
+        rows = keys[cuts[:-1]]
+        found = np.empty((len(rows), CLASSES), np.float32)
+        for i, (a, b) in enumerate(pairwise(cuts.tolist())):
+            np.dot(shares[a:b], made[a:b], out=found[i])
+        sums[rows] += found * powers[rows]
 
     def one_part(batches: Iterator) -> Iterator:
         logs, weights = sent.value
+        factors, powers = np.exp(logs), np.exp(weights)
         sums, likelihood = np.zeros((1 + seen, *weights.shape)), 0.0
         for batch in batches:
             for row in batch.to_pylist():
                 learning = np.repeat(unpack(row["learn"], "u1").astype(bool), unpack(row["lengths"], "<u4"))
                 history, one, two, kind = (x[learning] for x in _histories(row, len(weights) // 2))
+                for table, rows in ((logs, history), (weights, one), (weights, two)):
+                    likelihood += float(table[rows, kind].sum(dtype=np.float64))
                 for rows in (one, two) if seen else ():
                     sums[1] += np.bincount(rows * CLASSES + kind, minlength=weights.size).reshape(weights.shape)
-                order = np.argsort(one, kind="stable")
-                for a in range(0, len(order), BATCH_TOKENS):
-                    at = order[a : a + BATCH_TOKENS]
-                    made, total = _exponentials(logs, weights, history[at], one[at], two[at])
-                    likelihood += float((np.log(np.maximum(made[np.arange(len(at)), kind[at]], 1e-37)) - np.log(total)).sum(dtype=np.float64))
-                    made /= total[:, None]
-                    add(sums[0], one[at], made)
-                    by_two = np.argsort(two[at], kind="stable")
-                    add(sums[0], two[at][by_two], made[by_two])
+                history, one, two, times = _contexts(history, one, two, len(weights))
+                shares = np.empty(len(times), np.float32)
+                for b in _batches(len(times)):
+                    made = _weighed(factors, powers, history[b], two[b])
+                    total = np.einsum("ij,ij->i", made, np.take(powers, one[b], axis=0, mode="clip"))
+                    likelihood -= float((times[b] * np.log(total)).sum(dtype=np.float64))
+                    shares[b] = times[b] / total
+                    add(sums[0], powers, one[b], shares[b], made)
+                order = np.sort(two << 40 | np.arange(len(two))) & (1 << 40) - 1
+                history, one, two, shares = history[order], one[order], two[order], shares[order]
+                for b in _batches(len(times)):
+                    add(sums[0], powers, two[b], shares[b], _weighed(factors, powers, history[b], one[b]))
         yield _parts(sums, likelihood)
 
     tasks = max(GRADIENT_TASKS, spark.sparkContext.defaultParallelism)
