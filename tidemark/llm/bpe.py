@@ -177,10 +177,10 @@ class TextEncoder:
     no match goes across a single space or line feed except from there on, so such texts are cut there
     first: the chunks repeat far more than they differ, and a chunk that a worker has met is one look-up.
     Other texts are cut by the pattern alone. encode_pieces gets the pieces that are new in a group of texts
-    together.
+    together, and returns an array of their ids, one piece after the other, and how many each has.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[list[int]]], pattern: str, entries: int = CACHE_ENTRIES, group_bytes: int = GROUP_BYTES):
+    def __init__(self, encode_pieces: Callable[[list[str]], tuple], pattern: str, entries: int = CACHE_ENTRIES, group_bytes: int = GROUP_BYTES):
         import regex
 
         self.entries, self.group_bytes = entries, group_bytes
@@ -199,12 +199,6 @@ class TextEncoder:
             if self.letters_whole and chunk[1:].isalpha():
                 return ["\n", chunk[1:]]
             return self.find(chunk)
-        if self.letters_whole:
-            if chunk.isalpha():
-                return [" " + chunk]
-            letters = chunk.rstrip(PUNCTUATION)
-            if letters.isalpha():
-                return [" " + letters, chunk[len(letters) :]]
         return self.find(" " + chunk)
 
     def _coded(self, pieces: list[str]) -> Iterator[bytes]:
@@ -212,11 +206,21 @@ class TextEncoder:
         import numpy as np
 
         for begin in range(0, len(pieces), MERGED_PIECES):
-            coded = self.encode_pieces(pieces[begin : begin + MERGED_PIECES])
-            flat, at = np.fromiter(chain.from_iterable(coded), "<u4").tobytes(), 0
-            for ids in coded:
-                yield flat[at : at + 4 * len(ids)]
-                at += 4 * len(ids)
+            ids, counts = self.encode_pieces(pieces[begin : begin + MERGED_PIECES])
+            flat, stops = ids.astype("<u4", copy=False).tobytes(), (4 * np.cumsum(counts)).tolist()
+            yield from [flat[a:b] for a, b in zip([0, *stops], stops)]
+
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """Runs of letters encoded with a space before each; those that no cache has are encoded together and remembered."""
+        spaced, older = self.after_space, self.older
+        values = list(map(spaced.get, words))
+        fresh = dict.fromkeys([word for word, value in zip(words, values) if value is None])
+        if older:
+            fresh.update([(word, older[word]) for word in fresh if word in older])
+        new = [word for word, value in fresh.items() if value is None]
+        fresh.update(zip(new, self._coded([" " + word for word in new])))
+        spaced.update(fresh if max(map(len, fresh), default=0) <= CACHE_CHARS else {w: v for w, v in fresh.items() if len(w) <= CACHE_CHARS})
+        return [value or fresh[word] for word, value in zip(words, values)]
 
     def _pieces(self, cut: list[list[str]]) -> list[bytes]:
         """Each list of pieces encoded; pieces that are new are encoded together and remembered."""
@@ -275,20 +279,26 @@ class TextEncoder:
         # the other chunks: each distinct one is looked up, or encoded, once
         coded = words.dictionary_encode()
         distinct, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
-        values, older = list(map(self.after_space.get, distinct)), self.older.get
-        new = []
-        for i in [i for i, value in enumerate(values) if value is None]:
-            if (value := older(distinct[i])) is not None:
-                values[i] = self.after_space[distinct[i]] = value
-            elif distinct[i]:
-                new.append(i)
-        if self.letters_whole:  # a chunk of letters is one piece, and no cache has it
-            whole = [i for i in new if distinct[i].isalpha()]
-            for i, value in zip(whole, self._coded([" " + distinct[i] for i in whole])):
+        values = list(map(self.after_space.get, distinct))
+        new = [i for i, value in enumerate(values) if value is None and distinct[i]]
+        if self.older:
+            found = list(map(self.older.get, [distinct[i] for i in new]))
+            for i, value in zip(new, found):
+                if value is not None:
+                    values[i] = self.after_space[distinct[i]] = value
+            new = [i for i, value in zip(new, found) if value is None]
+        if self.letters_whole:  # a chunk of letters is one piece, with punctuation after it two
+            letters = [distinct[i].rstrip(PUNCTUATION) for i in new]
+            whole = [(i, word) for i, word in zip(new, letters) if word.isalpha()]
+            new = [i for i, word in zip(new, letters) if not word.isalpha()]
+            tails = [distinct[i][len(word) :] for i, word in whole]
+            ends = {tail: value for (tail,), value in zip(kinds, self._pieces(kinds))} if (kinds := [[t] for t in {*tails} if t]) else {}
+            for (i, word), tail, value in zip(whole, tails, self._spaced([word for _, word in whole])):
+                if tail:
+                    value += ends[tail]
+                    if len(distinct[i]) <= CACHE_CHARS:
+                        self.after_space[distinct[i]] = value
                 values[i] = value
-                if len(distinct[i]) <= CACHE_CHARS:
-                    self.after_space[distinct[i]] = value
-            new = [i for i in new if values[i] is None]
         for i, value in zip(new, self._pieces([self._cut(distinct[i]) for i in new])):
             values[i] = value
             if len(distinct[i]) <= CACHE_CHARS:
@@ -319,7 +329,14 @@ def _make_coder(path: str, pattern: str) -> tuple[TextEncoder, list[bytes]]:
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    return TextEncoder(lambda pieces: merger.ids([p.encode() for p in pieces]), pattern, CACHE_ENTRIES // 4, GROUP_BYTES // 8), table
+
+    def merged(pieces: list[str]) -> tuple:
+        import numpy as np
+
+        coded = merger.ids([p.encode() for p in pieces])
+        return np.fromiter(chain.from_iterable(coded), "<u4"), list(map(len, coded))
+
+    return TextEncoder(merged, pattern, CACHE_ENTRIES // 4, GROUP_BYTES // 8), table
 
 
 def encode_text(text: str | None, path: str, pattern: str) -> list[int]:

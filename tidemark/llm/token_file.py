@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
+from operator import attrgetter
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -17,8 +19,12 @@ from .common import kept
 SEGMENT_IDS = 1 << 16
 #: Keys for each bucket of the hash function, on average.
 BUCKET_KEYS = 4
+#: Displacements that are tried at a time for a bucket, at first and at most.
+FIRST_TRIED, MOST_TRIED = 16, 1 << 12
 #: Entries of a worker's caches; this encoder is its only one, and its new words cost most.
 CACHED = 2 * CACHE_ENTRIES
+#: Pieces that the library's model gets in one call.
+JOINED_PIECES = 32
 _MASK = (1 << 64) - 1
 
 
@@ -34,6 +40,19 @@ def _place(hashed: int, displacement: int, n: int) -> int:
     return _mix(hashed ^ _mix(displacement)) % n
 
 
+def _places(hashed, displacements, n: int):
+    """_place() of each hash (a row) by each displacement (a column)."""
+    import numpy as np
+
+    def mix(x):
+        x = x + np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+    return (mix(hashed[:, None] ^ mix(displacements)) % np.uint64(n)).astype(np.int64)
+
+
 def build_index(keys: list[int], offsets: list[int], lengths: list[int]) -> bytes:
     """A minimal perfect hash of distinct keys to (fingerprint, offset, length), as little-endian words.
 
@@ -44,25 +63,29 @@ def build_index(keys: list[int], offsets: list[int], lengths: list[int]) -> byte
 
     n = len(keys)
     n_buckets = max(1, -(-n // BUCKET_KEYS))
-    hashed = [_mix(key & _MASK) for key in keys]
-    buckets: list[list[int]] = [[] for _ in range(n_buckets)]
-    for i, h in enumerate(hashed):
-        buckets[(h >> 32) % n_buckets].append(i)
-    displacements, slots = np.zeros(n_buckets, "<u4"), np.zeros((3, n), "<u4")
-    free = bytearray(b"\1") * n
-    for b in sorted(range(n_buckets), key=lambda b: -len(buckets[b])):
-        if not buckets[b]:
+    hashed = np.fromiter((_mix(key & _MASK) for key in keys), np.uint64, n)
+    bucket = (hashed >> np.uint64(32)) % np.uint64(n_buckets)
+    order, sizes = np.argsort(bucket, kind="stable"), np.bincount(bucket.astype(np.int64), minlength=n_buckets)
+    starts = np.cumsum(sizes) - sizes
+    displacements, slots, free = np.zeros(n_buckets, "<u4"), np.zeros((3, n), "<u4"), np.ones(n, bool)
+    for b in np.argsort(-sizes, kind="stable").tolist():
+        if not sizes[b]:
             break
-        d = 0
-        while True:
-            places = [_place(hashed[i], d, n) for i in buckets[b]]
-            if all(free[p] for p in places) and len(set(places)) == len(places):
+        held = order[starts[b] : starts[b] + sizes[b]]
+        begin, tried = 0, FIRST_TRIED
+        while True:  # many displacements at a time, the more the longer none is found
+            places = _places(hashed[held], np.arange(begin, begin + tried, dtype=np.uint64), n)
+            fits = free[places].all(axis=0)
+            if len(held) > 1:
+                ordered = np.sort(places, axis=0)
+                fits &= (ordered[1:] != ordered[:-1]).all(axis=0)
+            if fits.any():
                 break
-            d += 1
-        displacements[b] = d
-        for i, p in zip(buckets[b], places):
-            free[p] = 0
-            slots[:, p] = hashed[i] & 0xFFFFFFFF, offsets[i], lengths[i]
+            begin, tried = begin + tried, min(2 * tried, MOST_TRIED)
+        d = int(fits.argmax())
+        displacements[b] = begin + d
+        free[places[:, d]] = False
+        slots[:, places[:, d]] = hashed[held] & np.uint64(0xFFFFFFFF), np.take(offsets, held), np.take(lengths, held)
     return np.array([n, n_buckets], "<u4").tobytes() + displacements.tobytes() + slots.tobytes()
 
 
@@ -99,15 +122,38 @@ def _library_encoder(path: str, pattern: str) -> TextEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    # byte-level models spell bytes as characters; the library's own pre-tokenizer tells which
-    spelled = {bytes([b]).decode("latin-1"): _spelling(b) for b in range(256)}
-    table, model = str.maketrans(spelled), tokenizer.model.tokenize
+    return TextEncoder(_model_encoder(tokenizer.model, tokenizer.get_vocab(with_added_tokens=False)), pattern, CACHED)
 
-    def pieces(texts: list[str]) -> list[list[int]]:
-        return [[token.id for token in model(text.encode().decode("latin-1").translate(table))] for text in texts]
 
-    return TextEncoder(pieces, pattern, CACHED)
+def _model_encoder(model, vocabulary: dict[str, int]) -> Callable[[list[str]], tuple]:
+    """Pieces to their ids by a byte-level model of the library: an array of all ids and how many each piece has.
+
+    No text in UTF-8 has the byte 0xFF. Where no token of the model but that byte's own has it either, nothing merges across
+    it, so pieces with that byte after each are encoded JOINED_PIECES in one call and parted at its id.
+    """
+    import numpy as np
+
+    # byte-level models spell bytes as characters; the library's own pre-tokenizer tells which
+    table = str.maketrans({bytes([b]).decode("latin-1"): _spelling(b) for b in range(256)})
+    mark = _spelling(255)
+    by_word = any(getattr(model, name, True) for name in ("ignore_merges", "continuing_subword_prefix", "end_of_word_suffix", "dropout"))
+
+    def one_by_one(pieces: list[str]) -> tuple:
+        coded = [list(map(id_of, model.tokenize(piece.encode().decode("latin-1").translate(table)))) for piece in pieces]
+        return np.fromiter(chain.from_iterable(coded), "<u4"), list(map(len, coded))
+
+    def joined(pieces: list[str]) -> tuple:
+        groups = (pieces[a : a + JOINED_PIECES] for a in range(0, len(pieces), JOINED_PIECES))
+        spelled = [(b"\xff".join(map(str.encode, group)) + b"\xff").decode("latin-1").translate(table) for group in groups]
+        ids = np.fromiter(map(id_of, chain.from_iterable(map(model.tokenize, spelled))), "<u4")
+        ends = ids == parting
+        stops = np.flatnonzero(ends)
+        if len(stops) != len(pieces):
+            raise ValueError(f"{len(pieces)} pieces came back as {len(stops)}")
+        return ids[~ends], np.diff(stops, prepend=-1) - 1
+
+    parting, id_of = vocabulary.get(mark), attrgetter("id")
+    return one_by_one if by_word or [token for token in vocabulary if mark in token] != [mark] else joined
 
 
 class DocumentEncoder:
