@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import bpe_round_trip
-from tidemark.llm.common import discard, give_back, materialise, read_table, recorded
+from tidemark.llm.common import collect_garbage, discard, give_back, materialise, read_table, recorded
 from tidemark.llm.exact_dedup import exact_dedup_rows
 from tidemark.llm.mixing import mix_rows
 from tidemark.llm.ngram_join import one_of_each_component
@@ -43,6 +43,7 @@ def _stage(work: Callable) -> Callable:
             rows = work(spark, docs.toDF(*carried.values()), sf_dir)
         gc.collect()  # what the driver trained with or looked up
         give_back()
+        collect_garbage(spark)
         named = {new: old for old, new in carried.items()}
         return rows.toDF(*[named.get(c, c) for c in rows.columns]).withMetadata("doc_id", {LEFT: folders})
 

@@ -16,6 +16,7 @@ from tidemark.llm.components import connected_components
 from tidemark.llm.exact_dedup import exact_dedup, exact_dedup_rows
 from tidemark.llm.mixing import mix_report, mix_rows
 from tidemark.llm.ngram_join import Link, ngram_join, one_of_each_component
+from tidemark.llm import quality_rules as quality_rules_module
 from tidemark.llm.quality_rules import base_counts, quality_rules, repeated_words, train
 from tidemark.llm.token_file import Segment, build_index, fetch, new_folder, read_tokens, write_tokens
 from tidemark.llm.url_filter import url_filter
@@ -83,6 +84,36 @@ def test_base_counts_by_hand():
     assert repeated_words(b"a a a a a a".split()) == 6 and repeated_words(b"a b c d e".split()) == 0
 
 
+def test_fitting_takes_little_more_memory_than_the_sample():
+    import tracemalloc
+
+    import numpy as np
+
+    pick = np.random.default_rng(3)
+    buckets = [np.unique(np.r_[pick.integers(1000, 1 << 17, 5000), np.arange(100) + i % 2 * 100]).astype(np.int32) for i in range(200)]
+    examples = [(i % 2, b, np.full(len(b), 1 / len(b), np.float32)) for i, b in enumerate(buckets)]
+    empty = np.zeros(0, np.int32)
+    examples[50:50] = [(1, empty, empty.astype(np.float32))]
+    features = sum(map(len, buckets))
+    tracemalloc.start()
+    model = quality_rules_module.fit_model(examples)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.weights[100:200].mean() > 0.1 > -0.1 > model.weights[:100].mean()
+    assert peak < 30 * features
+
+
+def test_the_drivers_heap_is_collected_between_jobs(spark, monkeypatch):
+    from tidemark.llm import common
+
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: max(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = full()
+    monkeypatch.setattr(common, "HEAP_SHARE", 0)
+    assert common.materialise(spark.range(3), "heap").count() == 3
+    assert full() > before
+
+
 def test_quality_rules_learns_and_keeps_rows(spark):
     good = "the river ran past quiet fields and the people walked slowly home before night {}"
     bad = "buy### now$$$ cheap%%% deal&&& click### here$$$ win%%% cash&&& free### money$$$ {}"

@@ -450,7 +450,7 @@ def ngram_join(docs: DataFrame, link: Link = Link(), id_col: str = "doc_id", tex
     placed = live.select(*order).join(labels, "node", "left")
     placed = materialise(placed.withColumn("label", F.coalesce("label", "node")), "join-placed")
     split = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
-    open_entries = placed.join(split, "key", "left_semi")
+    open_entries = materialise(placed.join(split, "key", "left_semi"), "join-open")
     kinds = ["key", "label", "weight", "n"]
     classes = open_entries.select(*kinds).distinct()
     x = classes.select("key", *[F.col(c).alias(f"x_{c}") for c in kinds[1:]]).withColumn("band", _band(F.col("x_n"), link))
@@ -459,7 +459,7 @@ def ngram_join(docs: DataFrame, link: Link = Link(), id_col: str = "doc_id", tex
     meet = x.join(y, ["key", "band"]).drop("band").filter((F.col("x_label") < F.col("y_label")) & _can_link("x_", "y_", link))
     members = {s: open_entries.select("key", *[F.col(c).alias(f"{s}{c}") for c in [*kinds[1:], "node"]]) for s in ("x_", "y_")}
     left = meet.join(members["x_"], ["key", *[f"x_{c}" for c in kinds[1:]]]).join(members["y_"], ["key", *[f"y_{c}" for c in kinds[1:]]])
-    rest = left.select(*_pairs("x_", "y_")).distinct().join(starred, ["a", "b"], "left_anti")
+    rest = materialise(left.select(*_pairs("x_", "y_")).distinct().join(starred, ["a", "b"], "left_anti"), "join-rest")
     more = _verified(rest, rows, nodes, link)
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cmp_to_key
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import give_back, small_batches, text_bytes, windows, word_hashes
+from .common import collect_garbage, give_back, small_batches, text_bytes, windows, word_hashes
 
 #: Buckets of the hashed features and the n-gram orders that go into them.
 FEATURE_BITS = 17
@@ -16,6 +17,8 @@ WORD_ORDERS, CHAR_ORDERS = (1, 2), (2, 4)
 SAMPLE_ROWS = 2000
 #: Features that these rows may have together (12 bytes each); rows that would exceed it are left out of the fit.
 SAMPLE_FEATURES = 20_000_000
+#: Features that a step of the fit looks at together: what it needs beside the sample follows this, not the sample.
+PART_FEATURES = 1 << 18
 #: Folds whose held-out scores calibrate the probabilities, steps of the optimiser, ridge penalty.
 FOLDS, STEPS, RIDGE = 4, 60, 1e-6
 #: A document is kept if the probability of good quality is at least this.
@@ -98,17 +101,42 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * logit + self.shift))))
 
 
-def _fit(rows, columns, values, labels, n_features: int):
-    """Logistic regression by Adam on all rows at once; sparse features as (row, column, value)."""
+def _parts(starts):
+    """(first feature, end, first row, features of each row) of parts of PART_FEATURES; row i has features starts[i] to starts[i + 1]."""
+    import numpy as np
+
+    for a in range(0, int(starts[-1]), PART_FEATURES):
+        b = min(a + PART_FEATURES, int(starts[-1]))
+        first, end = int(np.searchsorted(starts, a, "right")) - 1, int(np.searchsorted(starts, b, "left"))
+        yield a, b, first, np.diff(np.clip(starts[first : end + 1], a, b))
+
+
+def _logits(starts, columns, values, weights, bias: float):
+    import numpy as np
+
+    logits = np.full(len(starts) - 1, bias)
+    for a, b, first, counts in _parts(starts):
+        of = np.repeat(np.arange(len(counts)), counts)
+        logits[first : first + len(counts)] += np.bincount(of, values[a:b] * weights[columns[a:b]], len(counts))
+    return logits
+
+
+def _fit(starts, columns, values, labels, inside, n_features: int):
+    """Logistic regression by Adam on all rows that are inside at once; sparse features by row, taken part by part."""
     import numpy as np
 
     weights, bias = np.zeros(n_features), 0.0
     m, v, mb, vb = np.zeros(n_features), np.zeros(n_features), 0.0, 0.0
-    balance = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
+    balance = np.zeros(len(labels))
+    for label in (0, 1):
+        of = inside & (labels == label)
+        balance[of] = 0.5 / max(1, of.sum())
     for step in range(1, STEPS + 1):
-        logits = np.bincount(rows, values * weights[columns], len(labels)) + bias
+        logits = _logits(starts, columns, values, weights, bias)
         error = (1 / (1 + np.exp(-np.clip(logits, -50, 50))) - labels) * balance
-        slope = np.bincount(columns, values * error[rows], n_features) + RIDGE * weights
+        slope = RIDGE * weights
+        for a, b, first, counts in _parts(starts):
+            slope += np.bincount(columns[a:b], values[a:b] * np.repeat(error[first : first + len(counts)], counts), n_features)
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         mb, vb = 0.9 * mb + 0.1 * error.sum(), 0.99 * vb + 0.01 * error.sum() ** 2
         rate = 0.5 / (1 - 0.9**step) * (1 - 0.99**step) ** 0.5
@@ -117,6 +145,14 @@ def _fit(rows, columns, values, labels, n_features: int):
     return weights, bias
 
 
+def _order(a: tuple, b: tuple) -> int:
+    """Compares examples by label, number of buckets, buckets and values; bytes are made for equal numbers only."""
+    x, y = (a[0], len(a[1])), (b[0], len(b[1]))
+    if x == y:
+        x, y = (a[1].tobytes(), a[2].tobytes()), (b[1].tobytes(), b[2].tobytes())
+    return (x > y) - (x < y)
+
+
 def fit_model(examples: list) -> Model | None:
     """Fit on (label, buckets, values) of a bounded sample, which is used up; None without examples of both labels."""
     import numpy as np
@@ -124,7 +160,7 @@ def fit_model(examples: list) -> Model | None:
     labels = np.array([label for label, _, _ in examples], float)
     if len(set(labels.tolist())) < 2:
         return None
-    rows = np.repeat(np.arange(len(examples)), [len(c) for _, c, _ in examples])
+    starts = np.cumsum([0, *(len(c) for _, c, _ in examples)])
     columns = np.concatenate([np.asarray(c, np.int32) for _, c, _ in examples])
     values = np.concatenate([np.asarray(x, np.float32) for _, _, x in examples])
     examples.clear()  # as much memory again
@@ -134,10 +170,7 @@ def fit_model(examples: list) -> Model | None:
         inside = np.arange(len(labels)) % FOLDS != fold
         if len(set(labels[inside].tolist())) < 2:
             continue
-        of = inside[rows]
-        place = np.cumsum(inside) - 1
-        weights, bias = _fit(place[rows[of]], columns[of], values[of], labels[inside], 1 << FEATURE_BITS)
-        scores = np.bincount(rows, values * weights[columns], len(labels)) + bias
+        scores = _logits(starts, columns, values, *_fit(starts, columns, values, labels, inside, 1 << FEATURE_BITS))
         held_out[~inside] = scores[~inside]
     # Platt's calibration on the held-out scores, by Newton steps
     slope, shift = 1.0, 0.0
@@ -149,7 +182,7 @@ def fit_model(examples: list) -> Model | None:
         h = np.array([[(w * held_out**2).sum() + 1e-3, (w * held_out).sum()], [(w * held_out).sum(), w.sum() + 1e-3]])
         step = np.linalg.solve(h, g)
         slope, shift = slope - float(np.clip(step[0], -1, 1)), shift - float(np.clip(step[1], -1, 1))
-    weights, bias = _fit(rows, columns, values, labels, 1 << FEATURE_BITS)
+    weights, bias = _fit(starts, columns, values, labels, np.ones(len(labels), bool), 1 << FEATURE_BITS)
     return Model(weights.astype(np.float32), bias, max(slope, 1e-3), shift)
 
 
@@ -188,13 +221,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
     made = rows.mapInArrow(features, "id string, label int, mark long, buckets array<int>, shares array<float>")
     one_each = made.groupBy("id").agg(F.min_by(F.struct("label", "buckets", "shares"), "mark").alias("row"))  # repeated ids
     used = F.sum(F.size("row.buckets")).over(Window.orderBy(F.xxhash64("id"), "id"))  # sample_rows rows at most
-    table = one_each.withColumn("used", used).filter(F.col("used") <= sample_features).select("row.*").toArrow().combine_chunks()
+    table = one_each.withColumn("used", used).filter(F.col("used") <= sample_features).select("row.*").toArrow()
     if not table.num_rows:
         return None
     buckets, shares = table.column("buckets"), table.column("shares")
     examples = [(label, buckets[i].values.to_numpy(), shares[i].values.to_numpy()) for i, label in enumerate(table.column("label").to_pylist())]
-    examples.sort(key=lambda e: (e[0], len(e[1]), e[1].tobytes(), e[2].tobytes()))  # the same folds whatever the order of rows
+    examples.sort(key=cmp_to_key(_order))  # the same folds whatever the order of rows
     del table, buckets, shares
+    collect_garbage(spark)
     return fit_model(examples)
 
 
