@@ -17,11 +17,14 @@ def logical_summary(bars: DataFrame) -> DataFrame:
 
 
 def value_distribution(bars: DataFrame) -> DataFrame:
-    """Distinct closes, bounds, dynamic range in 1e-4, whole prices and significant decimals of each instrument (cents)."""
+    """Distinct closes, bounds, dynamic range in 1e-4, whole prices and significant decimals of each instrument (cents).
+
+    An instrument whose least price is 0 has no dynamic range: null.
+    """
     decimals = F.length(F.regexp_replace(F.lpad(F.pmod("close", F.lit(100)).cast("string"), 2, "0"), "0+$", "")).cast("long")
     return bars.groupBy("k").agg(
         F.countDistinct("close").alias("closes"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("volume").alias("min_volume"), F.max("volume").alias("max_volume"),
-        F.min("turnover").alias("min_turnover"), F.max("turnover").alias("max_turnover"), F.expr("max(high) * 10000 div min(low)").alias("dynamic_range"),
+        F.min("turnover").alias("min_turnover"), F.max("turnover").alias("max_turnover"), F.expr("max(high) * 10000 div nullif(min(low), 0)").alias("dynamic_range"),
         F.count(F.when(F.pmod("close", F.lit(100)) == 0, 1)).alias("whole"), F.max(decimals).alias("places"))
 
 
