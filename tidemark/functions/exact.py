@@ -36,13 +36,14 @@ def fits_decimal(text: Column, scale: int, precision: int = PRECISION, signed: b
     return is_decimal_text(text, signed) & (decimal_places(text) <= scale) & (whole_digits(text) <= precision - scale)
 
 
-def price_units(text: Column) -> Column:
-    """Price text as a long count of 1e-8 units; null unless exact, positive and in range."""
-    exact = fits_decimal(text, PRICE_SCALE)
+def price_units(text: Column, signed: bool = False) -> Column:
+    """Price text as a long count of 1e-8 units; null unless exact, in range and positive (signed: of any sign, or 0)."""
+    exact = fits_decimal(text, PRICE_SCALE, signed=signed)
     parts = F.rpad(F.when(F.instr(text, ".") > 0, F.substring_index(text, ".", -1)).otherwise(F.lit("")), PRICE_SCALE, "0")
     joined = F.concat(F.regexp_replace(F.substring_index(text, ".", 1), "^[+]", ""), F.substring(parts, 1, PRICE_SCALE))
     units = joined.try_cast("decimal(38,0)")
-    return F.when(exact & (units > 0) & (units <= F.lit(LARGEST_LONG).cast("decimal(38,0)")), units.cast("long"))
+    lowest = units >= F.lit(-LARGEST_LONG).cast("decimal(38,0)") if signed else units > 0
+    return F.when(exact & lowest & (units <= F.lit(LARGEST_LONG).cast("decimal(38,0)")), units.cast("long"))
 
 
 def units_to_decimal(units: Column, scale: int) -> Column:

@@ -12,7 +12,8 @@ from tidemark.sources import pages, ranges, views
 
 def _text(units):
     """Cents as decimal text."""
-    return F.concat(F.floor(units / 100).cast("string"), F.lit("."), F.lpad(F.pmod(units, F.lit(100)).cast("string"), 2, "0"))
+    size = F.abs(units)
+    return F.concat(F.when(units < 0, "-").otherwise(""), F.floor(size / 100).cast("string"), F.lit("."), F.lpad(F.pmod(size, F.lit(100)).cast("string"), 2, "0"))
 
 
 def kline_pages(spark, sf_dir):
